@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from veilcorpus.llm.decontaminate import contamination_report
+from veilcorpus.llm.near_copies import near_copy_classes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,3 +25,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 @query
 def op1_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return contamination_report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op2_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_copy_classes(table(spark, sf, "documents"))
