@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
 from veilcorpus.llm.decontaminate import contamination_report
 from veilcorpus.llm.near_copies import near_copy_classes
+from veilcorpus.llm.token_planes import read_documents, write_token_planes
+from veilcorpus.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,3 +34,10 @@ def op1_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op2_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_copy_classes(table(spark, sf, "documents"))
+
+
+@query
+def op3_token_planes(spark: SparkSession, sf: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/token-planes-{uuid.uuid4().hex}"
+    write_token_planes(table(spark, sf, "documents"), path, tokenizer_path("byte_bpe_50k.json"))
+    return read_documents(spark, path)
