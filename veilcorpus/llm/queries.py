@@ -5,11 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from public_tokenizers import path as tokenizer_path
-from pyspark.sql import DataFrame, SparkSession
+from public_tokenizers import PATTERN, path as tokenizer_path
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veilcorpus.llm.decontaminate import contamination_report
+from veilcorpus.llm.language_id import language_report, learning_fold, train_language_net
 from veilcorpus.llm.near_copies import near_copy_classes
+from veilcorpus.llm.piece_lattice import encode_and_restore
+from veilcorpus.llm.token_counts import section_token_counts
 from veilcorpus.llm.token_planes import read_documents, write_token_planes
 from veilcorpus.session import shared_dir
 
@@ -41,3 +44,23 @@ def op3_token_planes(spark: SparkSession, sf: str) -> DataFrame:
     path = f"{shared_dir(spark)}/token-planes-{uuid.uuid4().hex}"
     write_token_planes(table(spark, sf, "documents"), path, tokenizer_path("byte_bpe_50k.json"))
     return read_documents(spark, path)
+
+
+@query
+def op4_sampled_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    out = encode_and_restore(docs, tokenizer_path("piece_bpe_32k.model"))
+    return out.select("doc_id", "n_ids", "lossless", "ids")
+
+
+@query
+def op5_section_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    out = section_token_counts(table(spark, sf, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), PATTERN)
+    return out.withColumn("n_tokens", F.col("n_tokens").cast("bigint"))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    net = train_language_net(docs.filter(learning_fold(F.col("doc_id"))))
+    return language_report(docs.select("doc_id", "text"), net)
