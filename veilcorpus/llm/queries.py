@@ -14,6 +14,7 @@ from veilcorpus.llm.near_copies import near_copy_classes
 from veilcorpus.llm.piece_lattice import encode_and_restore
 from veilcorpus.llm.token_counts import section_token_counts
 from veilcorpus.llm.token_planes import read_documents, write_token_planes
+from veilcorpus.llm.toxicity import learn_lexicon, toxicity_report
 from veilcorpus.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,3 +65,9 @@ def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
     net = train_language_net(docs.filter(learning_fold(F.col("doc_id"))))
     return language_report(docs.select("doc_id", "text"), net)
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return toxicity_report(docs, learn_lexicon(docs, table(spark, sf, "labels")))
