@@ -12,6 +12,7 @@ from veilcorpus.llm.decontaminate import contamination_report
 from veilcorpus.llm.language_id import language_report, learning_fold, train_language_net
 from veilcorpus.llm.near_copies import near_copy_classes
 from veilcorpus.llm.piece_lattice import encode_and_restore
+from veilcorpus.llm.quality_divergence import quality_report
 from veilcorpus.llm.token_counts import section_token_counts
 from veilcorpus.llm.token_planes import read_documents, write_token_planes
 from veilcorpus.llm.toxicity import learn_lexicon, toxicity_report
@@ -67,6 +68,11 @@ def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_report(docs.select("doc_id", "text"), net)
 
 
+@query
+def op9_quality_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_report(table(spark, sf, "documents"))
+
+
 @query
 def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")

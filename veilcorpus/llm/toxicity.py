@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from veilcorpus.session import materialize
 
@@ -245,7 +245,7 @@ def terms_of(text: str) -> list[str]:
     return sorted({*words, *(s + "*" for s, n in starts.items() if n >= least)})
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _terms(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in batches:
         yield batch.map(terms_of)
