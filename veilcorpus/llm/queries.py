@@ -9,6 +9,7 @@ from public_tokenizers import PATTERN, path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veilcorpus.llm.decontaminate import contamination_report
+from veilcorpus.llm.kd_shards import kd_tree_shards
 from veilcorpus.llm.language_id import language_report, learning_fold, train_language_net
 from veilcorpus.llm.near_copies import near_copy_classes
 from veilcorpus.llm.piece_lattice import encode_and_restore
@@ -18,6 +19,7 @@ from veilcorpus.llm.token_planes import read_documents, write_token_planes
 from veilcorpus.llm.toxicity import learn_lexicon, toxicity_report
 from veilcorpus.session import shared_dir
 
+SHARDS = 40
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -68,6 +70,12 @@ def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_report(docs.select("doc_id", "text"), net)
 
 
+@query
+def op8_kd_tree_shards(spark: SparkSession, sf: str) -> DataFrame:
+    out = kd_tree_shards(table(spark, sf, "documents"), dims=["lang", "source", "doc_id"], shards=SHARDS)
+    return out.select("*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query
 def op9_quality_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return quality_report(table(spark, sf, "documents"))
