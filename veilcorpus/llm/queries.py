@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from veilcorpus.llm.decontaminate import contamination_report
 from veilcorpus.llm.kd_shards import kd_tree_shards
 from veilcorpus.llm.language_id import language_report, learning_fold, train_language_net
+from veilcorpus.llm.license_scan import license_scan
 from veilcorpus.llm.near_copies import near_copy_classes
 from veilcorpus.llm.piece_lattice import encode_and_restore
 from veilcorpus.llm.quality_divergence import quality_report
@@ -70,6 +71,14 @@ def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_report(docs.select("doc_id", "text"), net)
 
 
+@query
+def op7_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents stand for files: one tree for each source, with a folder for every 1,000 and every 50 ids."""
+    number = F.col("doc_id")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.floor(number / 1000), F.floor(number / 50), F.concat(number, F.lit(".txt")))
+    return license_scan(table(spark, sf, "documents"), path)
+
+
 @query
 def op8_kd_tree_shards(spark: SparkSession, sf: str) -> DataFrame:
     out = kd_tree_shards(table(spark, sf, "documents"), dims=["lang", "source", "doc_id"], shards=SHARDS)
