@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from veilcorpus.fixed_values import CATEGORIES
+from veilcorpus.functions.text import let
 from veilcorpus.schema import build_annotation, strings_or_empty
 
+#: What Python's `json` writes for each character that it escapes; the backslash comes first.
 _ESCAPES = (
     ("\\", "\\\\"),
     ('"', '\\"'),
@@ -19,20 +21,25 @@ _ESCAPES = (
     ("\t", "\\t"),
     ("\b", "\\b"),
     ("\f", "\\f"),
+    *((chr(i), f"\\u{i:04x}") for i in range(32) if chr(i) not in "\n\r\t\b\f"),
 )
-_RARE_CONTROLS = [chr(i) for i in range(32) if chr(i) not in "\n\r\t\b\f"]
 
 
 def quote(text: Column) -> Column:
-    """A JSON string literal; non-ASCII text is kept, control characters are escaped."""
-    out = text
-    for raw, escaped in _ESCAPES:
-        out = F.replace(out, F.lit(raw), F.lit(escaped))
-    rare = out
-    for ch in _RARE_CONTROLS:
-        rare = F.replace(rare, F.lit(ch), F.lit(f"\\u{ord(ch):04x}"))
-    needs_rare = text.rlike("[\\x00-\\x07\\x0b\\x0e-\\x1f]")
-    return F.concat(F.lit('"'), F.when(needs_rare, rare).otherwise(out), F.lit('"'))
+    """A JSON string literal; non-ASCII text is kept, control characters are escaped.
+
+    `to_json` writes the same, but for rare control characters, whose codes it puts in upper case.
+    """
+    pairs = F.array(*[F.struct(F.lit(raw).alias("raw"), F.lit(escaped).alias("escaped")) for raw, escaped in _ESCAPES])
+
+    def one(t: Column) -> Column:
+        plain = F.to_json(F.array(t))
+        escaped = F.aggregate(pairs, t, lambda done, p: F.replace(done, p["raw"], p["escaped"]))
+        return F.when(t.rlike("[\\x00-\\x07\\x0b\\x0e-\\x1f]"), F.concat(F.lit('"'), escaped, F.lit('"'))).when(
+            t.isNotNull(), F.substr(plain, F.lit(2), F.length(plain) - 2)
+        )
+
+    return let(text, one)
 
 
 def encode_strings(values: Column) -> Column:
@@ -66,11 +73,12 @@ def strict_object(text: Column, fields: str) -> Column:
     marker, text that continues as `,"k": v` breaks the array copy, and text that
     closes a bracket breaks the object copy, so only a single value gets through.
     """
-    wrapped = F.concat(F.lit('{"p":'), text, F.lit(',"again":['), text, F.lit('],"end":1}'))
-    parsed = F.from_json(
-        wrapped, f"p STRUCT<{fields}>, end INT", {"allowSingleQuotes": "false"}
-    )
-    return F.when(parsed.getField("end") == 1, parsed.getField("p"))
+
+    def once(t: Column) -> Column:
+        wrapped = F.concat(F.lit('{"p":'), t, F.lit(',"again":['), t, F.lit('],"end":1}'))
+        return F.from_json(wrapped, f"p STRUCT<{fields}>, end INT", {"allowSingleQuotes": "false"})
+
+    return let(let(text, once), lambda parsed: F.when(parsed.getField("end") == 1, parsed.getField("p")))
 
 
 _VARIANT_FIELDS = ", ".join(f"{c}: ARRAY<VARIANT>" for c in CATEGORIES)
@@ -116,11 +124,6 @@ def native_annotation(parsed: Column) -> Column:
     return build_annotation(lambda name: F.transform(parsed.getField(name), element_text))
 
 
-def flat_key(*parts: Column) -> Column:
-    """`a/b` key of a nested summary value."""
-    return F.concat_ws("/", *parts)
-
-
 def summary_value(summary: Column, key: str) -> Column:
     """One key of a summary that arrives as JSON text; null unless the text is an object."""
     return strict_object(summary, f"`{key}`: STRING").getField(key)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from veilcorpus.fixed_values import CATEGORIES
 from veilcorpus.functions import jsonx
+from veilcorpus.functions.text import let
 from veilcorpus.schema import ANNOTATION_TYPE, empty_annotation, strings_or_empty
 
 
@@ -41,25 +42,29 @@ def _python_annotation(raws: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 def parse_columns(df: DataFrame, columns: dict[str, tuple[str, str]]) -> DataFrame:
     """For each raw column add an annotation struct and an `is one JSON object` flag.
 
-    `columns` maps a raw column to (annotation name, flag name). Nearly all rows are
-    parsed by native expressions; rows with floats or nested values in a category list
-    go through a pandas UDF in a second branch.
+    `columns` maps a raw column to (annotation name, flag name). Each text is parsed once, in
+    native expressions. Only a text with floats or nested values in a category list goes to
+    Python; for all others Python gets a null. Rows are never split into branches, so what
+    lies upstream is read once.
     """
-    step = df
     for raw, (out, ok) in columns.items():
-        step = step.withColumn(f"_p_{out}", jsonx.strict_annotation(F.col(raw)))
-        step = step.withColumn(ok, F.col(f"_p_{out}").isNotNull())
-    needs_python = F.lit(False)
-    for raw, (out, _) in columns.items():
-        needs_python = needs_python | jsonx.needs_python_text(F.col(raw), F.col(f"_p_{out}"))
-    step = step.withColumn("_py", F.coalesce(needs_python, F.lit(False)))
-    native, other = step.filter(~F.col("_py")), step.filter("_py")
-    for raw, (out, ok) in columns.items():
-        simple = jsonx.native_annotation(F.col(f"_p_{out}"))
-        native = native.withColumn(out, F.when(F.col(ok), simple).otherwise(empty_annotation()))
-        other = other.withColumn(out, _python_annotation(F.col(raw)))
-    scratch = ["_py", *[f"_p_{out}" for out, _ in columns.values()]]
-    return native.drop(*scratch).unionByName(other.drop(*scratch))
+
+        def read(text: Column) -> Column:
+            return let(
+                jsonx.strict_annotation(text),
+                lambda p: F.struct(
+                    p.isNotNull().alias("ok"),
+                    F.coalesce(jsonx.needs_python_text(text, p), F.lit(False)).alias("python"),
+                    jsonx.native_annotation(p).alias("native"),
+                ),
+            )
+
+        df = df.withColumn("_read", let(F.col(raw), read))
+        by_python = _python_annotation(F.when(F.col("_read.python"), F.col(raw)))
+        df = df.withColumn("_python", by_python)
+        value = F.when(F.col("_read.python"), F.col("_python")).when(F.col("_read.ok"), F.col("_read.native"))
+        df = df.withColumns({out: value.otherwise(empty_annotation()), ok: F.coalesce(F.col("_read.ok"), F.lit(False))}).drop("_read", "_python")
+    return df
 
 
 def parse_predictions(df: DataFrame, raw: str = "raw_output", gold: str = "gold_json") -> DataFrame:

@@ -273,11 +273,11 @@ def mixed(n_rows: str) -> str:
     )
 
 
-_DELIMITER = f"CASE WHEN {draw(lit('delimiter'), 'i')} % 2 = 0 THEN '。' ELSE chr(10) END"
+_TEXT_JOINED = f"CASE WHEN {draw(lit('delimiter'), 'i')} % 2 = 0 THEN array_to_string(ts, '。') ELSE array_to_string(ts, chr(10)) END"
 SQL["augment_mixed"] = (
     f"WITH {mixed(_N_DOCS)}, texts AS (SELECT i, count(*) AS n_rows, list(input_text ORDER BY place) AS ts "
     "FROM placed JOIN gold USING (row_id) GROUP BY i) "
-    f"SELECT i, n_rows, md5(array_to_string(ts, {_DELIMITER})) AS text_md5, {found_json()} AS annotation_json "
+    f"SELECT i, n_rows, md5({_TEXT_JOINED}) AS text_md5, {found_json()} AS annotation_json "
     "FROM texts LEFT JOIN wide USING (i)"
 )
 _NEGATIVE_RANK = (
@@ -584,10 +584,10 @@ def coherence(table: str, key: str) -> str:
         f"sentences AS (SELECT {key}, unnest(range(len(parts))) AS s, list_distinct({_WORDS.format('lower(unnest(parts))')}) AS ws "
         f"FROM (SELECT {key}, string_split(text, '.') AS parts FROM {table})), "
         f"filled AS (SELECT {key}, s, ws, len(ws) AS n FROM sentences WHERE len(ws) > 0), "
-        f"overlaps AS (SELECT a.{key}, avg(len(list_intersect(a.ws, b.ws))::DOUBLE / least(a.n, b.n)) AS mean "
+        f"shared AS (SELECT a.{key}, avg(len(list_intersect(a.ws, b.ws))::DOUBLE / least(a.n, b.n)) AS mean "
         f"FROM filled a JOIN filled b ON a.{key} = b.{key} AND a.s < b.s GROUP BY a.{key}), "
         f"coherence AS (SELECT t.{key}, CASE WHEN contains(text, '.') AND mean IS NOT NULL THEN least(1.0, mean * 2) ELSE 0.5 END AS score "
-        f"FROM {table} t LEFT JOIN overlaps o ON o.{key} = t.{key})"
+        f"FROM {table} t LEFT JOIN shared o ON o.{key} = t.{key})"
     )
 
 
@@ -601,7 +601,7 @@ SQL["score_summary"] = (
 )
 SQL["comparison_markdown"] = (
     "SELECT doc_id AS prompt_id, '| ' || replace(left(text, 60), '|', '\\|') || ' | ' || "
-    "replace(replace(left(upper(text), 120), chr(10), ' '), '|', '\\|') || ' | ' || "
+    "replace(replace(left(replace(text, 'e', 'E'), 120), chr(10), ' '), '|', '\\|') || ' | ' || "
     "replace(replace(left(replace(text, ' ', '|'), 120), chr(10), ' '), '|', '\\|') || ' |' AS line FROM documents"
 )
 SQL["improvement_rate"] = (

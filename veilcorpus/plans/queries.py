@@ -658,14 +658,6 @@ def score_coherence(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(docs.select("doc_id", scorers.coherence_score(F.col("text")).alias("score")), "score")
 
 
-@query
-def score_similarity(spark: SparkSession, sf: str) -> DataFrame:
-    """Answer against its question, and whether it comes closer than the system text does."""
-    pairs = td.turn_pairs(spark, sf).withColumn("base", F.coalesce("system", F.lit("")))
-    scored = compare.score_table(pairs, "answer", "question", "base", scorers={})
-    return _rounded(scored.select("pair_id", "similarity", "improved"), "similarity")
-
-
 @query
 def score_summary(spark: SparkSession, sf: str) -> DataFrame:
     turns = td.table(spark, sf, "conversations").filter("role = 'assistant'")
@@ -677,7 +669,7 @@ def score_summary(spark: SparkSession, sf: str) -> DataFrame:
 def comparison_markdown(spark: SparkSession, sf: str) -> DataFrame:
     """Two models' outputs aligned on the prompt id, as lines of a Markdown table."""
     items = td.table(spark, sf, "documents").select(F.col("doc_id").alias("prompt_id"), F.col("text").alias("prompt"))
-    base = items.withColumn("content", F.upper("prompt"))
+    base = items.withColumn("content", F.replace("prompt", F.lit("e"), F.lit("E")))
     tuned = items.select("prompt_id", F.replace("prompt", F.lit(" "), F.lit("|")).alias("content"))
     lines = compare.markdown_rows(compare.align_models(base, tuned))
     return lines.select("prompt_id", "line")
@@ -749,7 +741,7 @@ def summary_values(spark: SparkSession, sf: str) -> DataFrame:
 def stream_profile(spark: SparkSession, sf: str) -> DataFrame:
     """The category profile, kept by a stream over the documents."""
     docs = td.table(spark, sf, "documents")
-    source = spark.readStream.schema(docs.schema).parquet(f"{sf}/documents.parquet")
+    source = spark.readStream.schema(docs.schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
     masked = source.select(detect.detect_mask(F.col("text")).alias("mask"))
     annotated = masked.select(td.annotation_from_entities(F.col("mask"), td.DETECTED_LABELS).alias("annotation"))
     out = _fresh(spark, "profile")

@@ -12,6 +12,7 @@ from veilcorpus.fixed_values import MASK_LABELS, SYNTHETIC_CATEGORIES
 from veilcorpus.functions.detect import detect_mask
 from veilcorpus.functions.entities import FORMATS
 from veilcorpus.functions.jsonx import encode_annotation
+from veilcorpus.functions.text import let
 from veilcorpus.operators.annotate import annotation_from_entities
 
 DETECTED_LABELS = {
@@ -62,14 +63,17 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     spurious = F.array(F.concat(F.lit("spurious "), row_id.cast("string")))
     address = F.when(row_id % 7 == 0, spurious).otherwise(gold["address"])
     changed = gold.withField("email_address", email).withField("address", address)
-    text = encode_annotation(changed)
-    odd = F.replace(text, F.lit('"human_name": []'), F.lit('"human_name": [12, true, null, "x"]'))
-    raw = (
-        F.when(row_id % 11 == 0, F.left(text, F.length(text) - 1))
-        .when(row_id % 17 == 0, F.concat(text, F.lit(" end")))
-        .when(row_id % 13 == 0, odd)
-        .otherwise(text)
-    )
+
+    def spoiled(text: Column) -> Column:
+        odd = F.replace(text, F.lit('"human_name": []'), F.lit('"human_name": [12, true, null, "x"]'))
+        return (
+            F.when(row_id % 11 == 0, F.left(text, F.length(text) - 1))
+            .when(row_id % 17 == 0, F.concat(text, F.lit(" end")))
+            .when(row_id % 13 == 0, odd)
+            .otherwise(text)
+        )
+
+    raw = let(encode_annotation(changed), spoiled)
     return docs.select("row_id", raw.alias("raw_output"), encode_annotation(gold).alias("gold_json"))
 
 
