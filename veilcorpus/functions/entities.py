@@ -368,13 +368,13 @@ def add_entities(
 
     Up to twice as many values are tried as are wanted, so a subtype with few values may
     give one where two were wanted. `pools` (subtype -> values) replaces the formats of its
-    subtypes; an empty pool leaves the formats in place. Both tables hold one row per known
-    subtype, come from the driver, and are broadcast.
+    subtypes, and may name new ones; an empty pool leaves the formats in place. Both tables
+    hold one row per named subtype, come from the driver, and are broadcast. A row whose
+    subtype has neither formats nor a pool stays, with null values.
     """
     table = format_table(df.sparkSession).select(F.col("subtype").alias("_s"), "formats", "total")
-    joined = df.join(F.broadcast(table), F.col(subtype) == F.col("_s")).drop("_s")
-    known = {s for subtypes in FORMATS.values() for s in subtypes}
-    filled = [(s, list(p)) for s, p in (pools or {}).items() if p and s in known]
+    joined = df.join(F.broadcast(table), F.col(subtype) == F.col("_s"), "left").drop("_s")
+    filled = [(s, list(p)) for s, p in (pools or {}).items() if p]
     if filled:
         few = df.sparkSession.createDataFrame(filled, "_s STRING, pool ARRAY<STRING>")
         joined = joined.join(F.broadcast(few), F.col(subtype) == F.col("_s"), "left").drop("_s")
@@ -391,4 +391,11 @@ def add_entities(
     tries = F.transform(F.sequence(F.lit(0), wanted * 2 - 1), one_try)
     values = F.slice(F.array_distinct(tries), F.lit(1), wanted)
     scratch = ["formats", "total"] + (["pool"] if filled else [])
-    return joined.withColumn(out, values).drop(*scratch)
+    has_values = F.col("formats").isNotNull() | (F.col("pool").isNotNull() if filled else F.lit(False))
+    return joined.withColumn(out, F.when(has_values, values)).drop(*scratch)
+
+
+def known_subtypes(pools: Mapping[str, Sequence[str]] | None = None) -> list[str]:
+    """Subtypes that have formats or a filled pool."""
+    named = {s for subtypes in FORMATS.values() for s in subtypes}
+    return sorted(named | {s for s, p in (pools or {}).items() if p})

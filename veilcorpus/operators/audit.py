@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-GPU_NAMES_SHOWN = 5
 
 
 def run_lookup(runs: DataFrame) -> DataFrame:
@@ -88,10 +87,11 @@ def metric_gate(runs: DataFrame, history: DataFrame, required: list[str]) -> Dat
     )
 
 
-def gpu_metric_names(system_history: DataFrame) -> DataFrame:
-    """The first five metric names that mention a GPU; for information, never a failure."""
+def gpu_metric_names(system_history: DataFrame, shown: int | None = None) -> DataFrame:
+    """Metric names that mention a GPU, or the first `shown` of them; for information, never a failure."""
     names = system_history.select("metric").distinct()
-    return names.filter(F.lower("metric").contains("gpu")).orderBy("metric").limit(GPU_NAMES_SHOWN)
+    found = names.filter(F.lower("metric").contains("gpu"))
+    return found if shown is None else found.orderBy("metric").limit(shown)
 
 
 def system_report(system_history: DataFrame) -> DataFrame:

@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from veilcorpus.functions.scorers import OUTPUT_SCORERS, similarity
 from veilcorpus.functions.text import markdown_cell
 
-PROMPT_WIDTH, OUTPUT_WIDTH = 60, 120
-
 
 def score_table(
     df: DataFrame,
@@ -73,27 +71,27 @@ def align_models(base: DataFrame, finetuned: DataFrame, key: str = "prompt_id")
     return left.join(right, key)
 
 
-def markdown_rows(compared: DataFrame) -> DataFrame:
-    """Add `line`: the row of a Markdown comparison table."""
+def markdown_rows(compared: DataFrame, prompt_width: int | None = None, output_width: int | None = None) -> DataFrame:
+    """Add `line`: the row of a Markdown comparison table, with whole texts unless widths are given."""
     line = F.concat(
         F.lit("| "),
-        markdown_cell(F.col("prompt"), PROMPT_WIDTH, flatten=False),
+        markdown_cell(F.col("prompt"), prompt_width, flatten=False),
         F.lit(" | "),
-        markdown_cell(F.col("base"), OUTPUT_WIDTH),
+        markdown_cell(F.col("base"), output_width),
         F.lit(" | "),
-        markdown_cell(F.col("finetune"), OUTPUT_WIDTH),
+        markdown_cell(F.col("finetune"), output_width),
         F.lit(" |"),
     )
     return compared.withColumn("line", line)
 
 
-def audio_markdown_rows(compared: DataFrame) -> DataFrame:
+def audio_markdown_rows(compared: DataFrame, prompt_width: int | None = None) -> DataFrame:
     """The same for `(prompt, base_wav, ft_wav)` paths, which are shown as code."""
 
     def path(name: str) -> Column:
         return F.concat(F.lit("`"), markdown_cell(F.col(name), None, flatten=False), F.lit("`"))
 
-    prompt = markdown_cell(F.col("prompt"), PROMPT_WIDTH, flatten=False)
+    prompt = markdown_cell(F.col("prompt"), prompt_width, flatten=False)
     line = F.concat(
         F.lit("| "), prompt, F.lit(" | "), path("base_wav"), F.lit(" | "), path("ft_wav"), F.lit(" |")
     )

@@ -7,7 +7,7 @@ inside a partition a bounded thread pool keeps several requests in flight.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -184,14 +184,16 @@ def accepted(judged: DataFrame) -> DataFrame:
 
 
 def value_pools(requests: DataFrame, factory: CompleterFactory, settings: Settings = Settings(),
-                compat: bool = False) -> dict[str, list[str]]:
+                compat: bool = False, allowed: Sequence[str] = POOLED_SUBTYPES) -> dict[str, list[str]]:
     """Value pools per subtype from one request each (`subtype, messages`).
 
-    At most one request per known subtype goes through, so the result is small enough for
-    the driver; a failed request gives no pool.
+    Requests may only name subtypes of `allowed`, each once, so the result is small enough for
+    the driver; anything else raises. A failed request gives no pool.
     """
-    wanted = requests.filter(F.col("subtype").isin(*POOLED_SUBTYPES)).dropDuplicates(["subtype"])
-    answers = complete_table(wanted, factory, settings)
+    bad = requests.groupBy("subtype").count().filter(~F.col("subtype").isin(*allowed) | F.col("subtype").isNull() | (F.col("count") > 1))
+    if found := [r["subtype"] for r in bad.limit(5).collect()]:
+        raise ValueError(f"unknown or repeated subtypes: {found}")
+    answers = complete_table(requests, factory, settings)
     pools = answers.filter("error is null").select(
         "subtype", clean_pool_lines(F.col("content"), compat).alias("pool")
     )

@@ -11,7 +11,7 @@ position `r mod N`, and the whole loop becomes two ranks and one equi-join on
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from veilcorpus.fixed_values import MIX_DELIMITERS
 from veilcorpus.functions.hashing import draw, unit
@@ -26,8 +26,9 @@ from veilcorpus.operators.rank import (
     uniform_key,
     weighted_key,
 )
+from veilcorpus.session import materialize
 
-MAX_SOURCES = 1000
+TICKET_CELLS = 4096
 
 
 def row_budget(n: int, negative_ratio: float) -> tuple[int, int]:
@@ -38,33 +39,34 @@ def row_budget(n: int, negative_ratio: float) -> tuple[int, int]:
     return n - n_negative, n_negative
 
 
-def source_sizes(corpus: DataFrame) -> list[tuple[str, int]]:
-    """Rows per source, ordered by name. The number of sources is checked, not the rows."""
-    counted = corpus.groupBy("source").count().orderBy("source").limit(MAX_SOURCES + 1).collect()
-    if len(counted) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; group them before mixing")
-    return [(r["source"], r["count"]) for r in counted]
+def source_sizes(corpus: DataFrame) -> DataFrame:
+    """`source, n_source, start`: rows of each source, and of those before it by name. One row a source."""
+    counted = corpus.groupBy("source").agg(F.count(F.lit(1)).alias("n_source"))
+    before = Window.orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
+    return materialize(counted.withColumn("start", F.coalesce(F.sum("n_source").over(before), F.lit(0))))
 
 
 def draw_slots(
-    spark: SparkSession, n_rows: int, sizes: list[tuple[str, int]], seed: int
+    spark: SparkSession, n_rows: int, sizes: DataFrame, seed: int
 ) -> DataFrame:
-    """`(i, j, source)`: k in {2, 3, 4} source draws for each output row i."""
-    total = sum(n for _, n in sizes)
+    """`(i, j, source)`: k in {2, 3, 4} source draws for each output row i.
+
+    A draw is a ticket below the number of all rows. Tickets are cut into equal cells, each
+    source is repeated for the cells that its range touches, and the two meet on the cell,
+    so any number of sources is one equi-join.
+    """
+    sources, total = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_source"), F.lit(0))).first()
     outputs = spark.range(n_rows).select(
         F.col("id").alias("i"), (F.lit(2) + draw(seed, "size", F.col("id")) % 3).cast("int").alias("k")
     )
     slots = outputs.select("i", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("j"))
-    if not sizes:
+    if not total:
         return slots.withColumn("source", F.lit(None).cast("string")).limit(0)
-    ticket = draw(seed, "source", F.col("i"), F.col("j")) % F.lit(total)
-    upper = 0
-    source = None
-    for name, n in sizes:
-        upper += n
-        below = ticket < F.lit(upper)
-        source = F.when(below, F.lit(name)) if source is None else source.when(below, F.lit(name))
-    return slots.withColumn("source", source)
+    width = max(1, total // max(TICKET_CELLS, 4 * sources))
+    drawn = slots.withColumn("ticket", draw(seed, "source", F.col("i"), F.col("j")) % F.lit(total))
+    cells = sizes.withColumn("cell", F.explode(F.expr(f"sequence(start div {width}, (start + n_source - 1) div {width})")))
+    met = drawn.withColumn("cell", F.expr(f"ticket div {width}")).join(cells, "cell")
+    return met.filter("ticket >= start AND ticket < start + n_source").select("i", "j", "source")
 
 
 def rank_slots(slots: DataFrame, n_rows: int) -> DataFrame:
@@ -75,17 +77,12 @@ def rank_slots(slots: DataFrame, n_rows: int) -> DataFrame:
     return bucketed_rank(chunked, ["i", "j"], "_b", ["source"], "slot")
 
 
-def _size_table(spark: SparkSession, sizes: list[tuple[str, int]]) -> DataFrame:
-    return spark.createDataFrame(sizes, "source STRING, n_source BIGINT")
-
-
 def queue_slots(
-    spark: SparkSession, n_rows: int, sizes: list[tuple[str, int]], seed: int
+    spark: SparkSession, n_rows: int, sizes: DataFrame, seed: int
 ) -> DataFrame:
     """`(i, j, source, epoch, position)`: which queue entry each slot takes."""
     ranked = rank_slots(draw_slots(spark, n_rows, sizes, seed), n_rows)
-    table = F.broadcast(_size_table(spark, sizes))
-    return ranked.join(table, "source").select(
+    return ranked.join(sizes.select("source", "n_source"), "source").select(
         "i",
         "j",
         "source",
@@ -95,7 +92,7 @@ def queue_slots(
 
 
 def queue_entries(
-    weighted: DataFrame, n_rows: int, sizes: list[tuple[str, int]], seed: int
+    weighted: DataFrame, n_rows: int, sizes: DataFrame, seed: int
 ) -> DataFrame:
     """`(row_id, source, epoch, position)` of every queue entry that a slot may take.
 
@@ -103,14 +100,13 @@ def queue_entries(
     is really used, and in the last epoch only the leading buckets are sorted.
     """
     spark = weighted.sparkSession
-    table = F.broadcast(_size_table(spark, sizes))
     used = (
         draw_slots(spark, n_rows, sizes, seed)
         .groupBy("source")
         .agg(F.count(F.lit(1)).alias("n_slots"))
-        .join(table, "source")
+        .join(sizes.select("source", "n_source"), "source")
     )
-    # One row per source from here: bounded by MAX_SOURCES.
+    # One row a source from here.
     epochs = used.select("source", F.expr("(n_slots - 1) div n_source").alias("last_epoch"))
     needed = used.select(
         "source",
@@ -122,7 +118,7 @@ def queue_entries(
         "epoch",
         F.least(F.col("n_slots") - F.col("epoch") * F.col("n_source"), F.col("n_source")).alias("needed"),
     )
-    repeated = weighted.join(F.broadcast(epochs), "source").select(
+    repeated = weighted.join(epochs, "source").select(
         "row_id", "source", "weight", F.explode(F.expr("sequence(0L, last_epoch)")).alias("epoch")
     )
     u = unit(draw(seed, "queue", F.col("epoch"), F.col("row_id")))

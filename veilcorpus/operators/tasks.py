@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from veilcorpus.functions.entities import add_entities
+from veilcorpus.functions.entities import add_entities, known_subtypes
 from veilcorpus.functions.text import task_id
 
 
@@ -21,8 +21,13 @@ def expand_tasks(
 
     `subtypes`: `category, category_desc, name, description, examples`; `situations`:
     `category, idx, situation`. The pairing is an equi-join on category. A spec's subtype
-    list is the small side, but its size is left to the optimizer to check.
+    list is the small side, but its size is left to the optimizer to check. With `synthesize`
+    every subtype must have formats or a pool; one that has none raises before anything runs.
     """
+    if synthesize:
+        strange = subtypes.filter(~F.col("name").isin(known_subtypes(pools))).select("name").limit(5).collect()
+        if strange:
+            raise ValueError(f"no formats and no pool for the subtypes {[r['name'] for r in strange]}")
     if limit_situations > 0:
         situations = situations.filter(F.col("idx") < limit_situations)
     paired = situations.join(subtypes, "category")

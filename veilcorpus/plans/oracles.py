@@ -427,7 +427,7 @@ _SUBTYPES = "subtypes(category, subtype) AS (VALUES " + ", ".join(
 _SITUATIONS = (
     "situations AS (SELECT ["
     + ", ".join(lit(c) for c in SYNTHETIC_CATEGORIES)
-    + "][conv_id % 4 + 1] AS category, conv_id * 1000000 + turn AS idx, text AS situation FROM conversations WHERE role = 'user')"
+    + "][conv_id % 4 + 1] AS category, conv_id * 1000000 + turn AS idx, text AS situation FROM conversations)"
 )
 
 
@@ -477,21 +477,18 @@ _PART_TEXT = (
 
 def entities(pooled: bool = False) -> str:
     """CTEs up to `made(task_id, entities)`."""
-    where = "subtype IN (" + ", ".join(lit(s) for s in POOLED_SUBTYPES) + ")" if pooled else "true"
-    if pooled:
-        value = f"(SELECT subtype || '-' || {draw(lit('pool'), 'try_key')} % 30)"
-        values = f"tried AS (SELECT task_id, t, wanted, {value} AS value FROM tries)"
-    else:
-        values = (
-            f"drawn AS (SELECT tries.*, parts FROM tries JOIN formats f ON f.subtype = tries.subtype "
-            f"AND {draw(lit('format'), 'try_key')} % f.total >= f.low_ticket AND {draw(lit('format'), 'try_key')} % f.total < f.upto), "
-            "pieces AS (SELECT task_id, t, wanted, try_key, unnest(parts) AS p, unnest(range(1, len(parts) + 1)) AS k FROM drawn), "
-            f"tried AS (SELECT task_id, t, wanted, string_agg({_PART_TEXT}, '' ORDER BY k) AS value FROM pieces GROUP BY task_id, t, wanted)"
-        )
-    formats = "" if pooled else _formats_cte() + ", "
+    in_pool = "subtype IN (" + ", ".join(lit(s) for s in POOLED_SUBTYPES) + ")" if pooled else "false"
+    from_pool = f"subtype || '-' || {draw(lit('pool'), 'try_key')} % 30"
+    values = (
+        f"drawn AS (SELECT tries.*, parts FROM tries JOIN formats f ON f.subtype = tries.subtype "
+        f"AND {draw(lit('format'), 'try_key')} % f.total >= f.low_ticket AND {draw(lit('format'), 'try_key')} % f.total < f.upto), "
+        "pieces AS (SELECT task_id, t, wanted, subtype, try_key, unnest(parts) AS p, unnest(range(1, len(parts) + 1)) AS k FROM drawn), "
+        f"written AS (SELECT task_id, t, wanted, subtype, try_key, string_agg({_PART_TEXT}, '' ORDER BY k) AS value FROM pieces GROUP BY ALL), "
+        f"tried AS (SELECT task_id, t, wanted, CASE WHEN {in_pool} THEN {from_pool} ELSE value END AS value FROM written)"
+    )
     return (
-        f"{formats}{tasks(1)}, counted AS (SELECT task_id, subtype, positive, CASE WHEN {draw(lit('count'), 'task_id')} % 10 < 7 THEN 1 ELSE 2 END AS wanted "
-        f"FROM tasks WHERE {where}), numbered_tries AS (SELECT *, unnest(range(wanted * 2)) AS t FROM counted), "
+        f"{_formats_cte()}, {tasks(1)}, counted AS (SELECT task_id, subtype, positive, CASE WHEN {draw(lit('count'), 'task_id')} % 10 < 7 THEN 1 ELSE 2 END AS wanted "
+        f"FROM tasks), numbered_tries AS (SELECT *, unnest(range(wanted * 2)) AS t FROM counted), "
         f"tries AS (SELECT *, task_id || ':' || t AS try_key FROM numbered_tries), {values}, "
         "firsts AS (SELECT task_id, wanted, value, min(t) AS t FROM tried GROUP BY ALL), "
         "kept AS (SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY t) AS r FROM firsts), "
@@ -565,7 +562,7 @@ SQL["batch_complete_stub"] = (
     "NULL::VARCHAR AS error FROM benchmark"
 )
 SQL["usage_totals"] = (
-    "WITH t AS (SELECT length(text) AS n, length(text) % 13 = 0 AS failed FROM conversations WHERE role = 'user') "
+    "WITH t AS (SELECT length(text) AS n, length(text) % 13 = 0 AS failed FROM conversations) "
     "SELECT count(*) AS requests, sum(failed::INT)::BIGINT AS failures, sum(CASE WHEN failed THEN 0 ELSE n END)::BIGINT AS prompt_tokens, "
     "sum((NOT failed)::INT)::BIGINT AS completion_tokens, sum(CASE WHEN failed THEN 0 ELSE n + 1 END)::BIGINT AS total_tokens FROM t"
 )
@@ -595,14 +592,14 @@ SQL["score_length"] = f"SELECT doc_id, round({LENGTH_SCORE}, 9) AS score FROM do
 SQL["score_diversity"] = f"SELECT doc_id, round({DIVERSITY_SCORE}, 9) AS score FROM documents"
 SQL["score_coherence"] = f"WITH {coherence('documents', 'doc_id')} SELECT doc_id, round(score, 9) AS score FROM coherence"
 SQL["score_summary"] = (
-    "WITH said AS (SELECT concat_ws(':', conv_id::VARCHAR, turn::VARCHAR) AS id, text FROM conversations WHERE role = 'assistant'), "
+    "WITH said AS (SELECT concat_ws(':', conv_id::VARCHAR, turn::VARCHAR) AS id, text FROM conversations), "
     f"{coherence('said', 'id')} SELECT 'response_length' AS metric, round(avg({LENGTH_SCORE}), 9) AS mean FROM said UNION ALL "
     f"SELECT 'diversity', round(avg({DIVERSITY_SCORE}), 9) FROM said UNION ALL SELECT 'coherence', round(avg(score), 9) FROM coherence"
 )
 SQL["comparison_markdown"] = (
-    "SELECT doc_id AS prompt_id, '| ' || replace(left(text, 60), '|', '\\|') || ' | ' || "
-    "replace(replace(left(replace(text, 'e', 'E'), 120), chr(10), ' '), '|', '\\|') || ' | ' || "
-    "replace(replace(left(replace(text, ' ', '|'), 120), chr(10), ' '), '|', '\\|') || ' |' AS line FROM documents"
+    "SELECT doc_id AS prompt_id, '| ' || replace(text, '|', '\\|') || ' | ' || "
+    "replace(replace(replace(text, 'e', 'E'), chr(10), ' '), '|', '\\|') || ' | ' || "
+    "replace(replace(replace(text, ' ', '|'), chr(10), ' '), '|', '\\|') || ' |' AS line FROM documents"
 )
 SQL["improvement_rate"] = (
     "WITH daily AS (SELECT user_id AS run_id, date_diff('day', DATE '2024-01-01', ts::DATE) AS step, event_type AS metric, "
@@ -653,7 +650,7 @@ SQL["run_failures"] = (
 SQL["system_report"] = (
     "SELECT user_id AS run_id, count(DISTINCT event_id) AS rows, max((event_type = 'click')::INT) = 1 AS has_gpu FROM events GROUP BY user_id"
 )
-SQL["gpu_metric_names"] = "SELECT DISTINCT 'gpu/' || user_id AS metric FROM events ORDER BY metric LIMIT 5"
+SQL["gpu_metric_names"] = "SELECT DISTINCT 'gpu/' || user_id AS metric FROM events"
 SQL["summary_values"] = (
     "SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN json_extract_string(props, '$.k') END AS k FROM events"
 )

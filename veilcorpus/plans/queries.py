@@ -238,7 +238,7 @@ def evaluation_subset(spark: SparkSession, sf: str) -> DataFrame:
 def augment_slots(spark: SparkSession, sf: str) -> DataFrame:
     """Queue entry of every slot, for as many output rows as there are documents."""
     sizes = mix.source_sizes(td.table(spark, sf, "documents").select(F.col("lang").alias("source")))
-    return mix.queue_slots(spark, sum(n for _, n in sizes), sizes, seed=42)
+    return mix.queue_slots(spark, sizes.agg(F.sum("n_source")).first()[0], sizes, seed=42)
 
 
 @query
@@ -535,10 +535,10 @@ def synth_entities(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def synth_entities_pooled(spark: SparkSession, sf: str) -> DataFrame:
-    """Pools in place of the formats of the pooled subtypes."""
+    """Pools in place of the formats of the pooled subtypes; the others keep their formats."""
     expanded = _tasks(spark, sf, synthesize=False)
     pools = {s: [f"{s}-{i}" for i in range(30)] for s in POOLED_SUBTYPES}
-    made = add_entities(expanded.filter(F.col("subtype_name").isin(*POOLED_SUBTYPES)), "task_id", pools=pools)
+    made = add_entities(expanded, "task_id", pools=pools)
     return made.select("task_id", jsonx.encode_strings(F.col("entities")).alias("entities"))
 
 
@@ -627,7 +627,7 @@ def batch_complete_stub(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def usage_totals(spark: SparkSession, sf: str) -> DataFrame:
-    turns = td.table(spark, sf, "conversations").filter("role = 'user'")
+    turns = td.table(spark, sf, "conversations")
     asked = turns.select(F.array(chat.turn("user", F.col("text"))).alias("messages"))
     totals = complete.usage_totals(complete.complete_table(asked, lossy_echo, _ONE_TRY))
     return totals.select("requests", "failures", "prompt_tokens", "completion_tokens", "total_tokens")
@@ -660,7 +660,7 @@ def score_coherence(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def score_summary(spark: SparkSession, sf: str) -> DataFrame:
-    turns = td.table(spark, sf, "conversations").filter("role = 'assistant'")
+    turns = td.table(spark, sf, "conversations")
     scored = compare.score_table(turns, "text")
     return _rounded(compare.score_summary(scored, list(scorers.OUTPUT_SCORERS)), "mean")
 

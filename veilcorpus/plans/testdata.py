@@ -99,8 +99,8 @@ def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def situations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`category, idx, situation`: user turns as situations, spread over the four categories."""
-    turns = table(spark, sf_dir, "conversations").filter("role = 'user'")
+    """`category, idx, situation`: turns as situations, spread over the four categories."""
+    turns = table(spark, sf_dir, "conversations")
     idx = (F.col("conv_id") * 1_000_000 + F.col("turn")).cast("bigint")
     names = F.array(*[F.lit(c) for c in SYNTHETIC_CATEGORIES])
     return turns.select(

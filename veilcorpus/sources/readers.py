@@ -98,28 +98,30 @@ def spec_tables(spark: SparkSession, spec: Mapping[str, Any]) -> tuple[DataFrame
     )
 
 
-def load_spec(path: str) -> dict:
+def load_spec(spark: SparkSession, path: str) -> dict:
     """A spec file; JSON always works, YAML where a YAML parser is installed."""
     import json
 
-    with open(path, encoding="utf-8") as f:
-        if path.endswith(".json"):
-            return json.load(f)
-        try:
-            import yaml
-        except ImportError as exc:
-            raise ImportError("reading a YAML spec needs PyYAML; use a JSON spec instead") from exc
-        return yaml.safe_load(f)
+    (row,) = spark.read.text(path, wholetext=True).collect()  # one small file
+    if path.endswith(".json"):
+        return json.loads(row["value"])
+    try:
+        import yaml
+    except ImportError as exc:
+        raise ImportError("reading a YAML spec needs PyYAML; use a JSON spec instead") from exc
+    return yaml.safe_load(row["value"])
 
 
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
     """`prompt_id, prompt`: one prompt per line, trimmed, blank lines dropped.
 
-    The id comes from the text, so it is the same in every run; a repeated line keeps one row.
+    Repeated lines all stay. The id is a 128-bit hash of the text and the number of its copy,
+    so it is the same in every run and distinct for every row.
     """
     prompts = spark.read.text(path).select(strip(F.col("value")).alias("prompt"))
-    kept = prompts.filter(F.col("prompt") != "").distinct()
-    return kept.select(F.xxhash64("prompt").alias("prompt_id"), "prompt")
+    counted = prompts.filter(F.col("prompt") != "").groupBy("prompt").agg(F.count(F.lit(1)).alias("n"))
+    each = counted.select("prompt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("copy"))
+    return each.select(F.md5(F.concat_ws(":", F.col("copy").cast("string"), "prompt")).alias("prompt_id"), "prompt")
 
 
 def read_audio_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -128,13 +130,17 @@ def read_audio_rows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_audio_folder(spark: SparkSession, folder: str, transcripts: DataFrame) -> DataFrame:
-    """Audio files of a folder joined to `(path, transcription)` rows on the file name."""
-    files = spark.read.format("binaryFile").load(folder).select(
-        F.regexp_extract("path", "[^/]+$", 0).alias("file_name"),
-        F.struct(F.col("content").alias("bytes"), F.col("path").alias("path")).alias("audio"),
-    )
-    named = transcripts.select(F.regexp_extract("path", "[^/]+$", 0).alias("file_name"), "transcription")
-    return named.join(files, "file_name").select("transcription", "audio")
+    """Rows `(path, transcription)` with the file that each path names below `folder`.
+
+    `status` is `ok`, or `missing` for a transcript whose file is not there.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder).toUri().getPath().rstrip("/") + "/"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    below = F.expr(f"substring(path, locate('{root}', path) + {len(root)})")
+    files = files.select(below.alias("_name"), F.struct(F.col("content").alias("bytes"), F.col("path").alias("path")).alias("audio"))
+    named = transcripts.select(F.regexp_replace("path", "^(\\./)+", "").alias("_name"), "transcription")
+    status = F.when(F.col("audio").isNull(), "missing").otherwise("ok")
+    return named.join(files, "_name", "left").select("transcription", "audio", status.alias("status"))
 
 
 def read_splits(spark: SparkSession, root: str, names: Iterable[str] = ("train", "validation", "test")) -> dict[str, DataFrame]:
