@@ -112,3 +112,19 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     same = b[0][at] == a[0]
     low = int(np.minimum(a[1], b[1][at])[same].sum())
     return low / (int(a[1].sum()) + int(b[1].sum()) - low)
+
+
+def parity_maps(sets: list[tuple[np.ndarray, np.ndarray]], words: int) -> np.ndarray:
+    """A bit map of 64 * `words` bits for each set: every unit of weight flips one bit.
+
+    Two maps differ in at most as many bits as the sets differ in units of weight, which
+    bounds their similarity from above without any chance of error.
+    """
+    out = np.zeros((len(sets), words), np.int64)
+    for row, (element, weight) in zip(out, sets):
+        unit = np.repeat(element, weight)
+        nth = np.arange(len(unit)) - np.repeat(np.cumsum(weight) - weight, weight)
+        place = mix(unit + nth.astype(np.uint64) * np.uint64(0xA24BAED4963EE407)) % np.uint64(64 * words)
+        odd = (np.bincount(place.astype(np.int64), minlength=64 * words) & 1).astype(np.uint8)
+        row[:] = np.packbits(odd, bitorder="little").view(np.int64)
+    return out

@@ -1,42 +1,48 @@
 """Near-duplicate classes: DartMinHash bands give candidates, exact weighted Jaccard decides.
 
-A node is one distinct text. Nodes that share a band hash meet in a bucket. A bucket never
-emits all its pairs: in each round it compares its nodes with a few pivots and then drops
-the pivots; it is done when all nodes left belong to one class. Rounds take 1, 4, 16, ...
-pivots, from the bucket's rarest classes first, so a large group of copies with some
-strangers is done after the strangers were pivots. No link inside a bucket is skipped: it is
-compared, or it joins nodes already in one class, or one side's weight rules it out.
+A node is one distinct text. Nodes that share a band hash meet in a bucket, and no bucket
+emits all its pairs. First each is compared with one pivot of its bucket, and the links
+found are joined into classes. Then every bucket that still holds two classes compares the
+nodes outside its largest class with all others; pairs of one class are passed over, and
+so are pairs whose weights or parity maps prove that they can't be alike. So a large group
+of copies costs one comparison a node, and no link between two classes is lost: a pair in a
+bucket is compared, or already in one class, or ruled out by an exact bound.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from veilcorpus.llm.dart_minhash import DartSketch, band_hashes, weighted_jaccard, weighted_sets
+from veilcorpus.llm.batches import small_batches
+from veilcorpus.llm.dart_minhash import DartSketch, band_hashes, parity_maps, weighted_jaccard, weighted_sets
 from veilcorpus.llm.shingles import Shingler
 from veilcorpus.session import materialize
 
 BANDS, ROWS = 30, 5  # a pair of similarity 0.8 shares no band with a chance of (1 - 0.8^5)^30 = 7e-6
 GROUP = 64
+MAP_WORDS = 8
+MAPS = [f"m{i}" for i in range(MAP_WORDS)]
+PACK = 256
 
 
 def _signer(size: int, bands: int, rows: int):
-    @F.pandas_udf("weight bigint, bands array<bigint>")
+    @F.pandas_udf("weight bigint, bands array<bigint>, map array<bigint>")
     def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         shingler, sketch = Shingler(size), DartSketch(bands * rows)
         for batch in batches:
             texts = list(batch)
-            out: list[tuple[int, list[int]]] = []
+            out: list[tuple] = []
             for i in range(0, len(texts), GROUP):
                 sets = weighted_sets(shingler, texts[i : i + GROUP])
                 full = [s for s in sets if len(s[0])]
                 found = iter(band_hashes(sketch.sketch(full), bands) if full else ())
-                out += [(int(s[1].sum()), next(found)) if len(s[0]) else (0, []) for s in sets]
-            yield pd.DataFrame(out, columns=["weight", "bands"])
+                maps = parity_maps(sets, MAP_WORDS)
+                out += [(int(s[1].sum()), next(found) if len(s[0]) else [], m) for s, m in zip(sets, maps)]
+            yield pd.DataFrame(out, columns=["weight", "bands", "map"])
 
     return sign
 
@@ -84,35 +90,53 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _pairs(members: DataFrame, pivots: int, least: float) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs `(a, b)` of this round and the members `(bucket, node, weight, comp)` left after it."""
-    sizes = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-    ranked = members.join(sizes, ["bucket", "comp"])
-    order = Window.partitionBy("bucket").orderBy("n", "comp", "node")
-    chosen = ranked.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= pivots)
-    chosen = materialize(
-        chosen.select("bucket", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("weight").alias("wa"), "r")
-    )
-    # The pivots of a bucket in one row: a bounded array, so the join makes one row a member.
-    packed = chosen.groupBy("bucket").agg(F.collect_list(F.struct("a", "ca", "wa", "r")).alias("pivots"))
-    met = members.join(packed, "bucket")
-    fits = F.filter(
-        "pivots",
-        lambda p: (p["a"] != F.col("node"))
-        & (p["ca"] != F.col("comp"))
-        & (F.least(p["wa"], F.col("weight")) >= F.lit(least) * F.greatest(p["wa"], F.col("weight"))),
-    )
-    pairs = met.select("node", F.explode(fits).alias("p")).select(
-        F.least("node", F.col("p.a")).alias("a"), F.greatest("node", F.col("p.a")).alias("b")
-    )
-    left = met.filter(~F.exists("pivots", lambda p: p["a"] == F.col("node"))).select("bucket", "node", "weight", "comp")
-    return pairs.distinct(), left
+def _may_be_alike(a: Callable[[str], Column], b: Callable[[str], Column], least: float) -> Column:
+    """False only if two nodes can't reach the similarity `least`: by the difference of weights, or of maps."""
+    both = a("weight") + b("weight")
+    differs = F.bit_count(a("m0").bitwiseXOR(b("m0")))
+    for m in MAPS[1:]:
+        differs = differs + F.bit_count(a(m).bitwiseXOR(b(m)))
+    room = F.lit(1 - least) * both + F.lit(1e-6)
+    return (F.lit(1 + least) * F.abs(a("weight") - b("weight")) <= room) & (F.lit(1 + least) * differs <= room)
+
 
+def _ordered(a: Column, b: Column) -> tuple[Column, Column]:
+    return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
-def _mixed(members: DataFrame) -> DataFrame:
-    """Members of the buckets that still hold nodes of two classes or more."""
-    open_ = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    return members.join(open_.select("bucket"), "bucket", "left_semi")
+
+def _pivot_pairs(members: DataFrame, least: float) -> DataFrame:
+    """Each member of a bucket with the bucket's smallest node."""
+    pivots = members.groupBy("bucket").agg(F.min("node").alias("node"))
+    pivots = members.join(pivots, ["bucket", "node"]).select("bucket", *[F.col(c).alias(f"p_{c}") for c in ("node", "weight", *MAPS)])
+    met = members.join(pivots, "bucket").filter(F.col("node") != F.col("p_node"))
+    return met.filter(_may_be_alike(F.col, lambda c: F.col(f"p_{c}"), least)).select(*_ordered(F.col("node"), F.col("p_node"))).distinct()
+
+
+def _rest_pairs(members: DataFrame, least: float) -> DataFrame:
+    """Pairs of different classes within a bucket that may be alike; `members` has `comp`.
+
+    The nodes outside a bucket's largest class are packed into rows of at most PACK, and
+    each member goes through the rows of its bucket. The largest class is only told apart to
+    save work, so any one of equals will do.
+    """
+    sizes = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("classes"))
+    mixed = members.join(largest.filter("classes > 1").select("bucket", "main"), "bucket")
+    outside = mixed.filter("comp <> main")
+    # Packs are dealt by hash, so their number follows from the bucket's number of outsiders.
+    packs = outside.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / PACK).alias("packs"))
+    dealt = outside.join(packs, "bucket").withColumn("pack", F.pmod(F.xxhash64("node"), F.col("packs")))
+    packed = dealt.groupBy("bucket", "pack").agg(F.collect_list(F.struct("node", "comp", "weight", *MAPS)).alias("others"))
+    met = mixed.join(packed.drop("pack"), "bucket")
+    # Two outsiders meet twice; the pair is kept where the other is the smaller node.
+    wanted = F.filter(
+        "others",
+        lambda o: (o["comp"] != F.col("comp"))
+        & ((F.col("comp") == F.col("main")) | (o["node"] < F.col("node")))
+        & _may_be_alike(F.col, lambda c: o[c], least),
+    )
+    found = met.select("node", F.explode(F.transform(wanted, lambda o: o["node"])).alias("other"))
+    return found.select(*_ordered(F.col("node"), F.col("other"))).distinct()
 
 
 def near_copy_classes(
@@ -130,25 +154,27 @@ def near_copy_classes(
     Texts are alike when the weighted Jaccard similarity of their `size`-word shingles
     (weight: how often a shingle occurs) is at least `least`; a class is a connected set.
     `class_id` is the smallest id in the class, `class_docs` its number of rows, and `first`
-    marks the row that has this id. Equal texts are always one class, and so are texts
+    marks the row that has this id; if several texts do, the one of smallest digest. Equal texts are always one class, and so are texts
     without any word if they are equal. A null text is a class of its own, with digest null
     and its own id. Rows with equal id and text stay separate rows, each marked first if one
     is. Extra columns are not read.
     """
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     present = source.filter(F.col("text").isNotNull()).withColumn("digest", F.md5("text"))
     signed = materialize(
-        present.withColumn("s", _signer(size, bands, rows)("text")).select("doc_id", "digest", "s.weight", "s.bands")
+        present.withColumn("s", _signer(size, bands, rows)("text")).select("doc_id", "digest", "s.weight", "s.bands", "s.map")
     )
     # Written, so that the numbers stay as they are.
     nodes = materialize(
         signed.groupBy("digest")
-        .agg(F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n"))
+        .agg(F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.first("map").alias("map"), F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n"))
         .withColumn("node", F.monotonically_increasing_id())
     )
-    entries = nodes.select("node", "weight", F.explode("bands").alias("bucket"))
+    entries = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    members = materialize(entries.join(shared, "bucket").select("bucket", "node", "weight", F.col("node").alias("comp")))
+    maps = nodes.select("node", "weight", *[F.col("map")[i].alias(m) for i, m in enumerate(MAPS)])
+    members = materialize(entries.join(shared, "bucket").join(maps, "node"))
 
     wanted = members.select("node").distinct().join(nodes.select("node", "digest", "low"), "node")
     texts = materialize(
@@ -159,24 +185,26 @@ def near_copy_classes(
         .select("node", "text")
     )
     compare = _comparer(size)
-    labels, links, tested, pivots = nodes.select("node", F.col("node").alias("comp")), None, None, 1
-    while not members.isEmpty():
-        pairs, left = _pairs(members, pivots, least)
-        pairs = materialize(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        left = materialize(left)
+
+    def linked(pairs: DataFrame) -> DataFrame:
         met = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-        new = materialize(met.withColumn("similarity", compare("text_a", "text_b")).filter(F.col("similarity") >= least).select("a", "b"))
-        if not new.isEmpty():
-            links = new if links is None else links.unionByName(new)
-            labels = components(nodes, links)
-            left = left.drop("comp").join(labels, "node")
-        members = materialize(_mixed(left.select("bucket", "node", "weight", "comp")))
-        pivots *= 4
+        return materialize(met.withColumn("similarity", compare("text_a", "text_b")).filter(F.col("similarity") >= least).select("a", "b"))
+
+    tried = materialize(_pivot_pairs(members, least))
+    links = linked(tried)
+    labels = components(nodes, links)
+    rest = materialize(_rest_pairs(members.join(labels, "node"), least).join(tried, ["a", "b"], "left_anti"))
+    more = linked(rest)
+    if not more.isEmpty():
+        labels = components(nodes, links.unionByName(more))
 
     classes = nodes.select("node", "digest", "low", "n").join(labels, "node")
-    totals = classes.groupBy("comp").agg(F.min("low").alias("class_id"), F.sum("n").alias("class_docs"))
-    named = classes.join(totals, "comp").select("digest", "class_id", "class_docs", F.col("low").eqNullSafe(F.col("class_id")).alias("holds"))
+    # The node with the smallest id stands for its class; null ids come last, and equal ids go by the text's digest.
+    stands = F.min(F.struct(F.col("low").isNull(), "low", "digest")).alias("stands")
+    totals = classes.groupBy("comp").agg(stands, F.sum("n").alias("class_docs"))
+    named = classes.join(totals, "comp").select(
+        "digest", F.col("stands.low").alias("class_id"), "class_docs", (F.col("digest") == F.col("stands.digest")).alias("holds")
+    )
     known = signed.select("doc_id", "digest").join(named, "digest")
     known = known.select(
         "doc_id", "digest", "class_id", "class_docs", (F.col("holds") & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("first")
@@ -185,3 +213,19 @@ def near_copy_classes(
         "doc_id", F.lit(None).cast("string").alias("digest"), F.col("doc_id").alias("class_id"), F.lit(1).cast("bigint").alias("class_docs"), F.lit(True).alias("first")
     )
     return known.unionByName(alone)
+
+
+def one_of_each_class(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of `docs` that stand for their class (see `near_copy_classes`), with all their columns.
+
+    Of rows with equal id and text one stays. Null texts stay.
+    """
+    classes = near_copy_classes(docs, doc_id=doc_id, text=text, **options)
+    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    stay = classes.filter("first AND digest IS NOT NULL").select(F.col("digest").alias("_near_digest"), key("doc_id").alias("_near_key"))
+    present = docs.filter(F.col(text).isNotNull()).withColumns({"_near_digest": F.md5(text), "_near_key": key(doc_id)})
+    both = ["_near_digest", "_near_key"]
+    kept = present.join(stay.distinct(), both, "left_semi")
+    # The same keys again, so the join's partitioning serves.
+    first = kept.withColumn("_near_nth", F.row_number().over(Window.partitionBy(*both).orderBy(*both))).filter("_near_nth = 1")
+    return first.drop(*both, "_near_nth").unionByName(docs.filter(F.col(text).isNull()))
