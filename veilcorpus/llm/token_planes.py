@@ -13,6 +13,7 @@ stream. Spark's committer writes both, so a task that runs twice leaves one copy
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -22,11 +23,20 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from veilcorpus.llm.batches import small_batches
+
 BLOCK_IDS = 1 << 14
 CHUNK_IDS = 1 << 17
 LEVEL = 3
 UNITS = ("byte", "bit")
-ODD_BLANK = re.compile(r"(?:^|\s) | (?:\s|$)")  # a blank at either end of the text or beside other white space
+OTHER_SPACE = re.compile(r"[^\S \n]")
+
+
+def has_odd_blank(text: str) -> bool:
+    """Whether a blank may stand at an end or beside other white space; true as well for any rarer white space."""
+    return (
+        text[:1] == " " or text[-1:] == " " or "  " in text or " \n" in text or "\n " in text or OTHER_SPACE.search(text) is not None
+    )
 
 CHUNK_TYPE = (
     "shard int, chunk bigint, shard_start bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, "
@@ -62,28 +72,54 @@ def from_planes(planes: list[bytes], n: int, unit: str = "byte") -> np.ndarray:
 class WordCache:
     """Encodes texts with a byte-level BPE tokenizer, each distinct word once.
 
-    Such a tokenizer cuts a text before every space that stands between two other
-    characters, and never merges across a cut; so the ids of a text are the ids of its
-    pieces in turn. White space that is not a single blank stays inside a piece. The cache is
-    emptied when it holds `most` pieces, which bounds memory and changes no result.
+    Such a tokenizer cuts a text before every blank that stands between two characters that
+    are no white space, and never merges across a cut; so the ids of a text are those of its
+    pieces in turn. Other white space stays inside a piece. Unknown words go to the tokenizer
+    many at a time, joined by their blanks, and are told apart by the lengths of the tokens.
+    The cache is emptied when it holds `most` words, which bounds memory and changes no result.
     """
 
-    def __init__(self, tokenizer_path: str, most: int = 300_000):
+    def __init__(self, tokenizer_path: str, most: int = 400_000):
+        # Spark runs a task on each core already; more threads in it would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True
+        # In the vocabulary's spelling each character stands for one byte.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.length = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.length[number] = len(token)
         self.most = most
-        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # a word that follows a blank, without it
+        self.pieces: dict[str, bytes] = {}  # anything else, as it is
+
+    def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for i in range(0, len(texts), 64):
+            for found in self.tokenizer.encode_batch_fast(texts[i : i + 64], add_special_tokens=False):
+                yield np.array(found.ids, "<u4")
+
+    def _learn_words(self, words: list[str]) -> None:
+        groups = [words[i : i + 256] for i in range(0, len(words), 256)]
+        for group, ids in zip(groups, self._encode([" " + " ".join(g) for g in groups])):
+            word_ends = np.cumsum([len(w.encode()) + 1 for w in group])
+            cuts = np.searchsorted(np.cumsum(self.length[ids]), word_ends) + 1
+            start = 0
+            for word, end in zip(group, cuts.tolist()):
+                self.words[word] = ids[start:end].tobytes()
+                start = end
+
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        for piece, ids in zip(pieces, self._encode(pieces)):
+            self.pieces[piece] = ids.tobytes()
 
     @staticmethod
-    def pieces(text: str) -> list[str]:
-        """Cut before each blank that has another character than white space on both sides."""
-        parts = text.split(" ")
-        if not ODD_BLANK.search(text):
-            return [parts[0], *[" " + part for part in parts[1:]]]
-        out = [parts[0]]
-        for part in parts[1:]:
+    def odd_pieces(text: str) -> list[str]:
+        """Pieces of a text in which a blank stands beside other white space or at an end."""
+        first, *parts = text.split(" ")
+        out = [first]
+        for part in parts:
             if part and not part[0].isspace() and out[-1] and not out[-1][-1].isspace():
                 out.append(" " + part)
             else:
@@ -91,18 +127,27 @@ class WordCache:
         return out
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Ids of each text; a batch's unknown pieces are encoded together first."""
-        cut = [self.pieces(t) for t in texts]
-        needed = set().union(*cut)
-        missing = needed.difference(self.known)
-        if len(self.known) + len(missing) > self.most:
-            self.known.clear()
-            missing = needed
-        learn = sorted(missing)
-        for piece, found in zip(learn, self.tokenizer.encode_batch_fast(learn, add_special_tokens=False)):
-            self.known[piece] = np.array(found.ids, "<u4").tobytes()
-        for own in cut:
-            yield np.frombuffer(b"".join(map(self.known.__getitem__, own)), "<u4")
+        """Ids of each text in turn."""
+        cut: list[tuple[list[str], list[str], str]] = []  # pieces, then words, then a last piece
+        for text in texts:
+            if has_odd_blank(text):
+                cut.append((self.odd_pieces(text), [], ""))
+                continue
+            first, *words = text.split(" ")
+            last = " " + words.pop() if words and words[-1][-1].isspace() else ""
+            cut.append(([first], words, last))
+        words = set().union(*[c[1] for c in cut])
+        pieces = set().union(*[c[0] for c in cut], [c[2] for c in cut])
+        new_words, new_pieces = words.difference(self.words), pieces.difference(self.pieces)
+        if len(self.words) + len(self.pieces) + len(new_words) + len(new_pieces) > self.most:
+            self.words.clear()
+            self.pieces.clear()
+            new_words, new_pieces = words, pieces
+        self._learn_words(sorted(new_words))
+        self._learn_pieces(sorted(new_pieces))
+        word, piece = self.words.__getitem__, self.pieces.__getitem__
+        for head, body, tail in cut:
+            yield np.frombuffer(b"".join([*map(piece, head), *map(word, body), piece(tail)]), "<u4")
 
 
 def _chunk_writer(encoder: Callable[[], WordCache], end_id: int, unit: str, block_ids: int, chunk_ids: int, texts_at_once: int):
@@ -151,7 +196,7 @@ def write_token_planes(
     unit: str = "byte",
     block_ids: int = BLOCK_IDS,
     chunk_ids: int = CHUNK_IDS,
-    texts_at_once: int = 500,
+    texts_at_once: int = 300,
 ) -> None:
     """Encode every text, add `end_id` after each, and write the ids in ascending `doc_id` order.
 
@@ -164,6 +209,7 @@ def write_token_planes(
     if unit not in UNITS:
         raise ValueError(f"unit must be one of {UNITS}")
     spark = docs.sparkSession
+    small_batches(spark)
     keyed = docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.crc32(F.col(text)).alias("tie")
     )
