@@ -18,10 +18,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from veilcorpus.llm.batches import small_batches
 from veilcorpus.llm.shingles import mix
 
 BLANK = "▁"  # stands for a space inside pieces
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 400_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 PREFIX = np.array([0x20], np.uint32)
 
@@ -233,22 +234,27 @@ class Vocabulary:
         return b"".join(map(self.surface.__getitem__, ids.tolist())).decode(errors="replace")[1:]
 
 
-def sampled_pieces(text: Column, row_key: Column, model_path: str, *, seed: int = 0, temperature: float = 1.0, ranked: bool = True) -> Column:
-    """Ids of a segmentation of `text`, drawn by `row_key` and `seed`. Null gives null, empty text no id.
+def sampled_pieces(
+    text: Column, row_key: Column, model_path: str, *, seed: int = 0, temperature: float = 1.0, ranked: bool = True
+) -> Column:
+    """A struct `ids, restored`: a segmentation of `text` drawn by `row_key` and `seed`, and whether decoding gives the text back.
 
-    Rows with equal key and text get equal ids; a null key is a key like any other.
+    Null text gives null ids and counts as restored; empty text has no id. Rows with equal
+    key and text get equal ids; a null key is a key like any other.
     """
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.pandas_udf("ids array<int>, restored boolean")
+    def encode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         vocabulary = Vocabulary(model_path, temperature, ranked)
         for texts, keys in batches:
             there = texts.notna().to_numpy()
-            found = list(vocabulary.encode(list(texts[there]), keys.to_numpy()[there].astype(np.int64).view(np.uint64)))
-            out = np.full(len(texts), None, object)
-            for i, ids in zip(np.flatnonzero(there), found):
-                out[i] = ids
-            yield pd.Series(out)
+            own = list(texts[there])
+            found = vocabulary.encode(own, keys.to_numpy()[there].astype(np.int64).view(np.uint64))
+            ids = np.full(len(texts), None, object)
+            back = np.ones(len(texts), bool)
+            for i, text, coded in zip(np.flatnonzero(there), own, found):
+                ids[i], back[i] = coded, vocabulary.decode(coded) == text
+            yield pd.DataFrame({"ids": ids, "restored": back})
 
     return encode(text, F.xxhash64(F.lit(seed), row_key.cast("string")))
 
@@ -265,11 +271,12 @@ def restored_text(ids: Column, model_path: str) -> Column:
     return decode(ids)
 
 
-def encode_and_restore(docs: DataFrame, model_path: str, *, doc_id: str = "doc_id", text: str = "text", ids: str = "ids", **options) -> DataFrame:
+def encode_and_restore(docs: DataFrame, model_path: str, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Add `ids`, `n_ids` and `lossless`: whether decoding the ids gives the text back.
 
-    Columns of these names are replaced, others are kept. Null text: null ids, no id, lossless.
+    Columns of these names are replaced, others are kept. Null text: null ids, 0 of them, lossless.
     """
-    coded = docs.withColumn(ids, sampled_pieces(F.col(text), F.col(doc_id), model_path, **options))
-    back = restored_text(F.col(ids), model_path)
-    return coded.withColumns({"n_ids": F.coalesce(F.size(ids), F.lit(0)).cast("bigint"), "lossless": back.eqNullSafe(F.col(text))})
+    small_batches(docs.sparkSession)
+    coded = docs.withColumn("lossless", sampled_pieces(F.col(text), F.col(doc_id), model_path, **options))
+    ids = F.col("lossless")["ids"]
+    return coded.withColumns({"ids": ids, "n_ids": F.coalesce(F.size(ids), F.lit(0)).cast("bigint"), "lossless": F.col("lossless")["restored"]})
