@@ -114,7 +114,7 @@ def test_section_counts_on_odd_rows(spark):
     totals = out.groupBy("doc_id").agg(F.sum("n_tokens").alias("n"), F.first("doc_tokens").alias("t"), F.count("*").alias("rows")).collect()
     assert {r["doc_id"]: r["rows"] for r in totals} == {1: 4, None: 2000, 5: 1}
     given = section_token_counts(df.filter("doc_id = 5"), RANKS, PATTERN, sections=F.col("start")).collect()
-    assert [(r["section"], r["n_tokens"]) for r in given] == [(0, 1.0), (1, 0.0), (2, 0.0), (3, 0.0), (-1, 1.0)]
+    assert [(r["section"], r["n_tokens"]) for r in given] == [(0, 2.0), (1, 0.0), (2, 0.0), (3, 0.0), (-1, 1.0)]
     assert section_token_counts(df.limit(0), RANKS, PATTERN).count() == 0
     with pytest.raises(ValueError):
         section_token_counts(df, RANKS, PATTERN, rule="guess")

@@ -143,7 +143,7 @@ def references(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> Da
         common = sorted((w for w, n in own.items() if n >= COMMON_SHARE * total[key]), key=lambda w: (-own[w], w))
         part = [own[w] / total[key] for w in common]
         chars = [sum(r[f"c{i}"] or 0 for r in classes if key is None or r["ref"] == key) for i in range(len(NOT_IN_CLASS) + 1)]
-        rows.append((key, common, [*part, max(0.0, 1 - sum(part))], [c / max(1, sum(chars)) for c in chars]))
+        rows.append((key, common, [*part, max(0.0, 1.0 - sum(part))], [c / max(1, sum(chars)) for c in chars]))
     return spark.createDataFrame(rows, "ref string, words array<string>, word_shares array<double>, class_shares array<double>")
 
 
