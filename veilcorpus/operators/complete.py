@@ -6,8 +6,10 @@ inside a partition a bounded thread pool keeps several requests in flight.
 
 from __future__ import annotations
 
+import queue
+import threading
 import time
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -24,20 +26,18 @@ from veilcorpus.session import materialize
 
 
 @dataclass(frozen=True)
-class Settings:
-    """Request settings handed to the completer, and the retry policy."""
+class CallPolicy:
+    """How requests are sent. `options` goes to the completer as it is; the engine never looks into it."""
 
-    model: str = "offline"
-    provider: str = "auto"
-    max_tokens: int = 512
-    temperature: float = 0.7
-    top_p: float = 0.9
-    seed: int | None = None
-    stop: tuple[str, ...] = ()
-    max_retries: int = 3
-    retry_delay: float = 1.0
-    timeout: float = 60.0
+    attempts: int = 3
+    first_wait_s: float = 1.0  # before the second attempt; doubled before each further one
+    deadline_s: float | None = None  # for one attempt
     in_flight: int = 8
+    options: Mapping[str, object] = field(default_factory=dict)
+
+    def waits(self) -> list[float]:
+        """Seconds to wait before each attempt."""
+        return [0.0] * min(1, self.attempts) + [self.first_wait_s * 2**i for i in range(self.attempts - 1)]
 
 
 @dataclass
@@ -45,63 +45,72 @@ class Answer:
     content: str
     prompt_tokens: int = 0
     completion_tokens: int = 0
-    model: str | None = None
-    extra: dict = field(default_factory=dict)
+    model: str = "offline"
+    provider: str = "auto"
 
 
-# Called once per partition; gives the function that answers one request.
-Completer = Callable[[list[dict], Settings], Answer]
-CompleterFactory = Callable[[Settings], Completer]
+Completer = Callable[[list[dict]], Answer]
+# Called once per partition with the policy's options; gives the function that answers one request.
+CompleterFactory = Callable[[Mapping[str, object]], Completer]
 
 
-def echo_completer(settings: Settings) -> Completer:
+def echo_completer(options: Mapping[str, object]) -> Completer:
     """Offline stand-in: answers with the last user turn, so results can be checked."""
 
-    def complete(messages: list[dict], settings: Settings) -> Answer:
+    def complete(messages: list[dict]) -> Answer:
         last = [m["content"] for m in messages if m["role"] == "user"][-1]
         prompt = sum(len((m["content"] or "").split()) for m in messages)
-        return Answer(last, prompt, len(last.split()), settings.model)
+        return Answer(last, prompt, len(last.split()))
 
     return complete
 
 
-def _with_retries(complete: Completer, messages: list[dict], settings: Settings) -> dict:
-    """One request with exponential back-off. A failure is a value, never an exception."""
-    delay, error = settings.retry_delay, "no attempt was made"
-    for attempt in range(settings.max_retries):
-        started = time.monotonic()
+def _within(seconds: float | None, complete: Completer, messages: list[dict]) -> Answer:
+    """The answer, or TimeoutError. A call that hangs is left behind in a thread of its own."""
+    if seconds is None:
+        return complete(messages)
+    done: queue.SimpleQueue = queue.SimpleQueue()
+
+    def call() -> None:
+        try:
+            done.put((complete(messages), None))
+        except Exception as fault:
+            done.put((None, fault))
+
+    threading.Thread(target=call, daemon=True).start()
+    try:
+        answer, fault = done.get(timeout=seconds)
+    except queue.Empty:
+        raise TimeoutError(f"no answer within {seconds} s") from None
+    if fault is not None:
+        raise fault
+    return answer
+
+
+def ask(complete: Completer, messages: list[dict], policy: CallPolicy) -> dict:
+    """One row of completion columns. Whatever a request raises becomes its `error`; the batch goes on."""
+    row = dict.fromkeys(("content", "model", "provider", "usage", "latency_s", "error"))
+    problem = "none was made"
+    for wait in policy.waits():
+        time.sleep(wait)
+        began = time.monotonic()
         try:
-            answer = complete(messages, settings)
-            return {
-                "content": answer.content or "",
-                "model": answer.model or settings.model,
-                "provider": settings.provider,
-                "usage": {
-                    "prompt_tokens": answer.prompt_tokens or 0,
-                    "completion_tokens": answer.completion_tokens or 0,
-                },
-                "latency_s": time.monotonic() - started,
-                "error": None,
-            }
-        except Exception as exc:  # the batch goes on, whatever one request raises
-            error = f"{type(exc).__name__}: {exc}"
-            if attempt + 1 < settings.max_retries:
-                time.sleep(delay)
-                delay *= 2
-    return {
-        "content": None,
-        "model": settings.model,
-        "provider": settings.provider,
-        "usage": None,
-        "latency_s": None,
-        "error": f"all {settings.max_retries} attempts failed: {error}",
-    }
+            answer = _within(policy.deadline_s, complete, messages)
+        except Exception as fault:
+            problem = f"{type(fault).__name__}: {fault}"
+            continue
+        tokens = {"prompt_tokens": answer.prompt_tokens or 0, "completion_tokens": answer.completion_tokens or 0}
+        return row | {
+            "content": answer.content or "", "model": answer.model, "provider": answer.provider,
+            "usage": tokens, "latency_s": time.monotonic() - began,
+        }
+    return row | {"error": f"{policy.attempts} attempts failed, last: {problem}"}
 
 
 def complete_table(
     df: DataFrame,
     factory: CompleterFactory = echo_completer,
-    settings: Settings = Settings(),
+    policy: CallPolicy = CallPolicy(),
     messages: str = "messages",
     partitions: int | None = None,
 ) -> DataFrame:
@@ -116,11 +125,11 @@ def complete_table(
     schema = T.StructType(df.schema.fields + extra.fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        complete = factory(settings)
-        with ThreadPoolExecutor(max_workers=settings.in_flight) as pool:
+        complete = factory(policy.options)
+        with ThreadPoolExecutor(max_workers=policy.in_flight) as pool:
             for batch in batches:
                 requests = [[dict(m) for m in ms] for ms in batch[messages]]
-                answers = pool.map(lambda ms: _with_retries(complete, ms, settings), requests)
+                answers = pool.map(lambda ms: ask(complete, ms, policy), requests)
                 columns = pd.DataFrame(list(answers), columns=extra.names, index=batch.index)
                 yield pd.concat([batch, columns], axis=1)
 
@@ -150,7 +159,7 @@ def usage_totals(completions: DataFrame) -> DataFrame:
 def generate_and_validate(
     tasks: DataFrame,
     factory: CompleterFactory = echo_completer,
-    settings: Settings = Settings(),
+    policy: CallPolicy = CallPolicy(),
     max_attempts: int = 2,
     partitions: int | None = None,
 ) -> DataFrame:
@@ -164,7 +173,7 @@ def generate_and_validate(
     columns = asked.columns
     finished: list[DataFrame] = []
     for attempt in range(1, max_attempts + 1):
-        answered = complete_table(asked, factory, settings, partitions=partitions)
+        answered = complete_table(asked, factory, policy, partitions=partitions)
         judged = materialize(judge(answered).withColumn("attempt", F.lit(attempt)))
         if attempt == max_attempts:
             finished.append(judged)
@@ -183,7 +192,7 @@ def accepted(judged: DataFrame) -> DataFrame:
     return judged.filter(F.col("status") == ACCEPTED)
 
 
-def value_pools(requests: DataFrame, factory: CompleterFactory, settings: Settings = Settings(),
+def value_pools(requests: DataFrame, factory: CompleterFactory, policy: CallPolicy = CallPolicy(),
                 compat: bool = False, allowed: Sequence[str] = POOLED_SUBTYPES) -> dict[str, list[str]]:
     """Value pools per subtype from one request each (`subtype, messages`).
 
@@ -193,7 +202,7 @@ def value_pools(requests: DataFrame, factory: CompleterFactory, settings: Settin
     bad = requests.groupBy("subtype").count().filter(~F.col("subtype").isin(*allowed) | F.col("subtype").isNull() | (F.col("count") > 1))
     if found := [r["subtype"] for r in bad.limit(5).collect()]:
         raise ValueError(f"unknown or repeated subtypes: {found}")
-    answers = complete_table(requests, factory, settings)
+    answers = complete_table(requests, factory, policy)
     pools = answers.filter("error is null").select(
         "subtype", clean_pool_lines(F.col("content"), compat).alias("pool")
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -548,10 +548,10 @@ def task_prompts(spark: SparkSession, sf: str) -> DataFrame:
     return _tasks(spark, sf).select("task_id", _messages_json(messages).alias("chat"))
 
 
-def lossy_echo(settings: complete.Settings) -> complete.Completer:
+def lossy_echo(options: Mapping[str, object]) -> complete.Completer:
     """Offline stand-in with faults: drops the digit 7, and fails on some lengths."""
 
-    def answer(messages: list[dict], settings: complete.Settings) -> complete.Answer:
+    def answer(messages: list[dict]) -> complete.Answer:
         prompt = messages[-1]["content"]
         if len(prompt) % 13 == 0:
             raise RuntimeError("no answer")
@@ -560,7 +560,7 @@ def lossy_echo(settings: complete.Settings) -> complete.Completer:
     return answer
 
 
-_ONE_TRY = complete.Settings(max_retries=1)
+_ONE_TRY = complete.CallPolicy(attempts=1)
 
 
 @query

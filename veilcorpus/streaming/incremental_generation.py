@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from veilcorpus import schema as S
-from veilcorpus.operators.complete import CompleterFactory, Settings, echo_completer, generate_and_validate
+from veilcorpus.operators.complete import CallPolicy, CompleterFactory, echo_completer, generate_and_validate
 from veilcorpus.operators.tasks import pending_tasks
 from veilcorpus.operators.validate import log_rows
 from veilcorpus.sources.readers import path_exists, read_generation_log
@@ -17,16 +17,16 @@ def generate_pending(
     tasks: DataFrame,
     log_path: str,
     factory: CompleterFactory = echo_completer,
-    settings: Settings = Settings(),
+    policy: CallPolicy = CallPolicy(),
     max_attempts: int = 2,
 ) -> DataFrame:
-    """One run: skip finished task ids, generate the rest, append what was accepted."""
+    """One run: skip finished and repeated task ids, generate the rest, append what was accepted."""
     spark = tasks.sparkSession
     if path_exists(spark, log_path):
         log = read_generation_log(spark, log_path)
     else:
         log = spark.createDataFrame([], S.GENERATION_LOG)
-    judged = generate_and_validate(pending_tasks(tasks, log), factory, settings, max_attempts)
+    judged = generate_and_validate(pending_tasks(tasks.dropDuplicates(["task_id"]), log), factory, policy, max_attempts)
     append_generation_log(log_rows(judged), log_path)
     return judged
 
@@ -36,7 +36,7 @@ def start_generation(
     log_path: str,
     checkpoint: str,
     factory: CompleterFactory = echo_completer,
-    settings: Settings = Settings(),
+    policy: CallPolicy = CallPolicy(),
     max_attempts: int = 2,
 ) -> StreamingQuery:
     """The same for a stream of task rows.
@@ -46,7 +46,7 @@ def start_generation(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        generate_pending(batch, log_path, factory, settings, max_attempts)
+        generate_pending(batch, log_path, factory, policy, max_attempts)
 
     writer = task_stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
