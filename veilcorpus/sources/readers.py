@@ -70,9 +70,10 @@ def read_generation_log(spark: SparkSession, path: str, strict: bool = False) ->
 
 def rejected_log_lines(spark: SparkSession, path: str) -> DataFrame:
     """The malformed lines that the lenient reader drops."""
-    reader = spark.read.schema(S.GENERATION_LOG + ", _corrupt STRING").option("mode", "PERMISSIVE")
-    lines = reader.option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    return lines.filter("_corrupt is not null").select("_corrupt")
+    # Spark refuses a query of a file's corrupt-record column alone, so the lines are parsed here.
+    held = F.from_json("value", S.GENERATION_LOG + ", _corrupt STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    return lines.filter(held.getField("_corrupt").isNotNull()).select(F.col("value").alias("_corrupt"))
 
 
 def spec_tables(spark: SparkSession, spec: Mapping[str, Any]) -> tuple[DataFrame, DataFrame]:
