@@ -63,7 +63,7 @@ class DartSketch:
         part = np.uint64((1 << PART_BITS) - 1)
         time = (dart >> np.uint64(64 - TIME_BITS)) * np.uint64(long) + np.uint64(low_t << TIME_BITS)
         counts = time < limit[at] * 2.0**TIME_BITS
-        if v:
+        if v or (weight < 1).any():
             height = ((dart >> np.uint64(PART_BITS)) & part) * (wide * 2.0**-PART_BITS) + low_w
             counts &= height < weight[at]
         at, dart, time = at[counts], dart[counts], time[counts]
