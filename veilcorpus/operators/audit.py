@@ -6,8 +6,7 @@ where a step logged no sample. All gates fail closed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
-
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def run_lookup(runs: DataFrame) -> DataFrame:
@@ -52,6 +51,24 @@ def run_candidates(runs: DataFrame, run_name: str) -> DataFrame:
     return runs.filter(F.col("run_name") == run_name).select("run_id", "run_name", "state")
 
 
+def flatten_summary(df: DataFrame, summary: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Long rows `(keys, metric, value)` of a nested struct or map, named `a/b` over any depth; nulls give no row."""
+
+    def entries(value: Column, kind: T.DataType, name: Column | None) -> Column:
+        def below(key: Column) -> Column:
+            return key if name is None else F.concat_ws("/", name, key)
+
+        if isinstance(kind, T.StructType):
+            return F.concat(*[entries(value.getField(f.name), f.dataType, below(F.lit(f.name))) for f in kind.fields])
+        if isinstance(kind, T.MapType):
+            pairs = F.coalesce(F.map_entries(value), F.array().cast(T.ArrayType(T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)]))))
+            return F.flatten(F.transform(pairs, lambda e: entries(e["value"], kind.valueType, below(e["key"].cast("string")))))
+        return F.array(F.struct(name.alias("metric"), value.cast("string").alias("value")))
+
+    found = F.filter(entries(F.col(summary), df.schema[summary].dataType, None), lambda e: e["value"].isNotNull())
+    return df.select(*keys, F.inline(found))
+
+
 def state_allowed(state: Column, allow_running: bool = False) -> Column:
     allowed = ["finished", "running"] if allow_running else ["finished"]
     return F.coalesce(state.isin(*allowed), F.lit(False))

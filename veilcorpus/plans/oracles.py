@@ -118,6 +118,31 @@ SQL["union_with_originals"] = (
     "(SELECT 'mixed' AS part, text FROM conversations UNION ALL SELECT 'original', text FROM documents) GROUP BY part"
 )
 
+_BUILT = {"email_address": "EMAIL", "phone_number": "TELEPHONENUM", "financial_info": "CREDITCARDNUMBER"}
+_BUILT_ROWS = (
+    "built AS (SELECT " + ", ".join(f"regexp_extract_all(text, {lit(DETECTORS[label][1])}) AS {c}" for c, label in _BUILT.items())
+    + ", []::VARCHAR[] AS human_name FROM documents WHERE lang = 'de' UNION ALL SELECT "
+    + ", ".join("[]::VARCHAR[]" for _ in _BUILT)
+    + ", [left(text, 4)] FROM documents WHERE lang = 'fr')"
+)
+SQL["corpus_build_profile"] = f"WITH {_BUILT_ROWS} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS category, count(*) AS total_rows, "
+    + (
+        f"coalesce(sum(len({c})), 0)::BIGINT AS entity_count, coalesce(sum((len({c}) > 0)::INT), 0)::BIGINT AS row_count, "
+        f"round(coalesce(avg((len({c}) > 0)::INT), 0) * 100, 9) AS coverage"
+        if c in _BUILT or c == "human_name"
+        else "0::BIGINT AS entity_count, 0::BIGINT AS row_count, 0.0::DOUBLE AS coverage"
+    )
+    + " FROM built"
+    for c in CATEGORIES
+)
+SQL["corpus_build_card"] = (
+    "WITH n AS (SELECT count(*) AS n FROM documents WHERE lang IN ('de', 'fr')), totals AS "
+    "(SELECT true AS originals, 2 * n AS total FROM n UNION ALL SELECT false, n FROM n), "
+    "cut AS (SELECT *, greatest(1, round_even(total * 0.05::DOUBLE, 0)::BIGINT) AS validation FROM totals) "
+    "SELECT originals, total - validation AS train, validation, total, total AS written FROM cut"
+)
+
 # --- Evaluation ---------------------------------------------------------------
 
 _CHANGED = {c: json_list(c) for c in FOUND}
@@ -650,6 +675,21 @@ SQL["run_failures"] = (
 SQL["system_report"] = (
     "SELECT user_id AS run_id, count(DISTINCT event_id) AS rows, max((event_type = 'click')::INT) = 1 AS has_gpu FROM events GROUP BY user_id"
 )
+SQL["summary_flatten"] = (
+    "SELECT event_id, 'meta/type' AS metric, event_type AS value FROM events WHERE event_type IS NOT NULL "
+    "UNION ALL SELECT event_id, 'meta/user/id', user_id::VARCHAR FROM events WHERE user_id IS NOT NULL "
+    "UNION ALL SELECT event_id, 'ids/event', event_id::VARCHAR FROM events WHERE event_id IS NOT NULL "
+    "UNION ALL SELECT event_id, 'ids/user', user_id::VARCHAR FROM events WHERE user_id IS NOT NULL"
+)
+_LAST_STATE = "CASE arg_max(event_type, event_id) WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'running' ELSE 'finished' END"
+_RUNS = f"r AS (SELECT user_id AS run_id, 'run ' || (count(*) % 40) AS run_name, {_LAST_STATE} AS state FROM events GROUP BY user_id)"
+SQL["run_candidates"] = f"WITH {_RUNS} SELECT run_id, run_name, state FROM r WHERE run_name = 'run 0'"
+SQL["run_found"] = f"WITH {_RUNS}, asked(asked, is_id) AS (VALUES ('1', true), ('-1', true), ('run 0', false), ('no such run', false)), " + (
+    "hits AS (SELECT asked, count(DISTINCT run_id) AS matches, min(run_id::VARCHAR) AS only_id FROM asked LEFT JOIN r "
+    "ON CASE WHEN is_id THEN run_id::VARCHAR = asked ELSE run_name = asked END GROUP BY asked) "
+    "SELECT asked, matches, CASE WHEN matches = 1 THEN only_id END AS run_id, "
+    "CASE matches WHEN 0 THEN 'missing' WHEN 1 THEN 'found' ELSE 'ambiguous' END AS status FROM hits"
+)
 SQL["gpu_metric_names"] = "SELECT DISTINCT 'gpu/' || user_id AS metric FROM events"
 SQL["summary_values"] = (
     "SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN json_extract_string(props, '$.k') END AS k FROM events"

@@ -12,7 +12,7 @@ from veilcorpus.functions import detect, jsonx, prompts, scorers, text as tx
 from veilcorpus.functions.entities import add_entities
 from veilcorpus.operators import audit, chat, compare, complete, evaluate, mix, profile, rank, split, tasks, validate
 from veilcorpus.operators.annotate import annotate_masked_text, is_hard_negative, labelled_entities, long_annotation
-from veilcorpus.plans import testdata as td
+from veilcorpus.plans import corpus_build, testdata as td
 from veilcorpus.session import materialize, shared_dir
 from veilcorpus.sources import readers, writers
 from veilcorpus.streaming.incremental_generation import start_generation
@@ -129,6 +129,43 @@ def union_with_originals(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _built_corpus(spark: SparkSession, sf: str) -> tuple[str, dict[str, str]]:
+    """Two normalised corpora on disk, from German and French documents, and a path where none is."""
+    folder = _fresh(spark, "build")
+    td.masked_documents(spark, sf).write.parquet(f"{folder}/raw_a")
+    docs = td.table(spark, sf, "documents").filter("lang = 'fr'")
+    typed = F.struct(F.left("text", F.lit(4)).alias("name"), F.lit("人名").alias("type"), F.lit(0).alias("span_start"), F.lit(4).alias("span_end"))
+    docs.select("text", F.array(typed).alias("entities")).write.parquet(f"{folder}/raw_b")
+    corpus_build.prepare_masked(spark, f"{folder}/raw_a", f"{folder}/a", language="de")
+    corpus_build.prepare_typed(spark, f"{folder}/raw_b", f"{folder}/b")
+    return folder, {"a": f"{folder}/a", "b": f"{folder}/b", "missing": f"{folder}/none"}
+
+
+@query
+def corpus_build_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Coverage of the normalised corpora, read back from where the build wrote them."""
+    _, paths = _built_corpus(spark, sf)
+    rows = readers.read_corpora(spark, paths)
+    annotated = rows.select("source", jsonx.decode_annotation(F.col("annotation_json")).alias("annotation"))
+    out = profile.category_profile(annotated)
+    return _rounded(out.drop("category_index"), "coverage")
+
+
+@query
+def corpus_build_card(spark: SparkSession, sf: str) -> DataFrame:
+    """Row counts of the saved chat dataset, built end to end with and without the originals."""
+    folder, paths = _built_corpus(spark, sf)
+    n = sum(spark.read.parquet(paths[k]).count() for k in ("a", "b"))
+    corpus_build.mix(spark, paths, f"{folder}/mixed", n, 0.1)
+    out = []
+    for originals in (True, False):
+        corpus_build.format_chat(spark, f"{folder}/mixed", paths, f"{folder}/chat-{originals}", include_originals=originals)
+        preview = writers.split_preview(spark, f"{folder}/chat-{originals}/card")
+        written = spark.read.parquet(f"{folder}/chat-{originals}/data").agg(F.count(F.lit(1)).alias("written"))
+        out.append(preview.select(F.lit(originals).alias("originals"), "train", "validation", "total").crossJoin(written))
+    return out[0].unionByName(out[1])
+
+
 # --- Evaluation ---------------------------------------------------------------
 
 
@@ -734,6 +771,33 @@ def summary_values(spark: SparkSession, sf: str) -> DataFrame:
     return events.select("event_id", jsonx.summary_value(text, "k").alias("k"))
 
 
+@query
+def summary_flatten(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested summaries as long rows with `a/b` names."""
+    events = td.table(spark, sf, "events")
+    meta = F.struct(F.col("event_type").alias("type"), F.struct(F.col("user_id").alias("id")).alias("user"))
+    ids = F.create_map(F.lit("event"), F.col("event_id"), F.lit("user"), F.col("user_id"))
+    nested = events.select("event_id", F.struct(meta.alias("meta"), ids.alias("ids"), F.lit(None).cast("string").alias("gone")).alias("summary"))
+    return audit.flatten_summary(nested, "summary", ("event_id",))
+
+
+@query
+def run_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Lookups by id, by a shared name and by a name that no run has."""
+    runs = td.runs(spark, sf).withColumn("run_id", F.col("run_id").cast("string"))
+    asked = [{"run_id": "1"}, {"run_id": "-1"}, {"run_name": "run 0"}, {"run_name": "no such run"}]
+    found = [audit.find_run(runs, **a) for a in asked]
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+@query
+def run_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.run_candidates(td.runs(spark, sf), "run 0")
+
+
 # --- Streaming ----------------------------------------------------------------
 
 
