@@ -81,11 +81,3 @@ def markdown_cell(text: Column, width: int | None, flatten: bool = True) -> Colu
     if flatten:
         out = F.replace(out, F.lit("\n"), F.lit(" "))
     return F.replace(out, F.lit("|"), F.lit("\\|"))
-
-
-def thousands(number: Column) -> Column:
-    return F.format_number(number, 0)
-
-
-def one_decimal_percent(number: Column) -> Column:
-    return F.format_string("%.1f%%", number)
