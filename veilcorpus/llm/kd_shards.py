@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from veilcorpus.session import materialize
 
@@ -45,7 +46,7 @@ class Node:
 
 def _levels(slim: DataFrame, dims: int, shards: int) -> DataFrame:
     spark = slim.sparkSession
-    rows = slim.withColumn("node", F.lit(0))
+    rows = slim.withColumn("node", F.lit(0).cast("bigint"))
     level = [Node(0, shards)]
     while any(n.shards > 1 for n in level):
         spread = [F.max(f"p{d}").alias(f"hi{d}") for d in range(dims)] + [F.min(f"p{d}").alias(f"lo{d}") for d in range(dims)]
@@ -60,8 +61,10 @@ def _levels(slim: DataFrame, dims: int, shards: int) -> DataFrame:
             break
         _find_splits(rows, inner, {n.first: (found[n.first][f"lo{n.dim}"], found[n.first][f"hi{n.dim}"]) for n in inner})
         # At most one row for each node that is split.
-        table = spark.createDataFrame([(n.first, n.dim, n.split, n.first + n.lower) for n in inner], "node int, dim int, split bigint, upper int")
-        place = F.element_at(F.array(*[f"p{d}" for d in range(dims)]), F.col("dim") + 1)
+        table = _local(
+            spark, node=[n.first for n in inner], dim=[n.dim for n in inner], split=[n.split for n in inner], upper=[n.first + n.lower for n in inner]
+        )
+        place = F.element_at(F.array(*[f"p{d}" for d in range(dims)]), F.col("dim").cast("int") + 1)
         rows = rows.join(F.broadcast(table), "node", "left").withColumn(
             "node", F.when(place > F.col("split"), F.col("upper")).otherwise(F.col("node"))
         ).drop("dim", "split", "upper")
@@ -70,48 +73,54 @@ def _levels(slim: DataFrame, dims: int, shards: int) -> DataFrame:
 
 
 def _find_splits(rows: DataFrame, nodes: list[Node], span: dict[int, tuple[int, int]]) -> None:
-    """Set `split` of each node: below it lies the weight nearest to the lower half's share."""
+    """Set `split` of each node: below it lies the weight nearest to the lower half's share.
+
+    Each pass cuts every open span into cells, keeps the cell in which the share is reached,
+    and goes on between the least and the greatest place that occur in it, so the gaps between
+    values cost no pass. It ends at a single row, or at a cell that is light enough.
+    """
     spark = rows.sparkSession
     below = {n.first: 0 for n in nodes}
     span = dict(span)
     open_ = list(nodes)
+    dims = [c for c in rows.columns if c[0] == "p" and c[1:].isdigit()]
+    place = F.element_at(F.array(*dims), F.col("dim").cast("int") + 1)
     while open_:
         cells = max(16, CELLS // len(open_))
-        width = {n.first: max(1, -(-(span[n.first][1] - span[n.first][0] + 1) // cells)) for n in open_}
-        table = spark.createDataFrame(
-            [(n.first, n.dim, *span[n.first], width[n.first]) for n in open_], "node int, dim int, lo bigint, hi bigint, width bigint"
+        width = [max(1, -(-(span[n.first][1] - span[n.first][0] + 1) // cells)) for n in open_]
+        first = [n.first for n in open_]
+        table = _local(spark, node=first, dim=[n.dim for n in open_], lo=[span[k][0] for k in first], hi=[span[k][1] for k in first], width=width)
+        inside = rows.join(F.broadcast(table), "node").select("node", "weight", place.alias("p"), "lo", "hi", "width").filter("p BETWEEN lo AND hi")
+        counted = inside.groupBy("node", F.expr("(p - lo) div width").alias("cell")).agg(
+            F.sum("weight").alias("w"), F.count(F.lit(1)).alias("n"), F.min("p").alias("least"), F.max("p").alias("most")
         )
-        dims = [c for c in rows.columns if c[0] == "p" and c[1:].isdigit()]
-        place = F.element_at(F.array(*dims), F.col("dim") + 1)
-        inside = rows.join(F.broadcast(table), "node").select("node", "weight", place.alias("p"), "lo", "hi", "width")
-        cell = F.expr("(p - lo) div width")
-        counted = inside.filter("p BETWEEN lo AND hi").groupBy("node", cell.alias("cell")).agg(F.sum("weight").alias("w"))
-        by_node: dict[int, list[tuple[int, int]]] = {}
+        by_node: dict[int, list] = {}
         for r in counted.collect():
-            by_node.setdefault(r["node"], []).append((r["cell"], r["w"]))
+            by_node.setdefault(r["node"], []).append(r)
         still = []
         for n in open_:
-            lo, hi = span[n.first]
             target = n.weight * n.lower / n.shards
             done = below[n.first]
-            for cell_no, w in sorted(by_node.get(n.first, [])):
-                if done + w < target:
-                    done += w
+            n.split = span[n.first][1]
+            for r in sorted(by_node.get(n.first, []), key=lambda r: r["cell"]):
+                if done + r["w"] < target:
+                    done += r["w"]
                     continue
-                start = lo + cell_no * width[n.first]
-                end = min(hi, start + width[n.first] - 1)
                 below[n.first] = done
-                if width[n.first] == 1 or w <= TOLERANCE * n.weight / n.shards:
-                    n.split = end if done + w - target <= target - done else start - 1
+                if r["n"] == 1 or r["least"] == r["most"] or r["w"] <= TOLERANCE * n.weight / n.shards:
+                    n.split = r["most"] if done + r["w"] - target <= target - done else r["least"] - 1
                 else:
-                    span[n.first] = (start, end)
+                    span[n.first] = (r["least"], r["most"])
                     still.append(n)
                 break
-            else:
-                n.split = hi
         open_ = still
 
 
+def _local(spark: SparkSession, **columns: list[int]) -> DataFrame:
+    """A table with a row a node, as a local relation."""
+    return spark.createDataFrame(pa.table({k: pa.array(v, pa.int64()) for k, v in columns.items()}))
+
+
 def kd_tree_shards(
     docs: DataFrame,
     *,
@@ -157,7 +166,7 @@ def kd_tree_shards(
     placed = slim.select(
         "doc_id", "size", "text_crc32", "row", F.col("size").alias("weight"), *[scaled(i).alias(f"p{i}") for i in range(len(dims))]
     )
-    sharded = materialize(_levels(placed, len(dims), shards).select("doc_id", "size", "text_crc32", "row", "shard"))
+    sharded = materialize(_levels(placed, len(dims), shards).select("doc_id", "size", "text_crc32", "row", F.col("shard").cast("int").alias("shard")))
     return _with_slots(sharded)
 
 

@@ -24,7 +24,7 @@ from veilcorpus.session import materialize
 
 BANDS, ROWS = 30, 5  # a pair of similarity 0.8 shares no band with a chance of (1 - 0.8^5)^30 = 7e-6
 GROUP = 64
-MAP_WORDS = 8
+MAP_WORDS = 16
 MAPS = [f"m{i}" for i in range(MAP_WORDS)]
 PACK = 256
 
@@ -104,26 +104,33 @@ def _ordered(a: Column, b: Column) -> tuple[Column, Column]:
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
-def _pivot_pairs(members: DataFrame, least: float) -> DataFrame:
-    """Each member of a bucket with the bucket's smallest node."""
-    pivots = members.groupBy("bucket").agg(F.min("node").alias("node"))
-    pivots = members.join(pivots, ["bucket", "node"]).select("bucket", *[F.col(c).alias(f"p_{c}") for c in ("node", "weight", *MAPS)])
-    met = members.join(pivots, "bucket").filter(F.col("node") != F.col("p_node"))
-    return met.filter(_may_be_alike(F.col, lambda c: F.col(f"p_{c}"), least)).select(*_ordered(F.col("node"), F.col("p_node"))).distinct()
+def _pivot_pairs(members: DataFrame, maps: DataFrame, least: float) -> DataFrame:
+    """Each member of a bucket with the bucket's pivot.
+
+    That is the member of smallest hash of (node, bucket), so each bucket of a group of copies
+    has another, and a node meets many of its group.
+    """
+    pivots = members.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", "bucket")).alias("pivot"))
+    met = members.join(pivots, "bucket").filter("node <> pivot").select(*_ordered(F.col("node"), F.col("pivot"))).distinct()
+    left = maps.select(F.col("node").alias("a"), *[F.col(c).alias(f"a_{c}") for c in ("weight", *MAPS)])
+    right = maps.select(F.col("node").alias("b"), *[F.col(c).alias(f"b_{c}") for c in ("weight", *MAPS)])
+    alike = _may_be_alike(lambda c: F.col(f"a_{c}"), lambda c: F.col(f"b_{c}"), least)
+    return met.join(left, "a").join(right, "b").filter(alike).select("a", "b")
 
 
-def _rest_pairs(members: DataFrame, least: float) -> DataFrame:
+def _rest_pairs(members: DataFrame, maps: DataFrame, least: float) -> DataFrame:
     """Pairs of different classes within a bucket that may be alike; `members` has `comp`.
 
-    The nodes outside a bucket's largest class are packed into rows of at most PACK, and
-    each member goes through the rows of its bucket. The largest class is only told apart to
-    save work, so any one of equals will do.
+    The nodes outside a bucket's largest class are packed into rows of at most about PACK,
+    and each member goes through the rows of its bucket. The largest class is only told apart
+    to save work, so any one of equals will do.
     """
     sizes = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("classes"))
-    mixed = members.join(largest.filter("classes > 1").select("bucket", "main"), "bucket")
+    open_ = members.join(largest.filter("classes > 1").select("bucket", "main"), "bucket")
+    mixed = materialize(open_.join(maps, "node"))
     outside = mixed.filter("comp <> main")
-    # Packs are dealt by hash, so their number follows from the bucket's number of outsiders.
+    # Packs are dealt by hash, and their number follows from the bucket's number of outsiders.
     packs = outside.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / PACK).alias("packs"))
     dealt = outside.join(packs, "bucket").withColumn("pack", F.pmod(F.xxhash64("node"), F.col("packs")))
     packed = dealt.groupBy("bucket", "pack").agg(F.collect_list(F.struct("node", "comp", "weight", *MAPS)).alias("others"))
@@ -174,7 +181,7 @@ def near_copy_classes(
     entries = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     maps = nodes.select("node", "weight", *[F.col("map")[i].alias(m) for i, m in enumerate(MAPS)])
-    members = materialize(entries.join(shared, "bucket").join(maps, "node"))
+    members = materialize(entries.join(shared, "bucket"))
 
     wanted = members.select("node").distinct().join(nodes.select("node", "digest", "low"), "node")
     texts = materialize(
@@ -190,10 +197,10 @@ def near_copy_classes(
         met = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
         return materialize(met.withColumn("similarity", compare("text_a", "text_b")).filter(F.col("similarity") >= least).select("a", "b"))
 
-    tried = materialize(_pivot_pairs(members, least))
+    tried = materialize(_pivot_pairs(members, maps, least))
     links = linked(tried)
     labels = components(nodes, links)
-    rest = materialize(_rest_pairs(members.join(labels, "node"), least).join(tried, ["a", "b"], "left_anti"))
+    rest = materialize(_rest_pairs(members.join(labels, "node"), maps, least).join(tried, ["a", "b"], "left_anti"))
     more = linked(rest)
     if not more.isEmpty():
         labels = components(nodes, links.unionByName(more))
