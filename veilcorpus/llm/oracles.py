@@ -35,4 +35,71 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM doc LEFT JOIN hit USING (r) LEFT JOIN item_list USING (r)
 """
 
-SQL = {"op1_benchmark_decontamination": OP1}
+
+_CLASSES = (r"[^a-z]+", r"[^\p{Lu}]+", r"[\x00-\x7F\p{Lu}]+", r"[^0-9]+", r"[^\x20\x09-\x0D]+", r"""[^.,;:!?''"()-]+""")
+_COUNTS = ", ".join(f"length(regexp_replace(t, '{p}', '', 'g')) AS c{i}" for i, p in enumerate(_CLASSES))
+_N = len(_CLASSES)
+_REST = "length(t) - " + " - ".join(f"c{i}" for i in range(_N))
+
+
+def _part(a: str, b: str) -> str:
+    return f"CASE WHEN {a} > 0 THEN {a} * log2(2 * {a} / ({a} + {b})) ELSE 0 END"
+
+
+def _both(a: str, b: str) -> str:
+    return f"({_part(a, b)} + {_part(b, a)}) / 2"
+
+
+OP9 = rf"""
+WITH large AS (
+    SELECT lang FROM documents WHERE lang IS NOT NULL GROUP BY lang HAVING count(*) >= 0.01 * (SELECT count(*) FROM documents)
+), d AS (
+    SELECT row_number() OVER () AS r, doc_id, CASE WHEN lang IN (SELECT lang FROM large) THEN lang END AS ref, coalesce(text, '') AS t
+    FROM documents
+), counted AS (
+    SELECT r, doc_id, ref, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, {_COUNTS},
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+    FROM d
+), rows_ AS (SELECT *, {_REST} AS c{_N}, length(t)::DOUBLE AS chars, len(ws) AS n FROM counted
+), tok AS (
+    SELECT r, ref, lower(regexp_replace(x, '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g')) AS f
+    FROM (SELECT r, ref, unnest(ws) AS x FROM rows_)
+), cnt AS (
+    SELECT ref, f, count(*)::DOUBLE AS n FROM tok WHERE f <> '' AND ref IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT NULL, f, count(*)::DOUBLE FROM tok WHERE f <> '' GROUP BY ALL
+), tot AS (SELECT ref, sum(n) AS total FROM cnt GROUP BY ref
+), common AS (
+    SELECT cnt.ref, f, n / total AS q FROM cnt JOIN tot ON cnt.ref IS NOT DISTINCT FROM tot.ref WHERE n >= 0.005 * total
+), refs AS (SELECT ref, sum(q) AS q_all FROM common GROUP BY ref
+), present AS (
+    SELECT r, sum(c) AS c_all, sum(q) AS q_seen, sum({_both('(c / n)', 'q')}) AS js
+    FROM (SELECT tok.r, tok.ref, tok.f, count(*)::DOUBLE AS c FROM tok GROUP BY ALL) x
+    JOIN common ON common.ref IS NOT DISTINCT FROM x.ref AND common.f = x.f JOIN (SELECT r, n FROM rows_) USING (r) GROUP BY r
+), by_word AS (
+    SELECT r, coalesce(js, 0) + (q_all - coalesce(q_seen, 0)) / 2
+        + {_both('((n - coalesce(c_all, 0)) / n)', 'greatest(0, 1 - q_all)')} AS js
+    FROM rows_ JOIN refs ON refs.ref IS NOT DISTINCT FROM rows_.ref LEFT JOIN present USING (r) WHERE n > 0
+), class_refs AS (
+    SELECT ref, {', '.join(f'sum(c{i}) / sum(chars) AS q{i}' for i in range(_N + 1))} FROM rows_ WHERE ref IS NOT NULL GROUP BY ref
+    UNION ALL SELECT NULL, {', '.join(f'sum(c{i}) / sum(chars)' for i in range(_N + 1))} FROM rows_
+), by_class AS (
+    SELECT r, {' + '.join(_both(f'(c{i} / chars)', f'q{i}') for i in range(_N + 1))} AS js
+    FROM rows_ JOIN class_refs ON class_refs.ref IS NOT DISTINCT FROM rows_.ref WHERE chars > 0
+), win AS (
+    SELECT r, i, ws[i : i + 2] AS w FROM (SELECT r, ws, unnest(range(1, (n - 1)::BIGINT)) AS i FROM rows_ WHERE n >= 3)
+), twin AS (SELECT r, w FROM win GROUP BY r, w HAVING count(*) > 1
+), again AS (
+    SELECT r, count(DISTINCT p) AS n_repeat FROM (SELECT r, unnest(range(i, i + 3)) AS p FROM win JOIN twin USING (r, w)) GROUP BY r
+), base AS (
+    SELECT r, doc_id, n, chars, len(array_to_string(ws, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+        len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n_repeat, 0) AS n_repeat
+    FROM rows_ LEFT JOIN again USING (r)
+)
+SELECT doc_id, n::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+    n_repeat::BIGINT AS n_repeat_words, n < 50 OR 100 * n_repeat > 50 * n AS base_failed,
+    NOT (n < 50 OR 100 * n_repeat > 50 * n) AND NOT (n >= 100 AND coalesce(sqrt(greatest(0, by_word.js)), 0) > 0.6)
+        AND NOT (chars >= 400 AND coalesce(sqrt(greatest(0, by_class.js)), 0) > 0.3) AS kept
+FROM base LEFT JOIN by_word USING (r) LEFT JOIN by_class USING (r)
+"""
+
+SQL = {"op1_benchmark_decontamination": OP1, "op9_quality_divergence": OP9}

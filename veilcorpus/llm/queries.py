@@ -87,7 +87,7 @@ def op8_kd_tree_shards(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op9_quality_divergence(spark: SparkSession, sf: str) -> DataFrame:
-    return quality_report(table(spark, sf, "documents"))
+    return quality_report(table(spark, sf, "documents")).drop("class_distance", "word_distance")
 
 
 @query
