@@ -39,19 +39,18 @@ TEMPLATES = (
 )
 #: A line or paragraph is looked at if it holds one of these; every template does.
 TRIGGER = r"(?i)licen[sc]e|permission is hereby|all rights reserved|public domain|spdx"
-TERM = r"[a-z0-9][a-z0-9.+-]*"
+TERM = r"[a-z0-9]++(?:[.+-][a-z0-9]++)*+"  # possessive, so that long chains need no stack
 LEAST = 0.7
 FILE_SHARE = 0.5
 FILE_NAME = r"(?i)(^|/)(licen[sc]e|copying|unlicense)[^/]*$"
 
 
 def terms_of_text(text: str) -> list[str]:
-    return [t.rstrip(".-") for t in re.findall(TERM, text.lower())]
+    return re.findall(TERM, text.lower())
 
 
 def terms(text: Column) -> Column:
-    found = F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
-    return F.transform(found, lambda t: F.regexp_replace(t, r"[.-]+$", ""))
+    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
 def document_frequency(docs: DataFrame, vocabulary: list[str], text: str = "text") -> tuple[int, dict[str, int]]:
@@ -90,7 +89,9 @@ def best_notices(docs: DataFrame, *, text: str = "text", templates=TEMPLATES, le
     blocks = F.filter(F.split(text, r"\n[\x20\t]*\n"), lambda x: x.rlike(TRIGGER) & x.contains("\n"))
     kinds = F.concat(F.transform(lines, lambda x: F.struct(F.lit(True).alias("line"), x.alias("part"))), F.transform(blocks, lambda x: F.struct(F.lit(False).alias("line"), x.alias("part"))))
     parts = docs.filter(F.col(text).rlike(TRIGGER)).select("row", F.posexplode(kinds).alias("at", "p")).select("row", "at", "p.line", "p.part")
-    counted = parts.select("row", "at", "line", F.size(terms(F.col("part"))).alias("words"), F.explode(terms(F.col("part"))).alias("term"))
+    # The terms are a column first: beside `explode` their number would be found again for each of them.
+    listed = parts.select("row", "at", "line", terms(F.col("part")).alias("terms"))
+    counted = listed.select("row", "at", "line", F.size("terms").alias("words"), F.explode("terms").alias("term"))
     counted = counted.groupBy("row", "at", "line", "words", "term").agg(F.count(F.lit(1)).alias("tf"))
     weighed = counted.join(F.broadcast(postings), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(rare)))
     # Template -1 gathers the squared length of the part itself.
@@ -135,7 +136,7 @@ def license_scan(docs: DataFrame, path: Column, *, doc_id: str = "doc_id", text:
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), path.alias("path"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"))
     found = best_notices(rows.select("row", "text"), templates=templates, least=least)
-    own = rows.select("row", "doc_id", "path", directory_of(F.col("path")).alias("folder"), F.size(terms(F.col("text"))).alias("all_words"))
+    own = rows.select("row", "doc_id", "path", directory_of(F.col("path")).alias("folder"), F.when(F.col("text").rlike(TRIGGER), F.size(terms(F.col("text")))).alias("all_words"))
     own = own.join(found, "row", "left")
     is_file = F.col("path").rlike(FILE_NAME) | (F.col("words") >= F.lit(file_share) * F.col("all_words"))
     files = own.filter(F.col("license").isNotNull() & F.col("path").isNotNull() & is_file)
