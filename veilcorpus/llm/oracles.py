@@ -62,7 +62,7 @@ WITH large AS (
     FROM d
 ), rows_ AS (SELECT *, {_REST} AS c{_N}, length(t)::DOUBLE AS chars, len(ws) AS n FROM counted
 ), tok AS (
-    SELECT r, ref, lower(regexp_replace(x, '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g')) AS f
+    SELECT r, ref, lower(trim(x, '.,;:!?()[]{{}}#*$%&|<>-')) AS f
     FROM (SELECT r, ref, unnest(ws) AS x FROM rows_)
 ), cnt AS (
     SELECT ref, f, count(*)::DOUBLE AS n FROM tok WHERE f <> '' AND ref IS NOT NULL GROUP BY ALL

@@ -22,6 +22,7 @@ NOT_IN_CLASS = {
     "space": r"[^\x20\x09-\x0D]+",
     "mark": r"[^.,;:!?'\"()-]+",
 }
+MARKS = ".,;:!?()[]{}#*$%&|<>-"
 COMMON_SHARE = 0.005  # a common word is at least this share of its language's words, so there are 200 at most
 LANGUAGE_SHARE = 0.01  # languages with fewer documents are held against the whole corpus
 BUCKETS = 8192
@@ -63,10 +64,15 @@ def repeated_words(words: Column) -> Column:
             ),
         )
 
+    def in_hashes(hashes: Column) -> Column:
+        # Most texts repeat no window, and need no sorting.
+        placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("at")))
+        return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), let(F.sort_array(placed), covered)).otherwise(0)
+
     def all_windows(w: Column) -> Column:
         at = F.sequence(F.lit(0), F.size(w) - 3)
-        one = lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("at"))
-        return F.when(F.size(w) >= 3, let(F.sort_array(F.transform(at, one)), covered)).otherwise(0)
+        hashes = F.transform(at, lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
+        return F.when(F.size(w) >= 3, let(hashes, in_hashes)).otherwise(0)
 
     return let(words, all_windows)
 
@@ -86,7 +92,7 @@ def class_counts(text: Column) -> Column:
 
 def folded(word: Column) -> Column:
     """A word as it is counted: lower case, without marks at its ends."""
-    return F.lower(F.regexp_replace(word, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
+    return F.lower(F.btrim(word, F.lit(MARKS)))
 
 
 def divergence(p: Column, q: Column) -> Column:
