@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,11 +12,13 @@ from veilcorpus.llm import quality_divergence as quality
 from veilcorpus.llm.kd_shards import kd_tree_shards
 from veilcorpus.llm.license_scan import TEMPLATES, TRIGGER, ancestors, directory_of, license_scan
 from veilcorpus.llm.toxicity import (
+    FEATURES,
     FuzzyTrie,
     ToxicLexicon,
     ToxicScorer,
     choose_terms,
     edits_allowed,
+    fit_weights,
     learn_lexicon,
     learning_fold,
     toxicity_report,
@@ -92,6 +95,14 @@ def test_toxicity_is_learned_and_odd_rows_get_a_score(spark):
     assert df.select(learning_fold(F.lit(None).cast("long")).alias("f")).distinct().collect()[0]["f"] is False
 
 
+def test_weights_do_not_run_away():
+    x = np.zeros((80, len(FEATURES)))
+    x[:, 0] = 1.0
+    y = np.array([1.0] * 9 + [0.0] * 71)
+    bias = fit_weights(x, y)[0]
+    assert abs(1 / (1 + math.exp(-bias)) - 9 / 80) < 0.03
+
+
 def brute_measures(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)

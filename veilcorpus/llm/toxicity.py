@@ -356,7 +356,7 @@ def _weighed(sample: DataFrame, lexicon: ToxicLexicon) -> ToxicLexicon:
     return lexicon
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray, steps: int = 25) -> tuple[float, ...]:
+def fit_weights(x: np.ndarray, y: np.ndarray, steps: int = 60) -> tuple[float, ...]:
     """Logistic regression by Newton steps, held to the weights of FEATURES where labels say little."""
     prior = np.array(list(FEATURES.values()))
     w = prior.copy()
@@ -364,7 +364,8 @@ def fit_weights(x: np.ndarray, y: np.ndarray, steps: int = 25) -> tuple[float, .
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         gradient = x.T @ (p - y) + PRIOR_STRENGTH * (w - prior)
         curve = (x * (p * (1 - p))[:, None]).T @ x + PRIOR_STRENGTH * np.eye(len(w))
-        w = w - np.linalg.solve(curve, gradient)
+        # A full step can overshoot where the curve is flat; short ones can't run away.
+        w = w - np.clip(np.linalg.solve(curve, gradient), -1.0, 1.0)
     names = list(FEATURES)
     if not x[:, names.index("disguised")].any():  # never met: it weighs as the word itself
         w[names.index("disguised")] = max(w[names.index("disguised")], w[names.index("word")])
