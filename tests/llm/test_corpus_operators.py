@@ -207,6 +207,22 @@ def test_nearest_directory_is_inherited(spark):
     assert license_scan(df.limit(0), F.col("file")).count() == 0
 
 
+def test_wrapped_licence_text_is_a_licence_file(spark):
+    words = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.".split()
+    wrapped = "\n".join(" ".join(words[i : i + 5]) for i in range(0, len(words), 5))
+    notice = "Released under the MIT License."
+    rows = [
+        (1, "a/1.txt", f"My project\n\n{wrapped}\n"), (2, "a/2.txt", "prose"), (3, "b/3.txt", f"{wrapped}\n\n" + "prose " * 40), (4, "b/4.txt", "prose"),
+        # A line of a matching paragraph counts once: 15 of 31 words are no licence file, 15 of 30 are one.
+        (5, "c/5.txt", f"{notice}\n{notice}\n\n{notice}\n\n" + "prose " * 16), (6, "c/6.txt", "prose"),
+        (7, "d/7.txt", f"{notice}\n{notice}\n\n{notice}\n\n" + "prose " * 15), (8, "d/8.txt", "prose"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, file string, text string")
+    got = {r["doc_id"]: (r["license"], r["how"], r["from_directory"]) for r in license_scan(df, F.col("file")).collect()}
+    assert got[2] == ("MIT", "inherited", "a") and got[8] == ("MIT", "inherited", "d")
+    assert got[4] == got[6] == (None, "none", None)
+
+
 def test_ancestors(spark):
     df = spark.createDataFrame([("a/b/c.txt",), ("c.txt",), ("/r/x",)], "p string")
     got = [r["x"] for r in df.select(ancestors(directory_of(F.col("p"))).alias("x")).collect()]

@@ -75,8 +75,8 @@ def template_rows(total: int, frequency: dict[str, int], templates=TEMPLATES) ->
 def best_notices(docs: DataFrame, *, text: str = "text", templates=TEMPLATES, least: float = LEAST) -> DataFrame:
     """`row, license, score, words`: for each row of `docs` (its own number is `row`) with a notice, the best one.
 
-    `words` counts the terms in all lines of the row that match some licence. Of equal
-    scores the template listed first wins.
+    `words` counts the terms in all lines and paragraphs of the row that match some licence, those
+    of a line in such a paragraph once. Of equal scores the template listed first wins.
     """
     vocabulary = sorted({t for _, text_ in templates for t in terms_of_text(text_)})
     total, frequency = document_frequency(docs, vocabulary, text)
@@ -85,29 +85,38 @@ def best_notices(docs: DataFrame, *, text: str = "text", templates=TEMPLATES, le
     # One row a term of the fixed templates.
     postings = spark.createDataFrame(rows, "term string, idf double, held array<struct<template:int,weight:double>>")
     rare = math.log(1 + total) + 1
-    lines = F.filter(F.split(text, r"\n"), lambda x: x.rlike(TRIGGER))
-    blocks = F.filter(F.split(text, r"\n[\x20\t]*\n"), lambda x: x.rlike(TRIGGER) & x.contains("\n"))
-    kinds = F.concat(F.transform(lines, lambda x: F.struct(F.lit(True).alias("line"), x.alias("part"))), F.transform(blocks, lambda x: F.struct(F.lit(False).alias("line"), x.alias("part"))))
-    parts = docs.filter(F.col(text).rlike(TRIGGER)).select("row", F.posexplode(kinds).alias("at", "p")).select("row", "at", "p.line", "p.part")
+    part = lambda block, line, x: F.struct(block.alias("block"), F.lit(line).alias("line"), x.alias("part"))
+
+    def parts_of(block: Column, at: Column) -> Column:
+        """The lines of a paragraph, and itself if it has several."""
+        lines = F.filter(F.split(block, r"\n"), lambda x: x.rlike(TRIGGER))
+        whole = F.filter(F.array(block), lambda x: x.rlike(TRIGGER) & x.contains("\n"))
+        return F.concat(F.transform(lines, lambda x: part(at, True, x)), F.transform(whole, lambda x: part(at, False, x)))
+
+    kinds = F.flatten(F.transform(F.split(text, r"\n[\x20\t]*\n"), parts_of))
+    parts = docs.filter(F.col(text).rlike(TRIGGER)).select("row", F.posexplode(kinds).alias("at", "p")).select("row", "at", "p.block", "p.line", "p.part")
     # The terms are a column first: beside `explode` their number would be found again for each of them.
-    listed = parts.select("row", "at", "line", terms(F.col("part")).alias("terms"))
-    counted = listed.select("row", "at", "line", F.size("terms").alias("words"), F.explode("terms").alias("term"))
-    counted = counted.groupBy("row", "at", "line", "words", "term").agg(F.count(F.lit(1)).alias("tf"))
+    listed = parts.select("row", "at", "block", "line", terms(F.col("part")).alias("terms"))
+    counted = listed.select("row", "at", "block", "line", F.size("terms").alias("words"), F.explode("terms").alias("term"))
+    counted = counted.groupBy("row", "at", "block", "line", "words", "term").agg(F.count(F.lit(1)).alias("tf"))
     weighed = counted.join(F.broadcast(postings), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(rare)))
     # Template -1 gathers the squared length of the part itself.
     each = F.concat(
         F.array(F.struct(F.lit(-1).alias("template"), F.col("w").alias("weight"))),
         F.coalesce("held", F.array().cast("array<struct<template:int,weight:double>>")),
     )
-    products = weighed.select("row", "at", "line", "words", "w", F.inline(each)).groupBy("row", "at", "line", "words", "template").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
-    scored = products.groupBy("row", "at", "line", "words").agg(
+    products = weighed.select("row", "at", "block", "line", "words", "w", F.inline(each)).groupBy("row", "at", "block", "line", "words", "template").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
+    scored = products.groupBy("row", "at", "block", "line", "words").agg(
         F.max(F.when(F.col("template") == -1, F.sqrt("dot"))).alias("norm"),
         F.max(F.when(F.col("template") >= 0, F.struct(F.round("dot", 9).alias("dot"), (-F.col("template")).alias("t")))).alias("best"),
     )
-    matched = scored.select("row", "line", "words", (-F.col("best.t")).alias("template"), F.round(F.col("best.dot") / F.col("norm"), 6).alias("score")).filter(F.col("score") >= least)
-    own = matched.groupBy("row").agg(
-        F.max(F.struct("score", (-F.col("template")).alias("t"))).alias("top"), F.sum(F.when(F.col("line"), F.col("words")).otherwise(0)).alias("words")
+    matched = scored.select("row", "block", "line", "words", (-F.col("best.t")).alias("template"), F.round(F.col("best.dot") / F.col("norm"), 6).alias("score")).filter(F.col("score") >= least)
+    by_block = matched.groupBy("row", "block").agg(
+        F.max(F.struct("score", (-F.col("template")).alias("t"))).alias("top"),
+        # A matching paragraph holds its lines.
+        F.coalesce(F.max(F.when(~F.col("line"), F.col("words"))), F.sum("words")).alias("words"),
     )
+    own = by_block.groupBy("row").agg(F.max("top").alias("top"), F.sum("words").alias("words"))
     names = F.array(*[F.lit(name) for name, _ in templates])
     return own.select("row", F.element_at(names, (1 - F.col("top.t")).cast("int")).alias("license"), F.col("top.score").alias("score"), "words")
 
