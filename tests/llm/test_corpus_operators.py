@@ -223,6 +223,30 @@ def test_wrapped_licence_text_is_a_licence_file(spark):
     assert got[4] == got[6] == (None, "none", None)
 
 
+def test_real_texts_headers_and_spdx_lines_are_found(spark):
+    mit = (
+        "Copyright (c) 2020 Jane Roe\n\nPermission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated documentation\n"
+        "files (the \"Software\"), to deal in the Software without\nrestriction, including without limitation the rights to use,\ncopy, modify, merge, publish, distribute, sublicense, and/or sell\n"
+        "copies of the Software, and to permit persons to whom the\nSoftware is furnished to do so, subject to the following\nconditions:\n"
+    )
+    clause = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:\n"
+    bsd = f"Copyright (c) 2021, Jane Roe\nAll rights reserved.\n\n{clause}\n"
+    neither = "3. Neither the name of Jane Roe nor the names of other\ncontributors may be used to endorse or promote products derived from\nthis software without specific prior written permission.\n"
+    apache = "# Copyright 2019 Jane Roe\n#\n# Licensed under the Apache License, Version 2.0 (the \"License\");\n# you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at\n#\n#     http://www.apache.org/licenses/LICENSE-2.0\n"
+    heads = "                   GNU {}GENERAL PUBLIC LICENSE\n                       Version 3, {} 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.\n"
+    cases = [
+        (mit, "MIT"), ("prose\n" + bsd, "BSD-2-Clause"), (bsd + neither, "BSD-3-Clause"), (apache, "Apache-2.0"),
+        (heads.format("", "29 June"), "GPL-3.0"), (heads.format("AFFERO ", "19 November"), "AGPL-3.0"),
+        ("All rights reserved.", "Proprietary"), ("// SPDX-License-Identifier: MIT", "MIT"), ("SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+        ("# SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"), ("SPDX-License-Identifier: (MIT OR Zlib)", "MIT OR Zlib"),
+        ("MIT License", "MIT"), ("Licensed under the BSD 2-Clause License.", "BSD-2-Clause"), ("All rights reserved.\nMIT License", "MIT"),
+        ("1. Definitions.\nA licence to print money.", None),
+    ]
+    df = spark.createDataFrame([(i, "plain words\n" + t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: r["license"] for r in license_scan(df, F.lit(None).cast("string")).collect()}
+    assert got == {i: name for i, (_, name) in enumerate(cases)}
+
+
 def test_ancestors(spark):
     df = spark.createDataFrame([("a/b/c.txt",), ("c.txt",), ("/r/x",)], "p string")
     got = [r["x"] for r in df.select(ancestors(directory_of(F.col("p"))).alias("x")).collect()]
