@@ -102,4 +102,96 @@ SELECT doc_id, n::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols
 FROM base LEFT JOIN by_word USING (r) LEFT JOIN by_class USING (r)
 """
 
-SQL = {"op1_benchmark_decontamination": OP1, "op9_quality_divergence": OP9}
+
+
+def _round(i: int) -> str:
+    """Clusters of all vectors for the centroids c<i>, and, as c<i+1>, their floored means."""
+    return f"""
+d{i} AS MATERIALIZED (
+    SELECT r, c, list_sum(list_transform(list_zip(v, w), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM vec, c{i}
+), a{i} AS MATERIALIZED (
+    SELECT r, c, d FROM d{i} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1
+), s{i} AS (
+    SELECT c, j, sum(x) AS s, count(*)::HUGEINT AS n
+    FROM (SELECT c, unnest(v) AS x, unnest(range(1, 65)) AS j FROM a{i} JOIN vec USING (r)) GROUP BY c, j
+), c{i + 1} AS MATERIALIZED (
+    SELECT c{i}.c, coalesce(m, w) AS w FROM c{i} LEFT JOIN (
+        SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS m FROM s{i} GROUP BY c) t ON t.c = c{i}.c
+)"""
+
+
+OP11 = f"""
+WITH vec AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS w
+    FROM (SELECT sha256(concat('2:', vec_id)) AS h, v FROM vec ORDER BY h, v LIMIT 40)
+), {", ".join(_round(i) for i in range(6))}
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+    (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(w, ',')) AS centroid_sha256
+FROM a5 JOIN vec USING (r) JOIN c5 USING (c)
+"""
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE concat(strlen({value}::VARCHAR), ':', {value}) END"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256(concat({', '.join(map(_field, ('doc_id', 'source', 'lang', n_chars, 'text')))}))"
+
+
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT],
+        list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+        lambda s, b: list_reduce([xor(s, b), 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+
+def _levels(name: str, leaves: str) -> str:
+    """Nodes (g, level, pos, n, h) of all levels over `leaves` (g, pos, n, h)."""
+    return f"""{name} AS (
+    SELECT g, 0 AS level, pos, n, h FROM {leaves}
+    UNION ALL
+    SELECT g, level + 1, pos // 2, (n + 1) // 2, sha256(concat(h, after))
+    FROM (SELECT *, lead(h) OVER (PARTITION BY g ORDER BY pos) AS after FROM {name} WHERE n > 1) WHERE pos % 2 = 0
+)"""
+
+
+def _folded(name: str, start: str, nodes: str) -> str:
+    """Rows of `start` (r, g, pos, h, proof) with their siblings in `nodes`, one row a level climbed."""
+    return f"""{name} AS (
+    SELECT r, g, 0 AS level, pos, h, proof FROM {start}
+    UNION ALL
+    SELECT r, f.g, f.level + 1, f.pos // 2, sha256(CASE WHEN f.pos % 2 = 0 THEN concat(f.h, s.h) ELSE concat(s.h, f.h) END), concat(proof, s.h)
+    FROM {name} f JOIN {nodes} own ON own.g = f.g AND own.level = f.level AND own.pos = f.pos AND own.n > 1
+    LEFT JOIN {nodes} s ON s.g = f.g AND s.level = f.level AND s.pos = xor(f.pos, 1)
+)"""
+
+
+OP13 = f"""
+WITH RECURSIVE leaf AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, {_leaf("n_chars")} AS leaf,
+        CASE WHEN {_CRC32} % 7 = 0 THEN {_leaf("(n_chars + 1)")} ELSE {_leaf("n_chars")} END AS altered
+    FROM documents
+), placed AS MATERIALIZED (
+    SELECT *, leaf AS h, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM leaf
+), {_levels("tree", "placed")}, sub AS MATERIALIZED (
+    SELECT 0 AS g, g AS pos, count(*) OVER () AS n, h FROM tree WHERE n = 1
+), {_levels("upper", "sub")}, top AS MATERIALIZED (SELECT h AS root FROM upper WHERE n = 1
+), start AS (SELECT r, g, pos, altered AS h, '' AS proof FROM placed
+), {_folded("climbed", "start", "tree")}, done AS MATERIALIZED (
+    SELECT r, 0 AS g, g AS pos, h, proof FROM climbed QUALIFY row_number() OVER (PARTITION BY r ORDER BY level DESC) = 1
+), {_folded("climbed_on", "done", "upper")}, ended AS MATERIALIZED (
+    SELECT r, h, proof FROM climbed_on QUALIFY row_number() OVER (PARTITION BY r ORDER BY level DESC) = 1
+)
+SELECT doc_id, leaf, sub.h AS subroot, root, sha256(proof) AS proof_sha256, ended.h AS folded_root, ended.h = root AS verified
+FROM placed JOIN ended USING (r) JOIN sub ON sub.pos = placed.g CROSS JOIN top
+"""
+
+SQL = {
+    "op1_benchmark_decontamination": OP1,
+    "op9_quality_divergence": OP9,
+    "op11_subvector_clusters": OP11,
+    "op13_merkle_manifest": OP13,
+}

@@ -12,9 +12,11 @@ from veilcorpus.llm.decontaminate import contamination_report
 from veilcorpus.llm.kd_shards import kd_tree_shards
 from veilcorpus.llm.language_id import language_report, learning_fold, train_language_net
 from veilcorpus.llm.license_scan import license_scan
+from veilcorpus.llm.merkle_manifest import document_manifest
 from veilcorpus.llm.near_copies import near_copy_classes
 from veilcorpus.llm.piece_lattice import encode_and_restore
 from veilcorpus.llm.quality_divergence import quality_report
+from veilcorpus.llm.subvector_clusters import subvector_clusters
 from veilcorpus.llm.token_counts import section_token_counts
 from veilcorpus.llm.token_planes import read_documents, write_token_planes
 from veilcorpus.llm.toxicity import learn_lexicon, toxicity_report
@@ -94,3 +96,13 @@ def op9_quality_divergence(spark: SparkSession, sf: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return toxicity_report(docs, learn_lexicon(docs, table(spark, sf, "labels")))
+
+
+@query
+def op11_subvector_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    return subvector_clusters(table(spark, sf, "embeddings"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return document_manifest(table(spark, sf, "documents"))
