@@ -189,9 +189,42 @@ SELECT doc_id, leaf, sub.h AS subroot, root, sha256(proof) AS proof_sha256, ende
 FROM placed JOIN ended USING (r) JOIN sub ON sub.pos = placed.g CROSS JOIN top
 """
 
+
+OP12 = rf"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, {_CRC32} % 10 = 0 AS held_out,
+        regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS ws
+    FROM documents
+), token AS MATERIALIZED (
+    SELECT r, held_out, unnest(list_concat(ws, [' end'])) AS w, unnest(list_concat([' begin'], ws)) AS u FROM d
+), uni AS MATERIALIZED (SELECT w, count(*) AS c FROM token WHERE NOT held_out GROUP BY w
+), size AS (SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v FROM uni
+), pair AS MATERIALIZED (SELECT u, w, count(*) AS c FROM token WHERE NOT held_out GROUP BY u, w
+), disc AS (
+    SELECT coalesce(n1 / nullif(n1 + 2 * n2, 0), 0.5) AS d
+    FROM (SELECT count(*) FILTER (c = 1) AS n1, CASE WHEN count(*) FILTER (c = 1) = 0 THEN NULL ELSE count(*) FILTER (c = 2) END AS n2 FROM pair)
+), ctx AS MATERIALIZED (SELECT u, sum(c)::BIGINT AS total, count(*) AS followers FROM pair GROUP BY u
+), event AS (
+    SELECT r, uni.c AS c, (coalesce(uni.c, 0) + 0.1::DOUBLE) / (size.n + 0.1::DOUBLE * (size.v + 1)) AS p1, pair.c AS pc, total, followers, d
+    FROM token CROSS JOIN size CROSS JOIN disc LEFT JOIN uni USING (w) LEFT JOIN pair ON pair.u = token.u AND pair.w = token.w
+    LEFT JOIN ctx ON ctx.u = token.u
+), coded AS (
+    SELECT r, c, round(-log10(p1) * 4294967296)::BIGINT AS base, CASE
+        WHEN pc IS NOT NULL THEN least(65535, round_even(-log10((pc - d) / total + d * followers / total * p1) * 4096, 0))
+        ELSE least(65535, round_even(-log10(p1) * 4096, 0))
+            + CASE WHEN total IS NULL THEN 0 ELSE least(65535, round_even(-log10(d * followers / total) * 4096, 0)) END END::BIGINT AS code
+    FROM event
+), added AS (
+    SELECT r, count(*) AS n_tokens, count(c) AS n_known, -sum(base)::DOUBLE / 4294967296 AS base_score, -sum(code)::DOUBLE / 4096 AS score
+    FROM coded GROUP BY r
+)
+SELECT doc_id, held_out, n_tokens, n_known, n AS train_tokens, base_score, score FROM d JOIN added USING (r) CROSS JOIN size
+"""
+
 SQL = {
     "op1_benchmark_decontamination": OP1,
     "op9_quality_divergence": OP9,
     "op11_subvector_clusters": OP11,
+    "op12_trie_scores": OP12,
     "op13_merkle_manifest": OP13,
 }

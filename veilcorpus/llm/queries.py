@@ -20,6 +20,7 @@ from veilcorpus.llm.subvector_clusters import subvector_clusters
 from veilcorpus.llm.token_counts import section_token_counts
 from veilcorpus.llm.token_planes import read_documents, write_token_planes
 from veilcorpus.llm.toxicity import learn_lexicon, toxicity_report
+from veilcorpus.llm.trie_scores import score_documents
 from veilcorpus.session import shared_dir
 
 SHARDS = 40
@@ -103,6 +104,11 @@ def op11_subvector_clusters(spark: SparkSession, sf: str) -> DataFrame:
     return subvector_clusters(table(spark, sf, "embeddings"))
 
 
+@query
+def op12_trie_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return score_documents(table(spark, sf, "documents"))
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return document_manifest(table(spark, sf, "documents"))
