@@ -54,3 +54,14 @@ def test_prompt_and_gold(spark):
     df = spark.createDataFrame([([("system", "s"), ("user", "q"), ("assistant", "a")],)], "messages array<struct<role:string,content:string>>")
     row = df.select(chat.prompt_messages(F.col("messages")).alias("p"), chat.gold_answer(F.col("messages")).alias("g")).first()
     assert [m["role"] for m in row["p"]] == ["system", "user"] and row["g"] == "a"
+
+
+def test_missing_content_has_a_defined_result(spark):
+    df = spark.createDataFrame([("q", None, None), (None, "a", "s")], "question string, answer string, system string")
+    made = messages(df, "user=question,assistant=answer,system=system")
+    assert made == [[("user", "q"), ("assistant", None)], [("system", "s"), ("user", None), ("assistant", "a")]]
+    chats = chat.to_chat(df, "user=question,assistant=answer")
+    assert [r["g"] for r in chats.select(chat.gold_answer(F.col("messages")).alias("g")).collect()] == ["{}", "a"]
+    text = chats.select(chat.render_chat(F.col("messages"), default_system="").alias("t")).first()["t"]
+    assert text == "<|im_start|>user\nq<|im_end|>\n<|im_start|>assistant\nnull<|im_end|>\n"
+    assert chat.bad_chat_rows(df.select(F.col("question").alias("inputs"), F.col("answer").alias("targets"))).count() == 2

@@ -202,7 +202,9 @@ def _system_block(system: Column, tools: Column | None) -> Column:
 
 
 def render_turn(role: Column, content: Column) -> Column:
+    """One turn's text; content that is missing is JSON's `null`, as any content that is no string is JSON text."""
     marks = TEMPLATE_MARKERS
+    content = F.coalesce(content, F.lit("null"))
     wrapped = F.concat(
         F.lit(marks["tool_response_start"]), content, F.lit(marks["tool_response_end"])
     )

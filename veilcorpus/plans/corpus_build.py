@@ -22,8 +22,8 @@ def prepare_masked(spark: SparkSession, raw: str, out: str, language: str = "ja"
     save_corpus(annotate_masked_text(read_table(spark, raw, S.MASKED_TEXT), language), out)
 
 
-def prepare_typed(spark: SparkSession, raw: str, out: str) -> None:
-    save_corpus(annotate_typed_entities(read_table(spark, raw, S.TYPED_ENTITIES)), out)
+def prepare_typed(spark: SparkSession, raw: str, out: str, format: str = "parquet") -> None:
+    save_corpus(annotate_typed_entities(read_table(spark, raw, S.TYPED_ENTITIES)), out, format)
 
 
 def with_row_ids(corpus: DataFrame) -> DataFrame:

@@ -104,6 +104,9 @@ SQL["masked_corpus"] = (
     + " AS annotation_json FROM gold WHERE source = 'fr'"
 )
 SQL["annotation_json"] = f"WITH {GOLD} SELECT row_id, {found_json()} AS annotation_json FROM gold"
+SQL["arrow_corpus"] = (
+    f"WITH {GOLD} SELECT row_id, {found_json()} AS annotation_json, CASE WHEN source = 'de' THEN 'a' ELSE 'b' END AS split FROM gold"
+)
 SQL["annotation_round_trip"] = f"WITH {GOLD} " + " UNION ALL ".join(
     f"SELECT row_id, '{c}' AS category, unnest(range(len({c}))) AS pos, unnest({c}) AS value FROM gold" for c in FOUND
 )
@@ -123,7 +126,7 @@ _BUILT_ROWS = (
     "built AS (SELECT " + ", ".join(f"regexp_extract_all(text, {lit(DETECTORS[label][1])}) AS {c}" for c, label in _BUILT.items())
     + ", []::VARCHAR[] AS human_name FROM documents WHERE lang = 'de' UNION ALL SELECT "
     + ", ".join("[]::VARCHAR[]" for _ in _BUILT)
-    + ", [left(text, 4)] FROM documents WHERE lang = 'fr')"
+    + ", [left(text, 4)] FROM documents WHERE lang IS DISTINCT FROM 'de')"
 )
 SQL["corpus_build_profile"] = f"WITH {_BUILT_ROWS} " + " UNION ALL ".join(
     f"SELECT '{c}' AS category, count(*) AS total_rows, "
@@ -137,7 +140,7 @@ SQL["corpus_build_profile"] = f"WITH {_BUILT_ROWS} " + " UNION ALL ".join(
     for c in CATEGORIES
 )
 SQL["corpus_build_card"] = (
-    "WITH n AS (SELECT count(*) AS n FROM documents WHERE lang IN ('de', 'fr')), totals AS "
+    "WITH n AS (SELECT count(*) AS n FROM documents), totals AS "
     "(SELECT true AS originals, 2 * n AS total FROM n UNION ALL SELECT false, n FROM n), "
     "cut AS (SELECT *, greatest(1, round_even(total * 0.05::DOUBLE, 0)::BIGINT) AS validation FROM totals) "
     "SELECT originals, total - validation AS train, validation, total, total AS written FROM cut"
@@ -330,13 +333,14 @@ SQL["mixed_profile"] = (
 
 PAIRS = (
     "pairs AS (SELECT concat_ws(':', a.conv_id::VARCHAR, a.turn::VARCHAR) AS pair_id, a.turn, s.text AS system, a.text AS question, "
-    "b.text AS answer FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1 AND b.role = 'assistant' "
+    "b.text AS answer FROM conversations a LEFT JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1 AND b.role = 'assistant' "
     "LEFT JOIN conversations s ON s.conv_id = a.conv_id AND s.turn = a.turn - 1 AND s.role = 'system' WHERE a.role = 'user')"
 )
 
 
 def turns(*pairs: tuple[str, str]) -> str:
-    return " || ';' || ".join(f"'{role}=' || md5({content})" for role, content in pairs)
+    """Messages as text; a turn without content is its role alone."""
+    return " || ';' || ".join(f"'{role}' || coalesce('=' || md5({content}), '')" for role, content in pairs)
 
 
 def _chat(expr: str) -> str:
@@ -370,7 +374,7 @@ SQL["chat_single_turn"] = (
 )
 SQL["chat_prompt_and_gold"] = (
     f"WITH {PAIRS} SELECT pair_id, CASE WHEN system IS NOT NULL THEN 'system=' || md5(system) || ';' ELSE '' END || "
-    "'user=' || md5(question) AS prompt, md5(CASE WHEN turn % 4 = 0 THEN '{}' ELSE answer END) AS gold_md5, 1::BIGINT AS n_user FROM pairs"
+    "'user=' || md5(question) AS prompt, md5(CASE WHEN turn % 4 = 0 THEN '{}' ELSE coalesce(answer, '{}') END) AS gold_md5, 1::BIGINT AS n_user FROM pairs"
 )
 
 
@@ -381,7 +385,7 @@ def _block(role: str, content: str) -> str:
 _TOOLS = "'List of tools: <|tool_list_start|>[search, {\"name\": \"sum\"}]<|tool_list_end|>'"
 SQL["chat_template_render"] = (
     f"WITH {PAIRS} SELECT pair_id, md5({_block('system', f'coalesce(system, {lit(EXTRACTION_PROMPT)})')} || "
-    f"{_block('user', 'question')} || {_block('assistant', 'answer')}) AS training_md5, "
+    f"{_block('user', 'question')} || {_block('assistant', f'coalesce(answer, {lit("null")})')}) AS training_md5, "
     f"md5('<s>' || {_block('system', f'CASE WHEN coalesce(system, {lit('')}) <> {lit('')} THEN system || chr(10) ELSE {lit('')} END || {_TOOLS}')} || "
     f"{_block('user', 'question')} || '<|im_start|>assistant' || chr(10)) AS asking_md5 FROM pairs"
 )

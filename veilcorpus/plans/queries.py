@@ -15,6 +15,7 @@ from veilcorpus.operators.annotate import annotate_masked_text, is_hard_negative
 from veilcorpus.plans import corpus_build, testdata as td
 from veilcorpus.session import materialize, shared_dir
 from veilcorpus.sources import readers, writers
+from veilcorpus.sources.arrow_corpus import arrow_splits, read_arrow_corpus, save_arrow_splits
 from veilcorpus.streaming.incremental_generation import start_generation
 from veilcorpus.streaming.running_profile import start_running_profile
 
@@ -130,14 +131,17 @@ def union_with_originals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _built_corpus(spark: SparkSession, sf: str) -> tuple[str, dict[str, str]]:
-    """Two normalised corpora on disk, from German and French documents, and a path where none is."""
+    """Two normalised corpora on disk and a path where none is.
+
+    The first keeps the German documents, the second has all others, also those without a language.
+    """
     folder = _fresh(spark, "build")
     td.masked_documents(spark, sf).write.parquet(f"{folder}/raw_a")
-    docs = td.table(spark, sf, "documents").filter("lang = 'fr'")
+    docs = td.table(spark, sf, "documents").filter("NOT lang <=> 'de'")
     typed = F.struct(F.left("text", F.lit(4)).alias("name"), F.lit("人名").alias("type"), F.lit(0).alias("span_start"), F.lit(4).alias("span_end"))
     docs.select("text", F.array(typed).alias("entities")).write.parquet(f"{folder}/raw_b")
     corpus_build.prepare_masked(spark, f"{folder}/raw_a", f"{folder}/a", language="de")
-    corpus_build.prepare_typed(spark, f"{folder}/raw_b", f"{folder}/b")
+    corpus_build.prepare_typed(spark, f"{folder}/raw_b", f"{folder}/b", format="arrow")
     return folder, {"a": f"{folder}/a", "b": f"{folder}/b", "missing": f"{folder}/none"}
 
 
@@ -155,7 +159,7 @@ def corpus_build_profile(spark: SparkSession, sf: str) -> DataFrame:
 def corpus_build_card(spark: SparkSession, sf: str) -> DataFrame:
     """Row counts of the saved chat dataset, built end to end with and without the originals."""
     folder, paths = _built_corpus(spark, sf)
-    n = sum(spark.read.parquet(paths[k]).count() for k in ("a", "b"))
+    n = readers.read_corpora(spark, paths).count()
     corpus_build.mix(spark, paths, f"{folder}/mixed", n, 0.1)
     out = []
     for originals in (True, False):
@@ -166,6 +170,19 @@ def corpus_build_card(spark: SparkSession, sf: str) -> DataFrame:
     return out[0].unionByName(out[1])
 
 
+@query
+def arrow_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents saved as Arrow splits by language and read back, without their texts' column."""
+    folder = _fresh(spark, "arrow")
+    docs = td.annotated_documents(spark, sf)
+    rows = docs.select("row_id", "input_text", jsonx.encode_annotation(F.col("annotation")).alias("annotation_json"), F.when(F.col("source") == "de", "a").otherwise("b").alias("split"))
+    save_arrow_splits(rows, folder, ("a", "b"))
+    parts = [
+        read_arrow_corpus(spark, f"{folder}/{name}", ["annotation_json", "row_id"]).withColumn("split", F.lit(name)) for name in arrow_splits(folder)
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 # --- Evaluation ---------------------------------------------------------------
 
 

@@ -78,7 +78,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`pair_id, system, question, answer`: each user turn with the assistant turn after it.
+    """`pair_id, system, question, answer`: every user turn with the assistant turn after it, null if none is.
 
     An equi-join on (chat, turn), whose keys are unique, so a chat with very many turns is
     spread like any other rows. The system text is that of a system turn right before.
@@ -92,7 +92,7 @@ def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("system")
     )
     key = ["conv_id", "turn"]
-    joined = ask.join(reply, key).join(lead, key, "left")
+    joined = ask.join(reply, key, "left").join(lead, key, "left")
     return joined.select(
         F.concat_ws(":", "conv_id", "turn").alias("pair_id"), "conv_id", "turn", "system", "question", "answer"
     )

@@ -16,6 +16,7 @@ MASKED_TEXT = (
 TYPED_ENTITIES = (
     "text STRING, entities ARRAY<STRUCT<name: STRING, type: STRING, span_start: INT, span_end: INT>>"
 )
+CORPUS_COLUMNS = ("input_text", "annotation_json")
 CORPUS = "input_text STRING, annotation_json STRING"
 GENERATION_LOG = (
     "input_text STRING, annotation_json STRING, "

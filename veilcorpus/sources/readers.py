@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from veilcorpus import schema as S
 from veilcorpus.functions.text import strip
 from veilcorpus.operators.rank import first_in_shuffle
+from veilcorpus.sources import arrow_corpus
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -32,18 +33,27 @@ def read_table(spark: SparkSession, path: str, ddl: str | None = None, format: s
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """A required corpus of `input_text, annotation_json`."""
-    if not path_exists(spark, path):
+    """A required corpus of `input_text, annotation_json`, saved as Parquet or as Arrow files.
+
+    A folder that holds neither is an error, like a missing one.
+    """
+    if path_exists(spark, f"{path}/{arrow_corpus.STATE}") or path_exists(spark, f"{path}/*.arrow"):
+        return arrow_corpus.read_arrow_corpus(spark, path, S.CORPUS_COLUMNS)
+    if not path_exists(spark, f"{path}/*.parquet"):
         raise FileNotFoundError(f"corpus not found: {path}")
     return read_table(spark, path, S.CORPUS)
 
 
 def read_corpora(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     """All corpora that exist, with their name in `source`. It is an error if none does."""
-    found = {name: path for name, path in paths.items() if path_exists(spark, path)}
-    if not found:
+    parts = []
+    for name, path in paths.items():
+        try:
+            parts.append(read_corpus(spark, path).withColumn("source", F.lit(name)))
+        except FileNotFoundError:
+            continue
+    if not parts:
         raise FileNotFoundError(f"none of the corpora exist: {sorted(paths.values())}")
-    parts = [read_corpus(spark, p).withColumn("source", F.lit(name)) for name, p in found.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -145,6 +155,9 @@ def read_audio_folder(spark: SparkSession, folder: str, transcripts: DataFrame)
 
 
 def read_splits(spark: SparkSession, root: str, names: Iterable[str] = ("train", "validation", "test")) -> dict[str, DataFrame]:
-    """The splits that exist below `root` (`root/split=<name>`)."""
+    """The splits that exist below `root`: Parquet folders `root/split=<name>`, or a saved folder of Arrow corpora."""
+    if path_exists(spark, f"{root}/{arrow_corpus.SPLITS}"):
+        present = arrow_corpus.arrow_splits(root)
+        return {n: arrow_corpus.read_arrow_corpus(spark, f"{root}/{n}") for n in names if n in present}
     found = {n: f"{root}/split={n}" for n in names if path_exists(spark, f"{root}/split={n}")}
     return {n: spark.read.parquet(p) for n, p in found.items()}

@@ -7,11 +7,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from veilcorpus.fixed_values import CATEGORIES
 from veilcorpus.operators.rank import uniform_key
 from veilcorpus.operators.split import split_counts
+from veilcorpus.sources.arrow_corpus import save_arrow_corpus
 
 
-def save_corpus(df: DataFrame, path: str) -> None:
-    """Overwrite a corpus directory."""
-    df.write.mode("overwrite").parquet(path)
+def save_corpus(df: DataFrame, path: str, format: str = "parquet") -> None:
+    """Overwrite a corpus directory, in Parquet or as a folder of Arrow files (`arrow`)."""
+    if format == "arrow":
+        save_arrow_corpus(df, path)
+    else:
+        df.write.mode("overwrite").format(format).save(path)
 
 
 def save_shuffled(df: DataFrame, path: str, key: str = "shuffle_key") -> None:
@@ -27,8 +31,9 @@ def append_generation_log(log: DataFrame, path: str) -> None:
     log.write.mode("append").json(path)
 
 
-def export_log(log: DataFrame, path: str) -> None:
-    save_corpus(log.select("input_text", "annotation_json"), path)
+def export_log(log: DataFrame, path: str, format: str = "parquet") -> None:
+    """The corpus columns of a log, as a corpus."""
+    save_corpus(log.select("input_text", "annotation_json"), path, format)
 
 
 def save_splits(df: DataFrame, path: str, seed: int = 42, row_id: str = "row_id") -> None:
