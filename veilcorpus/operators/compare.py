@@ -65,23 +65,26 @@ def improvement_rate(history: DataFrame, groups: list[str] | None = None) -> Dat
 
 
 def align_models(base: DataFrame, finetuned: DataFrame, key: str = "prompt_id") -> DataFrame:
-    """`(key, prompt, base, finetune)`; outputs meet on the prompt id, never on row order."""
+    """`(key, prompt, base, finetune)`; outputs meet on the prompt id, never on row order.
+
+    A prompt that only one model answered stays, with null for the other's output.
+    """
     left = base.select(key, "prompt", F.col("content").alias("base"))
-    right = finetuned.select(key, F.col("content").alias("finetune"))
-    return left.join(right, key)
+    own = F.col("prompt") if "prompt" in finetuned.columns else F.lit(None).cast("string")
+    right = finetuned.select(key, own.alias("other_prompt"), F.col("content").alias("finetune"))
+    joined = left.join(right, key, "full")
+    return joined.select(key, F.coalesce("prompt", "other_prompt").alias("prompt"), "base", "finetune")
 
 
 def markdown_rows(compared: DataFrame, prompt_width: int | None = None, output_width: int | None = None) -> DataFrame:
     """Add `line`: the row of a Markdown comparison table, with whole texts unless widths are given."""
-    line = F.concat(
-        F.lit("| "),
-        markdown_cell(F.col("prompt"), prompt_width, flatten=False),
-        F.lit(" | "),
-        markdown_cell(F.col("base"), output_width),
-        F.lit(" | "),
-        markdown_cell(F.col("finetune"), output_width),
-        F.lit(" |"),
-    )
+
+    def cell(name: str, width: int | None, flatten: bool) -> Column:
+        # A missing output is an empty cell.
+        return F.coalesce(markdown_cell(F.col(name), width, flatten=flatten), F.lit(""))
+
+    cells = [cell("prompt", prompt_width, False), cell("base", output_width, True), cell("finetune", output_width, True)]
+    line = F.concat(F.lit("| "), cells[0], F.lit(" | "), cells[1], F.lit(" | "), cells[2], F.lit(" |"))
     return compared.withColumn("line", line)
 
 

@@ -1,7 +1,8 @@
 """Text completion over a table, and generate-and-validate.
 
-The completer is a Python callable that users supply. Spark partitions the requests;
-inside a partition a bounded thread pool keeps several requests in flight.
+The completer is a Python callable that users supply. Spark partitions the requests, and the bound on
+requests in flight is dealt out to the partitions: there are never more partitions than the bound, and
+their shares of it add up to it, however many run at once.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from veilcorpus.fixed_values import POOLED_SUBTYPES
@@ -32,7 +34,7 @@ class CallPolicy:
     attempts: int = 3
     first_wait_s: float = 1.0  # before the second attempt; doubled before each further one
     deadline_s: float | None = None  # for one attempt
-    in_flight: int = 8
+    in_flight: int = 8  # requests at once, over all tasks of a stage
     options: Mapping[str, object] = field(default_factory=dict)
 
     def waits(self) -> list[float]:
@@ -116,17 +118,24 @@ def complete_table(
 ) -> DataFrame:
     """Add the completion columns to every row; rows keep their own ids and columns.
 
-    `partitions` sets how many partitions call the model, and with `in_flight` the total
-    number of requests at once.
+    At most `policy.in_flight` requests are open at once in total. Without `partitions`, the rows'
+    partitions are merged where they lie to as many tasks as the cluster runs at once (or the bound
+    allows); `partitions` deals the rows evenly to so many tasks, for a shuffle of the rows. Calls that
+    were given up after `deadline_s` no longer count, and a task that runs twice counts twice, so leave
+    speculation off.
     """
-    if partitions:
-        df = df.repartition(partitions)
+    if policy.in_flight < 1:
+        raise ValueError("in_flight must be at least 1")
+    slots = partitions or df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(policy.in_flight, slots))
+    df = df.repartition(tasks) if partitions else df.coalesce(tasks)
     extra = T.StructType.fromDDL(COMPLETION_FIELDS)
     schema = T.StructType(df.schema.fields + extra.fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         complete = factory(policy.options)
-        with ThreadPoolExecutor(max_workers=policy.in_flight) as pool:
+        share = policy.in_flight // tasks + (TaskContext.get().partitionId() < policy.in_flight % tasks)
+        with ThreadPoolExecutor(max_workers=share) as pool:
             for batch in batches:
                 requests = [[dict(m) for m in ms] for ms in batch[messages]]
                 answers = pool.map(lambda ms: ask(complete, ms, policy), requests)

@@ -85,6 +85,14 @@ SQL: dict[str, str] = {}
 
 SQL["category_profile"] = f"WITH {GOLD}, wide AS ({profile_of('gold')}) {long_profile('wide')}"
 SQL["stream_profile"] = SQL["category_profile"]
+SQL["log_running_profile"] = SQL["category_profile"]
+SQL["log_line_counts"] = (
+    "WITH kinds AS (SELECT CASE WHEN turn % 7 = 0 THEN 'blank' WHEN turn % 11 = 0 THEN 'malformed' WHEN turn % 13 = 0 THEN 'no id' "
+    "WHEN conv_id % 2 = 0 THEN 'pos' ELSE 'neg' END AS kind FROM conversations) "
+    "SELECT count(*) AS lines, count(*) FILTER (kind = 'blank') AS blank, count(*) FILTER (kind = 'malformed') AS malformed, "
+    "count(*) FILTER (kind = 'no id') AS without_task_id, count(*) FILTER (kind = 'pos') AS positive, "
+    "count(*) FILTER (kind = 'neg') AS negative, count(*) FILTER (kind IN ('no id', 'pos', 'neg')) AS rows_written FROM kinds"
+)
 SQL["category_profile_rollup"] = (
     f"WITH {GOLD}, wide AS ({profile_of('gold', 'source,', 'GROUP BY source')} UNION ALL "
     f"{profile_of('gold', lit('(all)') + ' AS source,')}) {long_profile('wide', 'source,')}"
@@ -190,6 +198,19 @@ SQL["eval_weakest_first"] = (
 SQL["eval_row_confusion"] = (
     f"WITH {PREDICTED} SELECT row_id, category, tp::BIGINT AS tp, fp::BIGINT AS fp, fn::BIGINT AS fn FROM row_counts WHERE tp + fp + fn > 0"
 )
+_METRIC_ROWS = "SELECT '{run}' AS run_id, {step}::BIGINT AS step, metric, round(value, 9) AS value FROM named"
+_NAMED = (
+    "named AS ("
+    + " UNION ALL ".join(
+        f"SELECT CASE WHEN category = 'micro avg' THEN 'eval/micro_{m}' ELSE 'eval/' || category || '/{m}' END AS metric, {m} AS value FROM scores"
+        for m in ("f1", "precision", "recall")
+    )
+    + " UNION ALL SELECT 'eval/json_parse_rate', avg(ok::INT) FROM checked)"
+)
+SQL["metric_table"] = (
+    f"WITH {PREDICTED}, {_NAMED} {_METRIC_ROWS.format(run='007', step=100)} UNION ALL {_METRIC_ROWS.format(run='007', step=200)} "
+    f"UNION ALL {_METRIC_ROWS.format(run='run-1', step=200)}"
+)
 SQL["eval_metric_rows"] = (
     f"WITH {PREDICTED}, named AS ("
     + " UNION ALL ".join(
@@ -628,7 +649,12 @@ SQL["score_summary"] = (
 SQL["comparison_markdown"] = (
     "SELECT doc_id AS prompt_id, '| ' || replace(text, '|', '\\|') || ' | ' || "
     "replace(replace(replace(text, 'e', 'E'), chr(10), ' '), '|', '\\|') || ' | ' || "
-    "replace(replace(replace(text, ' ', '|'), chr(10), ' '), '|', '\\|') || ' |' AS line FROM documents"
+    "CASE WHEN doc_id % 10 = 0 THEN '' ELSE replace(replace(replace(text, ' ', '|'), chr(10), ' '), '|', '\\|') END || ' |' AS line FROM documents"
+)
+SQL["comparison_table"] = (
+    "SELECT comparison, count(*) AS n, count(finetune) AS n_finetune, sum(length(coalesce(base, '')))::BIGINT AS base_characters FROM ("
+    "SELECT 'second' AS comparison, replace(text, 'e', 'EE') AS base, CASE WHEN doc_id % 10 <> 0 THEN text END AS finetune FROM documents "
+    "UNION ALL SELECT 'first', text, CASE WHEN doc_id % 10 <> 0 THEN text END FROM documents) GROUP BY comparison"
 )
 SQL["improvement_rate"] = (
     "WITH daily AS (SELECT user_id AS run_id, date_diff('day', DATE '2024-01-01', ts::DATE) AS step, event_type AS metric, "

@@ -17,7 +17,7 @@ from veilcorpus.session import materialize, shared_dir
 from veilcorpus.sources import readers, writers
 from veilcorpus.sources.arrow_corpus import arrow_splits, read_arrow_corpus, save_arrow_splits
 from veilcorpus.streaming.incremental_generation import start_generation
-from veilcorpus.streaming.running_profile import start_running_profile
+from veilcorpus.streaming.running_profile import read_profile, start_running_profile, stream_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -229,6 +229,16 @@ def eval_metric_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(evaluate.metric_rows(table, F.lit("run-1"), F.lit(200).cast("bigint")), "value")
 
 
+@query
+def metric_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The metrics of three evaluations in one table; each is written twice and is there once."""
+    table = materialize(evaluate.evaluation_table(_parsed(spark, sf)))
+    path = _fresh(spark, "metrics")
+    for run, step in (("run-1", 200), ("007", 100), ("007", 200)) * 2:
+        writers.save_metrics(evaluate.metric_rows(table, F.lit(run), F.lit(step)), path)
+    return _rounded(readers.read_metrics(spark, path), "value")
+
+
 # --- Ranks, weights and splits ------------------------------------------------
 
 
@@ -721,14 +731,28 @@ def score_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def comparison_markdown(spark: SparkSession, sf: str) -> DataFrame:
-    """Two models' outputs aligned on the prompt id, as lines of a Markdown table."""
+    """Two models' outputs aligned on the prompt id, as lines of a Markdown table; one model leaves out some prompts."""
     items = td.table(spark, sf, "documents").select(F.col("doc_id").alias("prompt_id"), F.col("text").alias("prompt"))
     base = items.withColumn("content", F.replace("prompt", F.lit("e"), F.lit("E")))
-    tuned = items.select("prompt_id", F.replace("prompt", F.lit(" "), F.lit("|")).alias("content"))
+    tuned = items.filter("prompt_id % 10 <> 0").select("prompt_id", F.replace("prompt", F.lit(" "), F.lit("|")).alias("content"))
     lines = compare.markdown_rows(compare.align_models(base, tuned))
     return lines.select("prompt_id", "line")
 
 
+@query
+def comparison_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Two comparisons in one table; the second write of one takes the place of the first."""
+    items = td.table(spark, sf, "documents").select(F.col("doc_id").alias("prompt_id"), F.col("text").alias("prompt"))
+    tuned = items.filter("prompt_id % 10 <> 0").withColumn("content", F.col("prompt"))
+    path = _fresh(spark, "comparisons")
+    for name, letter in (("first", "e"), ("second", "E"), ("second", "EE")):
+        base = items.withColumn("content", F.replace("prompt", F.lit("e"), F.lit(letter)))
+        writers.save_comparison(compare.align_models(base, tuned), path, name)
+    return readers.read_comparison(spark, path).groupBy("comparison").agg(
+        F.count(F.lit(1)).alias("n"), F.count("finetune").alias("n_finetune"), F.sum(F.length(F.coalesce("base", F.lit("")))).alias("base_characters")
+    )
+
+
 @query
 def improvement_rate(spark: SparkSession, sf: str) -> DataFrame:
     """First against last day of each user's events, per event type."""
@@ -827,4 +851,35 @@ def stream_profile(spark: SparkSession, sf: str) -> DataFrame:
     annotated = masked.select(td.annotation_from_entities(F.col("mask"), td.DETECTED_LABELS).alias("annotation"))
     out = _fresh(spark, "profile")
     start_running_profile(annotated, out, _fresh(spark, "state")).awaitTermination()
-    return _rounded(spark.read.parquet(out).drop("category_index"), "coverage")
+    return _rounded(read_profile(spark, out).drop("category_index"), "coverage")
+
+
+@query
+def log_running_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """The category profile of a generation log, kept by a stream over its files in several triggers."""
+    docs = td.annotated_documents(spark, sf)
+    meta = F.struct(F.col("row_id").cast("string").alias("task_id"), F.col("source").alias("category"), F.lit("").alias("subtype"), F.lit("pos").alias("polarity"))
+    rows = docs.select("row_id", "input_text", jsonx.encode_annotation(F.col("annotation")).alias("annotation_json"), meta.alias("_meta"))
+    log, out = _fresh(spark, "log"), _fresh(spark, "profile")
+    for part in range(3):
+        writers.append_generation_log(rows.filter(F.col("row_id") % 3 == part).drop("row_id"), log)
+    files = len(readers.read_generation_log(spark, log).inputFiles())
+    start_running_profile(stream_log(spark, log, -(-files // 3)), out, _fresh(spark, "state")).awaitTermination()
+    return _rounded(read_profile(spark, out).drop("category_index"), "coverage")
+
+
+@query
+def log_line_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Counters of a log with blank, broken and id-less lines, filled by the scan that writes its rows."""
+    turns = td.table(spark, sf, "conversations")
+    polarity = F.when(F.col("conv_id") % 2 == 0, "pos").otherwise("neg")
+    meta = F.struct(F.concat_ws("/", "conv_id", "turn").alias("task_id"), F.lit("c").alias("category"), F.lit("s").alias("subtype"), polarity.alias("polarity"))
+    whole = F.to_json(F.struct(F.col("text").alias("input_text"), F.lit("{}").alias("annotation_json"), meta.alias("_meta")))
+    bare = F.to_json(F.struct(F.col("text").alias("input_text"), F.lit("{}").alias("annotation_json")))
+    line = F.when(F.col("turn") % 7 == 0, F.lit("  ")).when(F.col("turn") % 11 == 0, F.left(whole, F.length(whole) - 3))
+    path = _fresh(spark, "log")
+    turns.select(line.when(F.col("turn") % 13 == 0, bare).otherwise(whole).alias("value")).write.text(path)
+    rows, counted = readers.read_counted_log(spark, path)
+    written = materialize(rows)
+    counts = [F.lit(counted.get[name]).cast("bigint").alias(name) for name in readers.LOG_COUNTERS]  # six numbers
+    return written.agg(F.count(F.lit(1)).alias("rows_written")).select(*counts, "rows_written")

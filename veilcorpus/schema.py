@@ -31,6 +31,8 @@ COMPLETION_FIELDS = (
     "content STRING, model STRING, provider STRING, usage MAP<STRING, INT>, "
     "latency_s DOUBLE, error STRING"
 )
+METRICS = "metric STRING, value DOUBLE, run_id STRING, step BIGINT"
+COMPARISON = "prompt STRING, base STRING, finetune STRING, comparison STRING"
 AUDIO_ROWS = "transcription STRING, audio STRUCT<bytes: BINARY, path: STRING>"
 
 

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from veilcorpus.sources.files import put_text, read_text, store_of
+
 STATE, INFO, SPLITS = "state.json", "dataset_info.json", "dataset_dict.json"
 STREAM_END = b"\xff\xff\xff\xff\0\0\0\0"
 FILE_MAGIC = b"ARROW1"
@@ -31,25 +33,10 @@ RANGE_BYTES = 64 << 20
 FORMAT = "arrow_corpus"
 
 
-def _store(path: str) -> tuple[pafs.FileSystem, str]:
-    if path.startswith("file:"):
-        path = "/" + path[len("file:") :].lstrip("/")
-    if "://" in path:
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path.rstrip("/")
-
-
-def _text(store: pafs.FileSystem, path: str) -> str | None:
-    if store.get_file_info(path).type != pafs.FileType.File:
-        return None
-    with store.open_input_stream(path) as f:
-        return f.read().decode()
-
-
 def data_files(path: str) -> list[str]:
     """Names of a corpus' data files, in order."""
-    store, root = _store(path)
-    state = _text(store, f"{root}/{STATE}")
+    store, root = store_of(path)
+    state = read_text(f"{path}/{STATE}")
     if state is not None:
         return [f["filename"] for f in json.loads(state)["_data_files"]]
     found = store.get_file_info(pafs.FileSelector(root, allow_not_found=True))
@@ -63,7 +50,7 @@ class _IpcFile:
     """One data file in either form; iterating gives its batches, of the wanted fields only."""
 
     def __init__(self, path: str, name: str, fields: Sequence[str] | None = None):
-        store, root = _store(path)
+        store, root = store_of(path)
         local = isinstance(store, pafs.LocalFileSystem)
         # Mapped, so that batches before the wanted ones cost no reading.
         self.file = pa.memory_map(f"{root}/{name}") if local else store.open_input_file(f"{root}/{name}")
@@ -149,7 +136,7 @@ class _Writer(DataSourceArrowWriter):
         self.path, self.schema, self.overwrite = path, schema, overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
-        store, root = _store(self.path)
+        store, root = store_of(self.path)
         store.create_dir(root, recursive=True)
         name, rows, writer = f"data-{uuid.uuid4().hex}.arrow", 0, None
         for batch in iterator:
@@ -165,7 +152,7 @@ class _Writer(DataSourceArrowWriter):
         return _Written(name, rows)
 
     def commit(self, messages: list[_Written | None]) -> None:
-        store, root = _store(self.path)
+        store, root = store_of(self.path)
         store.create_dir(root, recursive=True)
         old = [] if self.overwrite else self._present()
         new = [m.name for m in messages if m is not None and m.name]
@@ -180,8 +167,8 @@ class _Writer(DataSourceArrowWriter):
             "_data_files": [{"filename": n} for n in old + new], "_fingerprint": uuid.uuid4().hex[:16], "_format_columns": None,
             "_format_kwargs": {}, "_format_type": None, "_output_all_columns": False, "_split": None,
         }
-        _put(store, root, INFO, info)
-        _put(store, root, STATE, state)  # from here on the new corpus is the corpus
+        put_text(f"{self.path}/{INFO}", json.dumps(info, indent=2))
+        put_text(f"{self.path}/{STATE}", json.dumps(state, indent=2))  # from here on the new corpus is the corpus
         if self.overwrite:
             for f in store.get_file_info(pafs.FileSelector(root)):
                 if f.base_name.endswith(".arrow") and f.base_name not in new:
@@ -194,19 +181,12 @@ class _Writer(DataSourceArrowWriter):
             return []
 
     def abort(self, messages: list[_Written | None]) -> None:
-        store, root = _store(self.path)
+        store, root = store_of(self.path)
         for m in messages:
             if m is not None and m.name:
                 store.delete_file(f"{root}/{m.name}")
 
 
-def _put(store: pafs.FileSystem, root: str, name: str, value: dict) -> None:
-    own = f"{root}/.{name}-{uuid.uuid4().hex}"
-    with store.open_output_stream(own) as f:
-        f.write(json.dumps(value, indent=2).encode())
-    store.move(own, f"{root}/{name}")
-
-
 def _arrow_type(kind) -> pa.DataType:
     """For the one file of an empty corpus: plain types, lists and structs."""
     plain = {
@@ -261,12 +241,10 @@ def save_arrow_splits(df: DataFrame, path: str, names: Sequence[str] = ("train",
     """One corpus a split below `path`, named by a file that is written last."""
     for name in names:
         save_arrow_corpus(df.filter(df[split] == name).drop(split), f"{path}/{name}")
-    store, root = _store(path)
-    _put(store, root, SPLITS, {"splits": list(names)})
+    put_text(f"{path}/{SPLITS}", json.dumps({"splits": list(names)}))
 
 
 def arrow_splits(path: str) -> list[str]:
     """Names of the splits of a folder of corpora; none if it is no such folder."""
-    store, root = _store(path)
-    text = _text(store, f"{root}/{SPLITS}")
+    text = read_text(f"{path}/{SPLITS}")
     return [] if text is None else json.loads(text)["splits"]

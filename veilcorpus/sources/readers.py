@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from functools import reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from veilcorpus import schema as S
 from veilcorpus.functions.text import strip
@@ -75,15 +76,49 @@ def read_generation_log(spark: SparkSession, path: str, strict: bool = False) ->
     Lenient drops malformed lines; strict raises on the first one.
     """
     mode = "FAILFAST" if strict else "DROPMALFORMED"
-    return spark.read.schema(S.GENERATION_LOG).option("mode", mode).json(path)
+    reader = spark.read.schema(S.GENERATION_LOG).option("mode", mode)
+    return reader.option("recursiveFileLookup", "true").json(path)  # streams log in folders of their own
 
 
-def rejected_log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The malformed lines that the lenient reader drops."""
+def _log_lines(spark: SparkSession, path: str) -> DataFrame:
+    """`value, blank, row, corrupt` of every line: its parse, and whether that failed."""
     # Spark refuses a query of a file's corrupt-record column alone, so the lines are parsed here.
     held = F.from_json("value", S.GENERATION_LOG + ", _corrupt STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    lines = spark.read.text(path).filter(F.trim("value") != "")
-    return lines.filter(held.getField("_corrupt").isNotNull()).select(F.col("value").alias("_corrupt"))
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).withColumn("row", held)
+    blank = F.trim("value") == ""
+    corrupt = F.coalesce(F.col("row._corrupt").isNotNull() | F.col("row").isNull(), F.lit(False))
+    return lines.withColumn("blank", blank).withColumn("corrupt", ~blank & corrupt)
+
+
+def rejected_log_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The malformed lines that the lenient reader drops."""
+    return _log_lines(spark, path).filter("corrupt").select(F.col("value").alias("_corrupt"))
+
+
+LOG_COUNTERS = ("lines", "blank", "malformed", "without_task_id", "positive", "negative")
+
+
+def read_counted_log(spark: SparkSession, path: str) -> tuple[DataFrame, Observation]:
+    """The rows of the lenient reader, and counters of all lines that the same scan fills.
+
+    The counters (see LOG_COUNTERS) are there after the first action over the rows; polarities
+    count the rows that have a task id. An action that stops early, such as a limit, counts only
+    what it read.
+    """
+    counted = Observation(f"log-{uuid.uuid4().hex}")
+    lines = _log_lines(spark, path)
+    good = ~F.col("blank") & ~F.col("corrupt")
+    task = F.coalesce(F.length("row._meta.task_id") > 0, F.lit(False))
+
+    def times(condition: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, 1).otherwise(0).cast("bigint")), F.lit(0)).alias(name)
+
+    polarity = F.col("row._meta.polarity")
+    seen = lines.observe(
+        counted, F.count(F.lit(1)).alias("lines"), times(F.col("blank"), "blank"), times(F.col("corrupt"), "malformed"),
+        times(good & ~task, "without_task_id"), times(good & task & (polarity == "pos"), "positive"), times(good & task & (polarity == "neg"), "negative"),
+    )
+    return seen.filter(good).select("row.input_text", "row.annotation_json", "row._meta"), counted
 
 
 def spec_tables(spark: SparkSession, spec: Mapping[str, Any]) -> tuple[DataFrame, DataFrame]:
@@ -123,6 +158,17 @@ def load_spec(spark: SparkSession, path: str) -> dict:
     return yaml.safe_load(row["value"])
 
 
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """`run_id, step, metric, value` of all runs; run ids stay text, also where they look like numbers."""
+    return spark.read.schema(S.METRICS).parquet(path).select("run_id", "step", "metric", "value")
+
+
+def read_comparison(spark: SparkSession, path: str, name: str | None = None, format: str = "parquet") -> DataFrame:
+    """`comparison, prompt, base, finetune` of all comparisons, or of one: only its folder is read."""
+    rows = spark.read.schema(S.COMPARISON).format(format).load(path).select("comparison", "prompt", "base", "finetune")
+    return rows if name is None else rows.filter(F.col("comparison") == name)
+
+
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
     """`prompt_id, prompt`: one prompt per line, trimmed, blank lines dropped.
 

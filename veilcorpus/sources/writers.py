@@ -31,6 +31,11 @@ def append_generation_log(log: DataFrame, path: str) -> None:
     log.write.mode("append").json(path)
 
 
+def replace_log_part(log: DataFrame, path: str) -> None:
+    """Write one folder of a log anew; a second write of the same part replaces the first."""
+    log.write.mode("overwrite").json(path)
+
+
 def export_log(log: DataFrame, path: str, format: str = "parquet") -> None:
     """The corpus columns of a log, as a corpus."""
     save_corpus(log.select("input_text", "annotation_json"), path, format)
@@ -83,10 +88,29 @@ def split_preview(spark, card_path: str) -> DataFrame:
     return spark.read.json(card_path).select("dataset_name", "num_rows.*")
 
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
-    """Append `(run_id, step, metric, value)` rows."""
-    metrics.write.mode("append").parquet(path)
+def _replace_parts(df: DataFrame, path: str, keys: list[str], format: str) -> None:
+    """Overwrite the partitions that `df` has rows for, and no others."""
+    empty = df.filter(F.greatest(*[F.coalesce(F.col(k).cast("string") == "", F.lit(False)) for k in keys], F.lit(False))).limit(1)
+    if not empty.isEmpty():
+        raise ValueError(f"{keys} must not be empty texts: a folder name can't tell them from null")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*keys).format(format).save(path)
+
+
+def save_metrics(metrics: DataFrame, path: str) -> None:
+    """Write `(run_id, step, metric, value)` rows into a table of all runs.
+
+    What the table holds of the same run and step is replaced, so a repeated evaluation leaves one
+    copy, and all else stays. A null step is a part of its own.
+    """
+    keyed = metrics.select(F.col("run_id").cast("string"), F.col("step").cast("bigint"), "metric", F.col("value").cast("double"))
+    _replace_parts(keyed, path, ["run_id", "step"], "parquet")
 
 
-def save_comparison(compared: DataFrame, path: str, format: str = "parquet") -> None:
-    compared.select("prompt", "base", "finetune").write.mode("overwrite").format(format).save(path)
+def save_comparison(compared: DataFrame, path: str, name: str, format: str = "parquet") -> None:
+    """Write the rows of the comparison `name` into a table of all comparisons, in place of older ones of that name.
+
+    A comparison without rows leaves what is there.
+    """
+    rows = compared.select("prompt", "base", "finetune", F.lit(name).alias("comparison"))
+    _replace_parts(rows, path, ["comparison"], format)

@@ -1,8 +1,18 @@
-"""Resumable generation: task files in, finished rows appended to a log."""
+"""Resumable generation: task files in, finished rows appended to a log, each task once.
+
+A stream writes the rows of its batch number b to `<log>/run-<id>/batch-<b>`, where the id belongs to the
+stream's checkpoint. A batch that is run again, after a failure at any moment, replaces its own folder; nothing
+else ever writes there. Task ids that the stream has seen are keyed state (in RocksDB, on the executors), so a
+batch costs what its tasks cost, however long the log is. Only the first batch of a stream reads the log: it
+leaves out what other streams finished. A task that was rejected or failed is tried again by the next stream,
+as it is not in the log.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from veilcorpus import schema as S
@@ -10,7 +20,18 @@ from veilcorpus.operators.complete import CallPolicy, CompleterFactory, echo_com
 from veilcorpus.operators.tasks import pending_tasks
 from veilcorpus.operators.validate import log_rows
 from veilcorpus.sources.readers import path_exists, read_generation_log
-from veilcorpus.sources.writers import append_generation_log
+from veilcorpus.sources.writers import append_generation_log, replace_log_part
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def log_or_empty(spark: SparkSession, path: str, without: str | None = None) -> DataFrame:
+    """The log, or no rows where none was written yet; `without` names a folder whose rows don't count."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], S.GENERATION_LOG)
+    log = read_generation_log(spark, path)
+    return log.filter(~F.col("_metadata.file_path").contains(f"/{without}/")) if without else log
 
 
 def generate_pending(
@@ -21,16 +42,17 @@ def generate_pending(
     max_attempts: int = 2,
 ) -> DataFrame:
     """One run: skip finished and repeated task ids, generate the rest, append what was accepted."""
-    spark = tasks.sparkSession
-    if path_exists(spark, log_path):
-        log = read_generation_log(spark, log_path)
-    else:
-        log = spark.createDataFrame([], S.GENERATION_LOG)
+    log = log_or_empty(tasks.sparkSession, log_path)
     judged = generate_and_validate(pending_tasks(tasks.dropDuplicates(["task_id"]), log), factory, policy, max_attempts)
     append_generation_log(log_rows(judged), log_path)
     return judged
 
 
+def run_folder(checkpoint: str) -> str:
+    """The part of the log that belongs to a stream: the same after every restart from its checkpoint."""
+    return f"run-{hashlib.md5(checkpoint.rstrip('/').encode()).hexdigest()[:16]}"
+
+
 def start_generation(
     task_stream: DataFrame,
     log_path: str,
@@ -39,14 +61,22 @@ def start_generation(
     policy: CallPolicy = CallPolicy(),
     max_attempts: int = 2,
 ) -> StreamingQuery:
-    """The same for a stream of task rows.
-
-    The stream checkpoint remembers which files were read. A batch that is run again finds
-    its finished task ids in the log and skips them, so no task is logged twice.
-    """
+    """The same for a stream of task rows, each task id once for all restarts; a null id is no task."""
+    spark = task_stream.sparkSession
+    own = run_folder(checkpoint)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        generate_pending(batch, log_path, factory, policy, max_attempts)
+        if batch_id == 0:
+            # Its own folder may hold rows of a first try, which are replaced.
+            batch = pending_tasks(batch, log_or_empty(spark, log_path, without=own))
+        judged = generate_and_validate(batch, factory, policy, max_attempts)
+        replace_log_part(log_rows(judged), f"{log_path}/{own}/batch-{batch_id:09d}")
 
-    writer = task_stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+    fresh = task_stream.filter("task_id IS NOT NULL").dropDuplicates(["task_id"])
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        writer = fresh.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+        return writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(STATE_STORE, before) if before else spark.conf.unset(STATE_STORE)
