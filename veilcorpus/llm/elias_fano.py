@@ -78,13 +78,14 @@ class EliasFano:
         high = word * 64 + _select(self.high[word], i - ones[word]) - i
         return (high.astype(U64) << U64(self.shift)) | self._lows(i)
 
-    def successor(self, x: np.ndarray, begin: np.ndarray | int = 0, end: np.ndarray | int | None = None) -> np.ndarray:
-        """First place in [begin, end) of a value of at least `x`, else `end`."""
+    def _search(self, x: np.ndarray, begin: np.ndarray | int, end: np.ndarray | int | None) -> tuple[np.ndarray, np.ndarray]:
+        """The successor, and where the values that share its high bits end."""
         x = x.astype(U64)
         bucket = (x >> U64(self.shift)).astype(np.int64)
         first = np.where(bucket > 0, self._up_to(np.maximum(bucket - 1, 0)), 0)
         end = self.n if end is None else end
-        low, high = np.minimum(np.maximum(first, begin), end), np.minimum(self._up_to(bucket), end)
+        last = np.minimum(self._up_to(bucket), end)
+        low, high = np.minimum(np.maximum(first, begin), end), last.copy()
         wanted = x & U64((1 << self.shift) - 1)
         open_ = np.flatnonzero(low < high)
         while len(open_):
@@ -93,16 +94,20 @@ class EliasFano:
             low[open_[less]] = middle[less] + 1
             high[open_[~less]] = middle[~less]
             open_ = open_[low[open_] < high[open_]]
-        return low
+        return low, last
+
+    def successor(self, x: np.ndarray, begin: np.ndarray | int = 0, end: np.ndarray | int | None = None) -> np.ndarray:
+        """First place in [begin, end) of a value of at least `x`, else `end`."""
+        return self._search(x, begin, end)[0]
 
     def find(self, x: np.ndarray, begin: np.ndarray | int = 0, end: np.ndarray | int | None = None) -> np.ndarray:
         """Place of `x` in [begin, end), or -1."""
         if not self.n or not len(x):
             return np.full(len(x), -1, dtype=np.int64)
-        at = self.successor(x, begin, end)
-        inside = (at < self.n) & (at < (self.n if end is None else end)) & (at >= begin)
-        hit = np.flatnonzero(inside)
-        same = self[at[hit]] == x[hit].astype(U64)
+        at, last = self._search(x, begin, end)
+        # The successor is `x` itself if both halves agree: it lies before `last`, and its low bits are those of `x`.
+        hit = np.flatnonzero(at < last)
+        same = self._lows(at[hit]) == x[hit].astype(U64) & U64((1 << self.shift) - 1)
         out = np.full(len(x), -1, dtype=np.int64)
         out[hit[same]] = at[hit[same]]
         return out

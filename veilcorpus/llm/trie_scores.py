@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from array import array
 from collections.abc import Iterable, Iterator
 from urllib.parse import urlparse
 
@@ -41,7 +42,7 @@ from veilcorpus.session import materialize, shared_dir
 FOLDS = 10
 STEP = 1 / 4096  # of -log10 p
 FIXED = 1 << 32  # base scores are added as multiples of 1 / FIXED
-CHUNK_TOKENS = 3_000_000
+CHUNK_TOKENS = 2_000_000
 SHARD_BYTES = 24 << 20  # of text
 MOST_SHARDS = 100_000  # beyond that shards grow
 SAMPLE_DOCS = 2_000  # the frequent words, which only decide where pairs are counted
@@ -103,25 +104,32 @@ def words(text: bytes | None) -> list[bytes]:
 
 
 def _chunks(batches: Iterable[pa.RecordBatch], tokens: int) -> Iterator[tuple[int, list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """First row, ids, hashes of the word numbers, and words, predecessors and documents of all tokens."""
-    row, ids, w, u, lengths, number = None, [], [], [], [], _Numbers()
+    """First row, ids, ascending hashes of the words, and words, predecessors (as places in these) and documents of all tokens."""
+    row, ids, w, lengths, number = None, [], array("i"), [], _Numbers()
 
     def made():
-        return row, ids, np.array(number.hashes, dtype=np.uint64), np.array(w), np.array(u), np.repeat(np.arange(len(ids)), lengths)
+        hashes = np.array(number.hashes, dtype=np.uint64)
+        order = np.argsort(hashes)
+        rank = np.empty(len(order), dtype=np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        # From here on words are numbered in the order of their hashes.
+        tokens = rank[np.frombuffer(w, dtype=np.int32)]
+        before = np.empty_like(tokens)
+        before[1:] = tokens[:-1]
+        before[np.cumsum([0, *lengths[:-1]])] = rank[0]
+        return row, ids, hashes[order], tokens, before, np.repeat(np.arange(len(ids), dtype=np.int32), lengths)
 
     for batch in batches:
         for at, doc_id, text in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
             row = at if row is None else row
-            seen = list(map(number.__getitem__, words(text.as_py())))
+            seen = words(text.as_py())
             ids.append(doc_id)
             lengths.append(len(seen) + 1)
-            w += seen
+            w.extend(map(number.__getitem__, seen))
             w.append(1)
-            u.append(0)
-            u += seen
             if len(w) >= tokens:
                 yield made()
-                row, ids, w, u, lengths, number = None, [], [], [], [], _Numbers()
+                row, ids, w, lengths, number = None, [], array("i"), [], _Numbers()
     if ids:
         yield made()
 
@@ -131,34 +139,56 @@ def _shard(w: np.ndarray, u: np.ndarray, hot: np.ndarray, shards: int) -> np.nda
     return (mixed % np.uint64(shards)).astype(np.int64)
 
 
-def _pairs_by_shard(hashes, w, u, docs, hot, shards) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each shard its pairs: word and predecessor hashes, documents a pair, and (pair by pair) documents with counts."""
-    pairs, of = np.unique(w.astype(np.uint64) << np.uint64(32) | u.astype(np.uint64), return_inverse=True)
-    n_docs = int(docs[-1]) + 1 if len(docs) else 1
-    cells, counts = np.unique(of * n_docs + docs, return_counts=True)
-    pair_of, doc_of = np.divmod(cells, n_docs)
-    wh, uh = hashes[(pairs >> np.uint64(32)).astype(np.int64)], hashes[(pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)]
-    shard = _shard(wh, uh, hot, shards)
-    per_pair = np.bincount(pair_of, minlength=len(pairs))
-    starts = np.concatenate([[0], np.cumsum(per_pair)])
-    order = np.lexsort((uh, wh, shard))
+def _runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal keys starts, and how long it is."""
+    first = np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])) if len(sorted_keys) else np.empty(0, dtype=np.int64)
+    return first, np.diff(first, append=len(sorted_keys))
+
+
+def _pairs_by_shard(hashes, w, u, docs, hot, shards) -> Iterator[tuple[int, list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]]:
+    """For each shard its pairs (see `_coded`), documents a pair, and (pair by pair) documents with counts.
+
+    `docs` may be None: then a pair has one entry, its count.
+    """
+    n_words, n_docs = len(hashes), int(docs[-1]) + 1 if docs is not None else 1
+    pairs = w.astype(np.uint64) * np.uint64(n_words) + u.astype(np.uint64)
+    if docs is None:
+        cells = np.sort(pairs)
+        per_cell = 1
+    elif n_words * n_words * n_docs < 1 << 64:
+        cells = np.sort(pairs * np.uint64(n_docs) + docs.astype(np.uint64))
+        per_cell = n_docs
+    else:  # a chunk of very many words and documents
+        every, of = np.unique(pairs, return_inverse=True)
+        cells = np.sort(of.astype(np.uint64) * np.uint64(n_docs) + docs.astype(np.uint64))
+        per_cell = n_docs
+    first, counts = _runs(cells)
+    pair_of, doc_of = np.divmod(cells[first], np.uint64(per_cell))
+    if docs is not None and n_words * n_words * n_docs >= 1 << 64:
+        pair_of = every[pair_of.astype(np.int64)]
+    starts, per_pair = _runs(pair_of)
+    w_of, u_of = (x.astype(np.int32) for x in np.divmod(pair_of[starts], np.uint64(n_words)))
+    shard = _shard(hashes[w_of], hashes[u_of], hot, shards).astype(np.int32 if shards > 32_000 else np.int16)
+    order = np.argsort(shard, kind="stable")  # pairs stay ascending within a shard
     edges = np.searchsorted(shard[order], np.arange(shards + 1))
     for s in np.flatnonzero(np.diff(edges)):
         mine = order[edges[s] : edges[s + 1]]
         n = per_pair[mine]
         at = np.repeat(starts[mine] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        yield int(s), wh[mine], uh[mine], n, doc_of[at], counts[at]
+        yield int(s), _coded(hashes, w_of[mine], u_of[mine]), n, doc_of[at], counts[at]
 
 
-def _coded(wh: np.ndarray, uh: np.ndarray) -> list[np.ndarray]:
+def _coded(hashes: np.ndarray, w: np.ndarray, u: np.ndarray) -> list[np.ndarray]:
     """Pairs ascending by word and predecessor, as lists of distinct hashes and places in these."""
-    w_list, w_at = np.unique(wh, return_inverse=True)
-    u_list, u_at = np.unique(uh, return_inverse=True)
-    return [steps(w_list), steps(w_at), steps(u_list), u_at]
+    w_first, w_runs = _runs(w)
+    u_list, u_at = np.unique(u, return_inverse=True)
+    return [steps(hashes[w[w_first]]), w_runs, steps(hashes[u_list]), u_at]
 
 
-def _hashes(w_list, w_at, u_list, u_at) -> tuple[np.ndarray, np.ndarray]:
-    return _sum(w_list)[_sum(w_at).astype(np.int64)], _sum(u_list)[u_at]
+def _decoded(w_steps, w_runs, u_steps, u_at) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words, each pair's place in them, and the same of predecessors."""
+    w_list = _sum(w_steps)
+    return w_list, np.repeat(np.arange(len(w_list), dtype=np.int32), w_runs), _sum(u_steps), u_at
 
 
 def _sum(a: np.ndarray) -> np.ndarray:
@@ -192,28 +222,31 @@ def _counted(train: DataFrame, hot: np.ndarray, shards: int, tokens: int) -> Dat
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, hashes, w, u, docs in _chunks(batches, tokens):
-            for s, wh, uh, _, _, n in _pairs_by_shard(hashes, w, u, np.zeros_like(docs), hot, shards):
-                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([pack(*_coded(wh, uh), n)], pa.binary())], ["shard", "pairs"])
+            for s, coded, _, _, n in _pairs_by_shard(hashes, w, u, None, hot, shards):
+                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([pack(*coded, n)], pa.binary())], ["shard", "pairs"])
 
     def add(table: pa.Table) -> pa.Table:
-        w, u, n = [], [], []
-        for cell in table.column("pairs"):
-            *coded, counts = unpack(cell.as_py())
-            wh, uh = _hashes(*coded)
-            w.append(wh), u.append(uh), n.append(counts.astype(np.int64))
-        w, u, n = map(np.concatenate, (w, u, n))
-        order = np.lexsort((u, w))
-        w, u, n = w[order], u[order], n[order]
-        first = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (u[1:] != u[:-1])]))
-        w, u, n = w[first], u[first], np.add.reduceat(n, first)
-        at = np.searchsorted(hot, w)
-        is_hot = (at < len(hot)) & (hot[np.minimum(at, max(0, len(hot) - 1))] == w) if len(hot) else np.zeros(len(w), dtype=bool)
-        hot_counts = np.bincount(at[is_hot], weights=n[is_hot], minlength=len(hot)).astype(np.int64)
-        seen = np.flatnonzero(hot_counts)
+        cells = [unpack(cell.as_py()) for cell in table.column("pairs")]
+        w_list, u_list = (np.unique(np.concatenate([_sum(cell[i]) for cell in cells])) for i in (0, 2))
+        keys = []
+        for *coded, _ in cells:
+            w, w_at, u, u_at = _decoded(*coded)
+            key = np.searchsorted(w_list, w).astype(np.uint64)[w_at]
+            keys.append(key * np.uint64(len(u_list)) + np.searchsorted(u_list, u).astype(np.uint64)[u_at])
+        key, n = np.concatenate(keys), np.concatenate([cell[4].astype(np.int32) for cell in cells])
+        del keys, cells
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+        first, _ = _runs(key)
+        n = np.add.reduceat(n, first, dtype=np.int64)
+        w, u = (x.astype(np.int32) for x in np.divmod(key[first], np.uint64(len(u_list))))
+        is_hot = np.isin(w_list, hot)
+        of_word = np.bincount(w, weights=n, minlength=len(w_list)).astype(np.int64)
+        w_first, w_runs = _runs(w)
         row = {
-            "shard": table.column("shard")[0].as_py(), "pairs": pack(*_coded(w, u), n), "tokens": int(n.sum()),
-            "others": len(np.unique(w[~is_hot])), "n1": int((n == 1).sum()), "n2": int((n == 2).sum()),
-            "hot": [{"at": int(i), "n": int(hot_counts[i])} for i in seen],
+            "shard": table.column("shard")[0].as_py(), "pairs": pack(steps(w_list), w_runs, steps(u_list), u, n), "tokens": int(n.sum()),
+            "others": int((~is_hot).sum()), "n1": int((n == 1).sum()), "n2": int((n == 2).sum()),
+            "hot": [{"at": int(np.searchsorted(hot, w_list[i])), "n": int(of_word[i])} for i in np.flatnonzero(is_hot)],
         }
         return pa.Table.from_pylist([row], schema=counted)
 
@@ -306,8 +339,8 @@ def _build(model: Model) -> callable:
         w = u_at = n = np.empty(0, dtype=np.int64)
         u_list, w_list = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.uint64)
         for cell in counted.column("pairs"):  # one row at most
-            w_steps, w_at, u_steps, u_at, n = unpack(cell.as_py())
-            w_list, w, u_list = _sum(w_steps), _sum(w_at).astype(np.int64), _sum(u_steps)
+            *coded, n = unpack(cell.as_py())
+            w_list, w, u_list, u_at = _decoded(*coded)
         total, followers = np.zeros(len(u_list), dtype=np.int64), np.zeros(len(u_list), dtype=np.int64)
         places = _at_home(u_list, model.shards)
         homes: list[np.ndarray] = [np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)]
@@ -395,8 +428,8 @@ def _deal(model: Model, tokens: int) -> callable:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = pa.schema([("shard", pa.int32()), ("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("pairs", pa.binary())])
         for row, ids, hashes, w, u, docs in _chunks(batches, tokens):
-            for s, wh, uh, n_docs, doc_of, counts in _pairs_by_shard(hashes, w, u, docs, model.hot, model.shards):
-                packed = pack(*_coded(wh, uh), n_docs, doc_of, counts)
+            for s, coded, n_docs, doc_of, counts in _pairs_by_shard(hashes, w, u, docs, model.hot, model.shards):
+                packed = pack(*coded, n_docs, doc_of, counts)
                 yield pa.RecordBatch.from_pylist([{"shard": s, "chunk": row, "ids": ids, "pairs": packed}], schema=kinds)
                 ids = None  # the documents travel once
 
@@ -415,30 +448,34 @@ def _score(model: Model) -> callable:
                 if line["shard"] != held:
                     held, trie = line["shard"], map_levels(model.path(line["shard"]))
                 *coded, n_docs, docs, counts = unpack(line["pairs"])
-                words_, u = _hashes(*coded)
-                at = trie["words"].find(words_)
-                known = at >= 0
-                i = np.flatnonzero(known)
-                base = np.full(len(words_), none_base)
-                base[i] = np.log10(model.unigram(trie["counts"][at[i]]))
-                code = np.full(len(words_), none_code, dtype=np.int64)
-                code[i] = trie["unigrams"][at[i]]
-                previous = trie["predecessors"].find(u)
-                i = np.flatnonzero(known & (previous >= 0))
-                key = at[i].astype(np.uint64) * np.uint64(trie["predecessors"].n) + previous[i].astype(np.uint64)
-                pair = trie["pairs"].find(key, trie["pointers"][at[i]].astype(np.int64), trie["pointers"][at[i] + 1].astype(np.int64))
-                seen = np.zeros(len(words_), dtype=bool)
+                w_list, w, u_list, u = _decoded(*coded)
+                # Words and predecessors are looked up once each, then every pair in its word's range.
+                at = trie["words"].find(w_list)
+                here = np.flatnonzero(at >= 0)
+                base = np.full(len(w_list), none_base)
+                base[here] = np.log10(model.unigram(trie["counts"][at[here]]))
+                base = np.rint(-base * FIXED).astype(np.int64)
+                alone = np.full(len(w_list), none_code, dtype=np.int64)
+                alone[here] = trie["unigrams"][at[here]]
+                begin, end = np.zeros(len(w_list), dtype=np.int64), np.zeros(len(w_list), dtype=np.int64)
+                begin[here], end[here] = trie["pointers"][at[here]], trie["pointers"][at[here] + 1]
+                previous = trie["predecessors"].find(u_list)
+                i = np.flatnonzero((at[w] >= 0) & (previous[u] >= 0))
+                key = at[w[i]].astype(np.uint64) * np.uint64(trie["predecessors"].n) + previous[u[i]].astype(np.uint64)
+                pair = trie["pairs"].find(key, begin[w[i]], end[w[i]])
+                code, seen = alone[w], np.zeros(len(w), dtype=bool)
                 seen[i[pair >= 0]] = True
                 code[i[pair >= 0]] = trie["codes"][pair[pair >= 0]]
-                counts, docs, of = counts.astype(np.int64), docs.astype(np.int64), np.repeat(np.arange(len(words_)), n_docs)
+                counts, docs, of = counts.astype(np.int64), docs.astype(np.int64), np.repeat(np.arange(len(w)), n_docs)
+                word = w[of]
                 asked = np.flatnonzero(~seen[of])
                 yield pa.RecordBatch.from_pylist(
                     [
                         {
                             "chunk": line["chunk"],
                             "ids": line["ids"],
-                            "sums": _by_doc(docs, counts, counts * known[of], counts * np.rint(-base * FIXED).astype(np.int64)[of], counts * code[of]),
-                            "asked": pack(u[of[asked]], docs[asked], counts[asked]) if len(asked) else None,
+                            "sums": _by_doc(docs, counts, counts * (at >= 0)[word], counts * base[word], counts * code[of]),
+                            "asked": pack(u_list[u[of[asked]]], docs[asked], counts[asked]) if len(asked) else None,
                         }
                     ],
                     schema=kinds,
