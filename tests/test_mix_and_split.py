@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from veilcorpus.functions.hashing import draw
-from veilcorpus.operators import mix, split
+from veilcorpus.operators import mix, rank, split
 from veilcorpus.plans import corpus_build
 from veilcorpus.fixed_values import CATEGORIES
 
@@ -97,3 +97,26 @@ def test_corpus_is_built_from_files(spark, tmp_path):
     assert alone["num_rows"]["total"] == 60
     rows = spark.read.parquet(f"{tmp_path}/out/data")
     assert rows.count() == 145 and [m["role"] for m in rows.first()["messages"]] == ["system", "user", "assistant"]
+
+
+def test_null_groups_and_any_names_stay(spark):
+    rows = [(1, "a", 1.0), (2, None, 2.0), (3, None, 1.0)]
+    df = spark.createDataFrame(rows, "row_id long, source string, weight double")
+    for name in ("_u", "_b", "_k", "_n", "_offset", "_needed", "_outer", "_right_0", "position2"):
+        df = df.withColumn(name, F.lit("user"))
+    for ranked in (
+        rank.weighted_shuffle_positions(df, "row_id", "weight", 1, groups=["source"]),
+        rank.shuffle_positions(df, "row_id", 1, groups=["source"]),
+    ):
+        got = ranked.collect()
+        assert sorted((r["source"] or "", r["position"]) for r in got) == [("", 0), ("", 1), ("a", 0)]
+        assert all(r[n] == "user" for r in got for n in ("_u", "_b", "_k", "_n", "_offset", "_needed", "_right_0"))
+    parts = split.three_way_split(df, "row_id", 0.3, 0.3)
+    assert parts.columns == [*df.columns, "split"] and parts.filter("_outer = 'user'").count() == 3
+    sizes = mix.source_sizes(df)
+    slots = mix.queue_slots(spark, 50, sizes, 7).collect()
+    drawn = mix.draw_slots(spark, 50, sizes, 7).count()
+    assert len(slots) == drawn and {r["source"] for r in slots} == {"a", None}
+    entries = mix.queue_entries(df.select("row_id", "source", "weight"), 50, sizes, 7)
+    wanted = {(r["source"], r["epoch"], r["position"]) for r in slots}
+    assert wanted <= {(r["source"], r["epoch"], r["position"]) for r in entries.collect()}

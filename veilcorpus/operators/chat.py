@@ -130,11 +130,9 @@ def to_chat(df: DataFrame, mapper: dict[str, str] | str | None = None, keep: tup
 
 def bad_chat_rows(df: DataFrame, mapper: dict[str, str] | str | None = None) -> DataFrame:
     """Preflight over the whole table: rows that have no messages, or a turn without role or content."""
-    checked = df.withColumn("_m", resolve_chat(df, mapper))
-    broken = F.exists(
-        "_m", lambda t: t.getField("role").isNull() | t.getField("content").isNull()
-    )
-    return checked.filter(F.col("_m").isNull() | (F.size("_m") == 0) | broken).drop("_m")
+    messages = resolve_chat(df, mapper)
+    broken = F.exists(messages, lambda t: t.getField("role").isNull() | t.getField("content").isNull())
+    return df.filter(messages.isNull() | (F.size(messages) == 0) | broken)
 
 
 # --- Reading messages -------------------------------------------------------

@@ -1,7 +1,7 @@
 """Mix corpora: concatenate 2 to 4 rarity-weighted rows per output row.
 
 The corpus table has `row_id, source, input_text, annotation`; row ids are unique
-over all sources. One output row `i` draws k sources (with replacement, by size) and
+over all sources, and rows without a source form a source of their own, which comes first. One output row `i` draws k sources (with replacement, by size) and
 takes the next row of each source's queue. A queue is a weighted shuffle of the
 source; when it runs out a fresh shuffle follows, so epoch e of a source is the
 shuffle with salt e. Slot number r of a source therefore reads epoch `r div N`,
@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from veilcorpus.fixed_values import MIX_DELIMITERS
+from veilcorpus.functions.frames import join_null_safe
 from veilcorpus.functions.hashing import draw, unit
 from veilcorpus.operators.annotate import is_hard_negative, merge_annotations
 from veilcorpus.operators.profile import rarity_terms, sample_weight
@@ -82,7 +83,7 @@ def queue_slots(
 ) -> DataFrame:
     """`(i, j, source, epoch, position)`: which queue entry each slot takes."""
     ranked = rank_slots(draw_slots(spark, n_rows, sizes, seed), n_rows)
-    return ranked.join(sizes.select("source", "n_source"), "source").select(
+    return join_null_safe(ranked, sizes.select("source", "n_source"), ["source"]).select(
         "i",
         "j",
         "source",
@@ -100,12 +101,8 @@ def queue_entries(
     is really used, and in the last epoch only the leading buckets are sorted.
     """
     spark = weighted.sparkSession
-    used = (
-        draw_slots(spark, n_rows, sizes, seed)
-        .groupBy("source")
-        .agg(F.count(F.lit(1)).alias("n_slots"))
-        .join(sizes.select("source", "n_source"), "source")
-    )
+    drawn = draw_slots(spark, n_rows, sizes, seed).groupBy("source").agg(F.count(F.lit(1)).alias("n_slots"))
+    used = join_null_safe(drawn, sizes.select("source", "n_source"), ["source"])
     # One row a source from here.
     epochs = used.select("source", F.expr("(n_slots - 1) div n_source").alias("last_epoch"))
     needed = used.select(
@@ -118,7 +115,7 @@ def queue_entries(
         "epoch",
         F.least(F.col("n_slots") - F.col("epoch") * F.col("n_source"), F.col("n_source")).alias("needed"),
     )
-    repeated = weighted.join(epochs, "source").select(
+    repeated = join_null_safe(weighted, epochs, ["source"]).select(
         "row_id", "source", "weight", F.explode(F.expr("sequence(0L, last_epoch)")).alias("epoch")
     )
     u = unit(draw(seed, "queue", F.col("epoch"), F.col("row_id")))
@@ -144,7 +141,7 @@ def chosen_rows(corpus: DataFrame, n_rows: int, seed: int) -> DataFrame:
     sizes = source_sizes(corpus)
     slots = queue_slots(spark, n_rows, sizes, seed)
     entries = queue_entries(corpus_weights(corpus), n_rows, sizes, seed)
-    return slots.join(entries, ["source", "epoch", "position"]).select("i", "j", "row_id")
+    return join_null_safe(slots, entries, ["source", "epoch", "position"]).select("i", "j", "row_id")
 
 
 def concatenate_rows(

@@ -14,6 +14,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from veilcorpus.functions.frames import free_name, join_null_safe
 from veilcorpus.functions.hashing import draw, unit
 
 _BEFORE = (Window.unboundedPreceding, -1)
@@ -57,26 +58,37 @@ def bucketed_rank(
     position: str = "position",
     needed: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the 0-based position of each row in its group.
+    """Add the 0-based position of each row in its group; a null group is a group like any other.
 
-    `bucket` must be monotone in `order`. `needed` (groups + `needed` count) keeps only
-    the first rows of each group; buckets beyond that are dropped before any sort.
+    `bucket` must be monotone in `order`. `needed` (groups + a count as its last column) keeps only
+    the first rows of each group; buckets beyond that are dropped before any sort. A column that is
+    named like `position` is replaced; all others stay, whatever their names.
     """
     groups = list(groups)
-    counts = df.groupBy(*groups, bucket).agg(F.count(F.lit(1)).alias("_n"))
+    n, offset, limit = (free_name(base, df) for base in ("_n", "_offset", "_needed"))
+    counts = df.groupBy(*groups, bucket).agg(F.count(F.lit(1)).alias(n))
     running = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(*_BEFORE)
-    offsets = counts.select(
-        *groups, bucket, F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_offset")
-    )
+    offsets = counts.select(*groups, bucket, F.coalesce(F.sum(n).over(running), F.lit(0)).alias(offset))
     if needed is not None:
-        offsets = offsets.join(needed, groups).filter("_offset < needed")
+        bounds = needed.withColumnRenamed(needed.columns[-1], limit)
+        offsets = join_null_safe(offsets, bounds, groups).filter(F.col(offset) < F.col(limit))
     within = Window.partitionBy(*groups, bucket).orderBy(*order)
-    ranked = df.join(offsets, [*groups, bucket]).withColumn(
-        position, (F.col("_offset") + F.row_number().over(within) - 1).cast("bigint")
+    ranked = join_null_safe(df, offsets, [*groups, bucket]).withColumn(
+        position, (F.col(offset) + F.row_number().over(within) - 1).cast("bigint")
     )
     if needed is not None:
-        ranked = ranked.filter(F.col(position) < F.col("needed")).drop("needed")
-    return ranked.drop("_offset", bucket)
+        ranked = ranked.filter(F.col(position) < F.col(limit)).drop(limit)
+    return ranked.drop(offset, bucket)
+
+
+def _ranked_by_key(
+    df: DataFrame, key: Column, bucket: Callable[[Column, int], Column], row_id: str, groups: Sequence[str], position: str
+) -> DataFrame:
+    """Positions in the order of a key column and then the row id."""
+    k, b = free_name("_k", df), free_name("_b", df)
+    keyed = df.withColumn(k, key)
+    keyed = keyed.withColumn(b, bucket(F.col(k), default_buckets(df.sparkSession)))
+    return bucketed_rank(keyed, [k, row_id], b, groups, position).drop(k)
 
 
 def shuffle_positions(
@@ -84,9 +96,7 @@ def shuffle_positions(
     position: str = "position",
 ) -> DataFrame:
     """Position of each row in a uniform shuffle (of each group)."""
-    keyed = df.withColumn("_u", uniform_key(seed, salt, F.col(row_id)))
-    keyed = keyed.withColumn("_b", uniform_bucket(F.col("_u"), default_buckets(df.sparkSession)))
-    return bucketed_rank(keyed, ["_u", row_id], "_b", groups, position).drop("_u")
+    return _ranked_by_key(df, uniform_key(seed, salt, F.col(row_id)), uniform_bucket, row_id, groups, position)
 
 
 def weighted_shuffle_positions(
@@ -94,12 +104,8 @@ def weighted_shuffle_positions(
     groups: Sequence[str] = (), position: str = "position",
 ) -> DataFrame:
     """Position of each row in a weighted shuffle: a larger weight tends to come first."""
-    u = uniform_key(seed, salt, F.col(row_id))
-    keyed = df.withColumn("_k", weighted_key(u, F.col(weight)))
-    keyed = keyed.withColumn(
-        "_b", exponential_bucket(F.col("_k"), default_buckets(df.sparkSession))
-    )
-    return bucketed_rank(keyed, ["_k", row_id], "_b", groups, position).drop("_k")
+    key = weighted_key(uniform_key(seed, salt, F.col(row_id)), F.col(weight))
+    return _ranked_by_key(df, key, exponential_bucket, row_id, groups, position)
 
 
 def key_at_position(

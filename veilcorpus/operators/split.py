@@ -1,13 +1,15 @@
 """Train / validation / test splits.
 
 The rows of a split are the two ends of a seeded permutation, so the split is a
-comparison with one cut key: a narrow pass over the data, and no shuffle of it.
+comparison with one cut key: a narrow pass over the data, and no shuffle of it. A column
+named `split` is replaced, all others stay.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from veilcorpus.functions.frames import free_name
 from veilcorpus.operators.rank import key_at_position, uniform_key
 
 
@@ -60,16 +62,15 @@ def three_way_split(
     seed: int = 42,
 ) -> DataFrame:
     """Test rows first, then validation rows from what is left."""
-    outer = carve_out(df, row_id, test_ratio, seed, "test", "test").withColumnRenamed(
-        "split", "_outer"
-    )
-    rest = outer.filter("_outer = 'train'")
+    name = free_name("_outer", df)
+    outer = carve_out(df, row_id, test_ratio, seed, "test", "test").withColumnRenamed("split", name)
+    rest = outer.filter(F.col(name) == "train")
     key = _key(row_id, seed, "validation")
     cut = key_at_position(rest, key, row_id, lambda n: carved_rows(n, validation_ratio))
     here = F.struct(key.alias("k"), F.col(row_id).alias("id"))
     inner = F.when(cut.isNull() | (here < cut), F.lit("validation")).otherwise(F.lit("train"))
-    split = F.when(F.col("_outer") == "test", F.lit("test")).otherwise(inner)
-    return outer.withColumn("split", split).drop("_outer")
+    split = F.when(F.col(name) == "test", F.lit("test")).otherwise(inner)
+    return outer.withColumn("split", split).drop(name)
 
 
 def evaluation_split(

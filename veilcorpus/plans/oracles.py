@@ -281,7 +281,7 @@ SQL["evaluation_subset"] = f"SELECT doc_id FROM ({_ranked('evaluation', 'documen
 def slots(n_rows: str) -> str:
     """CTEs up to `slots(i, j, source, epoch, position)`; sources are the languages."""
     return (
-        "sizes AS (SELECT source, n, sum(n) OVER (ORDER BY source) AS upto, sum(n) OVER () AS total FROM "
+        "sizes AS (SELECT source, n, sum(n) OVER (ORDER BY source NULLS FIRST) AS upto, sum(n) OVER () AS total FROM "
         "(SELECT lang AS source, count(*) AS n FROM documents GROUP BY lang)), "
         f"outputs AS (SELECT range AS i, 2 + {draw(lit('size'), 'range')} % 3 AS k FROM range({n_rows})), "
         "raw_slots AS (SELECT i, unnest(range(k)) AS j FROM outputs), "
@@ -303,10 +303,10 @@ def mixed(n_rows: str) -> str:
     return (
         f"{WEIGHTS}, {slots(n_rows)}, "
         "epochs AS (SELECT source, max(epoch) AS last_epoch FROM slots GROUP BY source), "
-        "repeated AS (SELECT row_id, source, weight, unnest(range(last_epoch + 1)) AS epoch FROM weights JOIN epochs USING (source)), "
+        "repeated AS (SELECT row_id, weights.source, weight, unnest(range(last_epoch + 1)) AS epoch FROM weights JOIN epochs e ON e.source IS NOT DISTINCT FROM weights.source), "
         "queue AS (SELECT row_id, source, epoch, row_number() OVER (PARTITION BY source, epoch ORDER BY "
         f"-ln({unit(lit('queue'), 'epoch', 'row_id')}) / weight, row_id) - 1 AS position FROM repeated), "
-        f"picked AS (SELECT i, j, {draw(lit('order'), 'i', 'j')} AS h, row_id FROM slots JOIN queue USING (source, epoch, position)), "
+        f"picked AS (SELECT i, j, {draw(lit('order'), 'i', 'j')} AS h, row_id FROM slots JOIN queue q ON q.source IS NOT DISTINCT FROM slots.source AND q.epoch = slots.epoch AND q.position = slots.position), "
         "placed AS (SELECT i, row_id, row_number() OVER (PARTITION BY i ORDER BY h, j) AS place FROM picked), "
         "vals AS ("
         + " UNION ALL ".join(
@@ -329,6 +329,15 @@ SQL["augment_mixed"] = (
     f"SELECT i, n_rows, md5({_TEXT_JOINED}) AS text_md5, {found_json()} AS annotation_json "
     "FROM texts LEFT JOIN wide USING (i)"
 )
+
+def _unnamed(sql: str) -> str:
+    """The same over a corpus in which one language has no name."""
+    return sql.replace("lang AS source", "nullif(lang, 'es') AS source").replace("GROUP BY lang", "GROUP BY ALL")
+
+
+SQL["augment_slots_unnamed"] = _unnamed(SQL["augment_slots"])
+SQL["augment_mixed_unnamed"] = _unnamed(SQL["augment_mixed"])
+SQL["weighted_shuffle_rank_unnamed"] = _unnamed(SQL["weighted_shuffle_rank"])
 _NEGATIVE_RANK = (
     f"pool AS (SELECT row_id, source FROM gold WHERE {NO_ENTITIES}), "
     f"ranked AS (SELECT row_id, source, row_number() OVER (ORDER BY {unit(lit('negative'), 'row_id')}, row_id) - 1 AS position FROM pool)"

@@ -318,6 +318,36 @@ def augment_mixed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# The same over a corpus in which one source has no name.
+_UNNAMED = "CASE WHEN source <> 'es' THEN source END"
+
+
+@query
+def augment_slots_unnamed(spark: SparkSession, sf: str) -> DataFrame:
+    named = td.table(spark, sf, "documents").select(F.col("lang").alias("source"))
+    sizes = mix.source_sizes(named.withColumn("source", F.expr(_UNNAMED)))
+    return mix.queue_slots(spark, sizes.agg(F.sum("n_source")).first()[0], sizes, seed=42)
+
+
+@query
+def augment_mixed_unnamed(spark: SparkSession, sf: str) -> DataFrame:
+    corpus = _corpus(spark, sf).withColumn("source", F.expr(_UNNAMED))
+    mixed = mix.mixed_positives(corpus, td.table(spark, sf, "documents").count(), seed=42)
+    return mixed.select(
+        "i",
+        F.size("row_ids").cast("bigint").alias("n_rows"),
+        F.md5("input_text").alias("text_md5"),
+        jsonx.encode_annotation(F.col("annotation")).alias("annotation_json"),
+    )
+
+
+@query
+def weighted_shuffle_rank_unnamed(spark: SparkSession, sf: str) -> DataFrame:
+    weighted = mix.corpus_weights(_ids(td.annotated_documents(spark, sf))).withColumn("source", F.expr(_UNNAMED))
+    ranked = rank.weighted_shuffle_positions(weighted, "row_id", "weight", seed=42, groups=["source"])
+    return ranked.select("row_id", "source", "position")
+
+
 @query
 def negative_sample(spark: SparkSession, sf: str) -> DataFrame:
     """A tenth of the number of documents, drawn from the rows without entities."""

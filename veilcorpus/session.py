@@ -53,3 +53,13 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the folder of a table that `materialize` wrote, once nothing reads it any more."""
+    spark = table.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if not re.fullmatch(r"table-[0-9a-f]{32}", path.getName()):
+            raise ValueError(f"{folder} was not written by materialize")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -43,8 +43,7 @@ def export_log(log: DataFrame, path: str, format: str = "parquet") -> None:
 
 def save_splits(df: DataFrame, path: str, seed: int = 42, row_id: str = "row_id") -> None:
     """One directory per split, `path/split=train` and so on, rows in shuffled order."""
-    keyed = df.withColumn("_u", uniform_key(seed, "shuffle", F.col(row_id)))
-    ordered = keyed.orderBy("split", "_u").drop("_u", row_id)
+    ordered = df.orderBy("split", uniform_key(seed, "shuffle", F.col(row_id))).drop(row_id)
     ordered.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
