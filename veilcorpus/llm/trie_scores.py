@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from veilcorpus.llm.batches import small_batches
 from veilcorpus.llm.elias_fano import EliasFano, map_levels, write_levels
-from veilcorpus.session import materialize, shared_dir
+from veilcorpus.session import discard, materialize, shared_dir
 
 FOLDS = 10
 STEP = 1 / 4096  # of -log10 p
@@ -416,6 +416,7 @@ def train_model(
     have = have.withColumn("pairs", F.coalesce("pairs", F.lit(pack(*[np.empty(0, dtype=np.uint8)] * 5))))
     built = have.groupBy("shard").cogroup(contexts.groupBy("shard")).applyInArrow(_build(model), "shard int, pairs bigint")
     built.agg(F.sum("pairs")).first()
+    discard(counted)
     return model
 
 
@@ -547,9 +548,10 @@ def score_texts(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str
     small_batches(spark)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), model.shards)
     dealt = _prepared(docs, doc_id, text).mapInArrow(_deal(model, chunk_tokens), "shard int, chunk bigint, ids array<bigint>, pairs binary")
-    dealt = dealt.repartition(parts, "shard").sortWithinPartitions("shard")
+    # Files are mapped from anywhere: a shard may go to several tasks, which evens them out.
+    dealt = dealt.repartition(parts, "shard", F.pmod(F.xxhash64("chunk"), F.lit(16))).sortWithinPartitions("shard")
     scored = materialize(dealt.mapInArrow(_score(model), SCORED))
-    # Files are mapped from anywhere, so a frequent predecessor is dealt by the chunk too.
+    # Likewise a frequent predecessor.
     asked = scored.filter("asked IS NOT NULL").select("chunk", "asked")
     asked = asked.mapInArrow(_ask(model.shards), "home int, chunk bigint, word bigint, doc bigint, n bigint")
     asked = asked.repartition("home", F.pmod(F.xxhash64("chunk"), F.lit(16))).sortWithinPartitions("home")
