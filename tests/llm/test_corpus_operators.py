@@ -176,11 +176,67 @@ def test_shards_share_bytes_evenly(spark):
 
 
 def test_splits_follow_the_widest_dimension(spark):
-    rows = [(i, "x" * 10, float(i % 2) * 1000, float(i) / 1000) for i in range(400)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, wide double, narrow double")
-    out = kd_tree_shards(df, dims=["narrow", "wide"], shards=2).collect()
-    sides = {(r["doc_id"] % 2, r["shard"]) for r in out}
-    assert len(sides) in (2, 4) and len({r["shard"] for r in out}) == 2
+    # Of 400 cells, the first split halves `a`, after which `b` is wider: quarters, not strips.
+    rows = [(i, "x" * 10, i % 20, (i // 20) * 1000) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, a long, b long")
+    out = kd_tree_shards(df, dims=["a", "b"], shards=4).collect()
+    assert {(r["shard"], r["doc_id"] % 20 < 10, r["doc_id"] < 200) for r in out} == {(0, True, True), (1, True, False), (2, False, True), (3, False, False)}
+    # One far value keeps each half of `a` that has it wide: there `a` is split again.
+    far = spark.createDataFrame([(i, "x" * 10, 10_000 if i == 399 else i % 20, (i // 20) * 1000) for i in range(400)], df.schema)
+    out = kd_tree_shards(far, dims=["b", "a"], shards=4).collect()
+    by = collections.defaultdict(set)
+    for r in out:
+        by[r["shard"]].add(r["doc_id"] % 20)
+    assert len(by[0]) == len(by[1]) == 20 and len(by[2] & by[3]) <= 1
+
+
+def brute_tree(rows, shards):
+    """Shard of each (id, size, place, place ...); no two rows share a place."""
+    dims = range(2, len(rows[0]))
+    ranges = {d: max(r[d] for r in rows) - min(r[d] for r in rows) for d in dims}
+    out = {}
+
+    def grow(members, first, k):
+        if k == 1 or not members:
+            out.update((r[0], first) for r in members)
+            return
+        d = max(dims, key=lambda d: ((max(r[d] for r in members) - min(r[d] for r in members)) / ranges[d], -d))
+        members = sorted(members, key=lambda r: r[d])
+        share, done, cut = sum(r[1] for r in members) * (k // 2) / k, 0, 0
+        for cut, r in enumerate(members):
+            if done + r[1] >= share:
+                cut += done + r[1] - share <= share - done
+                break
+            done += r[1]
+        grow(members[:cut], first, k // 2)
+        grow(members[cut:], first + k // 2, k - k // 2)
+
+    grow(rows, 0, shards)
+    return out
+
+
+def test_shards_equal_a_brute_force_tree(spark, monkeypatch):
+    rng = random.Random(8)
+    prefix = "https://a.very.long.common.prefix.example/"  # only the ends of the sources differ
+    ids = [*(rng.randint(-(2**63), 2**63 - 1) for _ in range(150)), *rng.sample(range(10**6), 150)]
+    rows = [(i, "x" * rng.randint(0, 300), f"{prefix}{rng.random():.12f}", rng.random() - 0.5) for i in ids]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, quality double").repartition(5)
+    for name in ("row", "node", "tie", "p0", "d0", "value", "place", "slot"):
+        df = df.withColumn(name, F.lit("user"))
+    monkeypatch.setattr("veilcorpus.llm.kd_shards.CELLS", 7)
+    monkeypatch.setattr("veilcorpus.llm.kd_shards.ROWS_A_TASK", 40)
+    sizes = {r[0]: len(r[1]) + 16 for r in rows}
+
+    def by_weight(key):
+        done, places = 0, {}
+        for r in sorted(rows, key=key):
+            places[r[0]], done = done, done + sizes[r[0]]
+        return places
+
+    source, quality = by_weight(lambda r: r[2]), by_weight(lambda r: r[3])
+    wanted = brute_tree([(r[0], sizes[r[0]], source[r[0]], quality[r[0]], r[0]) for r in rows], 11)
+    out = {r["doc_id"]: r["shard"] for r in kd_tree_shards(df, dims=["source", "quality", "doc_id"], shards=11).collect()}
+    assert out == wanted
 
 
 def test_every_template_has_a_trigger_and_wins_for_itself(spark):
