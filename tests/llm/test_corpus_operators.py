@@ -145,11 +145,29 @@ def test_odd_text_is_not_kept_and_common_text_is(spark):
     junk = " ".join("".join(rng.choices("0123456789$%&", k=8)) for _ in range(200))
     df = spark.createDataFrame([(i, prose(), "en") for i in range(60)] + [(99, junk, "en")], "doc_id long, text string, lang string")
     refs = {r["ref"]: r for r in quality.references(df).collect()}
-    assert set(common) <= set(refs["en"]["words"]) and abs(sum(refs["en"]["word_shares"]) - 1) < 1e-9
+    assert set(common) <= set(refs["en"]["shares"]) and abs(sum(refs["en"]["shares"].values()) - refs["en"]["common"]) < 1e-9
     kept = {r["doc_id"]: r["kept"] for r in quality.quality_report(df).collect()}
     assert not kept.pop(99) and all(kept.values())
 
 
+def test_gibberish_and_the_wrong_language_fall(spark):
+    rng = random.Random(15)
+    common = {"en": ["the", "of", "and", "to", "is"], "de": ["der", "die", "und", "das", "ist"]}
+
+    def prose(lang, n=300):
+        return " ".join(rng.choice(common[lang]) if rng.random() < 0.35 else "".join(rng.choices("abcdefghiklmnorst", k=rng.randint(3, 9))) for _ in range(n))
+
+    rows = [(f"{lang}{i}", prose(lang).capitalize() + ".", lang) for lang in common for i in range(40)]
+    rows += [("few", prose("en", 400), "xx"), ("no language", prose("en", 400), None)]
+    rows += [(f"gibberish {lang}", " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(300)), lang) for lang in [*common, "xx", None]]
+    rows += [("german as english", prose("de"), "en"), ("english as german", prose("en"), "de"), ("short gibberish", "qq ww " + " ".join("zz" + str(i) for i in range(60)), "en")]
+    df = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    assert {r["ref"] for r in quality.references(df).collect()} == {"en", "de", None}
+    kept = {r["doc_id"]: r["kept"] for r in quality.quality_report(df).collect()}
+    fallen = {k for k, v in kept.items() if not v}
+    assert fallen == {"gibberish en", "gibberish de", "gibberish xx", "gibberish None", "german as english", "english as german"}
+
+
 def test_shards_share_bytes_evenly(spark):
     rng = random.Random(6)
     rows = [(i, "x" * rng.randint(0, 200), rng.choice(["a", "b", None]), 1) for i in range(2000)]

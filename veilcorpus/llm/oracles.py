@@ -51,11 +51,15 @@ def _both(a: str, b: str) -> str:
 
 
 OP9 = rf"""
-WITH large AS (
-    SELECT lang FROM documents WHERE lang IS NOT NULL GROUP BY lang HAVING count(*) >= 0.01 * (SELECT count(*) FROM documents)
+WITH d0 AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents
+), large AS (
+    SELECT lang FROM (
+        SELECT lang, lower(trim(x, '.,;:!?()[]{{}}#*$%&|<>-')) AS f
+        FROM (SELECT lang, unnest(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS x FROM d0 WHERE lang IS NOT NULL)
+    ) WHERE f <> '' GROUP BY lang HAVING count(*) >= 2000
 ), d AS (
-    SELECT row_number() OVER () AS r, doc_id, CASE WHEN lang IN (SELECT lang FROM large) THEN lang END AS ref, coalesce(text, '') AS t
-    FROM documents
+    SELECT r, doc_id, CASE WHEN lang IN (SELECT lang FROM large) THEN lang END AS ref, t FROM d0
 ), counted AS (
     SELECT r, doc_id, ref, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, {_COUNTS},
         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
@@ -70,14 +74,16 @@ WITH large AS (
 ), tot AS (SELECT ref, sum(n) AS total FROM cnt GROUP BY ref
 ), common AS (
     SELECT cnt.ref, f, n / total AS q FROM cnt JOIN tot ON cnt.ref IS NOT DISTINCT FROM tot.ref WHERE n >= 0.005 * total
-), refs AS (SELECT ref, sum(q) AS q_all FROM common GROUP BY ref
+), refs AS (
+    SELECT *, 0.85 * sqrt(greatest(0, q_all / 2 + {_both('1.0::DOUBLE', '(1 - q_all)')})) AS word_limit
+    FROM (SELECT ref, sum(q) AS q_all FROM common GROUP BY ref)
 ), present AS (
     SELECT r, sum(c) AS c_all, sum(q) AS q_seen, sum({_both('(c / n)', 'q')}) AS js
     FROM (SELECT tok.r, tok.ref, tok.f, count(*)::DOUBLE AS c FROM tok GROUP BY ALL) x
     JOIN common ON common.ref IS NOT DISTINCT FROM x.ref AND common.f = x.f JOIN (SELECT r, n FROM rows_) USING (r) GROUP BY r
 ), by_word AS (
     SELECT r, coalesce(js, 0) + (q_all - coalesce(q_seen, 0)) / 2
-        + {_both('((n - coalesce(c_all, 0)) / n)', 'greatest(0, 1 - q_all)')} AS js
+        + {_both('((n - coalesce(c_all, 0)) / n)', 'greatest(0, 1 - q_all)')} AS js, word_limit
     FROM rows_ JOIN refs ON refs.ref IS NOT DISTINCT FROM rows_.ref LEFT JOIN present USING (r) WHERE n > 0
 ), class_refs AS (
     SELECT ref, {', '.join(f'sum(c{i}) / sum(chars) AS q{i}' for i in range(_N + 1))} FROM rows_ WHERE ref IS NOT NULL GROUP BY ref
@@ -97,7 +103,7 @@ WITH large AS (
 )
 SELECT doc_id, n::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
     n_repeat::BIGINT AS n_repeat_words, n < 50 OR 100 * n_repeat > 50 * n AS base_failed,
-    NOT (n < 50 OR 100 * n_repeat > 50 * n) AND NOT (n >= 100 AND coalesce(sqrt(greatest(0, by_word.js)), 0) > 0.6)
+    NOT (n < 50 OR 100 * n_repeat > 50 * n) AND NOT (n >= 100 AND coalesce(sqrt(greatest(0, by_word.js)), 0) > word_limit)
         AND NOT (chars >= 400 AND coalesce(sqrt(greatest(0, by_class.js)), 0) > 0.3) AS kept
 FROM base LEFT JOIN by_word USING (r) LEFT JOIN by_class USING (r)
 """
