@@ -7,7 +7,7 @@ import pytest
 from public_tokenizers import path as tokenizer_path
 from tokenizers import Tokenizer
 
-from veilcorpus.llm.token_planes import UNITS, WordCache, from_planes, read_documents, to_planes, write_token_planes
+from veilcorpus.llm.token_planes import UNITS, WordCache, from_planes, read_documents, read_positions, to_planes, write_token_planes
 from veilcorpus.session import shared_dir
 
 FILE = tokenizer_path("byte_bpe_50k.json")
@@ -15,9 +15,8 @@ FILE = tokenizer_path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    out = Tokenizer.from_file(FILE)
-    out.encode_special_tokens = True
-    return out
+    """The plain call, with nothing set: what the ids must equal."""
+    return Tokenizer.from_file(FILE)
 
 
 @pytest.mark.parametrize("unit", UNITS)
@@ -60,6 +59,32 @@ def test_files_hold_every_document(spark, tokenizer, unit):
     assert sum(r["n_ids"] for r in index) == start and index[0]["start"] == 0
 
 
+def test_added_tokens_are_those_of_the_plain_call(tokenizer):
+    texts = ["foo <|endoftext|> bar", "<|endoftext|>", "a<|endoftext|>b  c\n", "foo <|endoftext| bar", " <|endoftext|><|endoftext|> x", "plain"]
+    for text, ids in zip(texts, WordCache(FILE).encode(texts)):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert 50256 in tokenizer.encode(texts[0], add_special_tokens=False).ids
+
+
+def test_the_index_finds_documents_and_positions(spark, tokenizer):
+    rows = [(i, f"text of {i} " * (i % 7)) for i in range(300)] + [(None, "no id"), (None, None), (150, "again")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    path = f"{shared_dir(spark)}/planes-{uuid.uuid4().hex}"
+    write_token_planes(df, path, FILE, chunk_ids=50, block_ids=16)
+    whole = {(r["doc_id"], r["start"]): tuple(r) for r in read_documents(spark, path, with_ids=True).collect()}
+    for lo, hi in ((140, 160), (0, 0), (299, 10**9), (-5, -1), (0, 299)):
+        some = [tuple(r) for r in read_documents(spark, path, with_ids=True, between=(lo, hi)).collect()]
+        assert sorted(map(str, some)) == sorted(str(r) for (i, _), r in whole.items() if i is not None and lo <= i <= hi)
+    stream = [x for r in sorted(whole.values(), key=lambda r: r[1]) for x in r[4]]
+    for start, stop in ((0, 10), (45, 200), (len(stream) - 3, len(stream) + 9), (7, 7), (len(stream), len(stream) + 1)):
+        found = sorted(map(tuple, read_positions(spark, path, start, stop).collect()))
+        assert [x for _, ids in found for x in ids] == stream[start:stop]
+    chosen = read_documents(spark, path, between=(140, 142))
+    assert chosen.count() == 3
+    scanned = spark.read.parquet(f"{path}/index").filter("first_doc <= 142 AND last_doc >= 140").count()
+    assert 0 < scanned < spark.read.parquet(f"{path}/index").count() / 10
+
+
 def test_empty_table(spark):
     path = f"{shared_dir(spark)}/planes-{uuid.uuid4().hex}"
     write_token_planes(spark.createDataFrame([], "doc_id long, text string"), path, FILE)

@@ -17,11 +17,12 @@ import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from veilcorpus.llm.batches import small_batches
 
@@ -76,16 +77,18 @@ class WordCache:
     are no white space, and never merges across a cut; so the ids of a text are those of its
     pieces in turn. Other white space stays inside a piece. Unknown words go to the tokenizer
     many at a time, joined by their blanks, and are told apart by the lengths of the tokens.
-    The cache is emptied when it holds `most` words, which bounds memory and changes no result.
+    A text that holds an added token (such as an end mark written out) goes to the tokenizer as a
+    whole, since such tokens are cut out before anything else. The cache is emptied when it holds
+    `most` words, which bounds memory and changes no result.
     """
 
-    def __init__(self, tokenizer_path: str, most: int = 400_000):
+    def __init__(self, tokenizer_path: str, most: int = 600_000):
         # Spark runs a task on each core already; more threads in it would only wait for each other.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         # In the vocabulary's spelling each character stands for one byte.
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.length = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -101,13 +104,13 @@ class WordCache:
                 yield np.array(found.ids, "<u4")
 
     def _learn_words(self, words: list[str]) -> None:
-        groups = [words[i : i + 256] for i in range(0, len(words), 256)]
+        groups = [words[i : i + 64] for i in range(0, len(words), 64)]
         for group, ids in zip(groups, self._encode([" " + " ".join(g) for g in groups])):
             word_ends = np.cumsum([len(w.encode()) + 1 for w in group])
-            cuts = np.searchsorted(np.cumsum(self.length[ids]), word_ends) + 1
-            start = 0
+            cuts = 4 * (np.searchsorted(np.cumsum(self.length[ids]), word_ends) + 1)
+            raw, start = ids.tobytes(), 0
             for word, end in zip(group, cuts.tolist()):
-                self.words[word] = ids[start:end].tobytes()
+                self.words[word] = raw[start:end]
                 start = end
 
     def _learn_pieces(self, pieces: list[str]) -> None:
@@ -128,26 +131,55 @@ class WordCache:
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text in turn."""
-        cut: list[tuple[list[str], list[str], str]] = []  # pieces, then words, then a last piece
+        # A text becomes its words or pieces, with their ids as far as they are known; or stays whole.
+        cut: list[tuple[list[str], list[bytes | None]] | str] = []
+        new_words: set[str] = set()
+        new_pieces: set[str] = set()
+
+        def look_up(parts: list[str], held: dict[str, bytes], new: set[str]) -> list[bytes | None]:
+            found = list(map(held.get, parts))
+            if None in found:
+                new.update(part for part, ids in zip(parts, found) if ids is None)
+            return found
+
         for text in texts:
-            if has_odd_blank(text):
-                cut.append((self.odd_pieces(text), [], ""))
-                continue
-            first, *words = text.split(" ")
-            last = " " + words.pop() if words and words[-1][-1].isspace() else ""
-            cut.append(([first], words, last))
-        words = set().union(*[c[1] for c in cut])
-        pieces = set().union(*[c[0] for c in cut], [c[2] for c in cut])
-        new_words, new_pieces = words.difference(self.words), pieces.difference(self.pieces)
+            if any(mark in text for mark in self.added):
+                cut.append(text)
+            elif has_odd_blank(text):
+                pieces = self.odd_pieces(text)
+                cut.append((pieces, look_up(pieces, self.pieces, new_pieces)))
+            else:
+                first, *words = text.split(" ")
+                # White space at a word's end belongs to the text's last piece.
+                ends = [first, " " + words.pop()] if words and words[-1][-1].isspace() else [first]
+                head, *tail = look_up(ends, self.pieces, new_pieces)
+                cut.append(([first, *words, *ends[1:]], [head, *look_up(words, self.words, new_words), *tail]))
         if len(self.words) + len(self.pieces) + len(new_words) + len(new_pieces) > self.most:
             self.words.clear()
             self.pieces.clear()
-            new_words, new_pieces = words, pieces
-        self._learn_words(sorted(new_words))
-        self._learn_pieces(sorted(new_pieces))
-        word, piece = self.words.__getitem__, self.pieces.__getitem__
-        for head, body, tail in cut:
-            yield np.frombuffer(b"".join([*map(piece, head), *map(word, body), piece(tail)]), "<u4")
+        self._learn_words(list(new_words))
+        self._learn_pieces(list(new_pieces))
+        for held in cut:
+            if isinstance(held, str):
+                yield from self._encode([held])
+                continue
+            parts, found = held
+            if None in found:
+                # Known words were looked up before; a first or last piece is no word.
+                for i, ids in enumerate(found):
+                    if ids is None:
+                        found[i] = self.words[parts[i]] if parts[i] in new_words and 0 < i else self.pieces[parts[i]]
+            yield np.frombuffer(b"".join(found), "<u4")
+
+
+_caches: dict[str, WordCache] = {}
+
+
+def shared_cache(tokenizer_path: str) -> WordCache:
+    """The cache of this Python worker, which Spark uses for one task after the other."""
+    if tokenizer_path not in _caches:
+        _caches[tokenizer_path] = WordCache(tokenizer_path)
+    return _caches[tokenizer_path]
 
 
 def _chunk_writer(encoder: Callable[[], WordCache], end_id: int, unit: str, block_ids: int, chunk_ids: int, texts_at_once: int):
@@ -216,7 +248,7 @@ def write_token_planes(
     ordered = keyed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     # Ids travel as text: pandas would turn a column of integers with a null into floats.
     sharded = ordered.select(F.spark_partition_id().alias("shard"), F.col("doc_id").cast("string").alias("doc_id"), "text")
-    writer = _chunk_writer(lambda: WordCache(tokenizer_path), end_id, unit, block_ids, chunk_ids, texts_at_once)
+    writer = _chunk_writer(lambda: shared_cache(tokenizer_path), end_id, unit, block_ids, chunk_ids, texts_at_once)
     sharded.mapInPandas(writer, CHUNK_TYPE).write.option("compression", "none").parquet(f"{path}/chunks")
     chunks = spark.read.parquet(f"{path}/chunks")
     slim = chunks.select(
@@ -247,10 +279,39 @@ def chunk_ids_of(planes, n_ids: int, unit: str, block_ids: int) -> np.ndarray:
 DOC_TYPE = "shard int, doc_id bigint, shard_start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
-def read_documents(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
+def _indexed_chunks(spark: SparkSession, path: str, wanted: Column) -> DataFrame:
+    """The chunks whose index rows are `wanted`, with `start`; planes of others are not read.
+
+    The index has a narrow row a chunk. What is left of it meets the chunks by shard and chunk number, and
+    the range of its shards reaches the scan of the planes.
+    """
+    held = spark.read.parquet(f"{path}/index").filter(wanted).select("shard", "chunk", "start")
+    ends = held.agg(F.min("shard").alias("lo"), F.max("shard").alias("hi")).first()  # two numbers
+    chunks = spark.read.parquet(f"{path}/chunks")
+    chunks = chunks.filter(F.col("shard").between(ends["lo"], ends["hi"])) if ends["lo"] is not None else chunks.limit(0)
+    return chunks.join(held, ["shard", "chunk"])
+
+
+def read_positions(spark: SparkSession, path: str, start: int, stop: int) -> DataFrame:
+    """`start, ids`: the ids from position `start` up to `stop` of the whole stream, a row a chunk that has some."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                ids = chunk_ids_of(row.planes, row.n_ids, row.unit, row.block_ids)
+                lo, hi = max(0, start - row.start), stop - row.start
+                yield pd.DataFrame({"start": [row.start + lo], "ids": [ids[lo:hi].astype(np.int64)]})
+
+    met = (F.col("start") < stop) & (F.col("start") + F.col("n_ids") > start)
+    return _indexed_chunks(spark, path, met).select("start", "planes", "n_ids", "unit", "block_ids").mapInPandas(read, "start bigint, ids array<bigint>")
+
+
+def read_documents(spark: SparkSession, path: str, with_ids: bool = False, between: tuple[int, int] | None = None) -> DataFrame:
     """Documents read back: `doc_id, start, n_tokens, ids_crc32`, and `ids` if asked for.
 
-    Each chunk is decoded where Spark reads it; nothing is shuffled but one row a shard.
+    `between` asks for the documents whose ids lie in a range, ends included; the index tells which chunks hold
+    them, and only these are read. Each chunk is decoded where Spark reads it; nothing is shuffled but one row
+    a shard.
     """
     kind = DOC_TYPE + (", ids array<bigint>" if with_ids else "")
 
@@ -271,11 +332,17 @@ def read_documents(spark: SparkSession, path: str, with_ids: bool = False) -> Da
                     out["ids"] = [p.astype(np.int64) for p in parts]
                 yield pd.DataFrame(out)
 
+    rest = ["ids"] if with_ids else []
+    if between is not None:
+        lo, hi = between
+        # A chunk's ids ascend; null ids come first, and are in no range.
+        holds = (F.coalesce("first_doc", F.lit(lo)) <= hi) & (F.col("last_doc") >= lo)
+        chunks = _indexed_chunks(spark, path, holds)
+        docs = chunks.withColumn("shard_start", F.col("start")).drop("start").mapInPandas(read, kind)
+        return docs.filter(F.col("doc_id").between(lo, hi)).select("doc_id", F.col("shard_start").alias("start"), "n_tokens", "ids_crc32", *rest)
     chunks = spark.read.parquet(f"{path}/chunks")
     docs = chunks.mapInPandas(read, kind)
-    # One row a shard, and a shard is one task's worth of documents: small whatever the input.
-    starts = F.broadcast(shard_starts(chunks))
-    rest = ["ids"] if with_ids else []
-    return docs.join(starts, "shard").select(
+    # One row a shard, which is one task's worth of documents; the engine checks its size before it sends it around.
+    return docs.join(shard_starts(chunks), "shard").select(
         "doc_id", (F.col("base") + F.col("shard_start")).alias("start"), "n_tokens", "ids_crc32", *rest
     )
