@@ -30,7 +30,7 @@ def test_planes_round_trip(unit, n):
 
 def test_words_are_encoded_as_the_whole_text_is(tokenizer):
     rng = random.Random(1)
-    parts = ["a", "B", " ", "  ", "\n", "\t", " ", "é", "日本", " x", "'s", "1", "\x1c", "\x85", "!", " \n ", " ", "😀", "<|endoftext|>"]
+    parts = ["a", "B", " ", "  ", "\n", "\t", " ", "é", "日本", " x", "'s", "1", "\x1c", "\x85", "!", ".", ",", "Ça.\nEt", " do.", " \n ", " ", "😀", "<|endoftext|>"]
     texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(1500)]
     cache = WordCache(FILE, most=700)
     for i in range(0, len(texts), 50):
