@@ -16,7 +16,8 @@ from veilcorpus.fixed_values import (
     TEMPLATE_MARKERS,
     VOICE_PROMPT,
 )
-from veilcorpus.functions.text import truthy
+from veilcorpus.functions import jsonx
+from veilcorpus.functions.text import let, truthy
 
 ROLES = ("user", "assistant", "system")
 
@@ -235,6 +236,41 @@ def render_chat(
     return F.concat(F.lit(bos), _system_block(system, tools), body, tail)
 
 
+def _content_text(value: Column) -> Column:
+    """The template's text of a content: a string as it is, any other value as JSON; null stays null."""
+    return F.when(value.isNotNull(), F.coalesce(jsonx.marked_string(value), jsonx.python_json(value, marked=True)))
+
+
+def messages_from_json(text: Column) -> Column:
+    """Messages of a JSON list of `{"role": ..., "content": ...}`, with the texts that the template shows.
+
+    Content may be any JSON value. What is no string becomes JSON text as Python's `json.dumps` writes it without
+    escapes: keys in their order, `, ` and `: ` between parts, floats in their shortest form, and `<` as it is.
+    Null if the text is not one JSON list; a missing or null content is null, which is rendered as `null`.
+    """
+
+    def held(t: Column) -> Column:
+        listed = jsonx.strict_object(F.concat(F.lit('{"m":'), jsonx.mark_strings(t), F.lit("}")), "m: ARRAY<STRUCT<role: STRING, content: STRING>>")
+        return F.transform(listed.getField("m"), lambda m: turn(jsonx.marked_string(m["role"]), _content_text(m["content"])))
+
+    return let(text, held)
+
+
+def tools_from_json(text: Column) -> Column:
+    """Texts of a JSON list of tools: names as they are, descriptions as JSON. Null if it is not one JSON list."""
+
+    def held(t: Column) -> Column:
+        listed = jsonx.strict_object(F.concat(F.lit('{"t":'), jsonx.mark_strings(t), F.lit("}")), "t: ARRAY<STRING>")
+        return F.transform(listed.getField("t"), lambda x: F.coalesce(_content_text(x), F.lit("null")))
+
+    return let(text, held)
+
+
+def variant_text(content: Column) -> Column:
+    """The template's text of VARIANT content. A VARIANT keeps an object's keys in alphabetical order."""
+    return F.when(F.schema_of_variant(content) == "STRING", F.try_variant_get(content, "$", "string")).otherwise(jsonx.python_json(F.to_json(content)))
+
+
 # --- Audio ------------------------------------------------------------------
 
 

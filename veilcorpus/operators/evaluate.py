@@ -2,68 +2,30 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from veilcorpus.fixed_values import CATEGORIES
 from veilcorpus.functions import jsonx
+from veilcorpus.functions.frames import free_name
 from veilcorpus.functions.text import let
-from veilcorpus.schema import ANNOTATION_TYPE, empty_annotation, strings_or_empty
-
-
-@F.pandas_udf(ANNOTATION_TYPE)
-def _python_annotation(raws: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """Element text by Python's own `str`; only rows that need it come here."""
-
-    def texts(values) -> list[str]:
-        if not isinstance(values, list):
-            return []
-        out: list[str] = []
-        for v in values:
-            inner = [x for x in v.values() if x is not None] if isinstance(v, dict) else [v]
-            out += [x if isinstance(x, str) else str(x) for x in inner]
-        return out
-
-    def load(raw: str) -> dict:
-        try:
-            value = json.loads(raw)
-        except (TypeError, ValueError):
-            return {}
-        return value if isinstance(value, dict) else {}
-
-    for batch in raws:
-        rows = [load(raw) for raw in batch]
-        yield pd.DataFrame({c: [texts(r.get(c)) for r in rows] for c in CATEGORIES})
+from veilcorpus.schema import empty_annotation, strings_or_empty
 
 
 def parse_columns(df: DataFrame, columns: dict[str, tuple[str, str]]) -> DataFrame:
     """For each raw column add an annotation struct and an `is one JSON object` flag.
 
-    `columns` maps a raw column to (annotation name, flag name). Each text is parsed once, in
-    native expressions. Only a text with floats or nested values in a category list goes to
-    Python; for all others Python gets a null. Rows are never split into branches, so what
-    lies upstream is read once.
+    `columns` maps a raw column to (annotation name, flag name). Each text is parsed once, in native
+    expressions; elements that are no strings get the text that Python's `str` gives them.
     """
     for raw, (out, ok) in columns.items():
-
-        def read(text: Column) -> Column:
-            return let(
-                jsonx.strict_annotation(text),
-                lambda p: F.struct(
-                    p.isNotNull().alias("ok"),
-                    F.coalesce(jsonx.needs_python_text(text, p), F.lit(False)).alias("python"),
-                    jsonx.native_annotation(p).alias("native"),
-                ),
-            )
-
-        df = df.withColumn("_read", let(F.col(raw), read))
-        by_python = _python_annotation(F.when(F.col("_read.python"), F.col(raw)))
-        df = df.withColumn("_python", by_python)
-        value = F.when(F.col("_read.python"), F.col("_python")).when(F.col("_read.ok"), F.col("_read.native"))
-        df = df.withColumns({out: value.otherwise(empty_annotation()), ok: F.coalesce(F.col("_read.ok"), F.lit(False))}).drop("_read", "_python")
+        read = let(
+            F.col(raw),
+            lambda text: let(jsonx.strict_annotation(text), lambda p: F.struct(p.isNotNull().alias("ok"), jsonx.native_annotation(p).alias("value"))),
+        )
+        held = free_name("_read", df)
+        df = df.withColumn(held, read)
+        value = F.when(F.col(held)["ok"], F.col(held)["value"]).otherwise(empty_annotation())
+        df = df.withColumns({out: value, ok: F.coalesce(F.col(held)["ok"], F.lit(False))}).drop(held)
     return df
 
 
@@ -72,6 +34,12 @@ def parse_predictions(df: DataFrame, raw: str = "raw_output", gold: str = "gold_
     return parse_columns(df, {raw: ("pred", "parsed_ok"), gold: ("gold", "gold_ok")})
 
 
+def parse_rate(df: DataFrame, raw: str = "raw_output") -> DataFrame:
+    """One row: `n_samples` and `json_parse_rate`, the share of texts that are one JSON object; 0 without any."""
+    ok = jsonx.strict_object(F.col(raw), "_: STRING").isNotNull()
+    return df.agg(F.count(F.lit(1)).alias("n_samples"), F.coalesce(F.avg(ok.cast("int")), F.lit(0.0)).alias("json_parse_rate"))
+
+
 def _set_sizes(pred: Column, gold: Column) -> tuple[Column, Column, Column]:
     p, g = strings_or_empty(pred), strings_or_empty(gold)
     both = F.size(F.array_intersect(p, g))

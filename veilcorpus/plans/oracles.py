@@ -419,6 +419,18 @@ SQL["chat_template_render"] = (
     f"md5('<s>' || {_block('system', f'CASE WHEN coalesce(system, {lit('')}) <> {lit('')} THEN system || chr(10) ELSE {lit('')} END || {_TOOLS}')} || "
     f"{_block('user', 'question')} || '<|im_start|>assistant' || chr(10)) AS asking_md5 FROM pairs"
 )
+_CONTENT = (
+    "CASE turn % 5 WHEN 0 THEN text WHEN 1 THEN '{\"query\": ' || to_json(text)::VARCHAR || ', \"n\": 1.5, \"<at>\": [' || turn || ']}' "
+    "WHEN 2 THEN '[' || to_json(text)::VARCHAR || ', null, true, 1000.0]' WHEN 3 THEN turn::VARCHAR ELSE 'null' END"
+)
+SQL["chat_json_content"] = (
+    "WITH c AS (SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN 'tool' ELSE role END AS role, "
+    f"{_CONTENT} AS content FROM conversations) SELECT conv_id, turn, md5("
+    + _block("system", "'List of tools: <|tool_list_start|>[search, {\"name\": \"sum\", \"max\": ' || turn || '.0}]<|tool_list_end|>'")
+    + " || " + _block("user", "'ask'")
+    + " || '<|im_start|>' || role || chr(10) || CASE WHEN role = 'tool' THEN '<|tool_response_start|>' || content || '<|tool_response_end|>' "
+    "ELSE content END || '<|im_end|>' || chr(10)) AS rendered_md5 FROM c"
+)
 _WORDS = "list_filter(regexp_split_to_array({}, '[\\s\\x0b\\x1c-\\x1f\\x85\\p{{Z}}]+'), lambda w: w <> '')"
 SQL["context_filter"] = f"SELECT conv_id, turn FROM conversations WHERE len({_WORDS.format('text')}) <= 256"
 SQL["audio_manifest"] = (

@@ -192,8 +192,7 @@ def _parsed(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def json_parse_rate(spark: SparkSession, sf: str) -> DataFrame:
-    out = evaluate.evaluation_table(_parsed(spark, sf)).filter("category = 'micro avg'")
-    return _rounded(out.select("n_samples", "json_parse_rate"), "json_parse_rate")
+    return _rounded(evaluate.parse_rate(td.predictions(spark, sf)), "json_parse_rate")
 
 
 @query
@@ -517,6 +516,25 @@ def chat_template_render(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def chat_json_content(spark: SparkSession, sf: str) -> DataFrame:
+    """Chats kept as JSON text whose content is a string, an object, a list, a number or null, rendered."""
+    turns = td.table(spark, sf, "conversations")
+    text, kind = jsonx.quote(F.col("text")), F.col("turn") % 5
+    content = (
+        F.when(kind == 0, text)
+        .when(kind == 1, F.concat(F.lit('{"query":'), text, F.lit(',"n":1.50,"<at>":['), F.col("turn").cast("string"), F.lit("]}")))
+        .when(kind == 2, F.concat(F.lit("[ "), text, F.lit(" ,null,true,1E3]")))
+        .when(kind == 3, F.col("turn").cast("string"))
+        .otherwise(F.lit("null"))
+    )
+    role = F.when(F.col("role") == "assistant", F.lit("tool")).otherwise(F.col("role"))
+    listed = F.concat(F.lit('[{"role":"user","content":"ask"},{"role":"'), role, F.lit('","content":'), content, F.lit("}]"))
+    tools = chat.tools_from_json(F.concat(F.lit('["search",{"name":"sum","max":'), F.col("turn").cast("string"), F.lit(".0}]")))
+    rendered = chat.render_chat(chat.messages_from_json(listed), default_system="", tools=tools)
+    return turns.select("conv_id", "turn", F.md5(rendered).alias("rendered_md5"))
+
+
 @query
 def context_filter(spark: SparkSession, sf: str) -> DataFrame:
     turns = td.table(spark, sf, "conversations")
