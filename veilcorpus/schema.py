@@ -32,6 +32,7 @@ COMPLETION_FIELDS = (
     "latency_s DOUBLE, error STRING"
 )
 METRICS = "metric STRING, value DOUBLE, run_id STRING, step BIGINT"
+SKETCHES = "n BIGINT, sketch BINARY, run_id STRING"
 COMPARISON = "prompt STRING, base STRING, finetune STRING, comparison STRING"
 AUDIO_ROWS = "transcription STRING, audio STRUCT<bytes: BINARY, path: STRING>"
 

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import io
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from functools import reduce
 from typing import Any
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from veilcorpus import schema as S
+from veilcorpus.functions.audio import LENGTH, header_length
 from veilcorpus.functions.text import strip
 from veilcorpus.operators.rank import first_in_shuffle
 from veilcorpus.sources import arrow_corpus
+from veilcorpus.sources.files import store_of
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -169,6 +173,11 @@ def read_comparison(spark: SparkSession, path: str, name: str | None = None, for
     return rows if name is None else rows.filter(F.col("comparison") == name)
 
 
+def read_sketches(spark: SparkSession, path: str) -> DataFrame:
+    """`run_id, n, sketch` of all runs."""
+    return spark.read.schema(S.SKETCHES).parquet(path).select("run_id", "n", "sketch")
+
+
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
     """`prompt_id, prompt`: one prompt per line, trimmed, blank lines dropped.
 
@@ -186,18 +195,81 @@ def read_audio_rows(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, S.AUDIO_ROWS)
 
 
-def read_audio_folder(spark: SparkSession, folder: str, transcripts: DataFrame) -> DataFrame:
+def list_audio(spark: SparkSession, folder: str) -> DataFrame:
+    """`name, path, n_bytes` of every file below a folder; no file is opened. Spark lists no empty files."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder).toUri().getPath().rstrip("/") + "/"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    below = F.expr(f"substring(path, locate({_quoted(root)}, path) + {len(root)})")
+    return files.select(below.alias("name"), "path", F.col("length").alias("n_bytes"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def audio_lengths(files: DataFrame) -> DataFrame:
+    """Add `seconds` and `status` to rows with a `path`, from the head of each file; a null path is `missing`."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_head_of(path) for path in batch.column("path").to_pylist()]
+            columns = [*batch.columns, pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "seconds", "status"])
+
+    return files.mapInArrow(read, T.StructType(files.schema.fields + T.StructType.fromDDL(LENGTH).fields))
+
+
+def _head_of(path: str | None) -> tuple[float | None, str]:
+    if path is None:
+        return None, "missing"
+    store, at = store_of(path)
+    try:
+        with store.open_input_file(at) as f:
+            return header_length(f)
+    except FileNotFoundError:
+        return None, "missing"
+
+
+def read_audio_folder(spark: SparkSession, folder: str, transcripts: DataFrame, max_seconds: float | None = None) -> DataFrame:
     """Rows `(path, transcription)` with the file that each path names below `folder`.
 
-    `status` is `ok`, or `missing` for a transcript whose file is not there.
+    `status` is `ok`, `missing` for a transcript whose file is not there or empty, or `too long` beyond `max_seconds`;
+    `seconds` comes from the file's head, and `head` tells whether that could be read (see `functions.audio`).
+    Files are listed and met by name first; bytes are read only of those whose status is `ok`.
     """
-    root = spark._jvm.org.apache.hadoop.fs.Path(folder).toUri().getPath().rstrip("/") + "/"
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    below = F.expr(f"substring(path, locate('{root}', path) + {len(root)})")
-    files = files.select(below.alias("_name"), F.struct(F.col("content").alias("bytes"), F.col("path").alias("path")).alias("audio"))
-    named = transcripts.select(F.regexp_replace("path", "^(\\./)+", "").alias("_name"), "transcription")
-    status = F.when(F.col("audio").isNull(), "missing").otherwise("ok")
-    return named.join(files, "_name", "left").select("transcription", "audio", status.alias("status"))
+    named = transcripts.select(F.regexp_replace("path", "^(\\./)+", "").alias("name"), "transcription")
+    rows = audio_lengths(named.join(list_audio(spark, folder), "name", "left").select("transcription", "path"))
+    long = F.coalesce(F.col("seconds") > max_seconds, F.lit(False)) if max_seconds is not None else F.lit(False)
+    status = F.when(F.col("head") == "missing", F.lit("missing")).when(long, F.lit("too long")).otherwise(F.lit("ok"))
+    rows = rows.withColumnRenamed("status", "head").withColumn("status", status)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():  # one file a batch, so no more than one is held
+                path = row.pop("path")
+                row["audio"] = None
+                if row["status"] == "ok":
+                    store, at = store_of(path)
+                    with store.open_input_stream(at) as f:
+                        row["audio"] = {"bytes": f.read(), "path": path}
+                yield pa.RecordBatch.from_pylist([row], schema=kind)
+
+    kind = pa.schema([
+        ("transcription", pa.string()), ("audio", pa.struct([("bytes", pa.binary()), ("path", pa.string())])),
+        ("status", pa.string()), ("seconds", pa.float64()), ("head", pa.string()),
+    ])
+    return rows.mapInArrow(read, "transcription string, audio struct<bytes:binary,path:string>, status string, seconds double, head string")
+
+
+def audio_seconds(audio: Column) -> Column:
+    """`seconds, status` of a column of audio bytes, from their heads; null bytes are `missing`."""
+
+    @F.arrow_udf(T.StructType.fromDDL(LENGTH))
+    def read(column: pa.Array) -> pa.Array:
+        found = [(None, "missing") if x is None else header_length(io.BytesIO(x)) for x in column.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.string())], ["seconds", "status"])
+
+    return read(audio)
 
 
 def read_splits(spark: SparkSession, root: str, names: Iterable[str] = ("train", "validation", "test")) -> dict[str, DataFrame]:

@@ -106,6 +106,11 @@ def save_metrics(metrics: DataFrame, path: str) -> None:
     _replace_parts(keyed, path, ["run_id", "step"], "parquet")
 
 
+def save_sketches(sketches: DataFrame, path: str) -> None:
+    """Write `run_id, n, sketch` rows into a table of all runs, in place of what it holds of these runs."""
+    _replace_parts(sketches.select(F.col("run_id").cast("string"), "n", "sketch"), path, ["run_id"], "parquet")
+
+
 def save_comparison(compared: DataFrame, path: str, name: str, format: str = "parquet") -> None:
     """Write the rows of the comparison `name` into a table of all comparisons, in place of older ones of that name.
 
