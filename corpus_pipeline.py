@@ -8,6 +8,7 @@ from collections.abc import Callable
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from veilcorpus.functions.frames import free_name
 from veilcorpus.llm import language_id, toxicity
 from veilcorpus.llm.decontaminate import find_contamination
 from veilcorpus.llm.near_copies import one_of_each_class
@@ -19,7 +20,10 @@ LEAST_CERTAIN = 0.5
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score below one half. The lexicon is learned from the labelled ones of the learning folds."""
+    """Documents with a toxicity score below one half. The lexicon is learned from the labelled ones of the learning folds.
+
+    Null and empty texts have the score of a text without hits and stay; repeated rows are each judged.
+    """
     lexicon = toxicity.learn_lexicon(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return docs.filter(toxicity.toxic_score(F.col("text"), lexicon) < 0.5)
 
@@ -27,20 +31,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the network recognises; null texts and texts without a letter go."""
     net = language_id.train_language_net(docs.filter(language_id.learning_fold(F.col("doc_id"))))
-    seen = language_id.detect_language(docs, net, out="_language")
-    sure = (F.col("_language.lang_pred") != language_id.UNKNOWN) & (F.col("_language.score") >= LEAST_CERTAIN)
-    return seen.filter(sure).drop("_language")
+    out = free_name("_language", docs)
+    seen = language_id.detect_language(docs, net, out=out)
+    found = F.col(out)
+    return seen.filter((found["lang_pred"] != language_id.UNKNOWN) & (found["score"] >= LEAST_CERTAIN)).drop(out)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: the one with the smallest id."""
+    """One document of each class of near copies: the one with the smallest id, null last.
+
+    Null texts stay; empty texts are copies of one another, and so are repeated rows.
+    """
     return one_of_each_class(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which benchmark passages are less than one word in twenty."""
-    seen = find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out="_found")
-    return seen.filter(~F.col("_found.contaminated")).drop("_found")
+    """Documents of which benchmark passages are less than one word in twenty; null and empty texts are clean."""
+    out = free_name("_found", docs)
+    seen = find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out=out)
+    return seen.filter(~F.col(out)["contaminated"]).drop(out)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
