@@ -95,6 +95,23 @@ def test_toxicity_is_learned_and_odd_rows_get_a_score(spark):
     assert df.select(learning_fold(F.lit(None).cast("long")).alias("f")).distinct().collect()[0]["f"] is False
 
 
+def test_copies_and_shared_ids_do_not_fill_the_sample(spark):
+    rng = random.Random(12)
+    plain = ["table", "river", "green", "walks", "sunday", "paper"]
+    rows = [(i, " ".join(rng.choices(plain, k=30)) + (" scumbag" if i % 5 == 1 else "")) for i in range(300)]
+    rows += [(1, f"river table {i} walks") for i in range(300)]  # an id that half of all rows share, labelled toxic
+    rows += [(1000 + i, "copy " * 20) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame([(i, int(i % 5 == 1 and i != 1)) for i in range(1300)], "doc_id long, toxic int")
+    lexicon = learn_lexicon(df, lab, sample_rows=500)
+    assert "scumbag" in lexicon.words
+
+
+def test_no_term_is_left_out_for_its_number():
+    counts = [(f"term{i:04d}x", 20, 20) for i in range(900)]
+    assert len(choose_terms(counts, 50, 500, 1000)) == 900
+
+
 def test_weights_do_not_run_away():
     x = np.zeros((80, len(FEATURES)))
     x[:, 0] = 1.0

@@ -2,6 +2,8 @@ import os
 import uuid
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from veilcorpus.llm import queries
 from veilcorpus.llm.near_copies import near_copy_classes
 from veilcorpus.session import shared_dir
@@ -36,7 +38,20 @@ def test_stages_take_odd_rows(spark):
         assert stage(spark, docs.limit(0), FOLDER).count() == 0
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    names = ["_near_key", "_near_digest", "_near_nth", "_found", "_language", "language", "contamination", "row", "digest"]
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(40)
+    docs = docs.unionByName(docs.limit(3)).unionByName(docs.limit(1).withColumn("text", F.repeat("text", F.lit(200))))
+    for name in names:
+        docs = docs.withColumn(name, F.lit("user"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, FOLDER)
+        assert out.columns == docs.columns, name
+        assert all(r[n] == "user" for r in out.select(*names).collect() for n in names), name
+        assert out.count() > 0
+
+
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert os.path.exists(os.path.join(os.path.dirname(corpus_pipeline.__file__), "veilcorpus"))

@@ -23,6 +23,7 @@ DIMENSIONS = 8
 PER_LANGUAGE = 800
 UNKNOWN = "und"
 FOLDS = 3
+BINS = 64
 BATCH_WINDOWS = 512
 
 
@@ -134,17 +135,21 @@ def train_language_net(
 ) -> ByteConvNet | None:
     """A network for the languages in `labelled`, from two random windows of `per_language` rows of each.
 
-    The rows of a language are those with the smallest hashes of the text, so the sample is
-    the same each time, and it is cut on the executors: at most `per_language` short rows a
-    language reach the driver. None if no row has a text and a language.
+    The texts of a language are those with the smallest hashes, of equal ones one, so neither the order of rows nor
+    copies matter. Hashes are ranked in bins first, so no task gets a whole language, and the sample is cut on the
+    executors: at most `per_language` short rows a language reach the driver. None if no row has a text and a language.
     """
     known = labelled.filter(F.col(lang).isNotNull() & (F.length(text) > 0))
     draw = F.xxhash64(F.lit(seed), text)
     room = F.greatest(F.length(text) - WINDOW, F.lit(0)) + 1
     cuts = [F.substring(F.col(text), (F.pmod(d, room) + 1).cast("int"), F.lit(WINDOW)) for d in (draw, F.shiftrightunsigned(draw, 20))]
     slim = known.select(F.col(lang).cast("string").alias("lang"), draw.alias("draw"), F.array(*cuts).alias("cuts"))
-    order = Window.partitionBy("lang").orderBy("draw", "cuts")
-    rows = slim.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language).drop("r").collect()
+    distinct = slim.select("lang", "draw").distinct()
+    for keys in (["lang", F.pmod("draw", F.lit(BINS))], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("draw"))
+        distinct = distinct.withColumn("r", place).filter(F.col("r") <= per_language).drop("r")
+    # At most `per_language` pairs of numbers a language; the engine decides by their size how they meet the rows.
+    rows = slim.join(distinct, ["lang", "draw"]).dropDuplicates(["lang", "draw"]).collect()
     rows.sort(key=lambda r: (r["lang"], r["draw"]))
     if not rows:
         return None
@@ -179,8 +184,12 @@ def detect_language(docs: DataFrame, net: ByteConvNet | None, *, text: str = "te
 
 
 def language_report(docs: DataFrame, net: ByteConvNet | None) -> DataFrame:
-    """Per document: `doc_id, held_out, lang_pred, score`."""
+    """Per document: `doc_id, held_out, lang_pred, score`.
+
+    Null texts and texts without a letter are `und` with score 0. A null id is not held out; repeated rows are each
+    judged. Extra columns are not read.
+    """
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
-    return detect_language(docs, net, out="_language").select(
-        "doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "_language.lang_pred", "_language.score"
+    return detect_language(docs.select("doc_id", "text"), net).select(
+        "doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "language.lang_pred", "language.score"
     )

@@ -17,6 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from veilcorpus.functions.frames import free_name
 from veilcorpus.llm.batches import small_batches
 from veilcorpus.llm.dart_minhash import DartSketch, band_hashes, parity_maps, weighted_jaccard, weighted_sets
 from veilcorpus.llm.shingles import Shingler
@@ -225,14 +226,15 @@ def near_copy_classes(
 def one_of_each_class(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of `docs` that stand for their class (see `near_copy_classes`), with all their columns.
 
-    Of rows with equal id and text one stays. Null texts stay.
+    Of rows with equal id and text one stays. Null texts stay. Columns of any names are kept.
     """
     classes = near_copy_classes(docs, doc_id=doc_id, text=text, **options)
     key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    stay = classes.filter("first AND digest IS NOT NULL").select(F.col("digest").alias("_near_digest"), key("doc_id").alias("_near_key"))
-    present = docs.filter(F.col(text).isNotNull()).withColumns({"_near_digest": F.md5(text), "_near_key": key(doc_id)})
-    both = ["_near_digest", "_near_key"]
+    both = [free_name("_near_digest", docs), free_name("_near_key", docs)]
+    nth = free_name("_near_nth", docs)
+    stay = classes.filter("first AND digest IS NOT NULL").select(F.col("digest").alias(both[0]), key("doc_id").alias(both[1]))
+    present = docs.filter(F.col(text).isNotNull()).withColumns({both[0]: F.md5(text), both[1]: key(doc_id)})
     kept = present.join(stay.distinct(), both, "left_semi")
-    # The same keys again, so the join's partitioning serves.
-    first = kept.withColumn("_near_nth", F.row_number().over(Window.partitionBy(*both).orderBy(*both))).filter("_near_nth = 1")
-    return first.drop(*both, "_near_nth").unionByName(docs.filter(F.col(text).isNull()))
+    # The same keys again, so the join's partitioning serves; of equal rows each task sends on one.
+    first = kept.withColumn(nth, F.row_number().over(Window.partitionBy(*both).orderBy(*both))).filter(F.col(nth) == 1)
+    return first.drop(*both, nth).unionByName(docs.filter(F.col(text).isNull()))

@@ -23,10 +23,8 @@ from veilcorpus.session import materialize
 
 FOLDS = 5
 SAMPLE_ROWS = 8000
-MOST_TERMS = 500
 STEM_SIZES = range(3, 9)
 STEM_REPEATS, STEM_ONE_IN = 2, 150
-ROUNDS = 4
 #: Edges of a word that are not part of it.
 TRIM = "\"'`´‘’‚“”„«»‹›()[]{}<>.,;:!?¡¿…*#$%&|~_=+/\\-–—^@"
 OPENERS, CLOSERS = "\"'“„«‹‘‚", "\"'”“»›’‘"
@@ -275,7 +273,7 @@ def choose_terms(counts: list[tuple[str, int, int]], toxic: int, rows: int, n_te
         same = stem is not None and any(c.rstrip("*").startswith(stem) and t <= 1.03 * s + 1 for c, (_, s) in chosen.items())
         if not covered and not same:
             chosen[term] = ((t + 0.5) / (n + 1), t)
-    return {term: chance for term, (chance, _) in list(chosen.items())[:MOST_TERMS]}
+    return {term: chance for term, (chance, _) in chosen.items()}
 
 
 def learning_fold(doc_id: Column) -> Column:
@@ -284,31 +282,32 @@ def learning_fold(doc_id: Column) -> Column:
 
 
 def learn_lexicon(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> ToxicLexicon:
-    """A lexicon from at most `sample_rows` labelled ids of the learning folds, those with the smallest hashes.
+    """A lexicon from at most `sample_rows` labelled texts of the learning folds, those with the smallest hashes.
 
-    Null labels and texts are left out; an id labelled twice takes the larger label. Only
-    `(id, label)` of the sample is broadcast, so its size is bounded by `sample_rows`. In each
-    round terms are counted on Spark, the best are chosen, and rows that hold one leave, so
-    that rare groups of terms come up too.
+    Null labels and texts are left out; an id labelled twice takes the larger label. Of equal texts one counts, so
+    neither copies nor an id that many rows share fill the sample; it is cut on the executors, and only hashes of it
+    are broadcast. In each round terms are counted on Spark, all that pass the test of chance are taken, and rows
+    that hold one leave, so that rare groups of terms come up too, until no round finds any. Extra columns are not read.
     """
     small_batches(docs.sparkSession)
     rows = labels.filter(learning_fold(F.col(doc_id)) & F.col(label).isNotNull())
     rows = rows.groupBy(F.col(doc_id).alias("_id")).agg(F.max(F.col(label)).cast("int").alias("toxic"))
-    few = rows.orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
     present = docs.filter(F.col(text).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(text).alias("text"))
-    sample = materialize(
-        present.join(F.broadcast(few), "_id").select("toxic", "text", (F.pmod(F.xxhash64("text"), F.lit(2))).cast("int").alias("half"))
-    )
+    labelled = present.join(rows, "_id").select("toxic", "text", F.xxhash64("text").alias("h"))
+    few = labelled.groupBy("h").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("h"), "h").limit(sample_rows)
+    # One row a text again: the first copy that is met.
+    found = present.select("text", F.xxhash64("text").alias("h")).join(F.broadcast(few), "h").dropDuplicates(["h"])
+    sample = materialize(found.select("toxic", "text", (F.pmod(F.col("h"), F.lit(2))).cast("int").alias("half")))
     listed = materialize(sample.select("toxic", _terms("text").alias("terms")))
     chances: dict[str, float] = {}
     left = listed
-    for _ in range(ROUNDS):
+    while True:
         n, toxic = left.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
         if not toxic:
             break
         counted = left.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
-        # Terms that can't pass stay on the executors.
-        good = counted.filter("t >= 3 AND t + 0.5 >= 0.85 * (n + 1)").orderBy(F.desc("t"), "n", "term").limit(40 * MOST_TERMS)
+        # Terms that can't pass stay on the executors; the others are terms of the sample's toxic texts.
+        good = counted.filter("t >= 3 AND t + 0.5 >= 0.85 * (n + 1)")
         new = choose_terms([tuple(r) for r in good.collect()], int(toxic), n, max(2, int(n * 200)))
         if not new:
             break
@@ -385,7 +384,11 @@ def toxic_score(text: Column, lexicon: ToxicLexicon) -> Column:
 
 
 def toxicity_report(docs: DataFrame, lexicon: ToxicLexicon) -> DataFrame:
-    """Per document: `doc_id, held_out, score, predicted`."""
+    """Per document: `doc_id, held_out, score, predicted`.
+
+    Null and empty texts have the score of a text without hits. A null id is not held out; repeated rows are each
+    scored. Extra columns are not read.
+    """
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
     scored = docs.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), toxic_score(F.col("text"), lexicon).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
