@@ -65,3 +65,9 @@ def test_missing_content_has_a_defined_result(spark):
     text = chats.select(chat.render_chat(F.col("messages"), default_system="").alias("t")).first()["t"]
     assert text == "<|im_start|>user\nq<|im_end|>\n<|im_start|>assistant\nnull<|im_end|>\n"
     assert chat.bad_chat_rows(df.select(F.col("question").alias("inputs"), F.col("answer").alias("targets"))).count() == 2
+
+
+@pytest.mark.parametrize("mapper", ["user=q,assistant=a", " user = q , assistant=a ,", ",,user=x,user=q,  ,assistant = a"])
+def test_mappers_that_mean_the_same(mapper):
+    assert chat.parse_mapper(mapper) == {"user": "q", "assistant": "a"}
+    assert chat.parse_mapper("") is None and chat.parse_mapper(None) is None

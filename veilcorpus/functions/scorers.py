@@ -2,29 +2,15 @@
 
 from __future__ import annotations
 
-import difflib
 from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 from veilcorpus.functions.text import let, words
 
 IDEAL_WORDS = 100
 
 
-@F.pandas_udf(T.DoubleType())
-def similarity(output: pd.Series, reference: pd.Series) -> pd.Series:
-    """Ratio of matching characters (Python's SequenceMatcher, with its popular-character rule)."""
-    return pd.Series(
-        [
-            None if a is None or b is None else difflib.SequenceMatcher(None, a, b).ratio()
-            for a, b in zip(output, reference)
-        ],
-        dtype="float64",
-    )
-
-
 def length_score(output: Column) -> Column:
     """1 at 100 words, falling to 0 at none or 200."""
     n = F.size(words(output))
@@ -80,7 +66,7 @@ def _pair_overlap(word_sets: Column) -> Column:
     return F.when(n < 2, F.lit(0.5)).otherwise(F.least(F.lit(1.0), total / pairs * 2))
 
 
-# Scorers of one output text, by name; `similarity` also takes a reference text.
+# Scorers of one output text, by name.
 OUTPUT_SCORERS: dict[str, Callable[[Column], Column]] = {
     "response_length": length_score,
     "coherence": coherence_score,

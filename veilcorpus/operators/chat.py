@@ -7,6 +7,7 @@ projection.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -38,22 +39,27 @@ def extraction_chat(
     )
 
 
+#: A mapper is entries between commas, each blank or a word, `=` and a column name without `,`.
+_ENTRY = re.compile(r"\s*(?:(?P<role>[^=,\s][^=,]*?)\s*=\s*(?P<column>[^,]*?))?\s*(?:,|$)")
+
+
 def parse_mapper(raw: str | None) -> dict[str, str] | None:
-    """`user=col,assistant=col[,system=col]` as a dict; None if unset."""
+    """`user=col,assistant=col[,system=col]` as a dict; None if unset. Blank entries don't count, the last of a role does."""
     if not raw:
         return None
-    mapper: dict[str, str] = {}
-    for pair in filter(str.strip, raw.split(",")):
-        role, eq, column = (part.strip() for part in pair.partition("="))
-        if not eq:
-            raise ValueError(f"malformed mapper pair {pair!r}: expected role=column")
-        if role not in ROLES:
-            raise ValueError(f"unknown role {role!r} in mapper: expected one of {ROLES}")
-        mapper[role] = column
-    missing = [role for role in ("user", "assistant") if role not in mapper]
-    if missing:
-        raise ValueError(f"mapper lacks {missing}; it has {sorted(mapper)}")
-    return mapper
+    chosen: dict[str, str] = {}
+    at = 0
+    while at < len(raw):
+        entry = _ENTRY.match(raw, at)
+        if entry is None:
+            raise ValueError(f"malformed mapper at {raw[at:]!r}: expected role=column")
+        at = entry.end()
+        if entry["role"]:
+            chosen[entry["role"]] = entry["column"]
+    unknown, lacking = chosen.keys() - set(ROLES), {"user", "assistant"} - chosen.keys()
+    if unknown or lacking:
+        raise ValueError(f"mapper {raw!r}: unknown role {sorted(unknown)}, missing {sorted(lacking)}; roles are {ROLES}")
+    return chosen
 
 
 def mapped_chat(df: DataFrame, mapper: dict[str, str]) -> Column:

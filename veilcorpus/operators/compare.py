@@ -6,27 +6,13 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from veilcorpus.functions.scorers import OUTPUT_SCORERS, similarity
+from veilcorpus.functions.scorers import OUTPUT_SCORERS
 from veilcorpus.functions.text import markdown_cell
 
 
-def score_table(
-    df: DataFrame,
-    output: str = "output",
-    reference: str | None = None,
-    base: str | None = None,
-    scorers: Mapping[str, Callable[[Column], Column]] = OUTPUT_SCORERS,
-) -> DataFrame:
-    """Add one column per scorer. With a reference also `similarity`, with a base output also
-    `improved`: a strictly higher similarity than the base output has."""
-    scored = df
-    if reference:
-        scored = scored.withColumn("similarity", similarity(F.col(output), F.col(reference)))
-        if base:
-            base_ratio = similarity(F.col(base), F.col(reference))
-            scored = scored.withColumn("base_similarity", base_ratio)
-            scored = scored.withColumn("improved", F.col("similarity") > F.col("base_similarity"))
-    return scored.withColumns({name: fn(F.col(output)) for name, fn in scorers.items()})
+def score_table(df: DataFrame, output: str = "output", scorers: Mapping[str, Callable[[Column], Column]] = OUTPUT_SCORERS) -> DataFrame:
+    """Add one column per scorer."""
+    return df.withColumns({name: fn(F.col(output)) for name, fn in scorers.items()})
 
 
 def score_summary(scored: DataFrame, names: list[str]) -> DataFrame:
