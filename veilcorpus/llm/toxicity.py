@@ -292,11 +292,11 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id",
     small_batches(docs.sparkSession)
     rows = labels.filter(learning_fold(F.col(doc_id)) & F.col(label).isNotNull())
     rows = rows.groupBy(F.col(doc_id).alias("_id")).agg(F.max(F.col(label)).cast("int").alias("toxic"))
-    present = docs.filter(F.col(text).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(text).alias("text"))
-    labelled = present.join(rows, "_id").select("toxic", "text", F.xxhash64("text").alias("h"))
-    few = labelled.groupBy("h").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("h"), "h").limit(sample_rows)
+    # Texts are hashed where they lie: ids and hashes meet the labels.
+    present = docs.filter(F.col(text).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+    few = present.select("_id", "h").join(rows, "_id").groupBy("h").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("h"), "h").limit(sample_rows)
     # One row a text again: the first copy that is met.
-    found = present.select("text", F.xxhash64("text").alias("h")).join(F.broadcast(few), "h").dropDuplicates(["h"])
+    found = present.select("text", "h").join(F.broadcast(few), "h").dropDuplicates(["h"])
     sample = materialize(found.select("toxic", "text", (F.pmod(F.col("h"), F.lit(2))).cast("int").alias("half")))
     listed = materialize(sample.select("toxic", _terms("text").alias("terms")))
     chances: dict[str, float] = {}
