@@ -165,3 +165,48 @@ def test_language_is_learned_and_odd_texts_are_unknown(spark):
     assert train_language_net(df.limit(0)) is None
     assert detect_language(df.limit(3), None).select("language.lang_pred").distinct().collect()[0][0] == "und"
     assert detect_language(df.limit(0), net).count() == 0
+
+
+def test_scores_equal_a_naive_network(spark):
+    """Every window, filter and place by plain loops, narrow filters at their own width."""
+    from veilcorpus.llm.language_id import DIMENSIONS, FILTERS, WIDTHS, WINDOW
+
+    net = ByteConvNet(["a", "b", "c"], seed=5)
+    net.lift += 0.1
+    net.bias += np.array([0.2, -0.1, 0.0], np.float32)
+
+    def naive(text):
+        data = text.encode()
+        windows = [data[i : i + WINDOW] for i in range(0, len(data), WINDOW)]
+        total = np.zeros(3)
+        for w in windows:
+            w = (w * (WINDOW // len(w) + 1))[:WINDOW]
+            pooled = []
+            for k, width in enumerate(WIDTHS):
+                for f in range(FILTERS):
+                    column = net.filters[:, k * FILTERS + f].reshape(-1, DIMENSIONS)[:width].astype(float)
+                    best = max(sum(float(net.embed[w[at + j]] @ column[j]) for j in range(width)) for at in range(WINDOW - max(WIDTHS) + 1))
+                    pooled.append(max(best + float(net.lift[k * FILTERS + f]), 0.0))
+            total += np.array(pooled) @ net.dense + net.bias
+        p = np.exp(total / len(windows))
+        p /= p.sum()
+        return net.languages[int(p.argmax())], float(p.max())
+
+    texts = ["short", "é日 mixed text", "x" * WINDOW, "several windows of text " * 20]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_report(df, net).collect()}
+    for i, text in enumerate(texts):
+        lang, score = naive(text)
+        assert got[i][0] == lang and abs(got[i][1] - score) < 1e-4
+
+
+def test_copies_do_not_fill_a_language(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(ByteConvNet, "train", lambda self, windows, labels, seed=0: seen.update(windows=windows, labels=labels))
+    rows = [(f"copy of one text in {i % 2}", "en") for i in range(400)] + [(f"text number {i} of its own", "en") for i in range(100)]
+    rows += [("seul texte", "fr"), (None, "fr"), ("", "fr"), ("no language", None)]
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(5)
+    train_language_net(df, per_language=1000)
+    assert len(seen["windows"]) == 2 * (2 + 100 + 1) and (seen["labels"] == 1).sum() == 2
+    train_language_net(df, per_language=30)
+    assert len({bytes(w) for w in seen["windows"][seen["labels"] == 0]}) >= 30
