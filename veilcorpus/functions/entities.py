@@ -369,15 +369,15 @@ def add_entities(
     Up to twice as many values are tried as are wanted, so a subtype with few values may
     give one where two were wanted. `pools` (subtype -> values) replaces the formats of its
     subtypes, and may name new ones; an empty pool leaves the formats in place. Both tables
-    hold one row per named subtype, come from the driver, and are broadcast. A row whose
+    hold one row per named subtype; the engine checks their sizes before it broadcasts them. A row whose
     subtype has neither formats nor a pool stays, with null values.
     """
     table = format_table(df.sparkSession).select(F.col("subtype").alias("_s"), "formats", "total")
-    joined = df.join(F.broadcast(table), F.col(subtype) == F.col("_s"), "left").drop("_s")
+    joined = df.join(table, F.col(subtype) == F.col("_s"), "left").drop("_s")
     filled = [(s, list(p)) for s, p in (pools or {}).items() if p]
     if filled:
         few = df.sparkSession.createDataFrame(filled, "_s STRING, pool ARRAY<STRING>")
-        joined = joined.join(F.broadcast(few), F.col(subtype) == F.col("_s"), "left").drop("_s")
+        joined = joined.join(few, F.col(subtype) == F.col("_s"), "left").drop("_s")
     wanted = F.when(draw(seed, "count", F.col(key)) % 10 < 7, F.lit(1)).otherwise(F.lit(2))
 
     def one_try(i: Column) -> Column:

@@ -62,7 +62,7 @@ def labelled_entities(
 ) -> DataFrame:
     """Long form `(id, pos, label, category, value)`; unknown labels are dropped.
 
-    The label table is fixed and tiny, so it is broadcast and no row moves.
+    A label table as small as the fixed one is broadcast by the engine, which checks its size, and no row moves.
     """
     table = df.sparkSession.createDataFrame(list(labels.items()), "label STRING, category STRING")
     exploded = df.select(F.col(id_column), F.posexplode(F.col(entities)).alias("pos", "entity"))
@@ -72,7 +72,7 @@ def labelled_entities(
         F.col("entity").getField(label).alias("label"),
         F.col("entity").getField(value).alias("value"),
     )
-    return flat.join(F.broadcast(table), "label").select(
+    return flat.join(table, "label").select(
         id_column, "pos", "label", "category", "value"
     )
 
