@@ -63,6 +63,22 @@ def test_spec_tables_and_unknown_subtypes(spark, tmp_path):
     assert len(kept) == 1 and kept[0]["entities"] is None
 
 
+def test_synthesis_joins_shuffle_no_expanded_rows(spark, capsys):
+    spec = {"system_config": {"description": "d", "subtypes": [{"name": "odd", "examples": ["e"]}], "situations": ["s1"]}}
+    subtypes, situations = readers.spec_tables(spark, spec)
+    tasks.expand_tasks(subtypes, situations, pools={"odd": ["p", "q"]}).explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 3
+
+
+def test_a_second_value_differs_from_the_first(spark):
+    rows = spark.range(400).select(F.col("id").cast("string").alias("task_id"), F.lit("odd").alias("subtype_name"))
+    for pool, most in ((["p", "q"], 2), (["p"], 1)):
+        made = add_entities(rows, "task_id", pools={"odd": pool}).select("entities").collect()
+        sizes = {len(r["entities"]) for r in made}
+        assert all(len(set(r["entities"])) == len(r["entities"]) for r in made) and max(sizes) == most and min(sizes) == 1
+
+
 def test_corpora_that_are_missing(spark, tmp_path):
     spark.createDataFrame([("t", "{}")], S.CORPUS).write.parquet(f"{tmp_path}/a")
     both = readers.read_corpora(spark, {"a": f"{tmp_path}/a", "b": f"{tmp_path}/none"})

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from veilcorpus.fixed_values import CATEGORIES, ENTITY_TYPES, MASK_LABELS
+from veilcorpus.functions.frames import small_table
 from veilcorpus.functions.jsonx import encode_annotation
 from veilcorpus.schema import build_annotation
 
@@ -64,7 +65,7 @@ def labelled_entities(
 
     A label table as small as the fixed one is broadcast by the engine, which checks its size, and no row moves.
     """
-    table = df.sparkSession.createDataFrame(list(labels.items()), "label STRING, category STRING")
+    table = small_table(df.sparkSession, labels.items(), "label STRING, category STRING")
     exploded = df.select(F.col(id_column), F.posexplode(F.col(entities)).alias("pos", "entity"))
     flat = exploded.select(
         id_column,

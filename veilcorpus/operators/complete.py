@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -94,7 +94,8 @@ def ask(complete: Completer, messages: list[dict], policy: CallPolicy) -> dict:
     row = dict.fromkeys(("content", "model", "provider", "usage", "latency_s", "error"))
     problem = "none was made"
     for wait in policy.waits():
-        time.sleep(wait)
+        if wait:
+            time.sleep(wait)
         began = time.monotonic()
         try:
             answer = _within(policy.deadline_s, complete, messages)
@@ -109,6 +110,16 @@ def ask(complete: Completer, messages: list[dict], policy: CallPolicy) -> dict:
     return row | {"error": f"{policy.attempts} attempts failed, last: {problem}"}
 
 
+# Arrow types of the completion columns (see COMPLETION_FIELDS).
+_ARROW = dict.fromkeys(("content", "model", "provider", "error"), pa.string())
+_ARROW |= {"usage": pa.map_(pa.string(), pa.int32()), "latency_s": pa.float64()}
+
+
+def _cell(value: object) -> object:
+    """Arrow takes a map as pairs."""
+    return list(value.items()) if isinstance(value, dict) else value
+
+
 def complete_table(
     df: DataFrame,
     factory: CompleterFactory = echo_completer,
@@ -132,17 +143,18 @@ def complete_table(
     extra = T.StructType.fromDDL(COMPLETION_FIELDS)
     schema = T.StructType(df.schema.fields + extra.fields)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         complete = factory(policy.options)
         share = policy.in_flight // tasks + (TaskContext.get().partitionId() < policy.in_flight % tasks)
         with ThreadPoolExecutor(max_workers=share) as pool:
+            each = pool.map if share > 1 else map  # one request at a time needs no other thread
             for batch in batches:
-                requests = [[dict(m) for m in ms] for ms in batch[messages]]
-                answers = pool.map(lambda ms: ask(complete, ms, policy), requests)
-                columns = pd.DataFrame(list(answers), columns=extra.names, index=batch.index)
-                yield pd.concat([batch, columns], axis=1)
+                requests = batch.column(messages).to_pylist()
+                answers = list(each(lambda ms: ask(complete, ms, policy), requests))
+                columns = [pa.array([_cell(a[name]) for a in answers], _ARROW[name]) for name in extra.names]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *extra.names])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def prompt_batch(system_prompt: str, user_prompt: Column) -> Column:
@@ -172,18 +184,17 @@ def generate_and_validate(
     max_attempts: int = 2,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Task rows with the answer of their last attempt, `status` and `attempt`.
+    """Task rows with the answer of their last attempt, `status` and `attempt`; the messages follow from the task.
 
     Only rejected rows are tried again; an error ends a task. Each attempt is written to
     the shared folder before it is read, so no request is sent twice for one attempt,
     also when an executor is lost later.
     """
-    asked = tasks.withColumn("messages", task_messages())
-    columns = asked.columns
+    asked, columns = tasks, tasks.columns
     finished: list[DataFrame] = []
     for attempt in range(1, max_attempts + 1):
-        answered = complete_table(asked, factory, policy, partitions=partitions)
-        judged = materialize(judge(answered).withColumn("attempt", F.lit(attempt)))
+        answered = complete_table(asked.withColumn("messages", task_messages()), factory, policy, partitions=partitions)
+        judged = materialize(judge(answered.drop("messages")).withColumn("attempt", F.lit(attempt)))
         if attempt == max_attempts:
             finished.append(judged)
         else:

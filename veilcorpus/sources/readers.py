@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from veilcorpus import schema as S
 from veilcorpus.functions.audio import LENGTH, header_length
+from veilcorpus.functions.frames import small_table
 from veilcorpus.functions.text import strip
 from veilcorpus.operators.rank import first_in_shuffle
 from veilcorpus.sources import arrow_corpus
@@ -140,7 +141,8 @@ def spec_tables(spark: SparkSession, spec: Mapping[str, Any]) -> tuple[DataFrame
             )
         situations += [(category, i, text) for i, text in enumerate(body.get("situations", []))]
     return (
-        spark.createDataFrame(
+        small_table(
+            spark,
             subtypes,
             "category STRING, category_desc STRING, name STRING, description STRING, examples ARRAY<STRING>",
         ),
