@@ -29,6 +29,10 @@ def test_pool_line_with_digits(spark):
     assert one(spark, raw, lambda t: tx.clean_pool_lines(t, compat=True)) == ["/opt/scripts/db.sh"]
 
 
+def test_a_dash_before_a_digit_is_a_marker(spark):
+    assert one(spark, "- 5 apples\n- /etc/x\n- * star\n* 2 * * * /x.sh", tx.clean_pool_lines) == ["5 apples", "/etc/x", "* star", "* 2 * * * /x.sh"]
+
+
 def test_markdown_cells(spark):
     assert one(spark, "a|b\nc", lambda t: tx.markdown_cell(t, None)) == "a\\|b c"
     assert one(spark, "abcdef", lambda t: tx.markdown_cell(t, 3)) == "abc"
