@@ -119,6 +119,20 @@ def test_a_reader_always_sees_a_whole_profile(spark, tmp_path, monkeypatch):
     assert len(folders_in(table)) == rp.KEEP
 
 
+def test_streamed_table_may_be_a_file_or_a_folder(spark, tmp_path):
+    from veilcorpus.plans.queries import stream_profile
+
+    docs = spark.createDataFrame([(i, f"mail a{i}@b.org", "de", "s", 9) for i in range(6)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/made")
+    (part,) = [n for n in os.listdir(f"{tmp_path}/made") if n.endswith(".parquet")]
+    os.makedirs(f"{tmp_path}/one")
+    os.rename(f"{tmp_path}/made/{part}", f"{tmp_path}/one/documents.parquet")
+    docs.repartition(3).write.parquet(f"{tmp_path}/many/documents.parquet")
+    for folder in ("one", "many"):
+        found = {r["category"]: (r["entity_count"], r["total_rows"]) for r in stream_profile(spark, f"{tmp_path}/{folder}").collect()}
+        assert len(found) == 11 and found["email_address"] == (6, 6)
+
+
 def test_counters_of_a_log_come_from_its_only_scan(spark, tmp_path, capsys):
     lines = ['{"input_text": "a", "annotation_json": "{}", "_meta": {"task_id": "1", "polarity": "pos"}}'] * 3
     lines += ['{"input_text": "b", "annotation_json": "{}", "_meta": {"task_id": "2", "polarity": "neg"}}', "", "   ", "broken", '{"input_text": "c"', "[1]"]
