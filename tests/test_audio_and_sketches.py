@@ -70,6 +70,18 @@ def test_only_named_files_are_read(spark, tmp_path, capsys):
     assert found == [(s, status) for _, s, status in CASES.values()] + [(None, "missing")]
 
 
+def test_many_runs_make_few_folders(spark, tmp_path):
+    path = f"{tmp_path}/s"
+    values = spark.range(600).select((F.col("id") % 300).cast("string").alias("run_id"), F.col("id").cast("double").alias("value"))
+    none = values.limit(1).withColumn("run_id", F.lit(None).cast("string"))
+    writers.save_sketches(sketches.value_sketches(values.unionByName(none), ["run_id"]), path)
+    writers.save_sketches(sketches.value_sketches(values.filter("run_id IN ('7', '8')").limit(3).unionByName(none), ["run_id"]), path)
+    held = {r["run_id"]: r["n"] for r in readers.read_sketches(spark, path).collect()}
+    assert len(held) == 301 == readers.read_sketches(spark, path).count() and held[None] == 1
+    assert held["7"] + held["8"] == 3 and sum(held.values()) == 298 * 2 + 3 + 1
+    assert sum(n.startswith("bucket=") for n in os.listdir(path)) <= writers.SKETCH_FOLDERS
+
+
 def test_merged_sketches_are_as_good_as_one(spark, tmp_path):
     rng = random.Random(2)
     values = [rng.lognormvariate(0, 2) for _ in range(20_000)] + [5.0] * 10_000  # a third of all values are one

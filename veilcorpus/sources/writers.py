@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from veilcorpus import schema as S
 from veilcorpus.fixed_values import CATEGORIES
+from veilcorpus.functions.frames import join_null_safe
 from veilcorpus.operators.rank import uniform_key
 from veilcorpus.operators.split import split_counts
+from veilcorpus.session import discard, materialize
 from veilcorpus.sources.arrow_corpus import save_arrow_corpus
+from veilcorpus.sources.readers import path_exists
+
+SKETCH_FOLDERS = 64
 
 
 def save_corpus(df: DataFrame, path: str, format: str = "parquet") -> None:
@@ -107,8 +113,23 @@ def save_metrics(metrics: DataFrame, path: str) -> None:
 
 
 def save_sketches(sketches: DataFrame, path: str) -> None:
-    """Write `run_id, n, sketch` rows into a table of all runs, in place of what it holds of these runs."""
-    _replace_parts(sketches.select(F.col("run_id").cast("string"), "n", "sketch"), path, ["run_id"], "parquet")
+    """Write `run_id, n, sketch` rows into a table of all runs, in place of what it holds of these runs.
+
+    The table has a fixed number of folders, into which runs are dealt by a hash of their id, so a million runs
+    make no million files. Folders that hold any of these runs are written anew, with their other runs.
+    """
+    spark = sketches.sparkSession
+    bucket = F.pmod(F.xxhash64("run_id"), F.lit(SKETCH_FOLDERS)).cast("int")
+    new = materialize(sketches.select(F.col("run_id").cast("string"), "n", "sketch").withColumn("bucket", bucket))
+    rows = new
+    if path_exists(spark, path):
+        held = spark.read.schema(f"{S.SKETCHES}, bucket INT").parquet(path)
+        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most SKETCH_FOLDERS
+        others = join_null_safe(held.filter(F.col("bucket").isin(touched)), new.select("run_id"), ["run_id"], "left_anti")
+        rows = new.unionByName(others)
+    writer = rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("bucket").parquet(path)
+    discard(new)
 
 
 def save_comparison(compared: DataFrame, path: str, name: str, format: str = "parquet") -> None:
