@@ -133,6 +133,17 @@ def test_streamed_table_may_be_a_file_or_a_folder(spark, tmp_path):
         assert len(found) == 11 and found["email_address"] == (6, 6)
 
 
+def test_a_saved_chat_dataset_leaves_no_table_behind(spark, tmp_path):
+    from veilcorpus.plans import corpus_build
+    from veilcorpus.session import shared_dir
+
+    spark.createDataFrame([(f"t{i}", "{}") for i in range(20)], S.CORPUS).write.parquet(f"{tmp_path}/mixed")
+    before = set(folders_in(shared_dir(spark)))
+    corpus_build.format_chat(spark, f"{tmp_path}/mixed", {}, f"{tmp_path}/chat")
+    assert set(folders_in(shared_dir(spark))) == before
+    assert spark.read.parquet(f"{tmp_path}/chat/data").count() == 20
+
+
 def test_counters_of_a_log_come_from_its_only_scan(spark, tmp_path, capsys):
     lines = ['{"input_text": "a", "annotation_json": "{}", "_meta": {"task_id": "1", "polarity": "pos"}}'] * 3
     lines += ['{"input_text": "b", "annotation_json": "{}", "_meta": {"task_id": "2", "polarity": "neg"}}', "", "   ", "broken", '{"input_text": "c"', "[1]"]

@@ -11,7 +11,7 @@ from veilcorpus.operators.chat import extraction_chat
 from veilcorpus.operators.mix import mix_corpus
 from veilcorpus.operators.profile import category_profile
 from veilcorpus.operators.split import train_validation_split
-from veilcorpus.session import materialize
+from veilcorpus.session import discard, materialize
 from veilcorpus.sources.readers import path_exists, read_corpora, read_corpus, read_table
 from veilcorpus.sources.writers import dataset_card, save_card, save_corpus, save_shuffled, save_splits
 
@@ -60,7 +60,9 @@ def mix(
     rows = with_row_ids(read_corpora(spark, corpora)).select(
         "row_id", "source", "input_text", decode_annotation(F.col("annotation_json")).alias("annotation")
     )
-    mixed = materialize(mix_corpus(materialize(rows), n_rows, negative_ratio, seed))
+    held = materialize(rows)
+    mixed = materialize(mix_corpus(held, n_rows, negative_ratio, seed))
+    discard(held)
     save_shuffled(
         mixed.select("input_text", encode_annotation(F.col("annotation")).alias("annotation_json"), "shuffle_key"),
         out,
@@ -95,6 +97,7 @@ def format_chat(
         extraction_chat(F.col("input_text"), F.col("annotation_json")).alias("messages"),
     )
     save_splits(chat, f"{out}/data", seed)
+    discard(identified)
     card = dataset_card(spark.read.parquet(f"{out}/data"), name, ["mixed", *present])
     save_card(card, f"{out}/card")
     return card
