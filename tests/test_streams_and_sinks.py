@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from veilcorpus import schema as S
-from veilcorpus.operators import compare, complete, tasks
+from veilcorpus.operators import compare, complete, tasks, validate
 from veilcorpus.sources import readers, writers
 from veilcorpus.sources.files import folders_in
 from veilcorpus.streaming import incremental_generation as inc, running_profile as rp
@@ -83,6 +83,49 @@ def test_a_second_run_of_a_later_batch_meets_no_half_log(spark, tmp_path, monkey
     assert len(ids) == len(set(ids)) == 6
 
 
+def test_task_files_read_again_are_not_shuffled(spark, tmp_path, monkeypatch):
+    folder, log, state = f"{tmp_path}/tasks of it", f"{tmp_path}/log", f"{tmp_path}/state"
+    first = todo(spark, 9)
+    first.unionByName(first.limit(4)).write.parquet(folder)
+    batches, real = [], inc.place_bits
+    monkeypatch.setattr(inc, "place_bits", lambda places: batches.append(places.columns) or real(places))
+
+    def run(checkpoint):
+        stream = spark.readStream.schema(first.schema).parquet(folder)
+        inc.start_generation(stream, log, checkpoint, policy=POLICY, read_tasks=lambda: spark.read.schema(first.schema).parquet(folder)).awaitTermination()
+
+    run(state)
+    assert sorted(logged(spark, log)) == sorted(r["task_id"] for r in first.collect())
+    # New tasks beside old ones and one without an id; then another stream over the same files.
+    more = todo(spark, 3, 100)
+    more.unionByName(first).unionByName(more.limit(1).withColumn("task_id", F.lit(None).cast("string"))).write.mode("append").parquet(folder)
+    run(state)
+    assert len(logged(spark, log)) == len(set(logged(spark, log))) == 12
+    todo(spark, 2, 200).write.mode("append").parquet(folder)
+    run(f"{tmp_path}/other")
+    assert len(logged(spark, log)) == len(set(logged(spark, log))) == 14
+    assert batches == [["task_id", "file", "row"]] * 3
+
+
+def test_rows_at_places_of_long_files(spark, tmp_path):
+    spark.range(0, 150_000, 1, 2).select("id").write.parquet(f"{tmp_path}/t")
+    rows = spark.read.parquet(f"{tmp_path}/t")
+    places = rows.select("id", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    wanted = "row % 32768 IN (0, 1, 7, 8, 32767) OR row % 1009 = 3"
+    found = sorted(r["id"] for r in inc.rows_at(rows, inc.place_bits(places.filter(wanted))).collect())
+    assert found == sorted(r["id"] for r in places.filter(wanted).collect()) and len(found) > 150
+    assert inc.rows_at(rows, inc.place_bits(places.limit(0))).count() == 0
+
+
+def test_an_answer_is_stored_once_and_the_log_is_compressed(spark, tmp_path):
+    judged = complete.generate_and_validate(todo(spark, 5), policy=POLICY)
+    assert all("input_text" not in spark.read.parquet(f).columns for f in judged.inputFiles())
+    assert all(r["input_text"] == r["content"].strip() for r in judged.collect())
+    writers.append_generation_log(validate.log_rows(judged), f"{tmp_path}/log")
+    assert all(f.endswith(".json.gz") for f in readers.read_generation_log(spark, f"{tmp_path}/log", strict=True).inputFiles())
+    assert len(logged(spark, f"{tmp_path}/log")) == 5
+
+
 def test_a_reader_always_sees_a_whole_profile(spark, tmp_path, monkeypatch):
     log, table = f"{tmp_path}/log", f"{tmp_path}/profile"
     rows = spark.range(60).select(

@@ -22,7 +22,7 @@ from veilcorpus.fixed_values import POOLED_SUBTYPES
 from veilcorpus.functions.prompts import task_messages
 from veilcorpus.functions.text import clean_pool_lines
 from veilcorpus.operators.chat import turn
-from veilcorpus.operators.validate import ACCEPTED, judge
+from veilcorpus.operators.validate import ACCEPTED, answer_text, judge
 from veilcorpus.schema import COMPLETION_FIELDS
 from veilcorpus.session import materialize
 
@@ -188,13 +188,15 @@ def generate_and_validate(
 
     Only rejected rows are tried again; an error ends a task. Each attempt is written to
     the shared folder before it is read, so no request is sent twice for one attempt,
-    also when an executor is lost later.
+    also when an executor is lost later. The cleaned text follows from the answer and is not written beside it.
     """
     asked, columns = tasks, tasks.columns
     finished: list[DataFrame] = []
     for attempt in range(1, max_attempts + 1):
         answered = complete_table(asked.withColumn("messages", task_messages()), factory, policy, partitions=partitions)
-        judged = materialize(judge(answered.drop("messages")).withColumn("attempt", F.lit(attempt)))
+        judged = judge(answered.drop("messages")).withColumn("attempt", F.lit(attempt))
+        held = materialize(judged.drop("input_text"), "zstd")
+        judged = held.withColumn("input_text", answer_text(F.col("content"))).select(*judged.columns)
         if attempt == max_attempts:
             finished.append(judged)
         else:

@@ -21,9 +21,14 @@ def reject_reason(text: Column, positive: Column, category: Column, entities: Co
     )
 
 
+def answer_text(content: Column) -> Column:
+    """The text of an answer as it is judged and logged; empty where there is no answer."""
+    return clean_output(F.coalesce(content, F.lit("")))
+
+
 def judge(df: DataFrame, content: str = "content", error: str | None = "error") -> DataFrame:
     """Add `input_text`, `reason`, `status` and `polarity` to task rows with an answer."""
-    judged = df.withColumn("input_text", clean_output(F.coalesce(F.col(content), F.lit(""))))
+    judged = df.withColumn("input_text", answer_text(F.col(content)))
     judged = judged.withColumn(
         "reason",
         reject_reason(

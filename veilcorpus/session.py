@@ -42,8 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write `df` once to the shared folder and read it back.
+def materialize(df: DataFrame, compression: str | None = None) -> DataFrame:
+    """Write `df` once to the shared folder and read it back; `compression` names a Parquet codec other than the session's.
 
     Used where a costly result is read several times, or where it must not be
     computed again (model calls). A Parquet table survives lost executors and,
@@ -51,7 +51,7 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -33,13 +33,13 @@ def save_shuffled(df: DataFrame, path: str, key: str = "shuffle_key") -> None:
 
 
 def append_generation_log(log: DataFrame, path: str) -> None:
-    """Append finished rows as JSON lines; a failed job leaves no partial rows behind."""
-    log.write.mode("append").json(path)
+    """Append finished rows as JSON lines (gzip); a failed job leaves no partial rows behind."""
+    log.write.mode("append").json(path, compression="gzip")
 
 
 def replace_log_part(log: DataFrame, path: str) -> None:
     """Write one folder of a log anew; a second write of the same part replaces the first."""
-    log.write.mode("overwrite").json(path)
+    log.write.mode("overwrite").json(path, compression="gzip")
 
 
 def export_log(log: DataFrame, path: str, format: str = "parquet") -> None:
