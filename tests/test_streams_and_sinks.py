@@ -240,6 +240,23 @@ def test_comparisons_are_replaced_by_name(spark, tmp_path):
         assert readers.read_comparison(spark, path, format=format).count() == 3
 
 
+def test_models_of_bucketed_prompts_are_aligned_without_a_shuffle(spark, tmp_path, capsys):
+    from veilcorpus.session import bucketed, shared_dir
+
+    before = set(folders_in(shared_dir(spark)))
+    items = spark.createDataFrame([(i, f"p{i}") for i in range(40)] + [(None, "none")], "prompt_id long, prompt string")
+    with bucketed(items, "prompt_id") as held:
+        tuned = held.filter("prompt_id % 4 <> 0").withColumn("content", F.upper("prompt"))
+        both = compare.align_models(held.withColumn("content", F.col("prompt")), tuned)
+        both.explain()
+        assert "Exchange" not in capsys.readouterr().out
+        writers.save_comparison(both, f"{tmp_path}/c", "x")
+    got = {r["prompt"]: r["finetune"] for r in readers.read_comparison(spark, f"{tmp_path}/c").collect()}
+    assert got == {"none": None} | {f"p{i}": f"P{i}" if i % 4 else None for i in range(40)}
+    assert set(folders_in(shared_dir(spark))) == before and not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+    assert all(f.endswith(".zstd.parquet") for f in readers.read_comparison(spark, f"{tmp_path}/c").inputFiles())
+
+
 @pytest.mark.parametrize(("bound", "partitions"), [(1, None), (3, None), (7, None), (50, None), (3, 12)])
 def test_requests_in_flight_stay_within_the_bound_in_total(spark, tmp_path, bound, partitions):
     folder = f"{tmp_path}/calls"

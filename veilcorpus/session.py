@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +57,25 @@ def materialize(df: DataFrame, compression: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def bucketed(df: DataFrame, key: str) -> Iterator[DataFrame]:
+    """`df` written once as a table dealt into buckets by `key`: joins on the key move none of its rows again.
+
+    The table is dropped at the end of the block, by when all that reads it must have run.
+    """
+    spark = df.sparkSession
+    made = uuid.uuid4().hex
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartition(n, key).write.bucketBy(n, key).option("compression", "zstd")
+    dealt.saveAsTable(f"bucketed_{made}", path=f"{shared_dir(spark)}/table-{made}")
+    table = spark.table(f"bucketed_{made}")
+    try:
+        yield table
+    finally:
+        discard(table)
+        spark.sql(f"DROP TABLE bucketed_{made}")
+
+
 def discard(table: DataFrame) -> None:
     """Delete the folder of a table that `materialize` wrote, once nothing reads it any more."""
     spark = table.sparkSession

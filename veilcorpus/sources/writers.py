@@ -99,6 +99,8 @@ def _replace_parts(df: DataFrame, path: str, keys: list[str], format: str) -> No
     if not empty.isEmpty():
         raise ValueError(f"{keys} must not be empty texts: a folder name can't tell them from null")
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if format == "parquet":
+        writer = writer.option("compression", "zstd")
     writer.partitionBy(*keys).format(format).save(path)
 
 
