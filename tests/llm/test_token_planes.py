@@ -7,7 +7,7 @@ import pytest
 from public_tokenizers import path as tokenizer_path
 from tokenizers import Tokenizer
 
-from veilcorpus.llm.token_planes import UNITS, WordCache, from_planes, read_documents, read_positions, to_planes, write_token_planes
+from veilcorpus.llm.token_planes import UNITS, WordCache, from_planes, read_documents, read_positions, to_planes, word_cache, write_token_planes
 from veilcorpus.session import shared_dir
 
 FILE = tokenizer_path("byte_bpe_50k.json")
@@ -38,6 +38,30 @@ def test_words_are_encoded_as_the_whole_text_is(tokenizer):
             assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_only_new_stems_go_to_the_tokenizer(tokenizer, monkeypatch):
+    cache, sent = WordCache(FILE, most=400), []
+    real = cache._encode
+    monkeypatch.setattr(cache, "_encode", lambda texts: sent.extend(texts) or real(texts))
+    texts = ["x one two, three.\nOne one, two.", "x one. two three!! (1) two.\nOne. d'one one\n\nOne", "x été, été. ab_c --x 1one, one1 two\u0301, a.b;c"]
+    plain = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in cache.encode(texts[:1])] == plain[:1]
+    assert sum(t.split().count("one") + t.split().count("two") for t in sent) == 2
+    sent.clear()
+    assert [x.tolist() for x in cache.encode(texts)] == plain
+    assert not {"one", "two", "one.", "two."} & {w for t in sent for w in t.split(" ")}
+    # Words that come again outlive others, and the cache stays within its bound.
+    sent.clear()
+    for i in range(60):
+        some = f"x often {' '.join(f'w{i}q{j}' for j in range(20))} end"
+        assert [x.tolist() for x in cache.encode([some])] == [tokenizer.encode(some, add_special_tokens=False).ids]
+        assert sum(map(len, cache.held["words"])) < 400
+    assert sum("often" in t for t in sent) == 1
+
+
+def test_a_worker_keeps_its_cache():
+    assert word_cache(FILE) is word_cache(FILE)
+
+
 @pytest.mark.parametrize("unit", UNITS)
 def test_files_hold_every_document(spark, tokenizer, unit):
     rows = [(5, "five words are in here", "x"), (2, None, "x"), (9, "", "x"), (1, "long " * 30_000, "x"), (2, "two", "x"), (2, "two", "x"), (None, "no id", "x"), (7, "a\nb  c", "x")]

@@ -16,11 +16,13 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Callable, Iterator
-from itertools import filterfalse
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -31,6 +33,8 @@ CHUNK_IDS = 1 << 17
 LEVEL = 3
 UNITS = ("byte", "bit")
 OTHER_SPACE = re.compile(r"[^\S \n]")
+# Letters that are so in any version of Unicode, ASCII marks but the apostrophe (which may start a contraction), a line end.
+INNER = re.compile(r"[A-Za-zÀ-ÖØ-öø-ſ]+|[!-&(-/:-@\[-`{-~]+|\n")
 
 
 def has_odd_blank(text: str) -> bool:
@@ -75,14 +79,16 @@ class WordCache:
 
     Such a tokenizer cuts a text before every blank that stands between two characters that
     are no white space, and never merges across a cut; so the ids of a text are those of its
-    pieces in turn. Other white space stays inside a piece. Unknown words go to the tokenizer
-    many at a time, joined by their blanks, and are told apart by the lengths of the tokens.
+    pieces in turn. Other white space stays inside a piece. Words are told apart by Arrow, many texts
+    at a time, so that each distinct one of these is looked up once. Unknown words are cut further where
+    the tokenizer always cuts; what is unknown of that goes to the tokenizer many at a time, joined by their blanks, and are told apart by the lengths of the tokens.
     A text that holds an added token (such as an end mark written out) goes to the tokenizer as a
-    whole, since such tokens are cut out before anything else. The cache is emptied when it holds
-    `most` words, which bounds memory and changes no result.
+    whole, since such tokens are cut out before anything else. Words, and pieces, are held in two generations
+    of a quarter of `most` each: when the younger one is full, the older one goes, and words that come again
+    in the meantime move over. That bounds memory and changes no result.
     """
 
-    def __init__(self, tokenizer_path: str, most: int = 400_000):
+    def __init__(self, tokenizer_path: str, most: int = 2_000_000):
         # Spark runs a task on each core already; more threads in it would only wait for each other.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -95,27 +101,40 @@ class WordCache:
         for token, number in vocabulary.items():
             self.length[number] = len(token)
         self.most = most
-        self.words: dict[str, bytes] = {}  # a word that follows a blank, without it
-        self.pieces: dict[str, bytes] = {}  # anything else, as it is
+        # The younger and the older generation of words that follow a blank (without it), and of anything else as it is.
+        self.held: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {"words": ({}, {}), "pieces": ({}, {})}
 
     def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         for i in range(0, len(texts), 64):
             for found in self.tokenizer.encode_batch_fast(texts[i : i + 64], add_special_tokens=False):
                 yield np.array(found.ids, "<u4")
 
-    def _learn_words(self, words: list[str]) -> None:
+    @staticmethod
+    def inner_pieces(word: str) -> list[str]:
+        """A word as runs of letters, runs of marks and single line ends, between which the tokenizer always cuts; else as it is."""
+        parts = INNER.findall(word)
+        return parts if sum(map(len, parts)) == len(word) and "\n\n" not in word else [word]
+
+    def _learn_words(self, words: list[str]) -> Iterator[bytes]:
+        """A new word mostly is a known one with another mark or line after it."""
+        cut = [self.inner_pieces(word) for word in words]
+        firsts, others = list({parts[0] for parts in cut}), list({part for parts in cut for part in parts[1:]})
+        first = dict(zip(firsts, self._look_up("words", firsts, self._learn_firsts)))
+        other = dict(zip(others, self._look_up("pieces", others, self._learn_pieces)))
+        return (b"".join([first[head], *[other[part] for part in rest]]) if rest else first[head] for head, *rest in cut)
+
+    def _learn_firsts(self, words: list[str]) -> Iterator[bytes]:
         groups = [words[i : i + 64] for i in range(0, len(words), 64)]
         for group, ids in zip(groups, self._encode([" " + " ".join(g) for g in groups])):
             word_ends = np.cumsum([len(w.encode()) + 1 for w in group])
             cuts = 4 * (np.searchsorted(np.cumsum(self.length[ids]), word_ends) + 1)
             raw, start = ids.tobytes(), 0
-            for word, end in zip(group, cuts.tolist()):
-                self.words[word] = raw[start:end]
+            for end in cuts.tolist():
+                yield raw[start:end]
                 start = end
 
-    def _learn_pieces(self, pieces: list[str]) -> None:
-        for piece, ids in zip(pieces, self._encode(pieces)):
-            self.pieces[piece] = ids.tobytes()
+    def _learn_pieces(self, pieces: list[str]) -> Iterator[bytes]:
+        return (ids.tobytes() for ids in self._encode(pieces))
 
     @staticmethod
     def odd_pieces(text: str) -> list[str]:
@@ -129,47 +148,80 @@ class WordCache:
                 out[-1] += " " + part
         return out
 
+    def _look_up(self, kind: str, wanted: list[str], learn: Callable[[list[str]], Iterable[bytes]]) -> list[bytes]:
+        """Ids of each of some distinct words or pieces; what the older generation holds moves to the younger one."""
+        young, old = self.held[kind]
+        found = list(map(young.get, wanted))
+        if None in found:
+            missing = [i for i, ids in enumerate(found) if ids is None]
+            held = [old.get(wanted[i]) for i in missing]
+            unknown = [i for i, ids in zip(missing, held) if ids is None]
+            for i, ids in zip(missing, held):
+                found[i] = ids
+            for i, ids in zip(unknown, learn([wanted[i] for i in unknown])):
+                found[i] = ids
+            young.update((wanted[i], found[i]) for i in missing)
+            if len(young) > self.most // 4:
+                self.held[kind] = ({}, young)
+        return found
+
+    def _encode_words(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text of words between single blanks, each of which follows a blank as well."""
+        if not texts:
+            return []
+        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded = parts.values.dictionary_encode()
+        distinct, code = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        found = self._look_up("words", distinct, self._learn_words)
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        starts = np.cumsum(lengths) - lengths
+        n = lengths[code]
+        ends = np.cumsum(n)
+        places = np.repeat(starts[code] - (ends - n), n) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(found), "<u4")[places]
+        return np.split(ids, ends[parts.offsets.to_numpy()[1:-1] - 1])
+
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text in turn."""
-        # A text becomes its words or pieces, with their ids as far as they are known; or stays whole.
-        cut: list[tuple[list[str], list[bytes | None]] | str] = []
-        new_words: set[str] = set()
+        # A text becomes pieces, words and pieces again (the words' place in `middles`), or stays whole.
+        cut: list[tuple[list[str], int | None, list[str]] | str] = []
+        middles: list[str] = []
         new_pieces: set[str] = set()
-
-        def look_up(parts: list[str], held: dict[str, bytes], new: set[str]) -> list[bytes | None]:
-            found = list(map(held.get, parts))
-            if None in found:
-                new.update(part for part, ids in zip(parts, found) if ids is None)
-            return found
-
         for text in texts:
             if any(mark in text for mark in self.added):
                 cut.append(text)
-            elif has_odd_blank(text):
-                pieces = self.odd_pieces(text)
-                cut.append((pieces, look_up(pieces, self.pieces, new_pieces)))
+                continue
+            place, tail = None, []
+            if has_odd_blank(text):
+                head = self.odd_pieces(text)
             else:
-                first, *words = text.split(" ")
-                # White space at a word's end belongs to the text's last piece.
-                ends = [first, " " + words.pop()] if words and words[-1][-1].isspace() else [first]
-                head, *tail = look_up(ends, self.pieces, new_pieces)
-                cut.append(([first, *words, *ends[1:]], [head, *look_up(words, self.words, new_words), *tail]))
-        if len(self.words) + len(self.pieces) + len(new_words) + len(new_pieces) > self.most:
-            self.words.clear()
-            self.pieces.clear()
-        self._learn_words(list(new_words))
-        self._learn_pieces(list(new_pieces))
+                first, blank, middle = text.partition(" ")
+                head = [first]
+                if blank and middle[-1].isspace():
+                    # White space at a word's end belongs to the text's last piece.
+                    middle, blank, last = middle.rpartition(" ")
+                    tail = [" " + last]
+                if blank:
+                    place = len(middles)
+                    middles.append(middle)
+            new_pieces.update(head, tail)
+            cut.append((head, place, tail))
+        pieces = list(new_pieces)
+        piece = dict(zip(pieces, self._look_up("pieces", pieces, self._learn_pieces))).__getitem__
+        words = self._encode_words(middles)
         for held in cut:
             if isinstance(held, str):
                 yield from self._encode([held])
                 continue
-            parts, found = held
-            if None in found:
-                # Known words were looked up before; a first or last piece is no word.
-                for i, ids in enumerate(found):
-                    if ids is None:
-                        found[i] = self.words[parts[i]] if parts[i] in new_words and 0 < i else self.pieces[parts[i]]
-            yield np.frombuffer(b"".join(found), "<u4")
+            head, place, tail = held
+            ends = [np.frombuffer(b"".join(map(piece, part)), "<u4") for part in (head, tail)]
+            yield np.concatenate([ends[0], words[place], ends[1]]) if place is not None else np.concatenate(ends)
+
+
+@lru_cache(maxsize=1)
+def word_cache(tokenizer_path: str) -> WordCache:
+    """The cache of this Python worker, which keeps what it knows from one task to the next."""
+    return WordCache(tokenizer_path)
 
 
 def _chunk_writer(encoder: Callable[[], WordCache], end_id: int, unit: str, block_ids: int, chunk_ids: int, texts_at_once: int):
@@ -218,7 +270,7 @@ def write_token_planes(
     unit: str = "byte",
     block_ids: int = BLOCK_IDS,
     chunk_ids: int = CHUNK_IDS,
-    texts_at_once: int = 300,
+    texts_at_once: int = 1000,
 ) -> None:
     """Encode every text, add `end_id` after each, and write the ids in ascending `doc_id` order.
 
@@ -238,7 +290,7 @@ def write_token_planes(
     ordered = keyed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     # Ids travel as text: pandas would turn a column of integers with a null into floats.
     sharded = ordered.select(F.spark_partition_id().alias("shard"), F.col("doc_id").cast("string").alias("doc_id"), "text")
-    writer = _chunk_writer(lambda: WordCache(tokenizer_path), end_id, unit, block_ids, chunk_ids, texts_at_once)
+    writer = _chunk_writer(lambda: word_cache(tokenizer_path), end_id, unit, block_ids, chunk_ids, texts_at_once)
     sharded.mapInPandas(writer, CHUNK_TYPE).write.option("compression", "none").parquet(f"{path}/chunks")
     chunks = spark.read.parquet(f"{path}/chunks")
     slim = chunks.select(
