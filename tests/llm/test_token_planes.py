@@ -7,7 +7,7 @@ import pytest
 from public_tokenizers import path as tokenizer_path
 from tokenizers import Tokenizer
 
-from veilcorpus.llm.token_planes import UNITS, WordCache, from_planes, read_documents, read_positions, to_planes, word_cache, write_token_planes
+from veilcorpus.llm.token_planes import UNITS, WordCache, from_planes, has_odd_blank, read_documents, read_positions, to_planes, word_cache, write_token_planes
 from veilcorpus.session import shared_dir
 
 FILE = tokenizer_path("byte_bpe_50k.json")
@@ -58,6 +58,10 @@ def test_only_new_stems_go_to_the_tokenizer(tokenizer, monkeypatch):
     assert sum("often" in t for t in sent) == 1
 
 
+def test_every_white_space_is_known():
+    assert all(has_odd_blank(f"a{c}b") == (c.isspace() and c not in " \n") for c in map(chr, range(0x110000)))
+
+
 def test_a_worker_keeps_its_cache():
     assert word_cache(FILE) is word_cache(FILE)
 

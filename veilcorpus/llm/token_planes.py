@@ -32,7 +32,7 @@ BLOCK_IDS = 1 << 14
 CHUNK_IDS = 1 << 17
 LEVEL = 3
 UNITS = ("byte", "bit")
-OTHER_SPACE = re.compile(r"[^\S \n]")
+OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 # Letters that are so in any version of Unicode, ASCII marks but the apostrophe (which may start a contraction), a line end.
 INNER = re.compile(r"[A-Za-zÀ-ÖØ-öø-ſ]+|[!-&(-/:-@\[-`{-~]+|\n")
 
@@ -40,7 +40,7 @@ INNER = re.compile(r"[A-Za-zÀ-ÖØ-öø-ſ]+|[!-&(-/:-@\[-`{-~]+|\n")
 def has_odd_blank(text: str) -> bool:
     """Whether a blank may stand at an end or beside other white space; true as well for any rarer white space."""
     return (
-        text[:1] == " " or text[-1:] == " " or "  " in text or " \n" in text or "\n " in text or OTHER_SPACE.search(text) is not None
+        text[:1] == " " or text[-1:] == " " or "  " in text or " \n" in text or "\n " in text or any(c in text for c in OTHER_SPACE)
     )
 
 CHUNK_TYPE = (
@@ -112,6 +112,8 @@ class WordCache:
     @staticmethod
     def inner_pieces(word: str) -> list[str]:
         """A word as runs of letters, runs of marks and single line ends, between which the tokenizer always cuts; else as it is."""
+        if word.isascii() and word.isalpha():
+            return [word]
         parts = INNER.findall(word)
         return parts if sum(map(len, parts)) == len(word) and "\n\n" not in word else [word]
 
