@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
 from veilcorpus.llm.language_id import ByteConvNet, as_windows, detect_language, language_report, learning_fold, train_language_net
-from veilcorpus.llm.piece_lattice import Vocabulary, encode_and_restore, restored_text
+from veilcorpus.llm.piece_lattice import Vocabulary, encode_and_restore, held_vocabulary, restored_text
 from veilcorpus.llm.token_counts import SpanEncoder, attribute, line_spans, section_token_counts
 
 PIECES = tokenizer_path("piece_bpe_32k.model")
@@ -56,6 +56,40 @@ def test_any_text_comes_back(vocabulary):
             assert (alone == ids).all()
 
 
+def test_a_segment_is_filtered_once(monkeypatch):
+    vocabulary, filtered = Vocabulary(PIECES, most=3000), []
+    real = vocabulary._filter
+    monkeypatch.setattr(vocabulary, "_filter", lambda codes, node0, size: filtered.append(len(size)) or real(codes, node0, size))
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdeé日1.", k=rng.randint(1, 9))) for _ in range(400)]
+    texts = [" ".join(rng.choices(words, k=20)) for _ in range(200)]
+    seeds = np.arange(len(texts), dtype=np.uint64)
+    want = [next(iter(Vocabulary(PIECES).encode([text], seeds[i : i + 1]))).tolist() for i, text in enumerate(texts[:40])]
+    assert [x.tolist() for x in vocabulary.encode(texts[:2], seeds[:2])] == want[:2]
+    assert filtered.pop() and not filtered
+    list(vocabulary.encode(texts[:2], seeds[:2]))
+    assert not filtered
+    # Forgetting, and names that stand for other segments, change no result.
+    for i in range(0, len(texts), 20):
+        got = [x.tolist() for x in vocabulary.encode(texts[i : i + 20], seeds[i : i + 20])]
+        assert got[: len(want[i:])] == want[i : i + 20]
+        assert len(vocabulary.held_codes) < 3000 + 2000
+    vocabulary.held = dict(zip(vocabulary.held, reversed(vocabulary.held.values())))
+    assert [x.tolist() for x in vocabulary.encode(texts[180:] + texts[:40], np.append(seeds[180:], seeds[:40]))][20:] == want
+    assert vocabulary.seed == 2
+
+
+def test_wrong_ids_restore_nothing(vocabulary):
+    texts = ["some words", "", "日本 été", "x"]
+    ids = list(vocabulary.encode(texts, np.arange(4, dtype=np.uint64)))
+    assert vocabulary.restores(texts, ids) == [True] * 4 and vocabulary.restores([""], ids[1:2]) == [True]
+    assert vocabulary.restores(texts, [ids[0][:-1], ids[3], ids[2][::-1], ids[1]]) == [False] * 4
+
+
+def test_a_worker_keeps_its_vocabulary():
+    assert held_vocabulary(PIECES) is held_vocabulary(PIECES)
+
+
 def test_encode_and_restore(spark):
     rows = [(1, "some words here", "x"), (1, "some words here", "x"), (2, None, "x"), (3, "", "x"), (None, "no key", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string")

@@ -6,16 +6,19 @@ walks from the end, choosing each piece in proportion. Draws come from a hash of
 key and the place in the text, so a row gets the same pieces wherever and whenever it runs.
 
 Two neighbouring characters that stand together in no piece cut the lattice exactly, so a
-text falls into short independent segments. Equal segments of a batch share one forward
-pass, and all steps run on arrays that hold every segment of the batch.
+text falls into short independent segments. Equal segments share one forward pass: a worker
+holds the lattices it knows, up to a bound that changes no result. All steps run on arrays that
+hold every segment of a chunk of texts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from veilcorpus.llm.batches import small_batches
@@ -24,7 +27,29 @@ from veilcorpus.llm.shingles import mix
 BLANK = "▁"  # stands for a space inside pieces
 CHUNK_CHARS = 400_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-PREFIX = np.array([0x20], np.uint32)
+HELD_CHARS = 1_000_000
+
+
+class Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.room, self.size = np.empty(1 << 10, kind), 0
+
+    def __len__(self) -> int:
+        return self.size
+
+    def extend(self, values: np.ndarray) -> None:
+        size = self.size + len(values)
+        if size > len(self.room):
+            room = np.empty(max(size, 2 * len(self.room)), self.room.dtype)
+            room[: self.size] = self.view()
+            self.room = room
+        self.room[self.size : size] = values
+        self.size = size
+
+    def view(self) -> np.ndarray:
+        return self.room[: self.size]
 
 
 class Vocabulary:
@@ -32,10 +57,11 @@ class Vocabulary:
 
     A byte-pair model ranks its pieces but gives no probabilities; a piece of rank r gets
     weight 1 / (r + 1), the usual law of word frequencies, to the power 1 / `temperature`.
-    A unigram model's scores are log-probabilities and are used as they are.
+    A unigram model's scores are log-probabilities and are used as they are. Lattices are held
+    until their segments have more than `most` characters, then all are forgotten.
     """
 
-    def __init__(self, model_path: str, temperature: float = 1.0, ranked: bool = True):
+    def __init__(self, model_path: str, temperature: float = 1.0, ranked: bool = True, most: int = HELD_CHARS):
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=model_path)
@@ -51,6 +77,7 @@ class Vocabulary:
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 pieces.append((piece, i))
                 self.surface[i] = piece.replace(BLANK, " ").encode()
+        self.surfaces = pa.array(self.surface, pa.large_binary())
         singles = {p for p, _ in pieces if len(p) == 1}
         pieces = [(p, i) for p, i in pieces if singles.issuperset(p)]
         if BLANK not in singles:
@@ -82,97 +109,147 @@ class Vocabulary:
         self.piece[list(piece_at)] = list(piece_at.values())
         score = np.array([model.get_score(i) for i in range(size)])
         self.log_weight = (-np.log1p(np.maximum(0, -score)) if ranked else score) / temperature
-
-    def _arcs(self, codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All pieces inside segments: start, end and id. `ends` has for each place the end of its segment."""
-        at = np.arange(len(codes))
-        state = np.zeros(len(codes), np.int64)
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        length = 0
+        #: Characters of each piece, and the state after each first character.
+        self.chars = np.zeros(size, np.int64)
+        self.chars[[i for _, i in pieces]] = [len(p) for p, _ in pieces]
+        self.root = np.zeros(self.width, np.int64)
+        self.root[[code for state, code in states if not state]] = [target for (state, _), target in states.items() if not state]
+        self.most = most
+        self._forget(1)
+
+    def _arcs(self, codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All pieces inside segments, shorter ones first: start nodes and states of each length. A 0 follows each segment."""
+        at = np.flatnonzero(codes)
+        state = self.root[codes[at]]
+        length = 1
         while len(at):
-            inside = at + length < ends[at]
-            at, state = at[inside], state[inside]
+            full = self.piece[state] >= 0
+            yield at[full], state[full]
             key = state * self.width + codes[at + length]
             place = np.minimum(np.searchsorted(self.edge, key), len(self.edge) - 1)
             known = self.edge[place] == key
             at, state = at[known], self.target[place[known]]
             length += 1
-            full = self.piece[state] >= 0
-            found.append((at[full], at[full] + length, self.piece[state[full]]))
-        start, end, piece = (np.concatenate(x) for x in zip(*found))
-        return start, end, piece
 
-    def _filter(self, codes: np.ndarray, first: np.ndarray, size: np.ndarray):
-        """Forward pass over distinct segments, laid end to end with one node more than characters each.
+    def _filter(self, codes: np.ndarray, node0: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Forward pass over distinct segments. A node stands before each character and, with code 0, after the last.
 
-        Returns the arcs sorted by end node, as (start node, piece), and for each node its
-        place among the arcs with the running sums of their chances in 1 / 2^32.
+        Returns the number of arcs that end at each node and, sorted by that node and by length, the arcs'
+        pieces and the running sums of their chances in 1 / 2^32, of which the last of a node is not used.
         """
-        n = len(first)
-        node0 = first + np.arange(n)  # a segment's node before its first character
-        owner = np.repeat(np.arange(n), size)
-        start, end, piece = self._arcs(codes, (first + size)[owner])
-        seg = owner[start]
-        source, sink, depth = start + seg, end + seg, end - first[seg]
-        weight = self.log_weight[piece]
-        reach = np.full(len(codes) + n, -np.inf)
-        reach[node0] = 0.0
-        order = np.argsort(depth, kind="stable")
-        bounds = np.searchsorted(depth[order], np.arange(1, size.max(initial=0) + 2))
-        for lo, hi in zip(bounds[:-1], bounds[1:]):
-            now = order[lo:hi]
-            value = reach[source[now]] + weight[now]
-            nodes, local = np.unique(sink[now], return_inverse=True)
-            top = np.full(len(nodes), -np.inf)
-            np.maximum.at(top, local, value)
-            total = np.zeros(len(nodes))
-            np.add.at(total, local, np.exp(value - top[local]))
-            reach[nodes] = top + np.log(total)
-        by_sink = np.argsort(sink, kind="stable")
-        source, sink, piece, weight = source[by_sink], sink[by_sink], piece[by_sink], weight[by_sink]
+        n = len(codes)
+        found = [(at + length, self.piece[state]) for length, (at, state) in enumerate(self._arcs(codes), 1)]
+        count = np.zeros(n, np.int64)
+        for sinks, _ in found:
+            count[sinks] += 1  # pieces of one length end at different nodes
+        head = np.cumsum(count) - count
+        free = head.copy()
+        piece = np.zeros(int(count.sum()), np.int32)
+        for sinks, pieces in found:
+            place = free[sinks]
+            piece[place] = pieces
+            free[sinks] = place + 1
+        sink = np.repeat(np.arange(n), count)
+        source, weight = sink - self.chars[piece], self.log_weight[piece]
+
+        # Nodes that are equally far into their segments are filled at once.
+        depth = (np.arange(n) - np.repeat(node0, size + 1))[sink]
+        deepest = int(size.max())
+        order = np.argsort(depth.astype(np.uint16) if deepest < 1 << 16 else depth, kind="stable")
+        sinks, sources, weights = sink[order], source[order], weight[order]
+        first = np.append(True, sinks[1:] != sinks[:-1])
+        group, heads = np.cumsum(first) - 1, np.flatnonzero(first)
+        bounds = np.searchsorted(depth[order], np.arange(1, deepest + 2))
+        reach = np.zeros(n)
+        for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            value = reach[sources[lo:hi]] + weights[lo:hi]
+            local = group[lo:hi] - group[lo]
+            starts = heads[group[lo] : group[hi - 1] + 1]
+            top = np.maximum.reduceat(value, starts - lo)
+            reach[sinks[starts]] = top + np.log(np.bincount(local, np.exp(value - top[local])))
         chance = np.exp(reach[source] + weight - reach[sink])
         share = np.maximum((chance * 2.0**32).astype(np.int64), 1)
         run = np.cumsum(share)
-        head = np.searchsorted(sink, sink)
-        local = run - (run[head] - share[head])
-        last = np.append(sink[1:] != sink[:-1], True) if len(sink) else np.zeros(0, bool)
-        local = np.where(last, 1 << 32, np.minimum(local, (1 << 32) - 1))
-        return node0, source, piece, (sink << 32) + local, np.searchsorted(sink, np.arange(len(codes) + n))
-
-    def _distinct(self, points: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Index of one occurrence of each distinct segment, and for each occurrence its number there.
-
-        Grouped by a hash and then compared character by character; on a clash of hashes
-        another hash is taken.
+        before = (run - share)[head[sink]]
+        return count, piece, np.minimum(run - before, (1 << 32) - 1).astype(np.uint32)
+
+    def _learn(self, codes: np.ndarray, first: np.ndarray, size: np.ndarray) -> None:
+        """Hold the lattices of some more segments, given by their places in `codes`."""
+        node0 = np.cumsum(size + 1) - (size + 1)
+        padded = np.zeros(int((size + 1).sum()), np.int64)
+        inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        padded[np.repeat(node0, size) + inside] = codes[np.repeat(first, size) + inside]
+        count, piece, ladder = self._filter(padded, node0, size)
+        self.held_node0.extend(len(self.held_codes) + node0)
+        self.held_codes.extend(padded)
+        self.held_end.extend(len(self.held_piece) + np.cumsum(count))
+        self.held_piece.extend(piece)
+        self.held_ladder.extend(ladder)
+
+    def _forget(self, seed: int) -> None:
+        self.seed = seed
+        self.held: dict[int, int] = {}  # number of each segment, by its hash
+        self.held_node0 = Grown(np.int64)  # of each segment, the node before its first character
+        self.held_codes = Grown(np.int32)  # of each node, the character after it
+        self.held_end = Grown(np.int64)  # of each node, the end of its arcs
+        self.held_piece, self.held_ladder = Grown(np.int32), Grown(np.uint32)  # of each arc
+
+    def _lattices(self, codes: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Segments in an order that puts equal ones together, and the first node of each one's lattice, in that order.
+
+        A segment is looked up by a hash and then compared character by character; on a clash of hashes
+        all is forgotten and another hash taken.
         """
-        seed = 1
-        owner = np.repeat(np.arange(len(first)), size)
-        inside = np.arange(len(points)) - first[owner]
+        if len(self.held_codes) > self.most:
+            self._forget(self.seed)
+        inside = np.arange(len(codes)) - np.repeat(first, size)
         while True:
-            value = mix((points.astype(np.uint64) << np.uint64(32)) + inside.astype(np.uint64) + np.uint64(seed * int(GOLDEN) & 0xFFFFFFFFFFFFFFFF))
-            sums = np.zeros(len(points) + 1, np.uint64)
+            value = mix((codes.astype(np.uint64) << np.uint64(32)) + inside.astype(np.uint64) + np.uint64(self.seed * int(GOLDEN) & 0xFFFFFFFFFFFFFFFF))
+            sums = np.zeros(len(codes) + 1, np.uint64)
             np.cumsum(value, out=sums[1:])
-            _, where, number = np.unique(mix(sums[first + size] - sums[first]), return_index=True, return_inverse=True)
-            twin = where[number]
-            if (size[twin] == size).all() and (points[first[twin][owner] + inside] == points).all():
-                return where, number
-            seed += 1
+            name = mix(sums[first + size] - sums[first])
+            order = np.argsort(name)
+            name = name[order]
+            fresh = np.append(True, name[1:] != name[:-1])
+            names, where = name[fresh].tolist(), order[fresh]
+            numbers = list(map(self.held.get, names))
+            if None in numbers:
+                new = [i for i, number in enumerate(numbers) if number is None]
+                self.held.update(zip([names[i] for i in new], range(len(self.held), len(self.held) + len(new))))
+                self._learn(codes, first[where[new]], size[where[new]])
+                numbers = list(map(self.held.__getitem__, names))
+            node0 = self.held_node0.view()[numbers][np.cumsum(fresh) - 1]
+            stop, held = np.empty_like(node0), self.held_codes.view()
+            stop[order] = node0
+            if (held[np.repeat(stop, size) + inside] == codes).all() and not held[stop + size].any():
+                return order, node0
+            self._forget(self.seed + 1)
+
+    def _draw(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """The arc by which each node is left backwards, for draws `u` below 2^32: the first one whose running sum is above."""
+        end, ladder = self.held_end.view(), self.held_ladder.view()
+        lo, hi = end[node - 1], end[node] - 1
+        for _ in range(int((hi - lo).max()).bit_length()):
+            middle = (lo + hi) >> 1
+            above = ladder[middle] > u
+            # With one arc left, `middle` is that arc; it stays whatever the comparison says.
+            lo, hi = np.where(above | (lo == hi), lo, middle + 1), np.where(above, middle, hi)
+        return lo
 
     def _chunk(self, texts: list[str], seeds: np.ndarray) -> Iterator[np.ndarray]:
-        arrays = [np.concatenate([PREFIX, np.frombuffer(t.encode("utf-32-le"), np.uint32)]) if t else PREFIX[:0] for t in texts]
-        points = np.concatenate(arrays)
+        points = np.frombuffer("".join([" " + t if t else "" for t in texts]).encode("utf-32-le"), np.uint32)
         if not len(points):
             yield from (np.zeros(0, np.int32) for _ in texts)
             return
-        doc_end = np.cumsum([len(a) for a in arrays])
+        doc_end = np.cumsum([len(t) + 1 if t else 0 for t in texts])
         codes = self.number[points]
         cut = np.ones(len(points), bool)
         cut[1:] = ~self.joined[codes[:-1].astype(np.int64) * self.width + codes[1:]]
         cut[doc_end[doc_end < len(points)]] = True
         first = np.flatnonzero(cut)
         size = np.diff(np.append(first, len(points)))
-        doc = np.searchsorted(doc_end, first, side="right")
-        nth = np.arange(len(first)) - np.searchsorted(doc, doc)
+        doc_bounds = np.append(0, np.searchsorted(first, doc_end))
+        in_doc = np.diff(doc_bounds)
         known = codes[first] > 0
 
         # Characters in no piece are segments of their own and become their UTF-8 bytes.
@@ -183,30 +260,21 @@ class Vocabulary:
         own = np.flatnonzero(known)
         drawn: list[tuple[np.ndarray, np.ndarray]] = []
         if len(own):
-            keep = np.repeat(known, size)
             f2 = np.cumsum(size[own]) - size[own]
-            p2, c2 = points[keep], codes[keep].astype(np.int64)
-            where, kind = self._distinct(p2, f2, size[own])
-            d_size = size[own][where]
-            d_first = np.cumsum(d_size) - d_size
-            spread = np.repeat(f2[where] - d_first, d_size) + np.arange(d_size.sum())
-            node0, source, piece, ladder, first_arc = self._filter(c2[spread], d_first, d_size)
-            base = mix(seeds[doc[own]] + GOLDEN * (nth[own].astype(np.uint64) + np.uint64(1)))
-            stop = node0[kind]
-            node = stop + d_size[kind]
-            active = np.arange(len(own))
+            order, stop = self._lattices(codes[codes > 0] if raw else codes, f2, size[own])
+            at = own[order]
+            nth = np.arange(len(first)) - np.repeat(doc_bounds[:-1], in_doc)
+            base = mix((np.repeat(seeds, in_doc) + GOLDEN * (nth.astype(np.uint64) + np.uint64(1)))[at])
+            node = stop + size[at]
             step = 0
-            while len(active):
-                here = node[active]
-                u = (mix(base[active] + np.uint64(step)) >> np.uint64(32)).astype(np.int64)
-                single = first_arc[np.minimum(here + 1, len(first_arc) - 1)] - first_arc[here] == 1
-                arc = first_arc[here].copy()
-                many = ~single
-                arc[many] = np.searchsorted(ladder, (here[many] << 32) + u[many], side="right")
-                drawn.append((own[active], piece[arc]))
-                node[active] = source[arc]
-                number_of[own[active]] += 1
-                active = active[node[active] > stop[active]]
+            while len(at):
+                u = (mix(base + np.uint64(step)) >> np.uint64(32)).astype(np.uint32)
+                piece = self.held_piece.view()[self._draw(node, u)]
+                drawn.append((at, piece))
+                number_of[at] += 1
+                node = node - self.chars[piece]
+                left = node > stop
+                at, base, node, stop = at[left], base[left], node[left], stop[left]
                 step += 1
         offset = np.append(0, np.cumsum(number_of))
         out = np.zeros(offset[-1], np.int32)
@@ -216,11 +284,14 @@ class Vocabulary:
             lengths = number_of[~known]
             inner = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             out[np.repeat(offset[:-1][~known], lengths) + inner] = self.byte_ids[np.frombuffer(b"".join(raw), np.uint8)]
-        bounds = offset[np.searchsorted(doc, np.arange(len(texts) + 1))]
+        bounds = offset[doc_bounds]
         yield from (out[a:b] for a, b in zip(bounds[:-1], bounds[1:]))
 
     def encode(self, texts: list[str], seeds: np.ndarray) -> Iterator[np.ndarray]:
-        """A sampled segmentation of each text. Memory is some 200 bytes a character of a chunk or of the longest text."""
+        """A sampled segmentation of each text.
+
+        Memory is some 200 bytes a character of a chunk or of the longest text, and some 50 bytes a held character.
+        """
         at = 0
         while at < len(texts):
             held, end = 0, at
@@ -233,6 +304,21 @@ class Vocabulary:
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.surface.__getitem__, ids.tolist())).decode(errors="replace")[1:]
 
+    def restores(self, texts: list[str], coded: list[np.ndarray]) -> list[bool]:
+        """Whether the ids of each text stand for its UTF-8 bytes after a blank; an empty text has no id."""
+        if not texts:
+            return []
+        joined = self.surfaces.take(pa.array(np.concatenate(coded)))
+        data = joined.buffers()[2].to_pybytes() if joined.buffers()[2] else b""
+        ends = np.frombuffer(joined.buffers()[1], np.int64)[np.append(0, np.cumsum([len(ids) for ids in coded]))].tolist()
+        return [data[lo:hi] == (" " + text if text else "").encode() for text, lo, hi in zip(texts, ends, ends[1:])]
+
+
+@lru_cache(maxsize=1)
+def held_vocabulary(model_path: str, temperature: float = 1.0, ranked: bool = True) -> Vocabulary:
+    """The vocabulary of this Python worker, which keeps the lattices it knows from one task to the next."""
+    return Vocabulary(model_path, temperature, ranked)
+
 
 def sampled_pieces(
     text: Column, row_key: Column, model_path: str, *, seed: int = 0, temperature: float = 1.0, ranked: bool = True
@@ -245,15 +331,16 @@ def sampled_pieces(
 
     @F.pandas_udf("ids array<int>, restored boolean")
     def encode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        vocabulary = Vocabulary(model_path, temperature, ranked)
+        vocabulary = held_vocabulary(model_path, temperature, ranked)
         for texts, keys in batches:
             there = texts.notna().to_numpy()
             own = list(texts[there])
-            found = vocabulary.encode(own, keys.to_numpy()[there].astype(np.int64).view(np.uint64))
+            found = list(vocabulary.encode(own, keys.to_numpy()[there].astype(np.int64).view(np.uint64)))
             ids = np.full(len(texts), None, object)
             back = np.ones(len(texts), bool)
-            for i, text, coded in zip(np.flatnonzero(there), own, found):
-                ids[i], back[i] = coded, vocabulary.decode(coded) == text
+            back[there] = vocabulary.restores(own, found)
+            for i, coded in zip(np.flatnonzero(there), found):
+                ids[i] = coded
             yield pd.DataFrame({"ids": ids, "restored": back})
 
     return encode(text, F.xxhash64(F.lit(seed), row_key.cast("string")))
@@ -264,7 +351,7 @@ def restored_text(ids: Column, model_path: str) -> Column:
 
     @F.pandas_udf("string")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        vocabulary = Vocabulary(model_path)
+        vocabulary = held_vocabulary(model_path)
         for batch in batches:
             yield pd.Series([None if ids is None else vocabulary.decode(np.asarray(ids, np.int64)) for ids in batch], dtype=object)
 
