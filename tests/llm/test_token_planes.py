@@ -1,4 +1,5 @@
 import random
+import re
 import uuid
 import zlib
 
@@ -58,6 +59,29 @@ def test_only_new_stems_go_to_the_tokenizer(tokenizer, monkeypatch):
     assert sum("often" in t for t in sent) == 1
 
 
+def test_words_are_held_by_their_parts(tokenizer):
+    """A word with a mark or a line end after it is not looked up as a word of its own."""
+    texts = ["x one, two.\nÉté one. one!! one\ntwo, d'one é.×y a\n\nb z"]
+    cache = WordCache(FILE)
+    assert [x.tolist() for x in cache.encode(texts)] == [tokenizer.encode(texts[0], add_special_tokens=False).ids]
+    assert set(cache.held["words"][0]) == {" one", " two", ",", ".", "\n", "Été", "!!", "two", " d'one", " é.×y", " a\n\nb", " z"}
+
+
+def test_parts_of_words_are_those_of_a_plain_cut():
+    rng = random.Random(5)
+    parts = ["a", "Z", "é", "À", "ſ", "ƀ", "×", "÷", "日", "😀", "1", "'", ".", "~", "!", "\n", "\x00", "\x7f", "\x85", "º"]
+    runs = re.compile(r"[A-Za-zÀ-ÖØ-öø-ſ]+|[!-&(-/:-@\[-`{-~]+|\n")
+    for _ in range(300):
+        words = ["".join(rng.choices(parts, k=rng.randint(1, 6), weights=[9, 5, 5, 2, 2] + [1] * 5 + [1, 1, 5, 2, 2, 3, 1, 1, 1, 1])) for _ in range(20)]
+        want = []
+        for word in words:
+            found = runs.findall(word)
+            want += [" " + found[0], *found[1:]] if "".join(found) == word and "\n\n" not in word else [" " + word]
+        raw = "".join(" " + word for word in words).encode()
+        starts = WordCache.part_starts(np.frombuffer(raw, np.uint8)).tolist()
+        assert [raw[a:b].decode() for a, b in zip(starts, starts[1:] + [len(raw)])] == want
+
+
 def test_every_white_space_is_known():
     assert all(has_odd_blank(f"a{c}b") == (c.isspace() and c not in " \n") for c in map(chr, range(0x110000)))
 

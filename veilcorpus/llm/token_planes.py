@@ -14,7 +14,6 @@ stream. Spark's committer writes both, so a task that runs twice leaves one copy
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
@@ -33,8 +32,14 @@ CHUNK_IDS = 1 << 17
 LEVEL = 3
 UNITS = ("byte", "bit")
 OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
-# Letters that are so in any version of Unicode, ASCII marks but the apostrophe (which may start a contraction), a line end.
-INNER = re.compile(r"[A-Za-zÀ-ÖØ-öø-ſ]+|[!-&(-/:-@\[-`{-~]+|\n")
+# Kinds of UTF-8 bytes: letters that are so in any version of Unicode (in ASCII, and from U+00C0 to U+017F but for two
+# signs), ASCII marks but the apostrophe (which may start a contraction), a line end, a blank, and anything else.
+OTHER, LETTER, MARK, LINE_END, BLANK = range(5)
+KIND = np.full(256, OTHER, np.uint8)
+KIND[[b for b in range(128) if chr(b).isalpha()]] = LETTER
+KIND[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'"]] = MARK
+KIND[0x0A], KIND[0x20] = LINE_END, BLANK
+LATIN = np.isin(np.arange(256), (0xC3, 0xC4, 0xC5))  # first bytes of those letters
 
 
 def has_odd_blank(text: str) -> bool:
@@ -55,7 +60,7 @@ def to_planes(ids: np.ndarray, unit: str = "byte") -> list[bytes]:
     if unit == "bit":
         planes = np.packbits(np.unpackbits(parts, axis=1, bitorder="little").T, axis=1, bitorder="little")
     else:
-        planes = parts.T
+        planes = np.ascontiguousarray(parts.T)
     used = np.flatnonzero(planes.any(axis=1))
     return [planes[i].tobytes() for i in range(used[-1] + 1 if len(used) else 0)]
 
@@ -79,9 +84,10 @@ class WordCache:
 
     Such a tokenizer cuts a text before every blank that stands between two characters that
     are no white space, and never merges across a cut; so the ids of a text are those of its
-    pieces in turn. Other white space stays inside a piece. Words are told apart by Arrow, many texts
-    at a time, so that each distinct one of these is looked up once. Unknown words are cut further where
-    the tokenizer always cuts; what is unknown of that goes to the tokenizer many at a time, joined by their blanks, and are told apart by the lengths of the tokens.
+    pieces in turn. Other white space stays inside a piece. Words are cut further where the tokenizer always
+    cuts, by the kinds of their bytes, and told apart by Arrow, many texts at a time, so that each distinct
+    part is looked up once. Unknown ones that start words go to the tokenizer many at a time, joined by their blanks,
+    and are told apart by the lengths of the tokens.
     A text that holds an added token (such as an end mark written out) goes to the tokenizer as a
     whole, since such tokens are cut out before anything else. Words, and pieces, are held in two generations
     of a quarter of `most` each: when the younger one is full, the older one goes, and words that come again
@@ -101,7 +107,7 @@ class WordCache:
         for token, number in vocabulary.items():
             self.length[number] = len(token)
         self.most = most
-        # The younger and the older generation of words that follow a blank (without it), and of anything else as it is.
+        # The younger and the older generation of parts of words (a first one with its blank), and of anything else as it is.
         self.held: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {"words": ({}, {}), "pieces": ({}, {})}
 
     def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
@@ -110,20 +116,34 @@ class WordCache:
                 yield np.array(found.ids, "<u4")
 
     @staticmethod
-    def inner_pieces(word: str) -> list[str]:
-        """A word as runs of letters, runs of marks and single line ends, between which the tokenizer always cuts; else as it is."""
-        if word.isascii() and word.isalpha():
-            return [word]
-        parts = INNER.findall(word)
-        return parts if sum(map(len, parts)) == len(word) and "\n\n" not in word else [word]
-
-    def _learn_words(self, words: list[str]) -> Iterator[bytes]:
-        """A new word mostly is a known one with another mark or line after it."""
-        cut = [self.inner_pieces(word) for word in words]
-        firsts, others = list({parts[0] for parts in cut}), list({part for parts in cut for part in parts[1:]})
-        first = dict(zip(firsts, self._look_up("words", firsts, self._learn_firsts)))
-        other = dict(zip(others, self._look_up("pieces", others, self._learn_pieces)))
-        return (b"".join([first[head], *[other[part] for part in rest]]) if rest else first[head] for head, *rest in cut)
+    def part_starts(data: np.ndarray) -> np.ndarray:
+        """Where the parts of words start in UTF-8 bytes, of which the first is a blank and no two neighbours are.
+
+        A word starts with its blank. If it holds letters, marks and single line ends only, runs of
+        each are parts, between which the tokenizer always cuts; else it is one part.
+        """
+        kind = KIND[data]
+        latin = np.flatnonzero(LATIN[data])
+        second = data[latin + 1]
+        latin = latin[(data[latin] != 0xC3) | ((second != 0x97) & (second != 0xB7))]
+        kind[latin] = kind[latin + 1] = LETTER
+        blanks = np.flatnonzero(kind == BLANK)
+        odd = kind == OTHER
+        odd[1:] |= (kind[1:] == LINE_END) & (kind[:-1] == LINE_END)
+        whole = np.zeros(len(blanks), bool)
+        whole[np.searchsorted(blanks, np.flatnonzero(odd)) - 1] = True
+        turn = kind[1:] != kind[:-1]
+        turn &= (kind[1:] != BLANK) & (kind[:-1] != BLANK)
+        turns = np.flatnonzero(turn) + 1
+        turns = turns[~whole[np.searchsorted(blanks, turns) - 1]]
+        start = kind == BLANK
+        start[turns] = True
+        return np.flatnonzero(start)
+
+    def _learn_parts(self, parts: list[str]) -> Iterator[bytes]:
+        firsts = self._learn_firsts([part[1:] for part in parts if part[0] == " "])
+        others = self._learn_pieces([part for part in parts if part[0] != " "])
+        return (next(firsts) if part[0] == " " else next(others) for part in parts)
 
     def _learn_firsts(self, words: list[str]) -> Iterator[bytes]:
         groups = [words[i : i + 64] for i in range(0, len(words), 64)]
@@ -171,17 +191,17 @@ class WordCache:
         """Ids of each text of words between single blanks, each of which follows a blank as well."""
         if not texts:
             return []
-        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
-        coded = parts.values.dictionary_encode()
-        distinct, code = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
-        found = self._look_up("words", distinct, self._learn_words)
-        lengths = np.fromiter(map(len, found), np.int64, len(found)) >> 2
-        starts = np.cumsum(lengths) - lengths
-        n = lengths[code]
-        ends = np.cumsum(n)
-        places = np.repeat(starts[code] - (ends - n), n) + np.arange(ends[-1])
-        ids = np.frombuffer(b"".join(found), "<u4")[places]
-        return np.split(ids, ends[parts.offsets.to_numpy()[1:-1] - 1])
+        raw = "".join([" " + text for text in texts]).encode()
+        starts = self.part_starts(np.frombuffer(raw, np.uint8))
+        offsets = pa.py_buffer(np.append(starts, len(raw)).astype(np.int64))
+        coded = pa.LargeStringArray.from_buffers(len(starts), offsets, pa.py_buffer(raw)).dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = self._look_up("words", distinct, self._learn_parts)
+        joined = pa.array(found, pa.large_binary()).take(coded.indices)
+        ids = np.frombuffer(joined.buffers()[2], "<u4")
+        text_starts = np.cumsum([len(text.encode()) + 1 for text in texts[:-1]])
+        ends = np.frombuffer(joined.buffers()[1], np.int64)[np.searchsorted(starts, text_starts)]
+        return np.split(ids, ends >> 2)
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text in turn."""
