@@ -118,3 +118,14 @@ def test_splits_and_optional_corpora(spark, tmp_path):
     spark.createDataFrame([("t", "{}")], "input_text string, annotation_json string").write.parquet(f"{tmp_path}/p")
     both = readers.read_corpora(spark, {"a": f"{tmp_path}/a", "p": f"{tmp_path}/p", "gone": f"{tmp_path}/gone"})
     assert {r["source"]: r["count"] for r in both.groupBy("source").count().collect()} == {"a": 5, "p": 1}
+
+
+def test_packed_batches_are_read_and_counted(spark, tmp_path):
+    df = spark.range(3000).selectExpr("id", "repeat(cast(id as string), 50) AS text").repartition(2)
+    for name, codec in (("plain", None), ("packed", "zstd")):
+        ac.save_arrow_corpus(df, f"{tmp_path}/{name}", compression=codec)
+        assert sorted(map(tuple, ac.read_arrow_corpus(spark, f"{tmp_path}/{name}").collect())) == sorted(map(tuple, df.collect()))
+    size = {n: sum(os.path.getsize(f"{tmp_path}/{n}/{f}") for f in ac.data_files(f"{tmp_path}/{n}")) for n in ("plain", "packed")}
+    assert size["packed"] < size["plain"] / 4
+    for n in ac.data_files(f"{tmp_path}/packed"):
+        assert ac._IpcFile(f"{tmp_path}/packed", n).count() == len(list(ac._IpcFile(f"{tmp_path}/packed", n).batches(0, 10**9))) > 0

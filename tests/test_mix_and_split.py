@@ -1,11 +1,19 @@
+import base64
 import collections
+import contextlib
+import os
+import random
+import threading
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from veilcorpus import session
 from veilcorpus.functions.hashing import draw
 from veilcorpus.operators import mix, rank, split
-from veilcorpus.plans import corpus_build
+from veilcorpus.plans import corpus_build, queries
+from veilcorpus.sources import readers, writers
 from veilcorpus.fixed_values import CATEGORIES
 
 EMPTY = {c: [] for c in CATEGORIES}
@@ -120,3 +128,97 @@ def test_null_groups_and_any_names_stay(spark):
     entries = mix.queue_entries(df.select("row_id", "source", "weight"), 50, sizes, 7)
     wanted = {(r["source"], r["epoch"], r["position"]) for r in slots}
     assert wanted <= {(r["source"], r["epoch"], r["position"]) for r in entries.collect()}
+
+
+CONTENTS = [(s, f"{s} text {i % 50}", "{}") for s in "ab" for i in range(70)] + [("a", "x", None), ("a", None, "x"), ("a", "x\u0001y", "z"), ("a", "x", "y\u0001z")] + [("b", "hot", "{}")] * 30
+
+
+def test_ids_in_place_are_those_of_a_shuffle(spark):
+    rows = spark.createDataFrame(CONTENTS, "source string, input_text string, annotation_json string").repartition(3)
+    for some in (rows, rows.dropDuplicates()):  # with and without rows that come more than once
+        wanted = sorted(map(str, corpus_build.with_row_ids(some).collect()))
+        with corpus_build.identified(some) as (ids, numbered):
+            assert sorted(map(str, numbered.collect())) == wanted
+            assert sorted(r["row_id"] for r in ids.collect()) == sorted(r["row_id"] for r in numbered.collect())
+
+
+def shuffled_bytes(spark):
+    """Bytes of the shuffle files that the session holds just now."""
+    found = 0
+    for top in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs():
+        for folder, _, names in os.walk(top.getPath()):
+            for name in names:
+                if name.startswith("shuffle_") and name.endswith(".data"):
+                    with contextlib.suppress(FileNotFoundError):
+                        found += os.path.getsize(f"{folder}/{name}")
+    return found
+
+
+class most_shuffled(threading.Thread):
+    """The most bytes of new shuffle files at any time within the block."""
+
+    def __init__(self, spark):
+        super().__init__()
+        spark.sparkContext._jvm.System.gc()
+        self.spark, self.ended, self.first, self.most = spark, threading.Event(), shuffled_bytes(spark), 0
+
+    def run(self):
+        while not self.ended.wait(0.05):
+            self.most = max(self.most, shuffled_bytes(self.spark) - self.first)
+
+    def __enter__(self):
+        self.start()
+        return self
+
+    def __exit__(self, *_):
+        self.ended.set()
+        self.join()
+        self.most = max(self.most, shuffled_bytes(self.spark) - self.first)
+
+
+def test_a_build_never_shuffles_all_its_texts_at_once(spark, tmp_path):
+    # Random texts, which no codec makes much smaller.
+    texts = [(base64.b64encode(random.Random(i).randbytes(3000)).decode(), "{}") for i in range(1500)]
+    size = 3000 * len(texts)
+    spark.createDataFrame(texts, "input_text string, annotation_json string").repartition(4).write.parquet(f"{tmp_path}/a")
+    with most_shuffled(spark) as chat:
+        card = corpus_build.format_chat(spark, f"{tmp_path}/a", {"a": f"{tmp_path}/a"}, f"{tmp_path}/chat").first()
+    assert card["num_rows"]["total"] == 3000 and chat.most < size  # of 2 x size; all were shuffled twice before
+    with most_shuffled(spark) as mixed:
+        corpus_build.mix(spark, {"a": f"{tmp_path}/a"}, f"{tmp_path}/mixed", 1500, 0.1)
+    assert spark.read.parquet(f"{tmp_path}/mixed").count() == 1500 and mixed.most < 3 * size  # of 3.8 x size, twice
+
+
+def test_files_hold_the_rows_in_the_order_of_their_keys(spark, tmp_path):
+    def saved(folder):
+        names = sorted(n for n in os.listdir(folder) if n.startswith("part-"))
+        return [r for n in names for r in pq.ParquetFile(f"{folder}/{n}").read().to_pylist()], len(names)
+
+    df = spark.createDataFrame([(f"r{i}", f"t{i}", "train" if i % 5 else "validation") for i in range(3000)], "row_id string, text string, split string")
+    keyed = df.withColumn("k", rank.uniform_key(7, "shuffle", F.col("row_id")))
+    wanted = [(r["split"], r["text"]) for r in keyed.orderBy("k").collect()]
+    writers.save_splits(df, f"{tmp_path}/splits", 7)
+    for name in ("train", "validation"):
+        rows, files = saved(f"{tmp_path}/splits/split={name}")
+        assert [r["text"] for r in rows] == [t for s, t in wanted if s == name] and files == 4
+    assert sorted(os.listdir(f"{tmp_path}/splits"))[-3:] == ["_SUCCESS", "split=train", "split=validation"]
+    for n in (None, 1000, 3):  # written over each other
+        writers.save_shuffled(keyed.drop("row_id"), f"{tmp_path}/all", "k", n)
+        assert [(r["split"], r["text"]) for r in saved(f"{tmp_path}/all")[0]] == wanted
+
+
+def test_a_mix_from_written_ids_is_the_mix(spark):
+    held = corpus(spark, [(str(i), "ab"[i % 2], f"t{i}", {"address": ["x"]} if i % 3 else {}) for i in range(60)])
+    written = mix.chosen_rows(held, 36, 42)
+    plain, given = (sorted(map(str, mix.mix_corpus(held, 40, 0.1, 42, c).collect())) for c in (None, written))
+    assert plain == given and len(plain) == 40
+
+
+def test_raw_tables_go_once_the_corpora_are_made(spark, tmp_path):
+    docs = [(i, f"mail t{i}@x.org", ["de", "fr", None][i % 3]) for i in range(30)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    before = set(os.listdir(session.shared_dir(spark).removeprefix("file:")))
+    folder, paths = queries._built_corpus(spark, str(tmp_path))
+    assert set(os.listdir(session.shared_dir(spark).removeprefix("file:"))) - before == {os.path.basename(folder)}
+    assert sorted(os.listdir(folder.removeprefix("file:"))) == ["a", "b"]
+    assert sorted(r["source"] for r in readers.read_corpora(spark, paths).collect()) == ["a"] * 10 + ["b"] * 20

@@ -177,8 +177,8 @@ def _join_with(rows: Column, delimiter: Column) -> Column:
     )
 
 
-def mixed_positives(corpus: DataFrame, n_rows: int, seed: int = 42) -> DataFrame:
-    return concatenate_rows(corpus, chosen_rows(corpus, n_rows, seed), seed)
+def mixed_positives(corpus: DataFrame, n_rows: int, seed: int = 42, chosen: DataFrame | None = None) -> DataFrame:
+    return concatenate_rows(corpus, chosen_rows(corpus, n_rows, seed) if chosen is None else chosen, seed)
 
 
 def sample_negatives(corpus: DataFrame, n_rows: int, seed: int = 42) -> DataFrame:
@@ -205,15 +205,16 @@ def sample_negatives(corpus: DataFrame, n_rows: int, seed: int = 42) -> DataFram
 
 
 def mix_corpus(
-    corpus: DataFrame, n_rows: int = 10_000, negative_ratio: float = 0.1, seed: int = 42
+    corpus: DataFrame, n_rows: int = 10_000, negative_ratio: float = 0.1, seed: int = 42, chosen: DataFrame | None = None
 ) -> DataFrame:
     """Mixed positives and sampled negatives: `mixed_id, input_text, annotation`.
 
     `mixed_id` is stable, and `shuffle_key` is a uniform key: ordering a written table by
-    it removes the order of generation.
+    it removes the order of generation. `chosen` has the `chosen_rows` of the positives where they
+    are written, so that a mix which is computed in parts doesn't draw them again for each.
     """
     n_positive, n_negative = row_budget(n_rows, negative_ratio)
-    positives = mixed_positives(corpus, n_positive, seed).select(
+    positives = mixed_positives(corpus, n_positive, seed, chosen).select(
         F.concat(F.lit("pos:"), F.col("i").cast("string")).alias("mixed_id"), "input_text", "annotation"
     )
     mixed = positives

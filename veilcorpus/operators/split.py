@@ -32,12 +32,15 @@ def _key(row_id: str, seed: int, salt: str) -> Column:
 
 
 def train_validation_split(
-    df: DataFrame, row_id: str, ratio: float = 0.05, seed: int = 42, salt: str = "shuffle"
+    df: DataFrame, row_id: str, ratio: float = 0.05, seed: int = 42, salt: str = "shuffle", ids: DataFrame | None = None
 ) -> DataFrame:
-    """Add `split`: the last rows of the permutation are the validation rows."""
+    """Add `split`: the last rows of the permutation are the validation rows.
+
+    `ids` has the row ids of `df`, for the cut to be taken from where `df` is costly to compute.
+    """
     _check_ratio(ratio)
     key = _key(row_id, seed, salt)
-    cut = key_at_position(df, key, row_id, lambda n: n - validation_rows(n, ratio))
+    cut = key_at_position(df if ids is None else ids, key, row_id, lambda n: n - validation_rows(n, ratio))
     here = F.struct(key.alias("k"), F.col(row_id).alias("id"))
     split = F.when(here >= cut, F.lit("validation")).otherwise(F.lit("train"))
     return df.withColumn("split", split)

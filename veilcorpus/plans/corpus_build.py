@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from veilcorpus import schema as S
+from veilcorpus.functions.hashing import bit_of
 from veilcorpus.functions.jsonx import decode_annotation, encode_annotation
 from veilcorpus.operators.annotate import annotate_masked_text, annotate_typed_entities
 from veilcorpus.operators.chat import extraction_chat
-from veilcorpus.operators.mix import mix_corpus
+from veilcorpus.operators.mix import chosen_rows, mix_corpus, row_budget
 from veilcorpus.operators.profile import category_profile
 from veilcorpus.operators.split import train_validation_split
-from veilcorpus.session import discard, materialize
+from veilcorpus.session import bucketed, discard, materialize, shuffles_dropped
 from veilcorpus.sources.readers import path_exists, read_corpora, read_corpus, read_table
 from veilcorpus.sources.writers import dataset_card, save_card, save_corpus, save_shuffled, save_splits
 
 COPIES_PER_CHUNK = 10_000
+CONTENT = ("source", "input_text", "annotation_json")
+BITS_A_HASH = 32
+STRETCH = 1 << 15  # bits in a row of a bitmap
+MOST_STRETCHES = 2048  # 8 MB of bits
 
 
 def prepare_masked(spark: SparkSession, raw: str, out: str, language: str = "ja") -> None:
@@ -33,9 +41,16 @@ def with_row_ids(corpus: DataFrame) -> DataFrame:
     nor partitions. Copies are counted (partial counts first) and written out again from
     the count, in chunks that are spread over the cluster where a row has very many.
     """
-    content = ["source", "input_text", "annotation_json"]
-    counted = corpus.groupBy(*content).agg(F.count(F.lit(1)).alias("_n"))
-    counted = counted.withColumn("_h", F.sha2(F.concat_ws("\u0001", *content), 256))
+    counted = corpus.groupBy(*CONTENT).agg(F.count(F.lit(1)).alias("_n")).withColumn("_h", _content_hash())
+    return _each_copy(counted).select("row_id", *CONTENT)
+
+
+def _content_hash() -> Column:
+    return F.sha2(F.concat_ws("\u0001", *CONTENT), 256)
+
+
+def _each_copy(counted: DataFrame) -> DataFrame:
+    """Rows with a hash `_h` and a number of copies `_n`, once for each copy, with `row_id`."""
     few = counted.filter(F.col("_n") <= COPIES_PER_CHUNK).withColumn("_chunk", F.lit(0).cast("bigint"))
     many = (
         counted.filter(F.col("_n") > COPIES_PER_CHUNK)
@@ -45,7 +60,39 @@ def with_row_ids(corpus: DataFrame) -> DataFrame:
     first = F.col("_chunk") * COPIES_PER_CHUNK
     last = F.least(first + COPIES_PER_CHUNK, F.col("_n")) - 1
     copies = few.unionByName(many).withColumn("_copy", F.explode(F.sequence(first, last)))
-    return copies.select(F.concat_ws(":", "_h", "_copy").alias("row_id"), *content)
+    return copies.withColumn("row_id", F.concat_ws(":", "_h", "_copy"))
+
+
+@contextmanager
+def identified(corpus: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """`(ids, rows)`: the rows of `with_row_ids`, of which few are shuffled, and their ids alone, for as long as the block lasts.
+
+    Copies are counted by hashes. A bitmap of the hashes that come more than once tells where a row
+    is: rows off the bitmap come once and stay in place, with copy 0 as their only one. Rows on it, by chance
+    also some that come once, are numbered by `with_row_ids` and written.
+    """
+    # Lengths tell texts apart that are alike only when written one after the other.
+    hashed = corpus.withColumns({"_h": _content_hash(), "_t": F.length("input_text"), "_a": F.length("annotation_json")})
+    own = ["source", "_h", "_t", "_a"]
+    counted = materialize(hashed.groupBy(*own).agg(F.count(F.lit(1)).alias("_n")), "zstd")
+    made = [counted]
+    try:
+        repeated = counted.filter("_n > 1")
+        stretches = min(MOST_STRETCHES, -(-repeated.count() * BITS_A_HASH // STRETCH))
+        rows = hashed.withColumn("row_id", F.concat_ws(":", "_h", F.lit("0")))
+        if stretches:
+            place = F.pmod(F.xxhash64(*own), F.lit(stretches * STRETCH)) + 1  # numbers count from 1
+            bits = repeated.groupBy(F.bitmap_bucket_number(place).alias("_stretch"))
+            bits = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits"))
+            placed = rows.withColumn("_place", place).withColumn("_stretch", F.bitmap_bucket_number("_place"))
+            met = placed.join(F.broadcast(bits), "_stretch", "left")  # MOST_STRETCHES rows at most, whatever the corpus is
+            on = F.coalesce(bit_of(F.col("_bits"), F.bitmap_bit_position("_place").cast("int")), F.lit(False))
+            made.append(materialize(with_row_ids(met.filter(on)), "zstd"))
+            rows = met.filter(~on).select("row_id", *CONTENT).unionByName(made[-1])
+        yield _each_copy(counted).select("row_id"), rows.select("row_id", *CONTENT)
+    finally:
+        for table in made:
+            discard(table)
 
 
 def mix(
@@ -57,17 +104,17 @@ def mix(
     seed: int = 42,
 ) -> DataFrame:
     """Mix the corpora that exist, save the result in shuffled order, return its profile."""
-    rows = with_row_ids(read_corpora(spark, corpora)).select(
-        "row_id", "source", "input_text", decode_annotation(F.col("annotation_json")).alias("annotation")
-    )
-    held = materialize(rows)
-    mixed = materialize(mix_corpus(held, n_rows, negative_ratio, seed))
-    discard(held)
-    save_shuffled(
-        mixed.select("input_text", encode_annotation(F.col("annotation")).alias("annotation_json"), "shuffle_key"),
-        out,
-    )
-    return category_profile(mixed)
+    annotation = decode_annotation(F.col("annotation_json")).alias("annotation")
+    n_positive, _ = row_budget(n_rows, negative_ratio)
+    with shuffles_dropped(spark), identified(read_corpora(spark, corpora)) as (_, rows):
+        # Texts lie in buckets by id, so the parts of the mix meet them without moving them again.
+        with bucketed(rows.select("row_id", "source", "input_text", annotation), "row_id") as held:
+            chosen = materialize(chosen_rows(held, n_positive, seed), "zstd")
+            mixed = mix_corpus(held, n_rows, negative_ratio, seed, chosen)
+            encoded = encode_annotation(F.col("annotation")).alias("annotation_json")
+            save_shuffled(mixed.select("input_text", encoded, "shuffle_key"), out, rows=n_rows)
+            discard(chosen)
+    return category_profile(read_corpus(spark, out).select(annotation))
 
 
 def format_chat(
@@ -89,15 +136,14 @@ def format_chat(
     if present:
         parts.append(read_corpora(spark, {n: originals[n] for n in present}))
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    identified = materialize(with_row_ids(rows))
-    split = train_validation_split(identified, "row_id", val_ratio, seed)
-    chat = split.select(
-        "row_id",
-        "split",
-        extraction_chat(F.col("input_text"), F.col("annotation_json")).alias("messages"),
-    )
-    save_splits(chat, f"{out}/data", seed)
-    discard(identified)
+    with shuffles_dropped(spark), identified(rows) as (ids, texts):
+        split = train_validation_split(texts, "row_id", val_ratio, seed, ids=ids)
+        chat = split.select(
+            "row_id",
+            "split",
+            extraction_chat(F.col("input_text"), F.col("annotation_json")).alias("messages"),
+        )
+        save_splits(chat, f"{out}/data", seed, rows=ids.count())
     card = dataset_card(spark.read.parquet(f"{out}/data"), name, ["mixed", *present])
     save_card(card, f"{out}/card")
     return card

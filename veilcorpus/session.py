@@ -10,6 +10,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cores: str = "8", app: str = "veilcorpus", **conf: str) -> SparkSession:
     """A session for tests and benches. On a cluster, pass your own session instead."""
@@ -57,6 +59,28 @@ def materialize(df: DataFrame, compression: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def written(df: DataFrame) -> Iterator[str]:
+    """The path of `df`, written in zstd for as long as the block lasts."""
+    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path, compression="zstd")
+    try:
+        yield path
+    finally:
+        _delete(df.sparkSession, path)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within the block, what an action shuffled is deleted when the action ends, not when the driver next collects garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 @contextmanager
 def bucketed(df: DataFrame, key: str) -> Iterator[DataFrame]:
     """`df` written once as a table dealt into buckets by `key`: joins on the key move none of its rows again.
@@ -78,9 +102,12 @@ def bucketed(df: DataFrame, key: str) -> Iterator[DataFrame]:
 
 def discard(table: DataFrame) -> None:
     """Delete the folder of a table that `materialize` wrote, once nothing reads it any more."""
-    spark = table.sparkSession
     for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        if not re.fullmatch(r"table-[0-9a-f]{32}", path.getName()):
-            raise ValueError(f"{folder} was not written by materialize")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(table.sparkSession, folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not re.fullmatch(r"table-[0-9a-f]{32}", path.getName()):
+        raise ValueError(f"{folder} was not written by materialize")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

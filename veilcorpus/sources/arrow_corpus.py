@@ -73,7 +73,10 @@ class _IpcFile:
         self.reader = reader
 
     def count(self) -> int:
-        return self.reader.num_record_batches if self.random else sum(1 for _ in self.reader)
+        if self.random:
+            return self.reader.num_record_batches
+        self.file.seek(0)  # messages are told apart by their heads; their buffers are not unpacked
+        return sum(m.type == "record batch" for m in pa.ipc.MessageReader.open_stream(self.file))
 
     def batches(self, start: int, stop: int) -> Iterator[pa.RecordBatch]:
         if self.random:
@@ -132,8 +135,8 @@ def _feature(kind: pa.DataType) -> dict:
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, path: str, schema: StructType, overwrite: bool):
-        self.path, self.schema, self.overwrite = path, schema, overwrite
+    def __init__(self, path: str, schema: StructType, overwrite: bool, compression: str | None):
+        self.path, self.schema, self.overwrite, self.compression = path, schema, overwrite, compression
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
         store, root = store_of(self.path)
@@ -142,7 +145,7 @@ class _Writer(DataSourceArrowWriter):
         for batch in iterator:
             if writer is None:
                 sink = store.open_output_stream(f"{root}/{name}")
-                writer = pa.ipc.new_stream(sink, batch.schema)
+                writer = pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=self.compression))
             writer.write_batch(batch)
             rows += batch.num_rows
         if writer is None:
@@ -211,7 +214,7 @@ class ArrowCorpus(DataSource):
         return _Reader(self.options["path"], schema)
 
     def writer(self, schema: StructType, overwrite: bool) -> _Writer:
-        return _Writer(self.options["path"], schema, overwrite)
+        return _Writer(self.options["path"], schema, overwrite, self.options.get("compression"))
 
 
 def arrow_schema(spark: SparkSession, path: str) -> StructType:
@@ -231,10 +234,14 @@ def read_arrow_corpus(spark: SparkSession, path: str, columns: Sequence[str] | N
     return spark.read.format(FORMAT).schema(schema).load(path)
 
 
-def save_arrow_corpus(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a corpus; `overwrite` replaces it in one step, `append` adds files to it."""
+def save_arrow_corpus(df: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None) -> None:
+    """Write a corpus; `overwrite` replaces it in one step, `append` adds files to it.
+
+    `compression`, `zstd` or `lz4`, packs the buffers of the batches, which all readers of Arrow files unpack by themselves.
+    """
     df.sparkSession.dataSource.register(ArrowCorpus)
-    df.write.format(FORMAT).mode(mode).save(path)
+    writer = df.write.format(FORMAT).mode(mode)
+    (writer.option("compression", compression) if compression else writer).save(path)
 
 
 def save_arrow_splits(df: DataFrame, path: str, names: Sequence[str] = ("train", "validation"), split: str = "split") -> None:

@@ -6,30 +6,60 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from veilcorpus import schema as S
 from veilcorpus.fixed_values import CATEGORIES
-from veilcorpus.functions.frames import join_null_safe
-from veilcorpus.operators.rank import uniform_key
+from veilcorpus.functions.frames import free_name, join_null_safe
+from veilcorpus.operators.rank import uniform_bucket, uniform_key
 from veilcorpus.operators.split import split_counts
-from veilcorpus.session import discard, materialize
+from veilcorpus.session import discard, materialize, shuffles_dropped
 from veilcorpus.sources.arrow_corpus import save_arrow_corpus
 from veilcorpus.sources.readers import path_exists
 
 SKETCH_FOLDERS = 64
+#: Ordered rows are written a part of the order after the other, so that no more than a part is shuffled at a time.
+ORDER_PARTS = 4
+LEAST_ROWS_A_FILE = 250
 
 
 def save_corpus(df: DataFrame, path: str, format: str = "parquet") -> None:
-    """Overwrite a corpus directory, in Parquet or as a folder of Arrow files (`arrow`)."""
+    """Overwrite a corpus directory, in Parquet or as a folder of Arrow files (`arrow`); both are packed with zstd."""
     if format == "arrow":
-        save_arrow_corpus(df, path)
+        save_arrow_corpus(df, path, compression="zstd")
+    elif format == "parquet":
+        df.write.mode("overwrite").parquet(path, compression="zstd")
     else:
         df.write.mode("overwrite").format(format).save(path)
 
 
-def save_shuffled(df: DataFrame, path: str, key: str = "shuffle_key") -> None:
-    """Overwrite a directory with the rows in the order of a shuffle key (dropped on write).
+def save_shuffled(df: DataFrame, path: str, key: str = "shuffle_key", rows: int | None = None) -> None:
+    """Overwrite a directory with the rows in the order of a uniform key (dropped on write).
 
-    The order is global: a range partitioning on the key, then a sort inside each file.
+    The order is global: a file holds a range of the key, its name tells which, and its rows are sorted.
+    `rows`, about how many there are, spares a few rows many files.
     """
-    df.orderBy(key).drop(key).write.mode("overwrite").parquet(path)
+    _save_ordered(df, path, key, [], rows)
+
+
+def _save_ordered(df: DataFrame, path: str, key: str, folders: list[str], rows: int | None) -> None:
+    """Rows in the order of a uniform key, dropped on write, with a folder for each value of `folders`.
+
+    The key tells a row's file, so the order takes no sample of the rows. Files are written in ORDER_PARTS
+    actions, each of which computes and shuffles its own rows of `df`; the last one marks the directory as whole.
+    """
+    spark = df.sparkSession
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if rows is not None:
+        files = max(1, min(files, rows // LEAST_ROWS_A_FILE))
+    width = -(-files // min(ORDER_PARTS, files))
+    file = free_name("_file", df)
+    number = F.least(F.greatest(F.coalesce(uniform_bucket(F.col(key), files), F.lit(0)), F.lit(0)), F.lit(files - 1))
+    numbered = df.withColumn(file, number.cast("int"))
+    starts = range(0, files, width)
+    for start in starts:
+        part = numbered.filter(F.expr(f"`{file}` div {width}") == start // width)
+        ordered = part.repartitionById(files, F.col(file)).sortWithinPartitions(*folders, key).drop(file, key)
+        writer = ordered.write.mode("append" if start else "overwrite").partitionBy(*folders)
+        whole = str(start == starts[-1]).lower()
+        with shuffles_dropped(spark):
+            writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", whole).parquet(path, compression="zstd")
 
 
 def append_generation_log(log: DataFrame, path: str) -> None:
@@ -47,10 +77,11 @@ def export_log(log: DataFrame, path: str, format: str = "parquet") -> None:
     save_corpus(log.select("input_text", "annotation_json"), path, format)
 
 
-def save_splits(df: DataFrame, path: str, seed: int = 42, row_id: str = "row_id") -> None:
-    """One directory per split, `path/split=train` and so on, rows in shuffled order."""
-    ordered = df.orderBy("split", uniform_key(seed, "shuffle", F.col(row_id))).drop(row_id)
-    ordered.write.mode("overwrite").partitionBy("split").parquet(path)
+def save_splits(df: DataFrame, path: str, seed: int = 42, row_id: str = "row_id", rows: int | None = None) -> None:
+    """One directory per split, `path/split=train` and so on, rows in shuffled order; `rows` as for `save_shuffled`."""
+    key = free_name("_key", df)
+    keyed = df.withColumn(key, uniform_key(seed, "shuffle", F.col(row_id))).drop(row_id)
+    _save_ordered(keyed, path, key, ["split"], rows)
 
 
 def dataset_card(df: DataFrame, name: str, sources: list[str], language: str = "ja",
