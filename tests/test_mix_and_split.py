@@ -10,8 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from veilcorpus import session
+from veilcorpus.functions import jsonx
 from veilcorpus.functions.hashing import draw
-from veilcorpus.operators import mix, rank, split
+from veilcorpus.operators import mix, profile, rank, split
 from veilcorpus.plans import corpus_build, queries
 from veilcorpus.sources import readers, writers
 from veilcorpus.fixed_values import CATEGORIES
@@ -137,7 +138,8 @@ def test_ids_in_place_are_those_of_a_shuffle(spark):
     rows = spark.createDataFrame(CONTENTS, "source string, input_text string, annotation_json string").repartition(3)
     for some in (rows, rows.dropDuplicates()):  # with and without rows that come more than once
         wanted = sorted(map(str, corpus_build.with_row_ids(some).collect()))
-        with corpus_build.identified(some) as (ids, numbered):
+        with corpus_build.identified(some) as (n, ids, numbered):
+            assert n == len(wanted)
             assert sorted(map(str, numbered.collect())) == wanted
             assert sorted(r["row_id"] for r in ids.collect()) == sorted(r["row_id"] for r in numbered.collect())
 
@@ -197,21 +199,37 @@ def test_files_hold_the_rows_in_the_order_of_their_keys(spark, tmp_path):
     df = spark.createDataFrame([(f"r{i}", f"t{i}", "train" if i % 5 else "validation") for i in range(3000)], "row_id string, text string, split string")
     keyed = df.withColumn("k", rank.uniform_key(7, "shuffle", F.col("row_id")))
     wanted = [(r["split"], r["text"]) for r in keyed.orderBy("k").collect()]
-    writers.save_splits(df, f"{tmp_path}/splits", 7)
+    held = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for _ in range(2):  # the second replaces the first, whatever the session says
+            writers.save_splits(df, f"{tmp_path}/splits", 7, rows=3000)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", held)
     for name in ("train", "validation"):
         rows, files = saved(f"{tmp_path}/splits/split={name}")
-        assert [r["text"] for r in rows] == [t for s, t in wanted if s == name] and files == 4
+        assert [r["text"] for r in rows] == [t for s, t in wanted if s == name] and files == 12  # of 250 rows
     assert sorted(os.listdir(f"{tmp_path}/splits"))[-3:] == ["_SUCCESS", "split=train", "split=validation"]
     for n in (None, 1000, 3):  # written over each other
         writers.save_shuffled(keyed.drop("row_id"), f"{tmp_path}/all", "k", n)
         assert [(r["split"], r["text"]) for r in saved(f"{tmp_path}/all")[0]] == wanted
 
 
+def test_the_profile_of_a_build_is_that_of_its_mix(spark, tmp_path):
+    rows = [(f"t{i}", '{"address": ["x", null, "y%d"]}' % (i % 7) if i % 3 else "{}") for i in range(60)]
+    spark.createDataFrame(rows, "input_text string, annotation_json string").write.parquet(f"{tmp_path}/a")
+    held = corpus_build.with_row_ids(readers.read_corpora(spark, {"a": f"{tmp_path}/a"}))
+    held = held.withColumn("annotation", jsonx.decode_annotation(F.col("annotation_json")))
+    wanted = profile.category_profile(mix.mix_corpus(held, 50, 0.1)).collect()
+    assert corpus_build.mix(spark, {"a": f"{tmp_path}/a"}, f"{tmp_path}/mixed", 50, 0.1).collect() == wanted
+
+
 def test_a_mix_from_written_ids_is_the_mix(spark):
     held = corpus(spark, [(str(i), "ab"[i % 2], f"t{i}", {"address": ["x"]} if i % 3 else {}) for i in range(60)])
-    written = mix.chosen_rows(held, 36, 42)
-    plain, given = (sorted(map(str, mix.mix_corpus(held, 40, 0.1, 42, c).collect())) for c in (None, written))
-    assert plain == given and len(plain) == 40
+    for n, ratio in ((40, 0.1), (40, 0.8), (40, 0.0)):  # fewer negatives than rows to take, more, and none
+        with mix.drawn_rows(held, n, ratio, 42) as drawn:
+            plain, given = (sorted(map(str, mix.mix_corpus(held, n, ratio, 42, d).collect())) for d in (None, drawn))
+        assert plain == given and len(plain) == n
 
 
 def test_raw_tables_go_once_the_corpora_are_made(spark, tmp_path):

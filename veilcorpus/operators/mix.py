@@ -11,6 +11,9 @@ position `r mod N`, and the whole loop becomes two ranks and one equi-join on
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from veilcorpus.fixed_values import MIX_DELIMITERS
@@ -27,7 +30,7 @@ from veilcorpus.operators.rank import (
     uniform_key,
     weighted_key,
 )
-from veilcorpus.session import materialize
+from veilcorpus.session import discard, materialize
 
 TICKET_CELLS = 4096
 
@@ -204,22 +207,38 @@ def sample_negatives(corpus: DataFrame, n_rows: int, seed: int = 42) -> DataFram
     return picked.join(pool, "row_id")
 
 
+@contextmanager
+def drawn_rows(corpus: DataFrame, n_rows: int, negative_ratio: float, seed: int) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """The rows that `mix_corpus` draws, `(i, j, row_id)` and `(draw_no, row_id)`, written for as long as the block lasts."""
+    n_positive, n_negative = row_budget(n_rows, negative_ratio)
+    chosen = materialize(chosen_rows(corpus, n_positive, seed), "zstd")
+    negatives = sample_negatives(corpus, n_negative, seed) if n_negative else corpus.limit(0).withColumn("draw_no", F.lit(0))
+    sampled = materialize(negatives.select(F.col("draw_no").cast("bigint").alias("draw_no"), "row_id"), "zstd")
+    try:
+        yield chosen, sampled
+    finally:
+        discard(chosen)
+        discard(sampled)
+
+
 def mix_corpus(
-    corpus: DataFrame, n_rows: int = 10_000, negative_ratio: float = 0.1, seed: int = 42, chosen: DataFrame | None = None
-) -> DataFrame:
+    corpus: DataFrame, n_rows: int = 10_000, negative_ratio: float = 0.1, seed: int = 42,
+    drawn: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
     """Mixed positives and sampled negatives: `mixed_id, input_text, annotation`.
 
     `mixed_id` is stable, and `shuffle_key` is a uniform key: ordering a written table by
-    it removes the order of generation. `chosen` has the `chosen_rows` of the positives where they
-    are written, so that a mix which is computed in parts doesn't draw them again for each.
+    it removes the order of generation. `drawn` are the `drawn_rows`, so that a mix which is computed
+    in parts doesn't draw them again for each.
     """
     n_positive, n_negative = row_budget(n_rows, negative_ratio)
-    positives = mixed_positives(corpus, n_positive, seed, chosen).select(
+    positives = mixed_positives(corpus, n_positive, seed, drawn[0] if drawn else None).select(
         F.concat(F.lit("pos:"), F.col("i").cast("string")).alias("mixed_id"), "input_text", "annotation"
     )
     mixed = positives
     if n_negative:
-        negatives = sample_negatives(corpus, n_negative, seed).select(
+        sampled = drawn[1].join(corpus, "row_id") if drawn else sample_negatives(corpus, n_negative, seed)
+        negatives = sampled.select(
             F.concat_ws(":", F.lit("neg"), "draw_no", "row_id").alias("mixed_id"),
             "input_text",
             "annotation",

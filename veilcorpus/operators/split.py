@@ -36,11 +36,15 @@ def train_validation_split(
 ) -> DataFrame:
     """Add `split`: the last rows of the permutation are the validation rows.
 
-    `ids` has the row ids of `df`, for the cut to be taken from where `df` is costly to compute.
+    `ids` has the row ids of `df`; the cut, one key, is then taken from there at once, for a `df` that is
+    costly to compute.
     """
     _check_ratio(ratio)
     key = _key(row_id, seed, salt)
     cut = key_at_position(df if ids is None else ids, key, row_id, lambda n: n - validation_rows(n, ratio))
+    if ids is not None:
+        found = ids.sparkSession.range(1).select(cut.alias("cut")).first()["cut"]
+        cut = F.struct(F.lit(found["k"]).alias("k"), F.lit(found["id"]).alias("id")) if found else F.lit(None)
     here = F.struct(key.alias("k"), F.col(row_id).alias("id"))
     split = F.when(here >= cut, F.lit("validation")).otherwise(F.lit("train"))
     return df.withColumn("split", split)

@@ -12,7 +12,7 @@ from veilcorpus.functions.hashing import bit_of
 from veilcorpus.functions.jsonx import decode_annotation, encode_annotation
 from veilcorpus.operators.annotate import annotate_masked_text, annotate_typed_entities
 from veilcorpus.operators.chat import extraction_chat
-from veilcorpus.operators.mix import chosen_rows, mix_corpus, row_budget
+from veilcorpus.operators.mix import drawn_rows, mix_corpus
 from veilcorpus.operators.profile import category_profile
 from veilcorpus.operators.split import train_validation_split
 from veilcorpus.session import bucketed, discard, materialize, shuffles_dropped
@@ -41,8 +41,11 @@ def with_row_ids(corpus: DataFrame) -> DataFrame:
     nor partitions. Copies are counted (partial counts first) and written out again from
     the count, in chunks that are spread over the cluster where a row has very many.
     """
-    counted = corpus.groupBy(*CONTENT).agg(F.count(F.lit(1)).alias("_n")).withColumn("_h", _content_hash())
-    return _each_copy(counted).select("row_id", *CONTENT)
+    return _each_copy(_counted(corpus)).select("row_id", *CONTENT)
+
+
+def _counted(corpus: DataFrame) -> DataFrame:
+    return corpus.groupBy(*CONTENT).agg(F.count(F.lit(1)).alias("_n")).withColumn("_h", _content_hash())
 
 
 def _content_hash() -> Column:
@@ -64,21 +67,24 @@ def _each_copy(counted: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def identified(corpus: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
-    """`(ids, rows)`: the rows of `with_row_ids`, of which few are shuffled, and their ids alone, for as long as the block lasts.
+def identified(corpus: DataFrame) -> Iterator[tuple[int, DataFrame, DataFrame]]:
+    """`(n, ids, rows)`: the rows of `with_row_ids`, of which few are shuffled, their number, and their ids alone.
+
+    They are there for as long as the block lasts.
 
     Copies are counted by hashes. A bitmap of the hashes that come more than once tells where a row
-    is: rows off the bitmap come once and stay in place, with copy 0 as their only one. Rows on it, by chance
-    also some that come once, are numbered by `with_row_ids` and written.
+    is: rows off the bitmap come once and stay in place, with copy 0 as their only one. Texts on it, by chance
+    also some that come once, are counted like in `with_row_ids` and written once each.
     """
     # Lengths tell texts apart that are alike only when written one after the other.
-    hashed = corpus.withColumns({"_h": _content_hash(), "_t": F.length("input_text"), "_a": F.length("annotation_json")})
+    hashed = corpus.withColumns({"_h": _content_hash(), "_t": F.octet_length("input_text"), "_a": F.octet_length("annotation_json")})
     own = ["source", "_h", "_t", "_a"]
     counted = materialize(hashed.groupBy(*own).agg(F.count(F.lit(1)).alias("_n")), "zstd")
     made = [counted]
     try:
         repeated = counted.filter("_n > 1")
-        stretches = min(MOST_STRETCHES, -(-repeated.count() * BITS_A_HASH // STRETCH))
+        n, n_repeated = counted.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count_if(F.expr("_n > 1"))).first()
+        stretches = min(MOST_STRETCHES, -(-n_repeated * BITS_A_HASH // STRETCH))
         rows = hashed.withColumn("row_id", F.concat_ws(":", "_h", F.lit("0")))
         if stretches:
             place = F.pmod(F.xxhash64(*own), F.lit(stretches * STRETCH)) + 1  # numbers count from 1
@@ -87,9 +93,9 @@ def identified(corpus: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
             placed = rows.withColumn("_place", place).withColumn("_stretch", F.bitmap_bucket_number("_place"))
             met = placed.join(F.broadcast(bits), "_stretch", "left")  # MOST_STRETCHES rows at most, whatever the corpus is
             on = F.coalesce(bit_of(F.col("_bits"), F.bitmap_bit_position("_place").cast("int")), F.lit(False))
-            made.append(materialize(with_row_ids(met.filter(on)), "zstd"))
-            rows = met.filter(~on).select("row_id", *CONTENT).unionByName(made[-1])
-        yield _each_copy(counted).select("row_id"), rows.select("row_id", *CONTENT)
+            made.append(materialize(_counted(met.filter(on)), "zstd"))
+            rows = met.filter(~on).select("row_id", *CONTENT).unionByName(_each_copy(made[-1]).select("row_id", *CONTENT))
+        yield n, _each_copy(counted).select("row_id"), rows.select("row_id", *CONTENT)
     finally:
         for table in made:
             discard(table)
@@ -105,16 +111,18 @@ def mix(
 ) -> DataFrame:
     """Mix the corpora that exist, save the result in shuffled order, return its profile."""
     annotation = decode_annotation(F.col("annotation_json")).alias("annotation")
-    n_positive, _ = row_budget(n_rows, negative_ratio)
-    with shuffles_dropped(spark), identified(read_corpora(spark, corpora)) as (_, rows):
+    with shuffles_dropped(spark), identified(read_corpora(spark, corpora)) as (_, _, rows):
         # Texts lie in buckets by id, so the parts of the mix meet them without moving them again.
-        with bucketed(rows.select("row_id", "source", "input_text", annotation), "row_id") as held:
-            chosen = materialize(chosen_rows(held, n_positive, seed), "zstd")
-            mixed = mix_corpus(held, n_rows, negative_ratio, seed, chosen)
+        with (
+            bucketed(rows.select("row_id", "source", "input_text", annotation), "row_id") as held,
+            drawn_rows(held, n_rows, negative_ratio, seed) as drawn,
+        ):
+            mixed = mix_corpus(held, n_rows, negative_ratio, seed, drawn)
             encoded = encode_annotation(F.col("annotation")).alias("annotation_json")
             save_shuffled(mixed.select("input_text", encoded, "shuffle_key"), out, rows=n_rows)
-            discard(chosen)
-    return category_profile(read_corpus(spark, out).select(annotation))
+            bare = held.withColumn("input_text", F.lit(None).cast("string"))  # a profile needs no texts
+            profile = materialize(category_profile(mix_corpus(bare, n_rows, negative_ratio, seed, drawn)))
+    return profile
 
 
 def format_chat(
@@ -136,14 +144,14 @@ def format_chat(
     if present:
         parts.append(read_corpora(spark, {n: originals[n] for n in present}))
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    with shuffles_dropped(spark), identified(rows) as (ids, texts):
+    with shuffles_dropped(spark), identified(rows) as (n, ids, texts):
         split = train_validation_split(texts, "row_id", val_ratio, seed, ids=ids)
         chat = split.select(
             "row_id",
             "split",
             extraction_chat(F.col("input_text"), F.col("annotation_json")).alias("messages"),
         )
-        save_splits(chat, f"{out}/data", seed, rows=ids.count())
+        save_splits(chat, f"{out}/data", seed, rows=n)
     card = dataset_card(spark.read.parquet(f"{out}/data"), name, ["mixed", *present])
     save_card(card, f"{out}/card")
     return card

@@ -60,7 +60,7 @@ def materialize(df: DataFrame, compression: str | None = None) -> DataFrame:
 
 
 @contextmanager
-def written(df: DataFrame) -> Iterator[str]:
+def path_of(df: DataFrame) -> Iterator[str]:
     """The path of `df`, written in zstd for as long as the block lasts."""
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path, compression="zstd")

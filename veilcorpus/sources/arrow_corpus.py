@@ -30,6 +30,7 @@ STATE, INFO, SPLITS = "state.json", "dataset_info.json", "dataset_dict.json"
 STREAM_END = b"\xff\xff\xff\xff\0\0\0\0"
 FILE_MAGIC = b"ARROW1"
 RANGE_BYTES = 64 << 20
+LEVELS = {"zstd": 6}
 FORMAT = "arrow_corpus"
 
 
@@ -145,7 +146,8 @@ class _Writer(DataSourceArrowWriter):
         for batch in iterator:
             if writer is None:
                 sink = store.open_output_stream(f"{root}/{name}")
-                writer = pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=self.compression))
+                codec = pa.Codec(self.compression, LEVELS.get(self.compression)) if self.compression else None
+                writer = pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=codec))
             writer.write_batch(batch)
             rows += batch.num_rows
         if writer is None:
@@ -237,7 +239,7 @@ def read_arrow_corpus(spark: SparkSession, path: str, columns: Sequence[str] | N
 def save_arrow_corpus(df: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None) -> None:
     """Write a corpus; `overwrite` replaces it in one step, `append` adds files to it.
 
-    `compression`, `zstd` or `lz4`, packs the buffers of the batches, which all readers of Arrow files unpack by themselves.
+    `compression`, `zstd` or `lz4` frames, packs the buffers of the batches, which all readers of Arrow files unpack by themselves.
     """
     df.sparkSession.dataSource.register(ArrowCorpus)
     writer = df.write.format(FORMAT).mode(mode)
